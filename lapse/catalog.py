@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.plans import onboarding, properties as props
 from lapse.plans import purchases as purch
 from lapse.sources.fixtures import load_inputs
 
@@ -40,4 +41,9 @@ QUERIES: dict[str, Query] = {
     "purchase_type_counts": _q(lambda i: purch.purchase_type_counts(i.purchases)),
     "purchase_span": _q(lambda i: purch.purchase_span(i.purchases)),
     "purchases_features": _q(lambda i: purch.purchase_features(i.purchases, i.users)),
+    "country_frequency": _q(lambda i: props.country_frequency(i.props, i.users)),
+    "subscription_calendar": _q(lambda i: props.subscription_calendar(i.props)),
+    "subscription_date_rank": _q(lambda i: props.subscription_date_rank(i.props, i.users)),
+    "properties_features": _q(lambda i: props.properties_features(i.props, i.users)),
+    "quiz_features": _q(lambda i: onboarding.quiz_features(i.quizzes, i.users)),
 }

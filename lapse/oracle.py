@@ -111,10 +111,98 @@ SELECT {sel}
 FROM users u LEFT JOIN purch_agg p ON u.user_id = p.user_id"""
 
 
+# ---------------------------------------------------------------- properties
+
+PROPS_SPLIT_CTE = "pr AS (SELECT p.*, u.split FROM props p JOIN users u ON p.user_id = u.user_id)"
+
+
+def _cal_parts(col: str) -> dict[str, str]:
+    names = ("year", "month", "day", "hour")
+    return {n: extract_num(col, DT_PAT, i + 1) for i, n in enumerate(names)}
+
+
+def _weekday(p: dict[str, str]) -> str:
+    mk = f"make_date(CAST({p['year']} AS BIGINT), CAST({p['month']} AS BIGINT), CAST({p['day']} AS BIGINT))"
+    return f"CAST((dayofweek({mk}) + 1) % 7 AS INTEGER)"
+
+
+def _calendar_select(col: str = "subscription_start_date") -> str:
+    p = _cal_parts(col)
+    return (
+        f"CAST({p['month']} AS INTEGER) AS sub_month, {_weekday(p)} AS sub_day_of_week, "
+        f"CAST({p['hour']} AS INTEGER) AS sub_hour"
+    )
+
+
+RANK_EXPR = (
+    "CASE WHEN subscription_start_date IS NULL THEN NULL ELSE "
+    "(RANK() OVER (PARTITION BY split ORDER BY subscription_start_date) - 1 "
+    "+ (COUNT(*) OVER (PARTITION BY split, subscription_start_date) + 1) / 2.0) "
+    "/ COUNT(subscription_start_date) OVER (PARTITION BY split) END"
+)
+
+FREQ_CTE = """cfreq AS (
+SELECT split, country_code, COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY split) AS country_freq
+FROM pr WHERE country_code IS NOT NULL GROUP BY split, country_code)"""
+
+PROPS_FEATURE_CTE = f"""props_feat AS (
+SELECT pr.user_id, pr.subscription_plan, pr.country_code, cf.country_freq,
+       {_calendar_select('pr.subscription_start_date')},
+       {RANK_EXPR.replace('subscription_start_date', 'pr.subscription_start_date').replace('PARTITION BY split', 'PARTITION BY pr.split')} AS sub_date_rank
+FROM pr LEFT JOIN cfreq cf ON pr.split = cf.split AND pr.country_code = cf.country_code)"""
+
+
+def country_frequency() -> str:
+    return with_fixtures(PROPS_SPLIT_CTE, FREQ_CTE) + f"SELECT split, country_code, {rnd('country_freq', 'country_freq')} FROM cfreq"
+
+
+def subscription_calendar() -> str:
+    return with_fixtures() + f"SELECT user_id, {_calendar_select()} FROM props"
+
+
+def subscription_date_rank() -> str:
+    return with_fixtures(PROPS_SPLIT_CTE) + f"SELECT user_id, {rnd(RANK_EXPR, 'sub_date_rank')} FROM pr"
+
+
+def properties_features() -> str:
+    return with_fixtures(PROPS_SPLIT_CTE, FREQ_CTE, PROPS_FEATURE_CTE) + f"""
+SELECT user_id, subscription_plan, country_code, {rnd('country_freq', 'country_freq')}, sub_month, sub_day_of_week, sub_hour,
+       {rnd('sub_date_rank', 'sub_date_rank')}
+FROM props_feat"""
+
+
+# ---------------------------------------------------------------- onboarding
+
+QUIZ_FEATURE_CTE = """quiz_feat AS (
+SELECT u.user_id,
+       COALESCE(q.source, 'missing') AS quiz_source,
+       COALESCE(TRY_CAST(q.team_size AS DOUBLE), 0.0) AS quiz_team_size,
+       COALESCE(q.experience, 'missing') AS quiz_experience,
+       COALESCE(q.usage_plan, 'missing') AS quiz_usage_plan,
+       COALESCE(q.frustration, 'missing') AS quiz_frustration,
+       COALESCE(q.first_feature, 'missing') AS quiz_first_feature,
+       COALESCE(q.role, 'missing') AS quiz_role,
+       CASE WHEN q.user_id IS NULL THEN 0
+            ELSE CAST(COALESCE(q.source, q.experience, q.frustration, q.first_feature, q.role) IS NOT NULL AS INTEGER) END AS has_quiz_data
+FROM users u LEFT JOIN quizzes q ON u.user_id = q.user_id)"""
+
+
+def quiz_features() -> str:
+    return with_fixtures(QUIZ_FEATURE_CTE) + f"""
+SELECT user_id, quiz_source, {rnd('quiz_team_size', 'quiz_team_size')}, quiz_experience, quiz_usage_plan, quiz_frustration,
+       quiz_first_feature, quiz_role, has_quiz_data
+FROM quiz_feat"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "purchase_summary": purchase_summary(),
         "purchase_type_counts": purchase_type_counts(),
         "purchase_span": purchase_span(),
         "purchases_features": purchases_features(),
+        "country_frequency": country_frequency(),
+        "subscription_calendar": subscription_calendar(),
+        "subscription_date_rank": subscription_date_rank(),
+        "properties_features": properties_features(),
+        "quiz_features": quiz_features(),
     }
