@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapse.plans import onboarding, properties as props
+from lapse.plans import onboarding, payments as pay, properties as props
 from lapse.plans import purchases as purch
 from lapse.sources.fixtures import load_inputs
 
@@ -36,6 +36,12 @@ def _q(fn) -> Query:
     return run
 
 
+def _attrib(i) -> DataFrame:
+    return pay.failure_attribution(
+        pay.tx_success(i.tx, i.purchases, i.users), pay.tx_failed(i.tx, i.purchases, i.users)
+    )
+
+
 QUERIES: dict[str, Query] = {
     "purchase_summary": _q(lambda i: purch.purchase_summary(i.purchases)),
     "purchase_type_counts": _q(lambda i: purch.purchase_type_counts(i.purchases)),
@@ -46,4 +52,15 @@ QUERIES: dict[str, Query] = {
     "subscription_date_rank": _q(lambda i: props.subscription_date_rank(i.props, i.users)),
     "properties_features": _q(lambda i: props.properties_features(i.props, i.users)),
     "quiz_features": _q(lambda i: onboarding.quiz_features(i.quizzes, i.users)),
+    "tx_success": _q(lambda i: pay.tx_success(i.tx, i.purchases, i.users)),
+    "tx_failed": _q(lambda i: pay.tx_failed(i.tx, i.purchases, i.users)),
+    "card_risk": _q(lambda i: pay.card_risk(pay.tx_success(i.tx, i.purchases, i.users))),
+    "country_mismatch": _q(lambda i: pay.country_mismatch(pay.tx_success(i.tx, i.purchases, i.users))),
+    "card_mode": _q(lambda i: pay.card_mode(pay.tx_success(i.tx, i.purchases, i.users))),
+    "fingerprint_users": _q(lambda i: pay.fingerprint_user_counts(pay.tx_success(i.tx, i.purchases, i.users))),
+    "failure_attribution": _q(
+        lambda i: _attrib(i).select("user_id", "tx_fail_count_weighted", "tx_fail_count_raw")
+    ),
+    "failure_by_code": _q(lambda i: _attrib(i).select("user_id", *[f"fail_{c}" for c in pay.FAILURE_CODES])),
+    "payments_features": _q(lambda i: pay.payment_features(i.tx, i.purchases, i.users)),
 }

@@ -194,6 +194,156 @@ SELECT user_id, quiz_source, {rnd('quiz_team_size', 'quiz_team_size')}, quiz_exp
 FROM quiz_feat"""
 
 
+# ---------------------------------------------------------------- payments
+
+FAILURE_CODES = ("card_declined", "expired_card", "incorrect_cvc", "incorrect_number", "processing_error")
+
+PAY_CTES = (
+    "pr_p AS (SELECT p.*, u.split FROM purchases p JOIN users u ON p.user_id = u.user_id)",
+    "pmap AS (SELECT DISTINCT split, transaction_id, user_id FROM pr_p WHERE transaction_id IS NOT NULL)",
+    "succ AS (SELECT t.*, m.user_id FROM tx t JOIN pmap m ON t.split = m.split AND t.transaction_id = m.transaction_id)",
+    "fail AS (SELECT t.* FROM tx t WHERE NOT EXISTS "
+    "(SELECT 1 FROM pmap m WHERE m.split = t.split AND m.transaction_id = t.transaction_id))",
+)
+
+
+def _bool_text(c: str) -> str:
+    return f"CASE WHEN {c} THEN 'True' WHEN NOT {c} THEN 'False' END"
+
+
+FP_EXPR = "concat_ws('|', " + ", ".join(
+    f"COALESCE({e}, 'unk')"
+    for e in (
+        "card_brand", "card_country", "card_funding", "bank_name", "billing_address_country",
+        _bool_text("is_prepaid"), _bool_text("is_virtual"),
+    )
+) + ")"
+
+RISK_SELECT = """COUNT(transaction_id) AS tx_success_count,
+  CAST(bool_or(COALESCE(digital_wallet, 'none') <> 'none') AS INTEGER) AS tx_has_digital_wallet,
+  CAST(bool_or(COALESCE(is_3d_secure, false)) AS INTEGER) AS tx_has_3d_secure,
+  CAST(bool_or(COALESCE(is_prepaid, false)) AS INTEGER) AS tx_is_prepaid,
+  CAST(bool_or(COALESCE(is_virtual, false)) AS INTEGER) AS tx_is_virtual,
+  CAST(bool_or(COALESCE(is_business, false)) AS INTEGER) AS tx_is_business,
+  AVG(CASE WHEN COALESCE(cvc_check, '') = 'pass' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS tx_cvc_pass_rate,
+  AVG(amount_in_usd) AS tx_avg_amount,
+  MAX(amount_in_usd) AS tx_max_amount"""
+
+MISMATCH_SELECT = (
+    "AVG(CAST(COALESCE(billing_address_country, '') <> COALESCE(card_country, '') AS DOUBLE)) AS tx_country_mismatch_rate"
+)
+
+
+def _mode_cte(col: str, out: str) -> str:
+    return f"""{out}_m AS (
+SELECT user_id, {col} AS {out} FROM (
+  SELECT user_id, {col}, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY COUNT(*) DESC, {col}) AS rn
+  FROM succ WHERE {col} IS NOT NULL GROUP BY user_id, {col}) x WHERE rn = 1)"""
+
+
+MODE_CTES = (_mode_cte("card_brand", "tx_card_brand"), _mode_cte("card_funding", "tx_card_funding"))
+
+# The oracle expands each failure to every matching user (the direct form).
+ATTRIB_CTES = (
+    f"succ_fp AS (SELECT DISTINCT split, {FP_EXPR} AS fingerprint, user_id FROM succ WHERE user_id IS NOT NULL)",
+    "fp_n AS (SELECT split, fingerprint, COUNT(*) AS n_users FROM succ_fp GROUP BY split, fingerprint)",
+    f"fail_fp AS (SELECT split, {FP_EXPR} AS fingerprint, COALESCE(failure_code, 'unknown') AS code FROM fail)",
+    """matched AS (SELECT s.user_id, f.code, 1.0 / n.n_users AS weight
+FROM fail_fp f JOIN succ_fp s ON f.split = s.split AND f.fingerprint = s.fingerprint
+JOIN fp_n n ON f.split = n.split AND f.fingerprint = n.fingerprint)""",
+    "fail_agg AS (SELECT user_id, SUM(weight) AS tx_fail_count_weighted, COUNT(*) AS tx_fail_count_raw, "
+    + ", ".join(f"COALESCE(SUM(weight) FILTER (WHERE code = '{c}'), 0) AS fail_{c}" for c in FAILURE_CODES)
+    + " FROM matched GROUP BY user_id)",
+)
+
+PAY_FEATURE_CTE = f"""risk AS (SELECT user_id, {RISK_SELECT}, {MISMATCH_SELECT} FROM succ GROUP BY user_id),
+pay_base AS (
+SELECT u.user_id,
+  COALESCE(r.tx_success_count, 0) AS tx_success_count,
+  COALESCE(r.tx_has_digital_wallet, 0) AS tx_has_digital_wallet,
+  COALESCE(r.tx_has_3d_secure, 0) AS tx_has_3d_secure,
+  COALESCE(r.tx_is_prepaid, 0) AS tx_is_prepaid,
+  COALESCE(r.tx_is_virtual, 0) AS tx_is_virtual,
+  COALESCE(r.tx_is_business, 0) AS tx_is_business,
+  COALESCE(r.tx_cvc_pass_rate, 0) AS tx_cvc_pass_rate,
+  COALESCE(r.tx_avg_amount, 0) AS tx_avg_amount,
+  COALESCE(r.tx_max_amount, 0) AS tx_max_amount,
+  COALESCE(r.tx_country_mismatch_rate, 0) AS tx_country_mismatch_rate,
+  COALESCE(b.tx_card_brand, 'unknown') AS tx_card_brand,
+  COALESCE(fu.tx_card_funding, 'unknown') AS tx_card_funding,
+  COALESCE(f.tx_fail_count_weighted, 0) AS tx_fail_count_weighted,
+  COALESCE(f.tx_fail_count_raw, 0) AS tx_fail_count_raw,
+  {", ".join(f"COALESCE(f.fail_{c}, 0) AS fail_{c}" for c in FAILURE_CODES)}
+FROM users u
+LEFT JOIN risk r ON u.user_id = r.user_id
+LEFT JOIN tx_card_brand_m b ON u.user_id = b.user_id
+LEFT JOIN tx_card_funding_m fu ON u.user_id = fu.user_id
+LEFT JOIN fail_agg f ON u.user_id = f.user_id),
+pay_feat AS (
+SELECT *, tx_fail_count_weighted / (tx_fail_count_weighted + tx_success_count + 1e-6) AS tx_failure_rate FROM pay_base)"""
+
+PAYMENT_FEATURES = [
+    ("tx_success_count", "int"), ("tx_has_digital_wallet", "int"), ("tx_has_3d_secure", "int"),
+    ("tx_is_prepaid", "int"), ("tx_is_virtual", "int"), ("tx_is_business", "int"),
+    ("tx_cvc_pass_rate", "dbl"), ("tx_avg_amount", "dbl"), ("tx_max_amount", "dbl"),
+    ("tx_country_mismatch_rate", "dbl"), ("tx_card_brand", "str"), ("tx_card_funding", "str"),
+    ("tx_fail_count_weighted", "dbl"), ("tx_fail_count_raw", "int"),
+    *[(f"fail_{c}", "dbl") for c in FAILURE_CODES], ("tx_failure_rate", "dbl"),
+]
+
+
+def plain(alias: str, cols) -> list[str]:
+    return [rnd(f"{alias}.{n}", n) if k == "dbl" else f"{alias}.{n}" for n, k in cols]
+
+
+def tx_success() -> str:
+    return with_fixtures(*PAY_CTES) + "SELECT * FROM succ"
+
+
+def tx_failed() -> str:
+    return with_fixtures(*PAY_CTES) + "SELECT * FROM fail"
+
+
+def card_risk() -> str:
+    cols = PAYMENT_FEATURES[:9]
+    return with_fixtures(*PAY_CTES, f"r AS (SELECT user_id, {RISK_SELECT} FROM succ GROUP BY user_id)") + (
+        "SELECT r.user_id, " + ", ".join(plain("r", cols)) + " FROM r"
+    )
+
+
+def country_mismatch() -> str:
+    return with_fixtures(*PAY_CTES) + f"SELECT user_id, ROUND(tx_country_mismatch_rate, 6) AS tx_country_mismatch_rate FROM (SELECT user_id, {MISMATCH_SELECT} FROM succ GROUP BY user_id) r"
+
+
+def card_mode() -> str:
+    return with_fixtures(*PAY_CTES, *MODE_CTES) + """
+SELECT u.user_id, COALESCE(b.tx_card_brand, 'unknown') AS tx_card_brand, COALESCE(f.tx_card_funding, 'unknown') AS tx_card_funding
+FROM (SELECT DISTINCT user_id FROM succ) u
+LEFT JOIN tx_card_brand_m b ON u.user_id = b.user_id LEFT JOIN tx_card_funding_m f ON u.user_id = f.user_id"""
+
+
+def fingerprint_users() -> str:
+    return with_fixtures(*PAY_CTES, *ATTRIB_CTES) + "SELECT split, fingerprint, n_users FROM fp_n"
+
+
+def failure_attribution() -> str:
+    return with_fixtures(*PAY_CTES, *ATTRIB_CTES) + (
+        "SELECT user_id, ROUND(tx_fail_count_weighted, 6) AS tx_fail_count_weighted, tx_fail_count_raw FROM fail_agg"
+    )
+
+
+def failure_by_code() -> str:
+    return with_fixtures(*PAY_CTES, *ATTRIB_CTES) + (
+        "SELECT user_id, " + ", ".join(rnd(f"fail_{c}", f"fail_{c}") for c in FAILURE_CODES) + " FROM fail_agg"
+    )
+
+
+def payments_features() -> str:
+    return with_fixtures(*PAY_CTES, *MODE_CTES, *ATTRIB_CTES, PAY_FEATURE_CTE) + (
+        "SELECT p.user_id, " + ", ".join(plain("p", PAYMENT_FEATURES)) + " FROM pay_feat p"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "purchase_summary": purchase_summary(),
@@ -205,4 +355,13 @@ def oracle_sql() -> dict[str, str]:
         "subscription_date_rank": subscription_date_rank(),
         "properties_features": properties_features(),
         "quiz_features": quiz_features(),
+        "tx_success": tx_success(),
+        "tx_failed": tx_failed(),
+        "card_risk": card_risk(),
+        "country_mismatch": country_mismatch(),
+        "card_mode": card_mode(),
+        "fingerprint_users": fingerprint_users(),
+        "failure_attribution": failure_attribution(),
+        "failure_by_code": failure_by_code(),
+        "payments_features": payments_features(),
     }

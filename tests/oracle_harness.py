@@ -61,6 +61,30 @@ def _close(a, b) -> bool:
     return False
 
 
+_TYPE_MAP = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def spark_types(sdf) -> dict[str, str]:
+    out = {}
+    for f in sdf.schema.fields:
+        s = f.dataType.simpleString()
+        if s.startswith("array<"):
+            inner = _TYPE_MAP.get(s[6:-1], s[6:-1].upper())
+            out[f.name] = f"{inner}[]"
+        else:
+            out[f.name] = _TYPE_MAP.get(s, s.upper())
+    return out
+
+
+def compare_types(st: dict[str, str], dt: dict[str, str]) -> str | None:
+    bad = {c: (st[c], dt.get(c)) for c in st if c in dt and st[c] != dt[c]}
+    return f"types differ (spark, duck): {bad}" if bad else None
+
+
 def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> str | None:
     sc, dc = sorted(spark_pdf.columns), sorted(duck_pdf.columns)
     if sc != dc:
@@ -95,11 +119,13 @@ def check(spark, names=None, sf_dir="/root/testdata/sf0.01", verbose=True) -> di
             results[name] = f"rows-only {len(spdf)}"
         else:
             try:
-                dpdf = con.execute(sqls[name]).df()
+                rel = con.sql(sqls[name])
+                dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+                dpdf = rel.df()
             except Exception as exc:  # noqa: BLE001
                 results[name] = f"DUCK ERROR {str(exc)[:300]}"
                 continue
-            err = compare(spdf, dpdf)
+            err = compare(spdf, dpdf) or compare_types(spark_types(sdf), dtypes)
             results[name] = "OK" if err is None else f"MISMATCH {err}"
         if verbose:
             print(f"{name:32s} {time.time() - t0:6.1f}s (spark {t1 - t0:5.1f}s) {results[name]}", flush=True)
