@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.plans import activity as act
 from lapse.plans import onboarding, payments as pay, properties as props
 from lapse.plans import purchases as purch
 from lapse.sources.fixtures import load_inputs
@@ -42,6 +43,27 @@ def _attrib(i) -> DataFrame:
     )
 
 
+# Activity sub-queries: each reads the per-user activity table (Catalyst
+# prunes the aggregates a query does not select).
+ACTIVITY_GROUPS = {
+    "gen_status_counts": ["gen_total", "gen_completed", "gen_failed", "gen_nsfw", "gen_canceled"],
+    "gen_credits": ["gen_total_credits", "gen_avg_credits", "gen_video_count", "gen_image_count",
+                    "gen_video_ratio", "gen_avg_duration", "gen_avg_hour"],
+    "gen_distinct_days_types": ["gen_active_days", "gen_unique_types", "gen_intensity"],
+    "gen_first48h": ["gen_day01_count", "credits_day01", "day01_ratio", "day01_credits_ratio", "burst_flag"],
+    "gen_weekly": ["gen_week1_count", "credits_week1", "gen_week2_count", "credits_week2", "gen_trend",
+                   "credits_trend", "deceleration_flag"],
+    "gen_daily_bits": act.DAY_BITS,
+    "gen_streak_quit": ["first_quit_day", "max_active_streak", "week1_active_days", "week2_active_days",
+                        "is_short_life", "is_one_day_user"],
+    "gen_recency": ["days_since_last_gen", "days_since_first_gen"],
+}
+
+
+def _act(cols: list[str]) -> Query:
+    return _q(lambda i: act.activity_table(i.generations, i.users).select("user_id", *cols))
+
+
 QUERIES: dict[str, Query] = {
     "purchase_summary": _q(lambda i: purch.purchase_summary(i.purchases)),
     "purchase_type_counts": _q(lambda i: purch.purchase_type_counts(i.purchases)),
@@ -63,4 +85,6 @@ QUERIES: dict[str, Query] = {
     ),
     "failure_by_code": _q(lambda i: _attrib(i).select("user_id", *[f"fail_{c}" for c in pay.FAILURE_CODES])),
     "payments_features": _q(lambda i: pay.payment_features(i.tx, i.purchases, i.users)),
+    **{name: _act(cols) for name, cols in ACTIVITY_GROUPS.items()},
+    "activity_features": _q(lambda i: act.activity_features(i.generations, i.users)),
 }

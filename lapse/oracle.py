@@ -344,6 +344,119 @@ def payments_features() -> str:
     )
 
 
+# ---------------------------------------------------------------- activity
+
+STATUSES = ("completed", "failed", "nsfw", "canceled")
+DAY_BITS = [f"active_day_{d}" for d in range(14)]
+
+# Direct event-level form: window over raw events, no slot pre-aggregation.
+GEN_CTES = (
+    "gen_k AS (SELECT g.*, u.split FROM generations g JOIN users u ON g.user_id = u.user_id)",
+    f"""gen_e AS (SELECT *, {day_number('created_at')} AS day_num,
+  {extract_num('created_at', HOUR_PAT, 1)} AS hr,
+  NULLIF(regexp_extract(created_at, '{DATE_PAT}', 1), '') AS day_date,
+  COALESCE(TRY_CAST(credit_cost AS DOUBLE), 0.0) AS credit,
+  TRY_CAST(duration AS DOUBLE) AS dur,
+  COALESCE(lower(generation_type) LIKE '%video%', false) AS is_video,
+  COALESCE(lower(generation_type) LIKE '%image%', false) AS is_image
+FROM gen_k)""",
+    "gen_r AS (SELECT *, day_num - MIN(day_num) OVER (PARTITION BY user_id) AS rel FROM gen_e)",
+    """gen_u AS (SELECT user_id, split,
+  COUNT(generation_id) AS gen_total,
+  """ + ",\n  ".join(f"{cnt(f'status = {chr(39)}{st}{chr(39)}')} AS gen_{st}" for st in STATUSES) + """,
+  SUM(credit) AS gen_total_credits,
+  COUNT(*) FILTER (WHERE is_video) AS gen_video_count,
+  COUNT(*) FILTER (WHERE is_image) AS gen_image_count,
+  COUNT(DISTINCT day_date) + MAX(CASE WHEN day_date IS NULL THEN 1 ELSE 0 END) AS gen_active_days,
+  COUNT(DISTINCT generation_type) + MAX(CASE WHEN generation_type IS NULL THEN 1 ELSE 0 END) AS gen_unique_types,
+  COALESCE(SUM(dur), 0) AS dur_sum, COUNT(dur) AS dur_n, COALESCE(SUM(hr), 0) AS hour_sum,
+  MIN(day_num) AS first_day, MAX(day_num) AS last_day,
+  COUNT(generation_id) FILTER (WHERE rel < 7) AS gen_week1_count,
+  COALESCE(SUM(credit) FILTER (WHERE rel < 7), 0) AS credits_week1,
+  COUNT(generation_id) FILTER (WHERE rel >= 7) AS gen_week2_count,
+  COALESCE(SUM(credit) FILTER (WHERE rel >= 7), 0) AS credits_week2,
+  COUNT(generation_id) FILTER (WHERE rel < 2) AS gen_day01_count,
+  COALESCE(SUM(credit) FILTER (WHERE rel < 2), 0) AS credits_day01,
+  """ + ",\n  ".join(
+        f"MAX(CASE WHEN LEAST(FLOOR(rel), 13) = {d} THEN 1 ELSE 0 END) AS active_day_{d}" for d in range(14)
+    ) + """
+FROM gen_r GROUP BY user_id, split)""",
+    "gen_max AS (SELECT split, MAX(last_day) AS split_last FROM gen_u GROUP BY split)",
+    "gen_s AS (SELECT *, concat(" + ", ".join(f"CAST({b} AS VARCHAR)" for b in DAY_BITS) + ") AS bitstr FROM gen_u)",
+    """gen_f AS (SELECT g.*,
+  gen_total_credits / (gen_total + 1e-6) AS gen_avg_credits,
+  gen_completed / (gen_total + 1e-6) AS completion_rate,
+  gen_nsfw / (gen_total + 1e-6) AS nsfw_rate,
+  gen_total / (gen_active_days + 1e-6) AS gen_intensity,
+  gen_video_count / (gen_total + 1e-6) AS gen_video_ratio,
+  dur_sum / (dur_n + 1e-6) AS gen_avg_duration,
+  hour_sum / (gen_total + 1e-6) AS gen_avg_hour,
+  CAST(CASE WHEN strpos(substr(bitstr, GREATEST(strpos(bitstr, '1'), 1)), '0') = 0 THEN 14
+       ELSE GREATEST(strpos(bitstr, '1'), 1) - 1 + strpos(substr(bitstr, GREATEST(strpos(bitstr, '1'), 1)), '0') - 1 END AS INTEGER) AS first_quit_day,
+  CAST(GREATEST(0, """ + ", ".join(f"CASE WHEN strpos(bitstr, '{'1' * k}') > 0 THEN {k} ELSE 0 END" for k in range(1, 15)) + """) AS INTEGER) AS max_active_streak,
+  CAST(""" + " + ".join(DAY_BITS[:7]) + """ AS INTEGER) AS week1_active_days,
+  CAST(""" + " + ".join(DAY_BITS[7:]) + """ AS INTEGER) AS week2_active_days,
+  gen_day01_count / (gen_total + 1) AS day01_ratio,
+  credits_day01 / (gen_total_credits + 1) AS day01_credits_ratio,
+  CAST(gen_day01_count / (gen_total + 1) > 0.5 AS INTEGER) AS burst_flag,
+  CAST(gen_active_days <= 2 AS INTEGER) AS is_short_life,
+  CAST(gen_active_days = 1 AS INTEGER) AS is_one_day_user,
+  (gen_week2_count - gen_week1_count) / (gen_week1_count + 1) AS gen_trend,
+  (credits_week2 - credits_week1) / (credits_week1 + 1) AS credits_trend,
+  CAST(gen_week2_count < gen_week1_count * 0.7 AS INTEGER) AS deceleration_flag,
+  m.split_last - last_day AS days_since_last_gen,
+  m.split_last - first_day AS days_since_first_gen,
+  1 AS gen_has_generations
+FROM gen_s g JOIN gen_max m ON g.split = m.split)""",
+)
+
+ACTIVITY_FEATURES = [
+    ("gen_total", "int"), ("gen_completed", "int"), ("gen_failed", "int"), ("gen_nsfw", "int"),
+    ("gen_canceled", "int"), ("gen_total_credits", "dbl"), ("gen_video_count", "int"), ("gen_image_count", "int"),
+    ("gen_active_days", "int"), ("gen_unique_types", "int"), ("gen_avg_credits", "dbl"), ("completion_rate", "dbl"),
+    ("nsfw_rate", "dbl"), ("gen_intensity", "dbl"), ("gen_video_ratio", "dbl"), ("gen_avg_duration", "dbl"),
+    ("gen_avg_hour", "dbl"), ("gen_week1_count", "int"), ("credits_week1", "dbl"), ("gen_week2_count", "int"),
+    ("credits_week2", "dbl"), ("gen_day01_count", "int"), ("credits_day01", "dbl"),
+    *[(b, "int") for b in DAY_BITS],
+    ("first_quit_day", "int"), ("max_active_streak", "int"), ("week1_active_days", "int"),
+    ("week2_active_days", "int"), ("day01_ratio", "dbl"), ("day01_credits_ratio", "dbl"), ("burst_flag", "int"),
+    ("is_short_life", "int"), ("is_one_day_user", "int"), ("gen_trend", "dbl"), ("credits_trend", "dbl"),
+    ("deceleration_flag", "int"), ("days_since_last_gen", "dbl"), ("days_since_first_gen", "dbl"),
+    ("gen_has_generations", "int"),
+]
+_ACT = dict(ACTIVITY_FEATURES)
+
+
+def _act_query(cols: list[str]) -> str:
+    sel = ", ".join(rnd(f"g.{c}", c) if _ACT[c] == "dbl" else f"g.{c}" for c in cols)
+    return with_fixtures(*GEN_CTES) + f"SELECT g.user_id, {sel} FROM gen_f g"
+
+
+ACTIVITY_GROUPS = {
+    "gen_status_counts": ["gen_total", *[f"gen_{s}" for s in STATUSES]],
+    "gen_credits": ["gen_total_credits", "gen_avg_credits", "gen_video_count", "gen_image_count",
+                    "gen_video_ratio", "gen_avg_duration", "gen_avg_hour"],
+    "gen_distinct_days_types": ["gen_active_days", "gen_unique_types", "gen_intensity"],
+    "gen_first48h": ["gen_day01_count", "credits_day01", "day01_ratio", "day01_credits_ratio", "burst_flag"],
+    "gen_weekly": ["gen_week1_count", "credits_week1", "gen_week2_count", "credits_week2", "gen_trend",
+                   "credits_trend", "deceleration_flag"],
+    "gen_daily_bits": DAY_BITS,
+    "gen_streak_quit": ["first_quit_day", "max_active_streak", "week1_active_days", "week2_active_days",
+                        "is_short_life", "is_one_day_user"],
+    "gen_recency": ["days_since_last_gen", "days_since_first_gen"],
+}
+
+ACT_FEATURE_CTE = "act_feat AS (SELECT u.user_id, " + ", ".join(
+    f"COALESCE(g.{c}, 0) AS {c}" for c, _ in ACTIVITY_FEATURES
+) + " FROM users u LEFT JOIN gen_f g ON u.user_id = g.user_id)"
+
+
+def activity_features() -> str:
+    return with_fixtures(*GEN_CTES, ACT_FEATURE_CTE) + "SELECT a.user_id, " + ", ".join(
+        plain("a", ACTIVITY_FEATURES)
+    ) + " FROM act_feat a"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "purchase_summary": purchase_summary(),
@@ -364,4 +477,6 @@ def oracle_sql() -> dict[str, str]:
         "failure_attribution": failure_attribution(),
         "failure_by_code": failure_by_code(),
         "payments_features": payments_features(),
+        **{name: _act_query(cols) for name, cols in ACTIVITY_GROUPS.items()},
+        "activity_features": activity_features(),
     }
