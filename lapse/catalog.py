@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapse.plans import activity as act
+from lapse.plans import assemble
 from lapse.plans import onboarding, payments as pay, properties as props
 from lapse.plans import purchases as purch
 from lapse.sources.fixtures import load_inputs
@@ -87,4 +88,15 @@ QUERIES: dict[str, Query] = {
     "payments_features": _q(lambda i: pay.payment_features(i.tx, i.purchases, i.users)),
     **{name: _act(cols) for name, cols in ACTIVITY_GROUPS.items()},
     "activity_features": _q(lambda i: act.activity_features(i.generations, i.users)),
+    "user_features": _q(assemble.user_features),
+    "interactions": _q(
+        lambda i: assemble.add_interactions(assemble.merge_features(i.users, assemble.build_blocks(i))).select(
+            "user_id", *assemble.INTERACTIONS
+        )
+    ),
+    "clip_log": _q(
+        lambda i: assemble.user_features(i).select(
+            "user_id", *assemble.CLIP_RULES, *[f"{c}_log" for c in assemble.LOG_COLUMNS]
+        )
+    ),
 }

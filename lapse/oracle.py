@@ -457,6 +457,100 @@ def activity_features() -> str:
     ) + " FROM act_feat a"
 
 
+# ---------------------------------------------------------------- assembly
+
+PURCH_FEAT_CTE = "purch_feat AS (SELECT u.user_id, " + ", ".join(
+    f"COALESCE(p.{n}, 0) AS {n}" for n, _ in PURCHASE_FEATURES
+) + " FROM users u LEFT JOIN purch_agg p ON u.user_id = p.user_id)"
+
+PROPS_FEATURES = [
+    ("subscription_plan", "str"), ("country_code", "str"), ("country_freq", "dbl"), ("sub_month", "int"),
+    ("sub_day_of_week", "int"), ("sub_hour", "int"), ("sub_date_rank", "dbl"),
+]
+QUIZ_FEATURES = [
+    ("quiz_source", "str"), ("quiz_team_size", "dbl"), ("quiz_experience", "str"), ("quiz_usage_plan", "str"),
+    ("quiz_frustration", "str"), ("quiz_first_feature", "str"), ("quiz_role", "str"), ("has_quiz_data", "int"),
+]
+INTERACTION_SQL = [
+    ("credits_x_failure_rate", "dbl", "gen_total_credits * tx_failure_rate"),
+    ("trend_x_recency", "dbl", "gen_trend * days_since_last_gen"),
+    ("spend_per_gen", "dbl", "total_spend / (gen_total + 1)"),
+    ("gen_total_x_purchases", "int", "gen_total * total_purchases"),
+    ("prepaid_x_failure", "dbl", "tx_is_prepaid * tx_failure_rate"),
+    ("prepaid_x_cvc", "dbl", "tx_is_prepaid * (1 - tx_cvc_pass_rate)"),
+    ("payment_risk_score", "dbl", "(tx_is_prepaid + tx_is_virtual + (1 - tx_cvc_pass_rate) + tx_failure_rate) / 4"),
+    ("burst_x_short_life", "int", "burst_flag * is_short_life"),
+    ("high_usage_short_life", "int", "gen_total * is_short_life"),
+    ("credits_per_active_day", "dbl", "gen_total_credits / (gen_active_days + 1)"),
+    ("abrupt_decline", "dbl", "day01_ratio * (1 - completion_rate)"),
+    ("sustained_engagement", "dbl", "gen_active_days * completion_rate"),
+    ("exploration_score", "int", "gen_unique_types * gen_active_days"),
+    ("purchase_engagement", "int", "has_purchases * gen_active_days"),
+]
+CLIP_SQL = {
+    "gen_trend": (-5, 10), "credits_trend": (-5, 10), "gen_total_credits": (0, 500000),
+    "gen_avg_credits": (0, 10000), "total_spend": (0, 500), "tx_avg_amount": (0, 500),
+    "tx_max_amount": (0, 500), "gen_total": (0, 500), "gen_intensity": (0, 100),
+}
+LOG_SQL = (
+    "gen_total", "gen_total_credits", "gen_completed", "gen_failed", "total_spend",
+    "tx_success_count", "tx_fail_count_weighted", "gen_video_count", "gen_image_count",
+    "credits_week1", "credits_week2", "gen_week1_count", "gen_week2_count",
+)
+
+USER_FEATURES = [
+    *PROPS_FEATURES, *PURCHASE_FEATURES, *PAYMENT_FEATURES, *ACTIVITY_FEATURES, *QUIZ_FEATURES,
+    *[(n, k) for n, k, _ in INTERACTION_SQL], *[(f"{c}_log", "dbl") for c in LOG_SQL],
+]
+
+ASSEMBLY_CTES = (
+    "merged AS (SELECT u.user_id, u.churn_status, u.split, "
+    + ", ".join(
+        [f"pf.{n}" for n, _ in PROPS_FEATURES]
+        + [f"pu.{n}" for n, _ in PURCHASE_FEATURES]
+        + [f"pa.{n}" for n, _ in PAYMENT_FEATURES]
+        + [f"ac.{n}" for n, _ in ACTIVITY_FEATURES]
+        + [f"qf.{n}" for n, _ in QUIZ_FEATURES]
+    )
+    + """ FROM users u
+LEFT JOIN props_feat pf ON u.user_id = pf.user_id
+LEFT JOIN purch_feat pu ON u.user_id = pu.user_id
+LEFT JOIN pay_feat pa ON u.user_id = pa.user_id
+LEFT JOIN act_feat ac ON u.user_id = ac.user_id
+LEFT JOIN quiz_feat qf ON u.user_id = qf.user_id)""",
+    "inter AS (SELECT *, " + ", ".join(f"{e} AS {n}" for n, _, e in INTERACTION_SQL) + " FROM merged)",
+    "clipped AS (SELECT * REPLACE ("
+    + ", ".join(
+        f"CASE WHEN {c} IS NULL THEN NULL ELSE LEAST(GREATEST({c}, {lo}), {hi}) END AS {c}"
+        for c, (lo, hi) in CLIP_SQL.items()
+    )
+    + ") FROM inter)",
+    "uf AS (SELECT *, " + ", ".join(f"LN(1 + GREATEST({c}, 0)) AS {c}_log" for c in LOG_SQL) + " FROM clipped)",
+)
+
+ALL_FEATURE_CTES = (
+    PROPS_SPLIT_CTE, FREQ_CTE, PROPS_FEATURE_CTE, PURCHASE_FEATURE_CTE, PURCH_FEAT_CTE,
+    *PAY_CTES, *MODE_CTES, *ATTRIB_CTES, PAY_FEATURE_CTE, *GEN_CTES, ACT_FEATURE_CTE, QUIZ_FEATURE_CTE,
+    *ASSEMBLY_CTES,
+)
+
+
+def user_features() -> str:
+    return with_fixtures(*ALL_FEATURE_CTES) + (
+        "SELECT f.user_id, f.churn_status, f.split, " + ", ".join(plain("f", USER_FEATURES)) + " FROM uf f"
+    )
+
+
+def interactions() -> str:
+    cols = [(n, k) for n, k, _ in INTERACTION_SQL]
+    return with_fixtures(*ALL_FEATURE_CTES) + "SELECT f.user_id, " + ", ".join(plain("f", cols)) + " FROM inter f"
+
+
+def clip_log() -> str:
+    cols = [(c, dict(USER_FEATURES)[c]) for c in CLIP_SQL] + [(f"{c}_log", "dbl") for c in LOG_SQL]
+    return with_fixtures(*ALL_FEATURE_CTES) + "SELECT f.user_id, " + ", ".join(plain("f", cols)) + " FROM uf f"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "purchase_summary": purchase_summary(),
@@ -479,4 +573,7 @@ def oracle_sql() -> dict[str, str]:
         "payments_features": payments_features(),
         **{name: _act_query(cols) for name, cols in ACTIVITY_GROUPS.items()},
         "activity_features": activity_features(),
+        "user_features": user_features(),
+        "interactions": interactions(),
+        "clip_log": clip_log(),
     }
