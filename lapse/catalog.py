@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapse.plans import activity as act
-from lapse.plans import assemble
+from lapse.plans import assemble, encode, model, report
 from lapse.plans import onboarding, payments as pay, properties as props
 from lapse.plans import purchases as purch
-from lapse.sources.fixtures import load_inputs
+from lapse.sources.staging import staged_inputs
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(fn(load_inputs(spark, sf_dir)))
+        return rounded(fn(staged_inputs(spark, sf_dir)))
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -65,6 +65,56 @@ def _act(cols: list[str]) -> Query:
     return _q(lambda i: act.activity_table(i.generations, i.users).select("user_id", *cols))
 
 
+def _cat_frame(i) -> DataFrame:
+    """Users with the categorical model inputs (country, card, quiz answers)."""
+    blocks = [
+        props.properties_features(i.props, i.users).select("user_id", "country_code"),
+        pay.payment_features(i.tx, i.purchases, i.users).select("user_id", "tx_card_brand", "tx_card_funding"),
+        onboarding.quiz_features(i.quizzes, i.users),
+    ]
+    return assemble.merge_features(i.users, blocks)
+
+
+def _country_frame(i) -> DataFrame:
+    country = props.properties_features(i.props, i.users).select("user_id", "country_code")
+    return encode.clean_categoricals(i.users.join(country, "user_id", "left"))
+
+
+def _te(i) -> DataFrame:
+    frame = _country_frame(i)
+    return encode.target_encoding(encode.label_index(frame), frame.where(F.col("split") != "train"))
+
+
+def _prior(i) -> DataFrame:
+    """Country-prior baseline scores, decided, with the train targets."""
+    frame = _country_frame(i)
+    lab = encode.label_index(frame)
+    te = encode.target_encoding(lab, frame.where(F.col("split") != "train"))
+    decided = report.decide(report.prior_scores(te))
+    return decided.join(lab.select("user_id", "target"), "user_id", "left")
+
+
+def _prior_train(i) -> DataFrame:
+    return _prior(i).where(F.col("split") == "train")
+
+
+def _prior_test(i) -> DataFrame:
+    return _prior(i).where(F.col("split") != "train")
+
+
+def _cluster_sizes(i) -> DataFrame:
+    feats = assemble.user_features(i)
+    return model.cluster_sizes(feats, model.cluster_ids(feats))
+
+
+def _forest(i) -> tuple[DataFrame, DataFrame]:
+    feats = assemble.user_features(i)
+    clusters = model.cluster_ids(feats)
+    frame = encode.model_frame(feats, clusters)
+    folds = encode.stratified_folds(encode.label_index(i.users))
+    return model.forest_cv(frame, folds)
+
+
 QUERIES: dict[str, Query] = {
     "purchase_summary": _q(lambda i: purch.purchase_summary(i.purchases)),
     "purchase_type_counts": _q(lambda i: purch.purchase_type_counts(i.purchases)),
@@ -94,6 +144,23 @@ QUERIES: dict[str, Query] = {
             "user_id", *assemble.INTERACTIONS
         )
     ),
+    "label_index": _q(lambda i: encode.label_index(i.users).select("user_id", "churn_status", "target")),
+    "category_codes": _q(
+        lambda i: encode.category_codes(_cat_frame(i)).select("user_id", "split", *encode.CAT_FEATURES)
+    ),
+    "target_encoding": _q(_te),
+    "stratified_folds": _q(lambda i: encode.stratified_folds(encode.label_index(i.users))),
+    "class_balance": _q(lambda i: encode.class_balance(encode.label_index(i.users))),
+    "confusion_matrix": _q(lambda i: report.confusion_matrix(_prior_train(i))),
+    "classification_report": _q(lambda i: report.classification_report(_prior_train(i))),
+    "macro_f1": _q(lambda i: report.macro_f1(_prior_train(i))),
+    "prediction_distribution": _q(lambda i: report.prediction_distribution(_prior_test(i))),
+    "mean_probabilities": _q(lambda i: report.mean_probabilities(_prior_test(i))),
+    "churn_share": _q(lambda i: report.churn_share(_prior_test(i))),
+    "top_confident_users": _q(lambda i: report.top_confident(_prior_test(i))),
+    "cluster_sizes": _q(lambda i: _cluster_sizes(i)),
+    "oof_predictions": _q(lambda i: report.decide(_forest(i)[0])),
+    "test_predictions": _q(lambda i: report.submission_detailed(report.decide(_forest(i)[1]))),
     "clip_log": _q(
         lambda i: assemble.user_features(i).select(
             "user_id", *assemble.CLIP_RULES, *[f"{c}_log" for c in assemble.LOG_COLUMNS]

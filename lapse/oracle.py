@@ -551,6 +551,171 @@ def clip_log() -> str:
     return with_fixtures(*ALL_FEATURE_CTES) + "SELECT f.user_id, " + ", ".join(plain("f", cols)) + " FROM uf f"
 
 
+# ---------------------------------------------------------------- encodings
+
+CAT_FEATURES = (
+    "country_code", "tx_card_brand", "tx_card_funding", "quiz_source", "quiz_experience",
+    "quiz_frustration", "quiz_first_feature", "quiz_role", "quiz_usage_plan",
+)
+SEED = 42
+
+ENC_CTES = (
+    "enc_base AS (SELECT user_id, split, churn_status, "
+    + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), 'missing') AS {c}" for c in CAT_FEATURES)
+    + " FROM uf)",
+    "lbl AS (SELECT user_id, churn_status, country_code, "
+    "CAST(DENSE_RANK() OVER (ORDER BY churn_status) - 1 AS INTEGER) AS target FROM enc_base WHERE split = 'train')",
+)
+
+
+def _hash_fold(id_expr: str, k_expr: str) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({id_expr} AS VARCHAR) || ':{SEED}'), 1, 8))::BIGINT % ({k_expr}) AS INTEGER)"
+
+
+TE_CTES = (
+    "te_tr AS (SELECT l.user_id, l.country_code, l.target, "
+    + _hash_fold("l.user_id", "GREATEST(2, LEAST(5, (SELECT COUNT(*) FROM lbl)))")
+    + " AS fold FROM lbl l)",
+)
+
+
+def _te_train(k: int) -> str:
+    y = f"CASE WHEN t.target = {k} THEN 1.0 ELSE 0.0 END"
+    return (
+        f"COALESCE((SELECT AVG({y}) FROM te_tr t WHERE t.country_code = r.country_code AND t.fold <> r.fold), "
+        f"(SELECT AVG({y}) FROM te_tr t WHERE t.fold <> r.fold))"
+    )
+
+
+def _te_test(k: int) -> str:
+    y = f"CASE WHEN t.target = {k} THEN 1.0 ELSE 0.0 END"
+    return (
+        f"COALESCE((SELECT AVG({y}) FROM te_tr t WHERE t.country_code = e.country_code), "
+        f"(SELECT AVG({y}) FROM te_tr t))"
+    )
+
+
+def label_index() -> str:
+    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES) + "SELECT user_id, churn_status, target FROM lbl"
+
+
+def category_codes() -> str:
+    dicts = [
+        f"d_{c} AS (SELECT v, CAST(ROW_NUMBER() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
+        f"FROM (SELECT DISTINCT {c} AS v FROM enc_base WHERE split = 'train') x)"
+        for c in CAT_FEATURES
+    ]
+    sel = ", ".join(f"COALESCE(d_{c}.code, 0) AS {c}" for c in CAT_FEATURES)
+    joins = " ".join(f"LEFT JOIN d_{c} ON e.{c} = d_{c}.v" for c in CAT_FEATURES)
+    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES, *dicts) + f"SELECT e.user_id, e.split, {sel} FROM enc_base e {joins}"
+
+
+TE_SELECT_TRAIN = ", ".join(rnd(_te_train(k), f"country_code_te_cls{k}") for k in range(3))
+TE_SELECT_TEST = ", ".join(rnd(_te_test(k), f"country_code_te_cls{k}") for k in range(3))
+
+
+def target_encoding() -> str:
+    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES, *TE_CTES) + f"""
+SELECT r.user_id, 'train' AS split, r.country_code, {TE_SELECT_TRAIN} FROM te_tr r
+UNION ALL
+SELECT e.user_id, e.split, e.country_code, {TE_SELECT_TEST} FROM enc_base e WHERE e.split <> 'train'"""
+
+
+N_FOLDS_SQL = "(SELECT LEAST(3, MIN(n)) FROM (SELECT COUNT(*) AS n FROM lbl GROUP BY target) c)"
+
+
+def stratified_folds() -> str:
+    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES) + f"""
+SELECT user_id, target,
+  CAST((ROW_NUMBER() OVER (PARTITION BY target ORDER BY md5(CAST(user_id AS VARCHAR) || ':{SEED}'), user_id) - 1)
+       % {N_FOLDS_SQL} AS INTEGER) AS fold
+FROM lbl"""
+
+
+def class_balance() -> str:
+    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES) + """
+SELECT churn_status, target, COUNT(*) AS n_users, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS share,
+  CAST(LEAST(3, MIN(COUNT(*)) OVER ()) AS INTEGER) AS n_folds
+FROM lbl GROUP BY churn_status, target"""
+
+
+# ---------------------------------------------------------------- reports over the country-prior scores
+
+TE_ALL_CTE = (
+    "te_all AS (SELECT r.user_id, 'train' AS split, "
+    + ", ".join(f"{_te_train(k)} AS p{k}" for k in range(3))
+    + " FROM te_tr r UNION ALL SELECT e.user_id, e.split, "
+    + ", ".join(f"{_te_test(k)} AS p{k}" for k in range(3))
+    + " FROM enc_base e WHERE e.split <> 'train')"
+)
+DECIDED_CTE = """decided AS (
+SELECT t.user_id, t.split, l.target, t.p0 AS prob_invol_churn, t.p1 AS prob_not_churned, t.p2 AS prob_vol_churn,
+  CAST(CASE WHEN t.p0 >= t.p1 AND t.p0 >= t.p2 THEN 0 WHEN t.p1 >= t.p2 THEN 1 ELSE 2 END AS INTEGER) AS prediction,
+  CASE WHEN t.p0 >= t.p1 AND t.p0 >= t.p2 THEN 'invol_churn' WHEN t.p1 >= t.p2 THEN 'not_churned' ELSE 'vol_churn' END AS predicted_class,
+  GREATEST(t.p0, t.p1, t.p2) AS confidence
+FROM te_all t LEFT JOIN lbl l ON t.user_id = l.user_id)"""
+CLASS_REPORT_CTE = """cls AS (
+SELECT COALESCE(a.class_id, b.class_id) AS class_id, COALESCE(a.support, 0) AS support, COALESCE(a.tp, 0) AS tp, COALESCE(b.np, 0) AS np
+FROM (SELECT target AS class_id, COUNT(*) AS support, COUNT(*) FILTER (WHERE prediction = target) AS tp
+      FROM decided WHERE split = 'train' GROUP BY target) a
+FULL OUTER JOIN (SELECT prediction AS class_id, COUNT(*) AS np FROM decided WHERE split = 'train' GROUP BY prediction) b
+ON a.class_id = b.class_id),
+cls2 AS (
+SELECT class_id, CASE class_id WHEN 0 THEN 'invol_churn' WHEN 1 THEN 'not_churned' WHEN 2 THEN 'vol_churn' END AS class_name,
+  CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS precision,
+  CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, support
+FROM cls),
+cls3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM cls2)"""
+
+REPORT_CTES = (*ALL_FEATURE_CTES, *ENC_CTES, *TE_CTES, TE_ALL_CTE, DECIDED_CTE, CLASS_REPORT_CTE)
+
+
+def confusion_matrix() -> str:
+    return with_fixtures(*REPORT_CTES) + (
+        "SELECT target, prediction, COUNT(*) AS n_users FROM decided WHERE split = 'train' GROUP BY target, prediction"
+    )
+
+
+def classification_report() -> str:
+    return with_fixtures(*REPORT_CTES) + (
+        "SELECT class_id, class_name, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, support, "
+        "ROUND(f1, 6) AS f1 FROM cls3"
+    )
+
+
+def macro_f1() -> str:
+    return with_fixtures(*REPORT_CTES) + """
+SELECT ROUND((SELECT AVG(f1) FROM cls3), 6) AS macro_f1,
+  ROUND(AVG(CASE WHEN prediction = target THEN 1.0 ELSE 0.0 END), 6) AS accuracy, COUNT(*) AS n_users
+FROM decided WHERE split = 'train'"""
+
+
+def prediction_distribution() -> str:
+    return with_fixtures(*REPORT_CTES) + """
+SELECT predicted_class, COUNT(*) AS n_users, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS share
+FROM decided WHERE split <> 'train' GROUP BY predicted_class"""
+
+
+def mean_probabilities() -> str:
+    return with_fixtures(*REPORT_CTES) + (
+        "SELECT " + ", ".join(rnd(f"AVG(prob_{c})", f"prob_{c}") for c in ("invol_churn", "not_churned", "vol_churn"))
+        + " FROM decided WHERE split <> 'train'"
+    )
+
+
+def churn_share() -> str:
+    return with_fixtures(*REPORT_CTES) + """
+SELECT COUNT(*) AS n_users, ROUND(AVG(CASE WHEN predicted_class <> 'not_churned' THEN 1.0 ELSE 0.0 END), 6) AS churn_share
+FROM decided WHERE split <> 'train'"""
+
+
+def top_confident_users() -> str:
+    return with_fixtures(*REPORT_CTES) + """
+SELECT user_id, predicted_class, ROUND(prob_invol_churn, 6) AS prob_invol_churn, ROUND(prob_not_churned, 6) AS prob_not_churned,
+  ROUND(prob_vol_churn, 6) AS prob_vol_churn, ROUND(confidence, 6) AS confidence
+FROM decided WHERE split <> 'train' ORDER BY confidence DESC, user_id LIMIT 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "purchase_summary": purchase_summary(),
@@ -576,4 +741,16 @@ def oracle_sql() -> dict[str, str]:
         "user_features": user_features(),
         "interactions": interactions(),
         "clip_log": clip_log(),
+        "label_index": label_index(),
+        "category_codes": category_codes(),
+        "target_encoding": target_encoding(),
+        "stratified_folds": stratified_folds(),
+        "class_balance": class_balance(),
+        "confusion_matrix": confusion_matrix(),
+        "classification_report": classification_report(),
+        "macro_f1": macro_f1(),
+        "prediction_distribution": prediction_distribution(),
+        "mean_probabilities": mean_probabilities(),
+        "churn_share": churn_share(),
+        "top_confident_users": top_confident_users(),
     }

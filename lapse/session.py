@@ -77,7 +77,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """Base of the shared folder named by ``spark.checkpoint.dir``.
+
+    ``checkpoint_dir`` returns the per-application subfolder Spark creates
+    under it; tables meant to outlive one application go to the base.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    return checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/lapse-tables/{name}-{os.getpid()}"
+    """A path for an intermediate table under the shared folder."""
+    return f"{shared_dir(spark)}/lapse-tables/{name}-{os.getpid()}"

@@ -1,0 +1,63 @@
+"""Land the six input views once as parquet in the shared folder.
+
+The views are joins over the driver tables (attempts = orders x customer x
+nation, properties = customer x nation x first order, ...). Re-deriving
+them inside every feature plan multiplies scans and shuffles; landing them
+once -- as an ingestion job would land raw exports -- gives every later
+query plain parquet scans with column pruning and filter pushdown, and cuts
+the lineage a lost executor would have to replay.
+
+The landing folder is keyed by the source files' names, sizes and
+modification times, so changed inputs are landed again. A table counts as
+landed only when its ``_SUCCESS`` marker exists.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import SparkSession
+
+from lapse.session import shared_dir
+from lapse.sources.fixtures import ChurnInputs, load_inputs
+
+VIEWS = ("users", "props", "purchases", "tx", "generations", "quizzes")
+# Tables the views read.
+SOURCES = ("customer", "nation", "orders", "events")
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def source_signature(spark: SparkSession, sf_dir: str) -> str:
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
+    for name in SOURCES:
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        fs, p = _fs(spark, path)
+        if not fs.exists(p):
+            h.update(f"{name}:missing".encode())
+            continue
+        for st in sorted(fs.listStatus(p), key=lambda s: s.getPath().toString()):
+            h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+    return h.hexdigest()[:16]
+
+
+def staged_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) -> ChurnInputs:
+    """The six inputs read from landed parquet (landing them first if needed)."""
+    base = f"{(root or shared_dir(spark)).rstrip('/')}/lapse-inputs/{source_signature(spark, sf_dir)}"
+    views = load_inputs(spark, sf_dir)
+    out = {}
+    for name in VIEWS:
+        path = f"{base}/{name}"
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            getattr(views, name).write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    return ChurnInputs(**out)
