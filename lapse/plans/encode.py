@@ -111,7 +111,7 @@ def target_encoding(
         ],
     )
     full = tr.groupBy(col).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(y).alias(f"_s{k}") for k, y in enumerate(ys)])
-    glob = tr.agg(F.count(F.lit(1)).alias("_N"), *[F.sum(y).alias(f"_S{k}") for k, y in enumerate(ys)])
+    glob = tr.agg(F.count(F.lit(1)).alias("_g_n"), *[F.sum(y).alias(f"_g_s{k}") for k, y in enumerate(ys)])
     test_enc = (
         test.select("user_id", "split", col)
         .join(full, col, "left")
@@ -119,7 +119,7 @@ def target_encoding(
         .select(
             "user_id", "split", col,
             *[
-                F.coalesce(F.col(f"_s{k}") / F.col("_n"), F.col(f"_S{k}") / F.col("_N")).alias(f"{col}_te_cls{k}")
+                F.coalesce(F.col(f"_s{k}") / F.col("_n"), F.col(f"_g_s{k}") / F.col("_g_n")).alias(f"{col}_te_cls{k}")
                 for k in range(n_classes)
             ],
         )
