@@ -52,7 +52,8 @@ def source_signature(spark: SparkSession, sf_dir: str) -> str:
 
 def staged_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) -> ChurnInputs:
     """The six inputs read from landed parquet (landing them first if needed)."""
-    base = f"{(root or shared_dir(spark)).rstrip('/')}/lapse-inputs/{source_signature(spark, sf_dir)}"
+    root = root or spark.conf.get("spark.lapse.staging.dir", None) or shared_dir(spark)
+    base = f"{root.rstrip('/')}/lapse-inputs/{source_signature(spark, sf_dir)}"
     views = load_inputs(spark, sf_dir)
     out = {}
     for name in VIEWS:
