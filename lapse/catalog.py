@@ -140,7 +140,7 @@ QUERIES: dict[str, Query] = {
     "activity_features": _q(lambda i: act.activity_features(i.generations, i.users)),
     "user_features": _q(assemble.user_features),
     "interactions": _q(
-        lambda i: assemble.add_interactions(assemble.merge_features(i.users, assemble.build_blocks(i))).select(
+        lambda i: assemble.add_interactions(assemble.merged_features(i)).select(
             "user_id", *assemble.INTERACTIONS
         )
     ),

@@ -7,18 +7,17 @@ from pyspark.sql import functions as F
 
 
 def require_unique(df: DataFrame, key: str, what: str = "table") -> DataFrame:
-    """One row per ``key`` or the job fails with an error naming the key.
+    """``df`` unchanged (null keys dropped), or the job fails naming a duplicated key.
 
     A left join with a duplicated key would silently multiply user rows.
-    The check rides on the shuffle by ``key`` that the following spine join
-    needs anyway; rows with a null key are dropped (they can never join).
+    Only the key column is aggregated (hash aggregation with map-side
+    combine); the duplicate set is normally empty, so the guard join is a
+    broadcast of nothing and ``df`` is never shuffled or sorted for it.
     """
-    others = [c for c in df.columns if c != key]
-    grouped = df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in others]
-    )
+    keyed = df.where(F.col(key).isNotNull())
+    dups = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_dup_rows")).where(F.col("_dup_rows") > 1)
     guard = F.when(
-        F.col("_rows") > 1,
+        F.col("_dup_rows").isNotNull(),
         F.raise_error(F.concat(F.lit(f"duplicate {key} in {what}: "), F.col(key).cast("string"))),
     )
-    return grouped.where(guard.isNull()).select(key, *others)
+    return keyed.join(dups, key, "left").where(guard.isNull()).drop("_dup_rows")

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.numeric import clip, log1p_pos, smooth_ratio
-from lapse.plans.activity import activity_features
-from lapse.plans.onboarding import quiz_features
-from lapse.plans.payments import payment_features
-from lapse.plans.properties import properties_features
-from lapse.plans.purchases import purchase_features
+from lapse.plans.activity import ACTIVITY_COLUMNS, activity_table
+from lapse.plans.onboarding import QUIZ_COLUMNS, quiz_fills, quiz_table
+from lapse.plans.payments import PAYMENT_COLUMNS, classify_attempts, failure_table, payment_fills, risk_table
+from lapse.plans.properties import PROPERTY_COLUMNS, properties_features
+from lapse.plans.purchases import purchase_columns, purchase_table
 from lapse.sources.fixtures import ChurnInputs
 
 # Interaction terms, computed before clipping.
@@ -78,22 +78,39 @@ def clip_and_log(df: DataFrame) -> DataFrame:
     return clipped.withColumns({f"{c}_log": log1p_pos(c) for c in LOG_COLUMNS if c in df.columns})
 
 
-def build_blocks(inputs: ChurnInputs) -> list[DataFrame]:
+def build_tables(inputs: ChurnInputs) -> list[DataFrame]:
+    """The per-user aggregate tables (only users with data in each)."""
     i = inputs
+    attempts = classify_attempts(i.tx, i.purchases, i.users)
     return [
         properties_features(i.props, i.users),
-        purchase_features(i.purchases, i.users),
-        payment_features(i.tx, i.purchases, i.users),
-        activity_features(i.generations, i.users),
-        quiz_features(i.quizzes, i.users),
+        purchase_table(i.purchases),
+        risk_table(attempts),
+        failure_table(attempts),
+        activity_table(i.generations, i.users),
+        quiz_table(i.quizzes),
     ]
 
 
+def feature_fills() -> dict[str, F.Column]:
+    """Gap filling of every block after the spine join, as one projection."""
+    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in [*purchase_columns(), *ACTIVITY_COLUMNS]}
+    return {**{c: F.col(c) for c in PROPERTY_COLUMNS}, **zero, **payment_fills(), **quiz_fills()}
+
+
+def merged_features(inputs: ChurnInputs) -> DataFrame:
+    """users + every block: one spine, one chain of left joins on user_id,
+    then all gap fills in a single projection."""
+    merged = merge_features(inputs.users, build_tables(inputs))
+    fills = feature_fills()
+    order = [*PROPERTY_COLUMNS, *purchase_columns(), *PAYMENT_COLUMNS, *ACTIVITY_COLUMNS, *QUIZ_COLUMNS]
+    return merged.select(*inputs.users.columns, *[fills[c].alias(c) for c in order])
+
+
 def user_features(inputs: ChurnInputs) -> DataFrame:
     """The full per-user feature table: users columns, 5 blocks, 14 interactions,
     clipping, 13 log terms (125 columns besides user_id, churn_status, split)."""
-    merged = merge_features(inputs.users, build_blocks(inputs))
-    return clip_and_log(add_interactions(merged))
+    return clip_and_log(add_interactions(merged_features(inputs)))
 
 
 def align_columns(a: DataFrame, b: DataFrame, keep_out: tuple[str, ...] = ("churn_status", "target")) -> tuple[DataFrame, DataFrame]:

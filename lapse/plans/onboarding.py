@@ -19,21 +19,28 @@ QUIZ_COLUMNS = (
 )
 
 
-def quiz_features(quizzes: DataFrame, users: DataFrame) -> DataFrame:
-    """Answers on the user spine: text null -> 'missing', team size parsed (bad -> 0),
-    ``has_quiz_data`` = any of five answers present."""
+def quiz_table(quizzes: DataFrame) -> DataFrame:
+    """One row per user with a quiz: renamed answers, parsed team size and
+    ``has_quiz_data`` = any of five answers present. Duplicate rows fail."""
     q = require_unique(quizzes.select("user_id", "source", "team_size", *QUIZ_TEXT[1:]), "user_id", "quizzes")
-    q = q.select(
+    return q.select(
         "user_id",
         *[F.col(c).alias(f"quiz_{c}") for c in QUIZ_TEXT],
         to_number("team_size").alias("quiz_team_size"),
         F.coalesce(*[F.col(c) for c in QUIZ_PRESENCE]).isNotNull().cast("int").alias("has_quiz_data"),
     )
-    out = users.select("user_id").join(q, "user_id", "left")
-    return out.select(
-        "user_id",
-        F.coalesce("quiz_source", F.lit(MISSING)).alias("quiz_source"),
-        F.coalesce("quiz_team_size", F.lit(0.0)).alias("quiz_team_size"),
-        *[F.coalesce(f"quiz_{c}", F.lit(MISSING)).alias(f"quiz_{c}") for c in QUIZ_TEXT[1:]],
-        F.coalesce("has_quiz_data", F.lit(0)).alias("has_quiz_data"),
-    )
+
+
+def quiz_fills() -> dict[str, F.Column]:
+    out = {f"quiz_{c}": F.coalesce(F.col(f"quiz_{c}"), F.lit(MISSING)) for c in QUIZ_TEXT}
+    out["quiz_team_size"] = F.coalesce(F.col("quiz_team_size"), F.lit(0.0))
+    out["has_quiz_data"] = F.coalesce(F.col("has_quiz_data"), F.lit(0))
+    return out
+
+
+def quiz_features(quizzes: DataFrame, users: DataFrame) -> DataFrame:
+    """Answers on the user spine: text null -> 'missing', team size parsed (bad -> 0),
+    ``has_quiz_data`` = any of five answers present."""
+    out = users.select("user_id").join(quiz_table(quizzes), "user_id", "left")
+    fills = quiz_fills()
+    return out.select("user_id", *[fills[c].alias(c) for c in QUIZ_COLUMNS])

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from lapse.functions.text import fingerprint
 from lapse.operators.attribution import attribute_failures, fingerprint_users, users_per_fingerprint
 from lapse.operators.mode import mode_or
-from lapse.operators.spine import attach
 from lapse.plans.properties import with_split
 
 # Card attributes forming the fingerprint, in this order.
@@ -119,20 +118,33 @@ def failure_attribution(success: DataFrame, failed: DataFrame) -> DataFrame:
     return attribute_failures(with_fingerprint(success), with_fingerprint(failed), KEYS, FAILURE_CODES)
 
 
+def risk_table(attempts: DataFrame) -> DataFrame:
+    """Card-risk aggregates per user over the successful attempts."""
+    success = attempts.where("is_success")
+    return success.groupBy("user_id").agg(*_risk_aggs(), _mismatch_agg(), *_mode_aggs())
+
+
+def failure_table(attempts: DataFrame) -> DataFrame:
+    """Attributed failures per user (users with a matched failure only)."""
+    return failure_attribution(attempts.where("is_success"), attempts.where(~F.col("is_success")))
+
+
+def payment_fills() -> dict[str, F.Column]:
+    """Gap filling after the spine join, plus the failure rate on filled values."""
+    out = {c: F.coalesce(F.col(c), F.lit(0)) for c in PAYMENT_COLUMNS if c not in ("tx_card_brand", "tx_card_funding", "tx_failure_rate")}
+    out["tx_card_brand"] = F.coalesce(F.col("tx_card_brand"), F.lit(UNKNOWN))
+    out["tx_card_funding"] = F.coalesce(F.col("tx_card_funding"), F.lit(UNKNOWN))
+    w = F.coalesce(F.col("tx_fail_count_weighted"), F.lit(0.0))
+    s = F.coalesce(F.col("tx_success_count"), F.lit(0))
+    out["tx_failure_rate"] = w / (w + s + F.lit(1e-6))
+    return out
+
+
 def payment_features(tx: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
     """All 20 payment features on the user spine."""
     attempts = classify_attempts(tx, purchases, users)
-    success = attempts.where("is_success")
-    failed = attempts.where(~F.col("is_success"))
-    risk = success.groupBy("user_id").agg(*_risk_aggs(), _mismatch_agg(), *_mode_aggs())
-    fails = failure_attribution(success, failed)
-    out = attach(attach(users.select("user_id"), risk), fails)
-    out = out.withColumns(
-        {
-            "tx_card_brand": F.coalesce("tx_card_brand", F.lit(UNKNOWN)),
-            "tx_card_funding": F.coalesce("tx_card_funding", F.lit(UNKNOWN)),
-            "tx_failure_rate": F.col("tx_fail_count_weighted")
-            / (F.col("tx_fail_count_weighted") + F.col("tx_success_count") + F.lit(1e-6)),
-        }
+    out = users.select("user_id").join(risk_table(attempts), "user_id", "left").join(
+        failure_table(attempts), "user_id", "left"
     )
-    return out.select("user_id", *PAYMENT_COLUMNS)
+    fills = payment_fills()
+    return out.select("user_id", *[fills[c].alias(c) for c in PAYMENT_COLUMNS])

@@ -55,6 +55,17 @@ def purchase_span(purchases: DataFrame) -> DataFrame:
     return purchases.groupBy("user_id").agg(_span_agg())
 
 
+def purchase_table(purchases: DataFrame, types: tuple[str, ...] = PURCHASE_TYPES) -> DataFrame:
+    """All purchase aggregates in one aggregation, for users with purchases."""
+    return purchases.groupBy("user_id").agg(
+        *_summary_aggs(), *_type_aggs(types), _span_agg(), F.lit(1).alias("has_purchases")
+    )
+
+
+def purchase_columns(types: tuple[str, ...] = PURCHASE_TYPES) -> list[str]:
+    return [*SUMMARY_COLUMNS, *[f"ptype_{t}" for t in types], "days_between_first_last", "has_purchases"]
+
+
 def purchase_features(
     purchases: DataFrame, users: DataFrame, types: tuple[str, ...] = PURCHASE_TYPES
 ) -> DataFrame:
@@ -63,7 +74,4 @@ def purchase_features(
     ``has_purchases`` marks users that appear in the purchases at all; every
     numeric gap becomes 0.
     """
-    agg = purchases.groupBy("user_id").agg(
-        *_summary_aggs(), *_type_aggs(types), _span_agg(), F.lit(1).alias("has_purchases")
-    )
-    return attach(users.select("user_id"), agg)
+    return attach(users.select("user_id"), purchase_table(purchases, types))
