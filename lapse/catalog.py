@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapse.plans import activity as act
-from lapse.plans import assemble, encode, model, report
+from lapse.plans import assemble, encode, model, quality, report
+from lapse.operators.spine import attach
+from lapse.sources.staging import staging_base
+from lapse.streaming.activity import activity_incremental
 from lapse.plans import onboarding, payments as pay, properties as props
 from lapse.plans import purchases as purch
 from lapse.sources.staging import staged_inputs
@@ -115,6 +118,14 @@ def _forest(i) -> tuple[DataFrame, DataFrame]:
     return model.forest_cv(frame, folds)
 
 
+def _activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity features through the incremental (streaming) path."""
+    i = staged_inputs(spark, sf_dir)
+    path = f"{staging_base(spark, sf_dir)}/generations"
+    table = activity_incremental(spark, path, i.users, i.generations.schema)
+    return rounded(attach(i.users.select("user_id"), table))
+
+
 QUERIES: dict[str, Query] = {
     "purchase_summary": _q(lambda i: purch.purchase_summary(i.purchases)),
     "purchase_type_counts": _q(lambda i: purch.purchase_type_counts(i.purchases)),
@@ -138,6 +149,9 @@ QUERIES: dict[str, Query] = {
     "payments_features": _q(lambda i: pay.payment_features(i.tx, i.purchases, i.users)),
     **{name: _act(cols) for name, cols in ACTIVITY_GROUPS.items()},
     "activity_features": _q(lambda i: act.activity_features(i.generations, i.users)),
+    "activity_features_incremental": _activity_stream,
+    "stage_report": _q(quality.stage_report),
+    "align_splits": _q(lambda i: purch.purchase_types_by_split(i.purchases, i.users)),
     "user_features": _q(assemble.user_features),
     "interactions": _q(
         lambda i: assemble.add_interactions(assemble.merged_features(i)).select(

@@ -716,6 +716,29 @@ SELECT user_id, predicted_class, ROUND(prob_invol_churn, 6) AS prob_invol_churn,
 FROM decided WHERE split <> 'train' ORDER BY confidence DESC, user_id LIMIT 10"""
 
 
+# ---------------------------------------------------------------- stage report, alignment
+
+def stage_report() -> str:
+    dt = _cal_parts("p.subscription_start_date")
+    return with_fixtures(PROPS_SPLIT_CTE, *GEN_CTES[:2]) + f"""
+SELECT s.split,
+  (SELECT COUNT(*) FROM users u WHERE u.split = s.split) AS n_users,
+  (SELECT COUNT(*) FROM pr p WHERE p.split = s.split) AS n_property_rows,
+  (SELECT COUNT(*) FROM purchases p JOIN users u ON p.user_id = u.user_id WHERE u.split = s.split) AS n_purchase_rows,
+  (SELECT COUNT(*) FROM tx t WHERE t.split = s.split) AS n_attempts,
+  (SELECT COUNT(*) FROM gen_e g WHERE g.split = s.split) AS n_generation_rows,
+  (SELECT COUNT(*) FROM quizzes q JOIN users u ON q.user_id = u.user_id WHERE u.split = s.split) AS n_quiz_rows,
+  (SELECT COUNT(*) FROM users u WHERE u.split = s.split AND NOT EXISTS (SELECT 1 FROM purchases p WHERE p.user_id = u.user_id)) AS n_users_without_purchases,
+  (SELECT COUNT(*) FROM gen_e g WHERE g.split = s.split AND g.day_num IS NULL) AS n_unparsed_event_times,
+  (SELECT COUNT(*) FROM pr p WHERE p.split = s.split AND {dt['month']} IS NULL) AS n_unparsed_start_dates
+FROM (SELECT DISTINCT split FROM users) s"""
+
+
+def align_splits() -> str:
+    return with_fixtures(PROPS_SPLIT_CTE) + "SELECT p.user_id, u.split,\n" + _PURCH_TYPES + """
+FROM purchases p JOIN users u ON p.user_id = u.user_id GROUP BY p.user_id, u.split"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "purchase_summary": purchase_summary(),
@@ -738,6 +761,9 @@ def oracle_sql() -> dict[str, str]:
         "payments_features": payments_features(),
         **{name: _act_query(cols) for name, cols in ACTIVITY_GROUPS.items()},
         "activity_features": activity_features(),
+        "activity_features_incremental": activity_features(),
+        "stage_report": stage_report(),
+        "align_splits": align_splits(),
         "user_features": user_features(),
         "interactions": interactions(),
         "clip_log": clip_log(),

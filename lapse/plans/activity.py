@@ -89,9 +89,23 @@ def _zsum(c) -> F.Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
+SLOT_SUMS = ("s_rows", "s_n", *[f"s_{s}" for s in STATUSES], "s_credits", "s_video", "s_image", "s_dur_sum", "s_dur_n")
+
+
+def merge_slots(partials: DataFrame) -> DataFrame:
+    """Combine slot partials computed over separate chunks of the events
+    (all slot values are sums or counts, so they merge by summing)."""
+    return partials.groupBy(*SLOT_KEYS).agg(*[F.sum(c).alias(c) for c in SLOT_SUMS])
+
+
 def activity_table(generations: DataFrame, users: DataFrame, calendar: bool = False) -> DataFrame:
     """All activity features for users with at least one event (one row each)."""
-    slots = activity_slots(generations, calendar).join(users.select("user_id", "split"), "user_id")
+    return activity_from_slots(activity_slots(generations, calendar), users)
+
+
+def activity_from_slots(slots: DataFrame, users: DataFrame) -> DataFrame:
+    """User-level activity features from (merged) slot partials."""
+    slots = slots.join(users.select("user_id", "split"), "user_id")
     slots = slots.withColumn("rel", F.col("day_num") - F.min("day_num").over(Window.partitionBy("user_id")))
     rel = F.col("rel")
     day_int = F.least(F.floor(rel), F.lit(N_DAYS - 1))

@@ -75,3 +75,28 @@ def purchase_features(
     numeric gap becomes 0.
     """
     return attach(users.select("user_id"), purchase_table(purchases, types))
+
+
+def purchase_types_by_split(purchases: DataFrame, users: DataFrame, splits: tuple[str, ...] = ("train", "test")) -> DataFrame:
+    """Type counts with the type columns discovered per split, then aligned.
+
+    Each split's pivot columns come from the types present in that split
+    (one small distinct per split, bounded by the type catalogue); the
+    splits are then given the same columns (absent ones 0) and stacked.
+    """
+    from lapse.plans.assemble import align_columns
+    from lapse.plans.properties import with_split
+
+    p = with_split(purchases, users)
+    frames = []
+    for split in splits:
+        part = p.where(F.col("split") == split)
+        found = part.select(column_suffix("purchase_type").alias("t")).where(F.col("t").isNotNull()).distinct()
+        types = tuple(sorted(r.t for r in found.collect()))
+        frames.append(purchase_type_counts(part, types).withColumn("split", F.lit(split)))
+    out = frames[0]
+    for other in frames[1:]:
+        out, other = align_columns(out, other)
+        out = out.unionByName(other)
+    cols = sorted(c for c in out.columns if c.startswith("ptype_"))
+    return out.select("user_id", "split", *cols)

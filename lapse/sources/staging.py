@@ -50,10 +50,14 @@ def source_signature(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
+def staging_base(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    root = root or spark.conf.get("spark.lapse.staging.dir", None) or shared_dir(spark)
+    return f"{root.rstrip('/')}/lapse-inputs/{source_signature(spark, sf_dir)}"
+
+
 def staged_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) -> ChurnInputs:
     """The six inputs read from landed parquet (landing them first if needed)."""
-    root = root or spark.conf.get("spark.lapse.staging.dir", None) or shared_dir(spark)
-    base = f"{root.rstrip('/')}/lapse-inputs/{source_signature(spark, sf_dir)}"
+    base = staging_base(spark, sf_dir, root)
     views = load_inputs(spark, sf_dir)
     out = {}
     for name in VIEWS:
