@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from lapse.plans import activity as act
 from lapse.plans import assemble, encode, model, quality, report
+from lapse.operators.keys import require_unique
 from lapse.operators.spine import attach
 from lapse.sources.staging import staging_base
 from lapse.streaming.activity import activity_incremental
@@ -68,19 +69,23 @@ def _act(cols: list[str]) -> Query:
     return _q(lambda i: act.activity_table(i.generations, i.users).select("user_id", *cols))
 
 
+def _countries(i) -> DataFrame:
+    return require_unique(i.props, "user_id", "properties").select("user_id", "country_code")
+
+
 def _cat_frame(i) -> DataFrame:
     """Users with the categorical model inputs (country, card, quiz answers)."""
-    blocks = [
-        props.properties_features(i.props, i.users).select("user_id", "country_code"),
-        pay.payment_features(i.tx, i.purchases, i.users).select("user_id", "tx_card_brand", "tx_card_funding"),
-        onboarding.quiz_features(i.quizzes, i.users),
-    ]
-    return assemble.merge_features(i.users, blocks)
+    attempts = pay.classify_attempts(i.tx, i.purchases, i.users)
+    cards = pay.risk_table(attempts).select("user_id", "tx_card_brand", "tx_card_funding")
+    blocks = [_countries(i), cards, onboarding.quiz_table(i.quizzes)]
+    fills = {**pay.payment_fills(), **onboarding.quiz_fills()}
+    merged = assemble.merge_features(i.users, blocks)
+    keep = ["tx_card_brand", "tx_card_funding", *onboarding.QUIZ_COLUMNS]
+    return merged.select(*i.users.columns, "country_code", *[fills[c].alias(c) for c in keep])
 
 
 def _country_frame(i) -> DataFrame:
-    country = props.properties_features(i.props, i.users).select("user_id", "country_code")
-    return encode.clean_categoricals(i.users.join(country, "user_id", "left"))
+    return encode.clean_categoricals(i.users.join(_countries(i), "user_id", "left"))
 
 
 def _te(i) -> DataFrame:

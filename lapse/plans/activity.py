@@ -30,6 +30,7 @@ from lapse.functions.numeric import safe_ratio, smooth_ratio, to_number
 from lapse.functions.text import contains_ci
 from lapse.functions.time import date_text, day_number, hour_of
 from lapse.operators.sequence import bits_array, first_quit_day, longest_run, window_sum
+from lapse.operators.materialize import land
 from lapse.operators.spine import attach
 
 # Statuses counted, horizon of the daily bits, window lengths.
@@ -98,9 +99,20 @@ def merge_slots(partials: DataFrame) -> DataFrame:
     return partials.groupBy(*SLOT_KEYS).agg(*[F.sum(c).alias(c) for c in SLOT_SUMS])
 
 
-def activity_table(generations: DataFrame, users: DataFrame, calendar: bool = False) -> DataFrame:
-    """All activity features for users with at least one event (one row each)."""
-    return activity_from_slots(activity_slots(generations, calendar), users)
+def activity_table(
+    generations: DataFrame, users: DataFrame, calendar: bool = False, materialize: bool = True
+) -> DataFrame:
+    """All activity features for users with at least one event (one row each).
+
+    With ``materialize`` the slot table is landed in the shared folder first
+    (one scan of the events); the per-user aggregation and the split-wide
+    last day both read it. Without it, the last-day branch would scan and
+    aggregate the events a second time.
+    """
+    slots = activity_slots(generations, calendar)
+    if materialize:
+        slots = land(slots, "activity-slots")
+    return activity_from_slots(slots, users)
 
 
 def activity_from_slots(slots: DataFrame, users: DataFrame) -> DataFrame:

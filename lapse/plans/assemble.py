@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lapse.functions.numeric import clip, log1p_pos, smooth_ratio
 from lapse.plans.activity import ACTIVITY_COLUMNS, activity_table
 from lapse.plans.onboarding import QUIZ_COLUMNS, quiz_fills, quiz_table
-from lapse.plans.payments import PAYMENT_COLUMNS, classify_attempts, failure_table, payment_fills, risk_table
+from lapse.plans.payments import PAYMENT_COLUMNS, classify_attempts, failure_table, payment_fills, risk_from_cards, user_cards
 from lapse.plans.properties import PROPERTY_COLUMNS, properties_features
 from lapse.plans.purchases import purchase_columns, purchase_table
 from lapse.sources.fixtures import ChurnInputs
@@ -82,11 +82,12 @@ def build_tables(inputs: ChurnInputs) -> list[DataFrame]:
     """The per-user aggregate tables (only users with data in each)."""
     i = inputs
     attempts = classify_attempts(i.tx, i.purchases, i.users)
+    cards = user_cards(attempts)
     return [
         properties_features(i.props, i.users),
         purchase_table(i.purchases),
-        risk_table(attempts),
-        failure_table(attempts),
+        risk_from_cards(cards),
+        failure_table(attempts, cards),
         activity_table(i.generations, i.users),
         quiz_table(i.quizzes),
     ]

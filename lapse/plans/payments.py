@@ -118,15 +118,68 @@ def failure_attribution(success: DataFrame, failed: DataFrame) -> DataFrame:
     return attribute_failures(with_fingerprint(success), with_fingerprint(failed), KEYS, FAILURE_CODES)
 
 
+def user_cards(attempts: DataFrame) -> DataFrame:
+    """One row per (split, card fingerprint, user) over successful attempts,
+    with the partial sums the per-user risk features need.
+
+    Brand, funding, prepaid, virtual and both countries are fingerprint
+    fields, so they are constant inside a group; brand and funding are kept
+    as keys. Both the risk roll-up and the failure attribution read this
+    table, so the attempts are scanned once for the successful side.
+    """
+    success = with_fingerprint(attempts.where("is_success").where(F.col("user_id").isNotNull()))
+    passed = F.coalesce(F.col("cvc_check"), F.lit("")) == "pass"
+    differs = F.coalesce(F.col("billing_address_country"), F.lit("")) != F.coalesce(F.col("card_country"), F.lit(""))
+    any_true = lambda c: F.bool_or(F.coalesce(F.col(c), F.lit(False)))
+    return success.groupBy("split", "fingerprint", "user_id", "card_brand", "card_funding").agg(
+        F.count("transaction_id").alias("_n"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.bool_or(F.coalesce(F.col("digital_wallet"), F.lit("none")) != "none").alias("_wallet"),
+        any_true("is_3d_secure").alias("_3ds"),
+        any_true("is_prepaid").alias("_prepaid"),
+        any_true("is_virtual").alias("_virtual"),
+        any_true("is_business").alias("_business"),
+        F.count_if(passed).alias("_cvc_pass"),
+        F.sum("amount_in_usd").alias("_amt_sum"),
+        F.count("amount_in_usd").alias("_amt_n"),
+        F.max("amount_in_usd").alias("_amt_max"),
+        F.count_if(differs).alias("_mismatch"),
+    )
+
+
+def _most_used(cards: DataFrame, col: str, out: str) -> DataFrame:
+    """Per user the value of ``col`` on most successful attempts; ties -> smallest."""
+    counts = cards.where(F.col(col).isNotNull()).groupBy("user_id", col).agg(F.sum("_rows").alias("_c"))
+    best = F.min(F.struct((-F.col("_c")).alias("k"), F.col(col).alias("v")))
+    return counts.groupBy("user_id").agg(best["v"].alias(out))
+
+
+def risk_from_cards(cards: DataFrame) -> DataFrame:
+    """Card-risk features per user, rolled up from the per-card partial sums."""
+    rows = F.sum("_rows")
+    risk = cards.groupBy("user_id").agg(
+        F.sum("_n").alias("tx_success_count"),
+        *[F.bool_or(f"_{k}").cast("int").alias(n) for k, n in zip(("wallet", "3ds", "prepaid", "virtual", "business"), RISK_FLAGS)],
+        (F.sum("_cvc_pass") / rows).alias("tx_cvc_pass_rate"),
+        F.try_divide(F.sum("_amt_sum"), F.sum("_amt_n")).alias("tx_avg_amount"),
+        F.max("_amt_max").alias("tx_max_amount"),
+        (F.sum("_mismatch") / rows).alias("tx_country_mismatch_rate"),
+    )
+    return risk.join(_most_used(cards, "card_brand", "tx_card_brand"), "user_id", "left").join(
+        _most_used(cards, "card_funding", "tx_card_funding"), "user_id", "left"
+    )
+
+
 def risk_table(attempts: DataFrame) -> DataFrame:
     """Card-risk aggregates per user over the successful attempts."""
-    success = attempts.where("is_success")
-    return success.groupBy("user_id").agg(*_risk_aggs(), _mismatch_agg(), *_mode_aggs())
+    return risk_from_cards(user_cards(attempts))
 
 
-def failure_table(attempts: DataFrame) -> DataFrame:
+def failure_table(attempts: DataFrame, cards: DataFrame | None = None) -> DataFrame:
     """Attributed failures per user (users with a matched failure only)."""
-    return failure_attribution(attempts.where("is_success"), attempts.where(~F.col("is_success")))
+    cards = cards if cards is not None else user_cards(attempts)
+    failed = with_fingerprint(attempts.where(~F.col("is_success")))
+    return attribute_failures(cards, failed, KEYS, FAILURE_CODES)
 
 
 def payment_fills() -> dict[str, F.Column]:
@@ -143,8 +196,9 @@ def payment_fills() -> dict[str, F.Column]:
 def payment_features(tx: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
     """All 20 payment features on the user spine."""
     attempts = classify_attempts(tx, purchases, users)
-    out = users.select("user_id").join(risk_table(attempts), "user_id", "left").join(
-        failure_table(attempts), "user_id", "left"
+    cards = user_cards(attempts)
+    out = users.select("user_id").join(risk_from_cards(cards), "user_id", "left").join(
+        failure_table(attempts, cards), "user_id", "left"
     )
     fills = payment_fills()
     return out.select("user_id", *[fills[c].alias(c) for c in PAYMENT_COLUMNS])
