@@ -177,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "mean_probabilities": _q(lambda i: report.mean_probabilities(_prior_test(i))),
     "churn_share": _q(lambda i: report.churn_share(_prior_test(i))),
     "top_confident_users": _q(lambda i: report.top_confident(_prior_test(i))),
+    "top_users_display": _q(lambda i: report.display_top(report.top_confident(_prior_test(i)))),
     "cluster_sizes": _q(lambda i: _cluster_sizes(i)),
     "oof_predictions": _q(lambda i: report.decide(_forest(i)[0])),
     "test_predictions": _q(lambda i: report.submission_detailed(report.decide(_forest(i)[1]))),

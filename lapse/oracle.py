@@ -716,6 +716,13 @@ SELECT user_id, predicted_class, ROUND(prob_invol_churn, 6) AS prob_invol_churn,
 FROM decided WHERE split <> 'train' ORDER BY confidence DESC, user_id LIMIT 10"""
 
 
+def top_users_display() -> str:
+    return with_fixtures(*REPORT_CTES) + """
+SELECT substr(CAST(user_id AS VARCHAR), 1, 12) || '...' AS user_label, predicted_class,
+  printf('%.1f%%', confidence * 100) AS confidence_pct, ROUND(confidence * 100, 1) AS bar_width
+FROM (SELECT * FROM decided WHERE split <> 'train' ORDER BY confidence DESC, user_id LIMIT 10) t"""
+
+
 # ---------------------------------------------------------------- stage report, alignment
 
 def stage_report() -> str:
@@ -779,4 +786,5 @@ def oracle_sql() -> dict[str, str]:
         "mean_probabilities": mean_probabilities(),
         "churn_share": churn_share(),
         "top_confident_users": top_confident_users(),
+        "top_users_display": top_users_display(),
     }

@@ -74,8 +74,9 @@ def add_interactions(df: DataFrame) -> DataFrame:
 
 def clip_and_log(df: DataFrame) -> DataFrame:
     """Clip outliers, then add the log twins of the clipped values."""
-    clipped = df.withColumns({c: clip(c, lo, hi) for c, (lo, hi) in CLIP_RULES.items() if c in df.columns})
-    return clipped.withColumns({f"{c}_log": log1p_pos(c) for c in LOG_COLUMNS if c in df.columns})
+    present = set(df.columns)
+    clipped = df.withColumns({c: clip(c, lo, hi) for c, (lo, hi) in CLIP_RULES.items() if c in present})
+    return clipped.withColumns({f"{c}_log": log1p_pos(c) for c in LOG_COLUMNS if c in present})
 
 
 def build_tables(inputs: ChurnInputs) -> list[DataFrame]:
@@ -120,9 +121,11 @@ def align_columns(a: DataFrame, b: DataFrame, keep_out: tuple[str, ...] = ("chur
     Columns in ``keep_out`` are never added to the frame lacking them.
     Column order: ``a``'s columns, then ``b``'s extra ones.
     """
-    b_extra = [c for c in b.columns if c not in a.columns]
-    a_extra = [c for c in a.columns if c not in b.columns and c not in keep_out]
+    a_cols, b_cols = a.columns, b.columns
+    b_extra = [c for c in b_cols if c not in a_cols]
+    a_extra = [c for c in a_cols if c not in b_cols and c not in keep_out]
     a2 = a.withColumns({c: F.lit(0) for c in b_extra}) if b_extra else a
     b2 = b.withColumns({c: F.lit(0) for c in a_extra}) if a_extra else b
-    order = [c for c in a2.columns if c in b2.columns]
-    return a2, b2.select(*order, *[c for c in b2.columns if c not in order])
+    a2_cols, b2_cols = a2.columns, b2.columns
+    order = [c for c in a2_cols if c in b2_cols]
+    return a2, b2.select(*order, *[c for c in b2_cols if c not in order])

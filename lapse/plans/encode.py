@@ -28,7 +28,8 @@ NON_FEATURES = ("user_id", "churn_status", "target", "split")
 
 def clean_categoricals(df: DataFrame, cols: tuple[str, ...] = CAT_FEATURES) -> DataFrame:
     """Categoricals as text, null -> 'missing'."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in cols if c in df.columns})
+    present = set(df.columns)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in cols if c in present})
 
 
 def label_index(features: DataFrame, label: str = "churn_status") -> DataFrame:
@@ -48,7 +49,8 @@ def category_codes(features: DataFrame, cols: tuple[str, ...] = CAT_FEATURES) ->
     dictionary per column (bounded by the column's category count).
     """
     df = clean_categoricals(features, cols)
-    cols = tuple(c for c in cols if c in df.columns)
+    present = set(df.columns)
+    cols = tuple(c for c in cols if c in present)
     tmp = [f"_code_{c}" for c in cols]
     model = StringIndexer(
         inputCols=list(cols), outputCols=tmp, stringOrderType="alphabetAsc", handleInvalid="keep"

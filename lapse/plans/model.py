@@ -1,13 +1,16 @@
 """MLlib models: activity/payment clusters and the cross-validated forest.
 
-The model table (one row per user) is checkpointed to the shared folder
-before the fits: k-means restarts and the K forest fits read it many
-times, and a lost executor then re-reads the checkpoint instead of
-replaying the whole feature plan.
+The model matrices (one row per user) are landed as parquet in the shared
+folder before the fits: k-means restarts and the K forest fits read them
+many times, and a lost executor then re-reads the landed table instead of
+replaying the whole feature plan. (A reliable ``checkpoint()`` of an
+unpersisted plan would compute it twice: once for the eager count, once
+for the checkpoint write.)
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -18,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.operators.spine import numeric_columns
-from lapse.plans.encode import CLASSES, NON_FEATURES, SEED
-from lapse.session import checkpoint_dir
+from lapse.plans.encode import CAT_FEATURES, CLASSES, NON_FEATURES, SEED, class_balance, label_index, model_frame, stratified_folds
+from lapse.operators.materialize import land
 
 # Clustering inputs and model settings of the engine.
 CLUSTER_FEATURES = (
@@ -35,9 +38,8 @@ MISSING_NUMBER = -1.0
 PROB_COLUMNS = tuple(f"prob_{c}" for c in CLASSES)
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _checkpoint(df: DataFrame, name: str) -> DataFrame:
+    return land(df, name)
 
 
 def cluster_ids(
@@ -53,7 +55,7 @@ def cluster_ids(
     raw = VectorAssembler(inputCols=cols, outputCol="_raw").transform(filled)
     train = raw.where(F.col("split") == "train")
     scaler = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True).fit(train)
-    train_x = _checkpoint(scaler.transform(train).select("user_id", "_x"))
+    train_x = _checkpoint(scaler.transform(train).select("user_id", "_x"), "kmeans-train")
     k = max(1, min(max_k, train_x.count()))
     best, best_cost = None, None
     for r in range(restarts):
@@ -112,9 +114,9 @@ def forest_cv(
     """
     data = _assembled(frame).select("user_id", "split", "target", "features")
     train = _checkpoint(
-        data.where(F.col("split") == "train").join(folds.select("user_id", "fold"), "user_id")
+        data.where(F.col("split") == "train").join(folds.select("user_id", "fold"), "user_id"), "forest-train"
     )
-    test = _checkpoint(data.where(F.col("split") != "train").select("user_id", "features"))
+    test = _checkpoint(data.where(F.col("split") != "train").select("user_id", "features"), "forest-test")
     n_folds = folds.agg(F.max("fold")).first()[0] + 1
     oof_parts, test_parts = [], []
     for f in range(n_folds):
@@ -133,3 +135,41 @@ def forest_cv(
         *[(F.sum(c) / n_folds).alias(c) for c in PROB_COLUMNS]
     )
     return oof, test_avg
+
+
+def feature_preview(frame: DataFrame, n: int = 15) -> list[str]:
+    """The first ``n`` feature names (schema only, no job)."""
+    return feature_columns(frame)[:n]
+
+
+@dataclass
+class ModelData:
+    """Everything the forest needs, as lazy DataFrames plus a few scalars."""
+
+    features: DataFrame  # user feature table, both splits
+    frame: DataFrame  # encoded model table (codes, target encoding, cluster id, target)
+    folds: DataFrame  # (user_id, target, fold) for train users
+    feature_cols: list[str]
+    cat_features: tuple[str, ...]
+    class_names: tuple[str, ...]
+    n_folds: int
+    seed: int
+
+
+def prepare_model_data(features: DataFrame, users: DataFrame, seed: int = SEED) -> ModelData:
+    """Clusters, encodings and folds for the feature table (one job for the
+    fold count, which is a property of the class sizes)."""
+    clusters = cluster_ids(features, seed=seed)
+    frame = model_frame(features, clusters, seed=seed)
+    labelled = label_index(users)
+    n_folds = class_balance(labelled).agg(F.min("n_folds")).first()[0]
+    return ModelData(
+        features=features,
+        frame=frame,
+        folds=stratified_folds(labelled, seed=seed),
+        feature_cols=feature_columns(frame),
+        cat_features=CAT_FEATURES,
+        class_names=CLASSES,
+        n_folds=int(n_folds),
+        seed=seed,
+    )

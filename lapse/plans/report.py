@@ -95,6 +95,17 @@ def top_confident(decided: DataFrame, k: int = TOP_K) -> DataFrame:
     )
 
 
+def display_top(top: DataFrame, id_chars: int = 12) -> DataFrame:
+    """Dashboard rows: id cut to ``id_chars`` characters plus '...', confidence
+    as a percent with one decimal."""
+    return top.select(
+        F.concat(F.substring(F.col("user_id").cast("string"), 1, id_chars), F.lit("...")).alias("user_label"),
+        "predicted_class",
+        F.format_string("%.1f%%", F.col("confidence") * 100).alias("confidence_pct"),
+        F.round(F.col("confidence") * 100, 1).alias("bar_width"),
+    )
+
+
 def submission(decided: DataFrame) -> DataFrame:
     """``user_id, churn_status`` (the predicted class)."""
     return decided.select("user_id", F.col("predicted_class").alias("churn_status"))

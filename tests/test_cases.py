@@ -218,3 +218,19 @@ def test_csv_layout_and_null_tokens(spark, tmp_path):
     assert tx[0].digital_wallet == "none" and tx[1].digital_wallet is None
     assert tx[0].is_3d_secure is True and tx[0].is_prepaid is None and tx[1].amount_in_usd is None
     assert inputs.users.count() == 2 and set(inputs.users.columns) == {"user_id", "churn_status", "split"}
+
+
+def test_submission_sinks_round_trip(spark, tmp_path):
+    from lapse.plans import report
+    from lapse.sources.sinks import write_submission, write_submission_detailed
+
+    scored = spark.createDataFrame(
+        [(1, 0.2, 0.5, 0.3), (2, 0.6, 0.2, 0.2)], "user_id long, prob_invol_churn double, prob_not_churned double, prob_vol_churn double"
+    )
+    decided = report.decide(scored)
+    write_submission(decided, str(tmp_path / "sub"))
+    write_submission_detailed(decided, str(tmp_path / "det"))
+    sub = {r.user_id: r.churn_status for r in spark.read.option("header", True).csv(str(tmp_path / "sub")).collect()}
+    assert sub == {"1": "not_churned", "2": "invol_churn"}
+    det = spark.read.option("header", True).csv(str(tmp_path / "det"))
+    assert det.columns == ["user_id", "predicted_class", *report.PROB_COLUMNS, "confidence"]
