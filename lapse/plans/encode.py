@@ -80,13 +80,10 @@ def target_encoding(
     totals tables have one row per (category, fold).
     """
     ys = [(F.col("target") == k).cast("double") for k in range(n_classes)]
-    k_col = F.greatest(F.lit(2), F.least(F.lit(max_folds), F.col("_n_train")))
-    n_train = labelled.agg(F.count(F.lit(1)).alias("_n_train"))
-    tr = (
-        labelled.select("user_id", "split", col, "target")
-        .crossJoin(F.broadcast(n_train))
-        .withColumn("_fold", hash_fold("user_id", seed, k_col))
-    )
+    # Scalars of the train set (one small job): fold count and class totals.
+    totals = labelled.agg(F.count(F.lit(1)).alias("n"), *[F.sum(y).alias(f"s{k}") for k, y in enumerate(ys)]).first()
+    n_folds = max(2, min(max_folds, totals["n"]))
+    tr = labelled.select("user_id", "split", col, "target").withColumn("_fold", hash_fold("user_id", seed, n_folds))
     cf = tr.groupBy(col, "_fold").agg(F.count(F.lit(1)).alias("_n_cf"), *[F.sum(y).alias(f"_s_cf{k}") for k, y in enumerate(ys)])
     by_c = Window.partitionBy(col)
     everything = Window.partitionBy()
@@ -113,15 +110,13 @@ def target_encoding(
         ],
     )
     full = tr.groupBy(col).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(y).alias(f"_s{k}") for k, y in enumerate(ys)])
-    glob = tr.agg(F.count(F.lit(1)).alias("_g_n"), *[F.sum(y).alias(f"_g_s{k}") for k, y in enumerate(ys)])
     test_enc = (
         test.select("user_id", "split", col)
         .join(full, col, "left")
-        .crossJoin(F.broadcast(glob))
         .select(
             "user_id", "split", col,
             *[
-                F.coalesce(F.col(f"_s{k}") / F.col("_n"), F.col(f"_g_s{k}") / F.col("_g_n")).alias(f"{col}_te_cls{k}")
+                F.coalesce(F.col(f"_s{k}") / F.col("_n"), F.lit(totals[f"s{k}"] / totals["n"])).alias(f"{col}_te_cls{k}")
                 for k in range(n_classes)
             ],
         )
@@ -148,9 +143,14 @@ def stratified_folds(labelled: DataFrame, seed: int = SEED, max_folds: int = MAX
     """Train users with ``fold`` in [0, n_folds): inside each class, users in
     md5-key order are dealt round-robin, so per class fold sizes differ by at
     most one."""
-    k = F.broadcast(class_balance(labelled, max_folds).agg(F.min("n_folds").alias("_k")))
+    k = n_folds_of(labelled, max_folds)
     pos = row_positions(labelled.select("user_id", "target"), "user_id", seed, by=["target"], out="_pos")
-    return pos.crossJoin(k).select("user_id", "target", ((F.col("_pos") - 1) % F.col("_k")).cast("int").alias("fold"))
+    return pos.select("user_id", "target", ((F.col("_pos") - 1) % k).cast("int").alias("fold"))
+
+
+def n_folds_of(labelled: DataFrame, max_folds: int = MAX_FOLDS) -> int:
+    """min(max_folds, smallest class) -- one small job; fails below 2."""
+    return int(class_balance(labelled, max_folds).agg(F.min("n_folds")).first()[0])
 
 
 def model_frame(features: DataFrame, clusters: DataFrame | None = None, seed: int = SEED) -> DataFrame:

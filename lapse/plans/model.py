@@ -17,11 +17,13 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.operators.spine import numeric_columns
-from lapse.plans.encode import CAT_FEATURES, CLASSES, NON_FEATURES, SEED, class_balance, label_index, model_frame, stratified_folds
+from lapse.plans.encode import (
+    CAT_FEATURES, CLASSES, NON_FEATURES, SEED, label_index, model_frame, n_folds_of, stratified_folds,
+)
 from lapse.operators.materialize import land
 
 # Clustering inputs and model settings of the engine.
@@ -85,12 +87,11 @@ def _assembled(frame: DataFrame) -> DataFrame:
 
 
 def _balanced_weights(train: DataFrame) -> DataFrame:
-    """w_c = n / (n_classes * n_c), the 'balanced' class weight (3 rows)."""
+    """w_c = n / (n_classes * n_c), the 'balanced' class weight (one row per class)."""
     counts = train.groupBy("target").agg(F.count(F.lit(1)).alias("_nc"))
-    total = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    return F.broadcast(
-        counts.crossJoin(total).select("target", (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias("w"))
-    )
+    everything = Window.partitionBy()  # over the per-class rows only
+    w = F.sum("_nc").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("_nc"))
+    return F.broadcast(counts.select("target", w.alias("w")))
 
 
 def _probs(df: DataFrame) -> DataFrame:
@@ -108,6 +109,9 @@ def forest_cv(
 ) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold train probabilities and fold-averaged test probabilities.
 
+    Both results are landed in the shared folder (the fits are the
+    expensive part; the landed tables can be read any number of times).
+
     ``frame``: model table (both splits, ``target`` on train rows);
     ``folds``: (user_id, fold). Returns (oof, test): oof has user_id, target,
     fold and prob_*; test has user_id and prob_* averaged over the folds.
@@ -126,15 +130,19 @@ def forest_cv(
             featuresCol="features", labelCol="label", weightCol="w", numTrees=num_trees,
             minInstancesPerNode=min_leaf, maxDepth=max_depth, featureSubsetStrategy="sqrt",
             seed=seed + f + 1,
+            # Execution settings only: more nodes split per pass over the
+            # data, and node ids cached (checkpointed every 10 levels) so
+            # deep trees do not re-route every row from the root.
+            maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
         ).fit(tr)
         va = _probs(model.transform(train.where(F.col("fold") == f)))
         oof_parts.append(va.select("user_id", "target", "fold", *PROB_COLUMNS))
         test_parts.append(_probs(model.transform(test)).select("user_id", *PROB_COLUMNS))
-    oof = reduce(DataFrame.unionByName, oof_parts)
+    oof = land(reduce(DataFrame.unionByName, oof_parts), "forest-oof")
     test_avg = reduce(DataFrame.unionByName, test_parts).groupBy("user_id").agg(
         *[(F.sum(c) / n_folds).alias(c) for c in PROB_COLUMNS]
     )
-    return oof, test_avg
+    return oof, land(test_avg, "forest-test-probs")
 
 
 def feature_preview(frame: DataFrame, n: int = 15) -> list[str]:
@@ -162,7 +170,7 @@ def prepare_model_data(features: DataFrame, users: DataFrame, seed: int = SEED)
     clusters = cluster_ids(features, seed=seed)
     frame = model_frame(features, clusters, seed=seed)
     labelled = label_index(users)
-    n_folds = class_balance(labelled).agg(F.min("n_folds")).first()[0]
+    n_folds = n_folds_of(labelled)
     return ModelData(
         features=features,
         frame=frame,

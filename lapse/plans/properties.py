@@ -14,6 +14,10 @@ from lapse.operators.frequency import frequency_share
 from lapse.operators.keys import require_unique
 from lapse.operators.rank import with_percent_rank
 
+# Rank buckets are minutes ("YYYY-MM-DD HH:MM"): a day holding a third of
+# all sign-ups is still split into 1,440 window partitions.
+RANK_BUCKET_CHARS = 16
+
 PROPERTY_COLUMNS = (
     "subscription_plan", "country_code", "country_freq",
     "sub_month", "sub_day_of_week", "sub_hour", "sub_date_rank",
@@ -45,7 +49,7 @@ def subscription_date_rank(props: DataFrame, users: DataFrame) -> DataFrame:
     """Percent rank of the start-date text within the split, ties averaged."""
     ranked = with_percent_rank(
         with_split(props, users).select("user_id", "split", "subscription_start_date"),
-        "subscription_start_date", ["split"], out="sub_date_rank",
+        "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS,
     )
     return ranked.select("user_id", "sub_date_rank")
 
@@ -53,9 +57,10 @@ def subscription_date_rank(props: DataFrame, users: DataFrame) -> DataFrame:
 def properties_features(props: DataFrame, users: DataFrame) -> DataFrame:
     """One row per user with properties (not yet joined to the full spine)."""
     p = with_split(require_unique(props, "user_id", "properties"), users)
-    freq = F.broadcast(frequency_share(p, "country_code", ["split"], out="country_freq"))
+    # One row per (split, country); AQE broadcasts it from its measured size.
+    freq = frequency_share(p, "country_code", ["split"], out="country_freq")
     parts = datetime_parts("subscription_start_date")
-    out = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank")
+    out = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS)
     out = out.join(freq, ["split", "country_code"], "left")
     return out.select(
         "user_id",

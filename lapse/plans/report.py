@@ -40,8 +40,8 @@ def confusion_matrix(decided: DataFrame) -> DataFrame:
     return decided.groupBy("target", "prediction").agg(F.count(F.lit(1)).alias("n_users"))
 
 
-def classification_report(decided: DataFrame) -> DataFrame:
-    """Per class: precision, recall, f1, support (0 where undefined)."""
+def _class_table(decided: DataFrame) -> DataFrame:
+    """Per class: support, true positives, predicted count (a few rows)."""
     truth = decided.groupBy(F.col("target").alias("class_id")).agg(
         F.count(F.lit(1)).alias("support"), F.count_if(F.col("prediction") == F.col("target")).alias("_tp")
     )
@@ -49,25 +49,33 @@ def classification_report(decided: DataFrame) -> DataFrame:
     t = truth.join(predicted, "class_id", "full_outer").na.fill(0, subset=["support", "_tp", "_np"])
     precision = F.when(F.col("_np") > 0, F.col("_tp") / F.col("_np")).otherwise(F.lit(0.0))
     recall = F.when(F.col("support") > 0, F.col("_tp") / F.col("support")).otherwise(F.lit(0.0))
+    pr = precision + recall
+    return t.withColumns(
+        {
+            "precision": precision,
+            "recall": recall,
+            "f1": F.when(pr > 0, 2 * precision * recall / pr).otherwise(F.lit(0.0)),
+        }
+    )
+
+
+def classification_report(decided: DataFrame) -> DataFrame:
+    """Per class: precision, recall, f1, support (0 where undefined)."""
     names = F.array(*[F.lit(c) for c in CLASSES])
-    out = t.select(
+    return _class_table(decided).select(
         "class_id", F.element_at(names, F.col("class_id") + 1).alias("class_name"),
-        precision.alias("precision"), recall.alias("recall"), "support",
-    )
-    pr = F.col("precision") + F.col("recall")
-    return out.withColumn(
-        "f1", F.when(pr > 0, 2 * F.col("precision") * F.col("recall") / pr).otherwise(F.lit(0.0))
+        "precision", "recall", "support", "f1",
     )
 
 
 def macro_f1(decided: DataFrame) -> DataFrame:
-    """One row: unweighted mean of per-class F1, accuracy, users evaluated."""
-    per_class = classification_report(decided).agg(F.avg("f1").alias("macro_f1"))
-    acc = decided.agg(
-        F.avg((F.col("prediction") == F.col("target")).cast("double")).alias("accuracy"),
-        F.count(F.lit(1)).alias("n_users"),
+    """One row: unweighted mean of per-class F1, accuracy, users evaluated
+    (all read off the per-class table)."""
+    return _class_table(decided).agg(
+        F.avg("f1").alias("macro_f1"),
+        (F.sum("_tp") / F.sum("support")).alias("accuracy"),
+        F.sum("support").alias("n_users"),
     )
-    return per_class.crossJoin(acc)
 
 
 def prediction_distribution(decided: DataFrame) -> DataFrame:

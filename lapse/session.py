@@ -24,6 +24,16 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster (applied only to non-local masters):
+# many initial shuffle partitions that AQE coalesces to ~128 MB each.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "lapse",
@@ -39,6 +49,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and not master.startswith("local"):
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
