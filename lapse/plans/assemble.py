@@ -83,7 +83,7 @@ def build_tables(inputs: ChurnInputs) -> list[DataFrame]:
     """The per-user aggregate tables (only users with data in each)."""
     i = inputs
     attempts = classify_attempts(i.tx, i.purchases, i.users)
-    cards = user_cards(attempts)
+    cards = user_cards(attempts, materialize=True)
     return [
         properties_features(i.props, i.users),
         purchase_table(i.purchases),

@@ -7,11 +7,12 @@ and are attributed by card fingerprint (``lapse.operators.attribution``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.functions.text import fingerprint
 from lapse.operators.attribution import attribute_failures, fingerprint_users, users_per_fingerprint
+from lapse.operators.materialize import land
 from lapse.operators.mode import mode_or
 from lapse.plans.properties import with_split
 
@@ -118,20 +119,22 @@ def failure_attribution(success: DataFrame, failed: DataFrame) -> DataFrame:
     return attribute_failures(with_fingerprint(success), with_fingerprint(failed), KEYS, FAILURE_CODES)
 
 
-def user_cards(attempts: DataFrame) -> DataFrame:
+def user_cards(attempts: DataFrame, materialize: bool = False) -> DataFrame:
     """One row per (split, card fingerprint, user) over successful attempts,
     with the partial sums the per-user risk features need.
 
     Brand, funding, prepaid, virtual and both countries are fingerprint
     fields, so they are constant inside a group; brand and funding are kept
-    as keys. Both the risk roll-up and the failure attribution read this
-    table, so the attempts are scanned once for the successful side.
+    as keys. The risk roll-up, the most-used brand and funding and the
+    failure attribution all read this table; with ``materialize`` it is
+    landed once in the shared folder, so the attempts are scanned once for
+    the successful side instead of once per consumer.
     """
     success = with_fingerprint(attempts.where("is_success").where(F.col("user_id").isNotNull()))
     passed = F.coalesce(F.col("cvc_check"), F.lit("")) == "pass"
     differs = F.coalesce(F.col("billing_address_country"), F.lit("")) != F.coalesce(F.col("card_country"), F.lit(""))
     any_true = lambda c: F.bool_or(F.coalesce(F.col(c), F.lit(False)))
-    return success.groupBy("split", "fingerprint", "user_id", "card_brand", "card_funding").agg(
+    cards = success.groupBy("split", "fingerprint", "user_id", "card_brand", "card_funding").agg(
         F.count("transaction_id").alias("_n"),
         F.count(F.lit(1)).alias("_rows"),
         F.bool_or(F.coalesce(F.col("digital_wallet"), F.lit("none")) != "none").alias("_wallet"),
@@ -145,13 +148,18 @@ def user_cards(attempts: DataFrame) -> DataFrame:
         F.max("amount_in_usd").alias("_amt_max"),
         F.count_if(differs).alias("_mismatch"),
     )
+    return land(cards, "user-cards") if materialize else cards
 
 
 def _most_used(cards: DataFrame, col: str, out: str) -> DataFrame:
-    """Per user the value of ``col`` on most successful attempts; ties -> smallest."""
+    """Per user the value of ``col`` on most successful attempts; ties -> smallest.
+
+    Top-1 per user by ``row_number``: Spark limits each group before the
+    shuffle (window group limit), and a user has one row per distinct value.
+    """
     counts = cards.where(F.col(col).isNotNull()).groupBy("user_id", col).agg(F.sum("_rows").alias("_c"))
-    best = F.min(F.struct((-F.col("_c")).alias("k"), F.col(col).alias("v")))
-    return counts.groupBy("user_id").agg(best["v"].alias(out))
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("_c"), F.asc(col)))
+    return counts.withColumn("_r", rank).where(F.col("_r") == 1).select("user_id", F.col(col).alias(out))
 
 
 def risk_from_cards(cards: DataFrame) -> DataFrame:
@@ -196,7 +204,7 @@ def payment_fills() -> dict[str, F.Column]:
 def payment_features(tx: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
     """All 20 payment features on the user spine."""
     attempts = classify_attempts(tx, purchases, users)
-    cards = user_cards(attempts)
+    cards = user_cards(attempts, materialize=True)
     out = users.select("user_id").join(risk_from_cards(cards), "user_id", "left").join(
         failure_table(attempts, cards), "user_id", "left"
     )

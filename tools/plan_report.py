@@ -25,9 +25,11 @@ RED_FLAGS = ("CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "Ba
 
 
 def summarize(plan: str) -> dict:
-    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*?Location: \w+ \[[^\]]*?lapse-inputs/\w+/(\w+)", plan)
-    if not scans:
-        scans = re.findall(r"Scan parquet [^\n]*?\[([^\]]*)\][^\n]*?lapse-inputs/\w+/(\w+)", plan)
+    scans = re.findall(
+        r"FileScan parquet \[([^\]]*)\][^\n]*?Location: \w+(?:\(\d+ paths\))? ?\[[^\]]*?lapse-(?:inputs/\w+/(\w+)|tables/([a-z]+(?:-[a-z]+)*)-[0-9a-f])",
+        plan,
+    )
+    scans = [(cols, a or f"landed:{b}") for cols, a, b in scans]
     by_table: dict[str, list[int]] = {}
     for cols, table in scans:
         by_table.setdefault(table, []).append(len([c for c in cols.split(",") if c.strip()]))
@@ -60,7 +62,7 @@ def main() -> None:
         "# Physical plans of the registered queries",
         "",
         f"Final AQE plans at `{sf}` (local[8]); regenerate with `python tools/plan_report.py`.",
-        "Scans read landed input views (`lapse-inputs/<signature>/<view>`) and list the columns each scan reads.",
+        "Scans read landed input views (`lapse-inputs/<signature>/<view>`) or tables landed inside a plan (`landed:<name>`: activity slots, per-card payments, model matrices); the numbers are the columns each scan reads.",
         "",
         "| query | sec | scans (columns read) | shuffles | broadcasts | SMJ | BHJ | windows | red flags |",
         "| --- | --- | --- | --- | --- | --- | --- | --- | --- |",
