@@ -93,7 +93,11 @@ def target_encoding(
         F.sum("_n_cf").over(by_c).alias("_n_c"),
         *[F.sum(f"_s_cf{k}").over(by_c).alias(f"_s_c{k}") for k in range(n_classes)],
     )
-    folds = tr.groupBy("_fold").agg(F.count(F.lit(1)).alias("_n_f"), *[F.sum(y).alias(f"_s_f{k}") for k, y in enumerate(ys)])
+    # Fold and category totals roll up from the (category, fold) table, so the
+    # train rows are read once for it and once for the final lookup.
+    folds = cf.groupBy("_fold").agg(
+        F.sum("_n_cf").alias("_n_f"), *[F.sum(f"_s_cf{k}").alias(f"_s_f{k}") for k in range(n_classes)]
+    )
     folds = folds.select(
         "_fold", "_n_f", *[f"_s_f{k}" for k in range(n_classes)],
         F.sum("_n_f").over(everything).alias("_n_all"),
@@ -109,7 +113,7 @@ def target_encoding(
             for k in range(n_classes)
         ],
     )
-    full = tr.groupBy(col).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(y).alias(f"_s{k}") for k, y in enumerate(ys)])
+    full = cf.groupBy(col).agg(F.sum("_n_cf").alias("_n"), *[F.sum(f"_s_cf{k}").alias(f"_s{k}") for k in range(n_classes)])
     test_enc = (
         test.select("user_id", "split", col)
         .join(full, col, "left")

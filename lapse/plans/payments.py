@@ -180,7 +180,7 @@ def risk_from_cards(cards: DataFrame) -> DataFrame:
 
 def risk_table(attempts: DataFrame) -> DataFrame:
     """Card-risk aggregates per user over the successful attempts."""
-    return risk_from_cards(user_cards(attempts))
+    return risk_from_cards(user_cards(attempts, materialize=True))
 
 
 def failure_table(attempts: DataFrame, cards: DataFrame | None = None) -> DataFrame:
