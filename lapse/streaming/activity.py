@@ -17,6 +17,12 @@ from lapse.plans.activity import activity_from_slots, activity_slots, merge_slot
 from lapse.session import scratch_path
 
 
+def land_batch(batch: DataFrame, batch_id: int, partials_path: str, calendar: bool = False) -> None:
+    """Slot partials of one micro-batch, written to its own folder (a replayed
+    batch overwrites its earlier output instead of adding to it)."""
+    activity_slots(batch, calendar).write.mode("overwrite").parquet(f"{partials_path}/batch={batch_id}")
+
+
 def slot_partials_stream(
     spark: SparkSession,
     events_path: str,
@@ -29,7 +35,7 @@ def slot_partials_stream(
     """Start the streaming query that lands slot partials per micro-batch."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        activity_slots(batch, calendar).write.mode("overwrite").parquet(f"{partials_path}/batch={batch_id}")
+        land_batch(batch, batch_id, partials_path, calendar)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(events_path)
     return (

@@ -8,6 +8,9 @@ from oracle_harness import compare, compare_types, duck, spark_types
 
 SQL = entry.oracle_sql()
 
+# Plan shapes that do not scale (or leave the JVM) must not appear.
+RED_FLAGS = ("CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "BatchEvalPython", "ArrowEvalPython")
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -21,6 +24,9 @@ def test_query_matches_oracle(spark, con, name):
     dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     err = compare(sdf.toPandas(), rel.df()) or compare_types(spark_types(sdf), dtypes)
     assert err is None, err
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    flags = [f for f in RED_FLAGS if f in plan]
+    assert not flags, f"plan contains {flags}"
 
 
 def test_every_query_has_oracle_or_is_model():
