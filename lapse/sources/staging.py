@@ -55,9 +55,18 @@ def staging_base(spark: SparkSession, sf_dir: str, root: str | None = None) -> s
     return f"{root.rstrip('/')}/lapse-inputs/{source_signature(spark, sf_dir)}"
 
 
+# Landed tables never change once their _SUCCESS marker exists, so the scans
+# are built once per application and landing folder (listing and footer
+# reads are not repeated for every query).
+_LANDED: dict[tuple[str, str], ChurnInputs] = {}
+
+
 def staged_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) -> ChurnInputs:
     """The six inputs read from landed parquet (landing them first if needed)."""
     base = staging_base(spark, sf_dir, root)
+    key = (spark.sparkContext.applicationId, base)
+    if key in _LANDED:
+        return _LANDED[key]
     views = load_inputs(spark, sf_dir)
     out = {}
     for name in VIEWS:
@@ -65,4 +74,5 @@ def staged_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) ->
         if not _exists(spark, f"{path}/_SUCCESS"):
             getattr(views, name).write.mode("overwrite").parquet(path)
         out[name] = spark.read.parquet(path)
-    return ChurnInputs(**out)
+    _LANDED[key] = ChurnInputs(**out)
+    return _LANDED[key]
