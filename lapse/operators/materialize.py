@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -23,3 +24,9 @@ def land(df: DataFrame, name: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     # The schema is known; reading it back needs no footer inference.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def land_all(tables: list[tuple[DataFrame, str]]) -> list[DataFrame]:
+    """``land`` several independent tables, their jobs submitted concurrently."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        return list(pool.map(lambda t: land(*t), tables))

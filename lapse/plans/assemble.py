@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.numeric import clip, log1p_pos, smooth_ratio
-from lapse.plans.activity import ACTIVITY_COLUMNS, activity_table
+from lapse.operators.materialize import land_all
+from lapse.plans.activity import ACTIVITY_COLUMNS, activity_from_slots, activity_slots
 from lapse.plans.onboarding import QUIZ_COLUMNS, quiz_fills, quiz_table
 from lapse.plans.payments import PAYMENT_COLUMNS, classify_attempts, failure_table, payment_fills, risk_from_cards, user_cards
 from lapse.plans.properties import PROPERTY_COLUMNS, properties_features
@@ -83,13 +84,14 @@ def build_tables(inputs: ChurnInputs) -> list[DataFrame]:
     """The per-user aggregate tables (only users with data in each)."""
     i = inputs
     attempts = classify_attempts(i.tx, i.purchases, i.users)
-    cards = user_cards(attempts, materialize=True)
+    # The two reduced tables of the big inputs are landed together.
+    cards, slots = land_all([(user_cards(attempts), "user-cards"), (activity_slots(i.generations), "activity-slots")])
     return [
         properties_features(i.props, i.users),
         purchase_table(i.purchases),
         risk_from_cards(cards),
         failure_table(attempts, cards),
-        activity_table(i.generations, i.users),
+        activity_from_slots(slots, i.users),
         quiz_table(i.quizzes),
     ]
 

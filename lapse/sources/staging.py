@@ -15,6 +15,7 @@ landed only when its ``_SUCCESS`` marker exists.
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -68,11 +69,11 @@ def staged_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) ->
     if key in _LANDED:
         return _LANDED[key]
     views = load_inputs(spark, sf_dir)
-    out = {}
-    for name in VIEWS:
-        path = f"{base}/{name}"
-        if not _exists(spark, f"{path}/_SUCCESS"):
-            getattr(views, name).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
+    missing = [name for name in VIEWS if not _exists(spark, f"{base}/{name}/_SUCCESS")]
+    # The views are independent jobs; submitting them from several driver
+    # threads lets the scheduler run their stages side by side.
+    with ThreadPoolExecutor(max_workers=max(1, len(missing))) as pool:
+        list(pool.map(lambda name: getattr(views, name).write.mode("overwrite").parquet(f"{base}/{name}"), missing))
+    out = {name: spark.read.parquet(f"{base}/{name}") for name in VIEWS}
     _LANDED[key] = ChurnInputs(**out)
     return _LANDED[key]
