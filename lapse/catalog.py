@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from lapse.plans import activity as act
 from lapse.plans import assemble, encode, model, quality, report
 from lapse.operators.keys import require_unique
+from lapse.operators.materialize import land
 from lapse.operators.spine import attach
 from lapse.sources.staging import staging_base
 from lapse.streaming.activity import activity_incremental
@@ -85,7 +86,9 @@ def _cat_frame(i) -> DataFrame:
 
 
 def _country_frame(i) -> DataFrame:
-    return encode.clean_categoricals(i.users.join(_countries(i), "user_id", "left"))
+    """(user, split, label, cleaned country), landed: the label indexer, the
+    target encoding's branches and the report branches all read it."""
+    return land(encode.clean_categoricals(i.users.join(_countries(i), "user_id", "left")), "country-frame")
 
 
 def _te(i) -> DataFrame:
@@ -99,7 +102,8 @@ def _prior(i) -> DataFrame:
     lab = encode.label_index(frame)
     te = encode.target_encoding(lab, frame.where(F.col("split") != "train"))
     decided = report.decide(report.prior_scores(te))
-    return decided.join(lab.select("user_id", "target"), "user_id", "left")
+    # Landed: every report aggregates these scores in several branches.
+    return land(decided.join(lab.select("user_id", "target"), "user_id", "left"), "prior-scores")
 
 
 def _prior_train(i) -> DataFrame:

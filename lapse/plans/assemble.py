@@ -12,7 +12,7 @@ from lapse.operators.materialize import land_all
 from lapse.plans.activity import ACTIVITY_COLUMNS, activity_from_slots, activity_slots
 from lapse.plans.onboarding import QUIZ_COLUMNS, quiz_fills, quiz_table
 from lapse.plans.payments import PAYMENT_COLUMNS, classify_attempts, failure_table, payment_fills, risk_from_cards, user_cards
-from lapse.plans.properties import PROPERTY_COLUMNS, properties_features
+from lapse.plans.properties import PROPERTY_COLUMNS, properties_frame, properties_from_frame
 from lapse.plans.purchases import purchase_columns, purchase_table
 from lapse.sources.fixtures import ChurnInputs
 
@@ -84,10 +84,16 @@ def build_tables(inputs: ChurnInputs) -> list[DataFrame]:
     """The per-user aggregate tables (only users with data in each)."""
     i = inputs
     attempts = classify_attempts(i.tx, i.purchases, i.users)
-    # The two reduced tables of the big inputs are landed together.
-    cards, slots = land_all([(user_cards(attempts), "user-cards"), (activity_slots(i.generations), "activity-slots")])
+    # Tables read by several branches are landed together, once.
+    cards, slots, props = land_all(
+        [
+            (user_cards(attempts), "user-cards"),
+            (activity_slots(i.generations), "activity-slots"),
+            (properties_frame(i.props, i.users), "properties"),
+        ]
+    )
     return [
-        properties_features(i.props, i.users),
+        properties_from_frame(props),
         purchase_table(i.purchases),
         risk_from_cards(cards),
         failure_table(attempts, cards),

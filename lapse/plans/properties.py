@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lapse.functions.time import datetime_parts, weekday_sat0
 from lapse.operators.frequency import frequency_share
 from lapse.operators.keys import require_unique
+from lapse.operators.materialize import land
 from lapse.operators.rank import with_percent_rank
 
 # Rank buckets are minutes ("YYYY-MM-DD HH:MM"): a day holding a third of
@@ -54,9 +55,21 @@ def subscription_date_rank(props: DataFrame, users: DataFrame) -> DataFrame:
     return ranked.select("user_id", "sub_date_rank")
 
 
+def properties_frame(props: DataFrame, users: DataFrame) -> DataFrame:
+    """Key-checked properties with each row's split (not yet landed)."""
+    return with_split(require_unique(props, "user_id", "properties"), users)
+
+
 def properties_features(props: DataFrame, users: DataFrame) -> DataFrame:
     """One row per user with properties (not yet joined to the full spine)."""
-    p = with_split(require_unique(props, "user_id", "properties"), users)
+    # Landed: the share, the rank (two branches) and the main projection all
+    # read it, and Spark would otherwise re-run the key check and the split
+    # join for each of them.
+    return properties_from_frame(land(properties_frame(props, users), "properties"))
+
+
+def properties_from_frame(p: DataFrame) -> DataFrame:
+    """Property features from a (landed) ``properties_frame``."""
     # One row per (split, country); AQE broadcasts it from its measured size.
     freq = frequency_share(p, "country_code", ["split"], out="country_freq")
     parts = datetime_parts("subscription_start_date")

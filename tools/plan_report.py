@@ -62,7 +62,7 @@ def main() -> None:
         "# Physical plans of the registered queries",
         "",
         f"Final AQE plans at `{sf}` (local[8]); regenerate with `python tools/plan_report.py`.",
-        "Scans read landed input views (`lapse-inputs/<signature>/<view>`) or tables landed inside a plan (`landed:<name>`: activity slots, per-card payments, model matrices); the numbers are the columns each scan reads.",
+        "Scans read landed input views (`lapse-inputs/<signature>/<view>`) or tables landed inside a plan (`landed:<name>`: activity slots, per-card payments, model matrices); the numbers are the columns each scan reads. Jobs that land a table run before the query and are not part of these rows.",
         "",
         "| query | sec | scans (columns read) | shuffles | broadcasts | SMJ | BHJ | windows | red flags |",
         "| --- | --- | --- | --- | --- | --- | --- | --- | --- |",
