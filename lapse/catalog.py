@@ -115,7 +115,7 @@ def _prior_test(i) -> DataFrame:
 
 
 def _cluster_sizes(i) -> DataFrame:
-    feats = assemble.user_features(i)
+    feats = land(assemble.user_features(i), "user-features")
     return model.cluster_sizes(feats, model.cluster_ids(feats))
 
 
@@ -128,7 +128,9 @@ def _forest_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     key = (spark.sparkContext.applicationId, staging_base(spark, sf_dir))
     if key not in _FITTED:
         i = staged_inputs(spark, sf_dir)
-        feats = assemble.user_features(i)
+        # The feature table feeds the scaler, k-means, both indexers, the
+        # target encoding and the model matrix: land it once.
+        feats = land(assemble.user_features(i), "user-features")
         clusters = model.cluster_ids(feats)
         frame = encode.model_frame(feats, clusters)
         folds = encode.stratified_folds(encode.label_index(i.users))
