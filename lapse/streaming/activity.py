@@ -11,6 +11,8 @@ features are then computed from the merged slots exactly as in batch.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lapse.plans.activity import activity_from_slots, activity_slots, merge_slots
@@ -49,9 +51,14 @@ def slot_partials_stream(
 def activity_incremental(
     spark: SparkSession, events_path: str, users: DataFrame, schema, run_name: str = "activity-stream"
 ) -> DataFrame:
-    """Run the stream over all available event files, then finalize."""
-    partials = scratch_path(spark, f"{run_name}-partials")
-    query = slot_partials_stream(spark, events_path, schema, partials, scratch_path(spark, f"{run_name}-checkpoint"))
+    """Run the stream over all available event files, then finalize.
+
+    Each call gets fresh partials and stream-checkpoint folders, so two runs
+    in one application (e.g. over different inputs) never share state.
+    """
+    run = f"{run_name}-{uuid.uuid4().hex}"
+    partials = scratch_path(spark, f"{run}-partials")
+    query = slot_partials_stream(spark, events_path, schema, partials, scratch_path(spark, f"{run}-checkpoint"))
     query.awaitTermination()
     merged = merge_slots(spark.read.parquet(partials).drop("batch"))
     return activity_from_slots(merged, users)

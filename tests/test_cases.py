@@ -253,3 +253,21 @@ def test_stream_batches_merge_and_replay_idempotently(spark, tmp_path):
     assert got.keys() == want.keys()
     for u in want:
         assert got[u].asDict() == want[u].asDict()
+
+
+def test_incremental_runs_in_one_session_do_not_share_state(spark, tmp_path):
+    from lapse.plans.activity import activity_table
+    from lapse.streaming.activity import activity_incremental
+
+    def events(offset):
+        rows = [(k, 1 + k % 3, f"2024-01-0{1 + k % 4} 0{k % 9}:00:00", "completed", "image", str(k + offset), None)
+                for k in range(30 + offset)]
+        return spark.createDataFrame(rows, GEN)
+
+    for offset in (0, 7):
+        g = events(offset)
+        path = str(tmp_path / f"events{offset}")
+        g.repartition(3).write.parquet(path)
+        got = {r.user_id: r.asDict() for r in activity_incremental(spark, path, users(spark), g.schema).collect()}
+        want = {r.user_id: r.asDict() for r in activity_table(g, users(spark), materialize=False).collect()}
+        assert got == want
