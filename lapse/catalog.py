@@ -44,9 +44,10 @@ def _q(fn) -> Query:
 
 
 def _attrib(i) -> DataFrame:
-    return pay.failure_attribution(
-        pay.tx_success(i.tx, i.purchases, i.users), pay.tx_failed(i.tx, i.purchases, i.users)
-    )
+    """Attributed failures through the per-card table (landed), as in the
+    full payment features: attempts are classified once per side."""
+    attempts = pay.classify_attempts(i.tx, i.purchases, i.users)
+    return pay.failure_table(attempts, pay.user_cards(attempts, materialize=True))
 
 
 # Activity sub-queries: each reads the per-user activity table (Catalyst
