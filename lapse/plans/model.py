@@ -10,6 +10,7 @@ for the checkpoint write.)
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -59,12 +60,16 @@ def cluster_ids(
     scaler = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True).fit(train)
     train_x = _checkpoint(scaler.transform(train).select("user_id", "_x"), "kmeans-train")
     k = max(1, min(max_k, train_x.count()))
-    best, best_cost = None, None
-    for r in range(restarts):
+
+    def fit(r: int):
         model = KMeans(k=k, seed=seed + r, featuresCol="_x", predictionCol="cluster_id", maxIter=300).fit(train_x)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
+        return model.summary.trainingCost, r, model
+
+    # The restarts are independent jobs: submitted together, they share the
+    # executors instead of queueing one small job after another.
+    with ThreadPoolExecutor(max_workers=restarts) as pool:
+        fits = list(pool.map(fit, range(restarts)))
+    best = min(fits, key=lambda t: (t[0], t[1]))[2]  # lowest cost, then first restart
     scored = best.transform(scaler.transform(raw).select("user_id", "_x"))
     return scored.select("user_id", F.col("cluster_id").cast("int").alias("cluster_id"))
 
@@ -122,22 +127,30 @@ def forest_cv(
     )
     test = _checkpoint(data.where(F.col("split") != "train").select("user_id", "features"), "forest-test")
     n_folds = folds.agg(F.max("fold")).first()[0] + 1
-    oof_parts, test_parts = [], []
-    for f in range(n_folds):
+
+    def fit_fold(f: int) -> tuple[DataFrame, DataFrame]:
         tr = train.where(F.col("fold") != f)
         tr = tr.join(_balanced_weights(tr), "target").withColumn("label", F.col("target").cast("double"))
         model = RandomForestClassifier(
             featuresCol="features", labelCol="label", weightCol="w", numTrees=num_trees,
             minInstancesPerNode=min_leaf, maxDepth=max_depth, featureSubsetStrategy="sqrt",
             seed=seed + f + 1,
-            # Execution settings only: more nodes split per pass over the
-            # data, and node ids cached (checkpointed every 10 levels) so
-            # deep trees do not re-route every row from the root.
-            maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
+            # Execution setting only: node ids cached (checkpointed every 10
+            # levels) so deep trees do not re-route every row from the root.
+            # The per-task statistics buffer stays at MLlib's default size,
+            # since fold fits run concurrently.
+            cacheNodeIds=True, checkpointInterval=10,
         ).fit(tr)
         va = _probs(model.transform(train.where(F.col("fold") == f)))
-        oof_parts.append(va.select("user_id", "target", "fold", *PROB_COLUMNS))
-        test_parts.append(_probs(model.transform(test)).select("user_id", *PROB_COLUMNS))
+        return va.select("user_id", "target", "fold", *PROB_COLUMNS), _probs(model.transform(test)).select(
+            "user_id", *PROB_COLUMNS
+        )
+
+    # Fold fits are independent; their jobs run side by side.
+    with ThreadPoolExecutor(max_workers=n_folds) as pool:
+        parts = list(pool.map(fit_fold, range(n_folds)))
+    oof_parts = [p[0] for p in parts]
+    test_parts = [p[1] for p in parts]
     oof = land(reduce(DataFrame.unionByName, oof_parts), "forest-oof")
     test_avg = reduce(DataFrame.unionByName, test_parts).groupBy("user_id").agg(
         *[(F.sum(c) / n_folds).alias(c) for c in PROB_COLUMNS]
