@@ -48,8 +48,9 @@ def subscription_calendar(props: DataFrame) -> DataFrame:
 
 def subscription_date_rank(props: DataFrame, users: DataFrame) -> DataFrame:
     """Percent rank of the start-date text within the split, ties averaged."""
+    p = land(properties_frame(props, users).select("user_id", "split", "subscription_start_date"), "properties-dates")
     ranked = with_percent_rank(
-        with_split(props, users).select("user_id", "split", "subscription_start_date"),
+        p,
         "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS,
     )
     return ranked.select("user_id", "sub_date_rank")
