@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lapse.session import shared_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffle_cleanup(spark: SparkSession):
+    """Plans built inside drop their shuffle files when their query ends."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
+def landing_root(spark: SparkSession) -> str:
+    """The folder of this application's landed tables."""
+    return f"{shared_dir(spark)}/lapse-tables/{spark.sparkContext.applicationId}"
+
 
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and return a scan of it.
@@ -17,16 +36,36 @@ def land(df: DataFrame, name: str) -> DataFrame:
     branches then read the landed table instead of each recomputing it from
     the (much larger) source, and a lost executor re-reads it instead of
     replaying the lineage. Every call writes a fresh folder, so DataFrames
-    built earlier keep reading their own copy.
+    built earlier keep reading their own copy. The shuffle files of the
+    writing query go as soon as it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lapse-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{landing_root(spark)}/{name}-{uuid.uuid4().hex}"
+    with _shuffle_cleanup(spark):
+        df.select("*").write.mode("overwrite").parquet(path)
     # The schema is known; reading it back needs no footer inference.
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.landed_path = path
+    return out
 
 
 def land_all(tables: list[tuple[DataFrame, str]]) -> list[DataFrame]:
     """``land`` several independent tables, their jobs submitted concurrently."""
     with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
         return list(pool.map(lambda t: land(*t), tables))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete landed tables that nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.landed_path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every table this application landed; frames built on them end."""
+    _delete(spark, landing_root(spark))
