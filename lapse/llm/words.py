@@ -10,8 +10,6 @@ working memory for very long texts.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 # Odd multipliers of the two polynomials and their mixers.
@@ -32,21 +30,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base**i`` and its inverse modulo 2**64 for i < n."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        p = np.full(n, b, dtype=np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
-    return out[0], out[1]
+_POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """As ``_powers``, cached by the next power of two of the length."""
+    """``base**i`` and its inverse modulo 2**64 for i < n (kept per process,
+    by the next power of two of the length)."""
     size = 1 << max(16, (n - 1).bit_length())
-    up, down = _powers(base, size)
+    if (base, size) not in _POWERS:
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            p = np.full(size, b, dtype=np.uint64)
+            p[0] = 1
+            out.append(np.cumprod(p, dtype=np.uint64))
+        _POWERS[base, size] = (out[0], out[1])
+    up, down = _POWERS[base, size]
     return up[:n], down[:n]
 
 
