@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,3 +36,9 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str = "left", limit:
     if right.limit(limit + 1).count() <= limit:
         right = F.broadcast(right)
     return left.join(right, on, how)
+
+
+def process_cache() -> dict:
+    """A dictionary that lives as long as the Python worker process, for what
+    is costly to load (tokenizers); tasks of one worker share it."""
+    return sys.__dict__.setdefault("_lapse_llm_cache", {})
