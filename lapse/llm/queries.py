@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import langid, mixing, packing, sharding, simhash, substring
+from lapse.llm import langid, licenses, mixing, packing, sharding, simhash, substring
 from lapse.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, labels and score of every document."""
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return langid.identify(read_table(spark, sf_dir, "documents"))
@@ -45,6 +50,6 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_substring, op5_packing, op7_langid, op9_simhash, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_substring, op5_packing, op6_licenses, op7_langid, op9_simhash, op10_sharding)}
 
 ORACLE_SQL: dict[str, str] = {}
