@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import langid, licenses, mixing, packing, sharding, simhash, substring
+from lapse.llm import langid, licenses, lm, mixing, packing, sharding, simhash, substring
 from lapse.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,12 +44,17 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and maximum-entropy scores of every document."""
+    return lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     out = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_substring, op5_packing, op6_licenses, op7_langid, op9_simhash, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_substring, op5_packing, op6_licenses, op7_langid, op8_lm, op9_simhash, op10_sharding)}
 
 ORACLE_SQL: dict[str, str] = {}
