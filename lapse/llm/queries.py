@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import langid, licenses, lm, mixing, packing, sharding, simhash, substring
+from lapse.llm import ann, langid, licenses, lm, mixing, packing, sharding, simhash, substring, topk
 from lapse.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +24,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 5 best inner products for every 50th vector."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left in every document after removal of repeated passages."""
     return substring.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10 approximate nearest neighbours for every 100th vector."""
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens packed into sequences of at most 1024."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
@@ -55,6 +65,30 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_substring, op5_packing, op6_licenses, op7_langid, op8_lm, op9_simhash, op10_sharding)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_mixing, op2_topk, op3_substring, op4_ann, op5_packing,
+        op6_licenses, op7_langid, op8_lm, op9_simhash, op10_sharding,
+    )
+}
+
+# Exact in SQL: integer scores of a brute-force search.
+ORACLE_SQL: dict[str, str] = {
+    "op2_topk": """
+        WITH q AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM q a JOIN q b ON a.vec_id <> b.vec_id
+            WHERE a.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
