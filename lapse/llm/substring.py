@@ -41,7 +41,7 @@ WIDTH = 35
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 SECOND_BASE = 0xD6E8FEB86659FD93
 REPEATED, DEALT = 1, 2  # flags: already seen twice; takes part by its hash
-FLUSH_ROWS = 1 << 20
+HELD_ROWS = 4096
 
 
 def anchor_starts(n_words: int, width: int) -> np.ndarray:
@@ -93,16 +93,13 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
         last = tuple(v[-1] for v in values[:-2]) if seen[-1] else None
         return known | (dealt & np.repeat(seen, np.diff(np.append(runs, len(changed))))), last
 
-    def packed(row: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((place, row))
-        row, place = row[order], (place[order] >> 2).astype("<u4")
-        edges = run_edges(row)
-        blobs = [place[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(row[edges[:-1]]), pa.array(blobs, pa.binary())], ["row", "places"])
+    def kept(values: list[np.ndarray], which: np.ndarray) -> pa.RecordBatch:
+        row, place = values[-2][which], (values[-1][which] >> 2).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(row), pa.array(place)], ["row", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
-        open_key, out, waiting = None, [], 0
+        open_key = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -111,28 +108,19 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
                 values = [np.concatenate([h, v]) for h, v in zip(held, values)]
             changed = np.logical_or.reduce([v[1:] != v[:-1] for v in values[:-2]])
             cut = int(np.flatnonzero(changed)[-1]) + 1 if changed.any() else 0
-            tail = [v[cut:] for v in values]
             # Hold the last run only while it may still be a single occurrence.
-            if len(tail[0]) > 4096:
+            if len(values[0]) - cut > HELD_ROWS:
                 cut = len(values[0])
             held = [v[cut:] for v in values]
             if cut:
-                keep, open_key = settle([v[:cut] for v in values], open_key)
-                out.append((values[-2][:cut][keep], values[-1][:cut][keep]))
-                waiting += int(keep.sum())
-            if waiting > FLUSH_ROWS:
-                yield packed(*[np.concatenate(x) for x in zip(*out)])
-                out, waiting = [], 0
+                which, open_key = settle([v[:cut] for v in values], open_key)
+                yield kept([v[:cut] for v in values], which)
         if held is not None and len(held[0]):
-            keep, _ = settle(held, open_key)
-            out.append((held[-2][keep], held[-1][keep]))
-            waiting += int(keep.sum())
-        if waiting:
-            yield packed(*[np.concatenate(x) for x in zip(*out)])
+            yield kept(held, settle(held, open_key)[0])
 
     dealt = rows.repartition(keys[0]).sortWithinPartitions(*keys)
-    found = dealt.select(*keys, "row", "place").mapInArrow(run, "row long, places binary")
-    return found.groupBy("row").agg(F.collect_list("places").alias("places"))
+    found = dealt.select(*keys, "row", "place").mapInArrow(run, "row long, place int")
+    return found.groupBy("row").agg(F.collect_list("place").alias("places"))
 
 
 def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -156,10 +144,6 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
     return raw.mapInArrow(run, "slot long, row long, place long")
 
 
-def _places(blobs) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, dtype="<u4") for b in blobs]).astype(np.int64)
-
-
 def _window_rows(touched: DataFrame, width: int) -> DataFrame:
     """(slot, second, row, place) of all full windows around repeated anchors."""
 
@@ -167,9 +151,9 @@ def _window_rows(touched: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             keys = column(batch, "row")
             parts = []
-            for i, (text, blobs) in enumerate(zip(batch.column("raw"), batch.column("places"))):
+            for i, (text, places) in enumerate(zip(batch.column("raw"), batch.column("places"))):
                 words = word_hashes(text.as_py() or b"")
-                starts = window_starts(np.unique(_places(blobs.as_py())), len(words), width)
+                starts = window_starts(np.unique(places.values.to_numpy()), len(words), width)
                 if len(starts):
                     hashes = [window_hashes(words, starts, width, base) for base in (WORD_BASE, SECOND_BASE)]
                     parts.append((*hashes, np.full(len(starts), keys[i]), starts))
@@ -181,31 +165,30 @@ def _window_rows(touched: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The documents (landed) with ``__starts``: starts of their repeated
-    windows as packed 32-bit numbers, null where there are none."""
+    """The documents with ``__starts``: starts of their repeated windows, null
+    where they have no repeated anchor."""
     if width < PERIOD + 1:
         raise ValueError(f"a window needs more than {PERIOD} words")
     anchors = _repeated(_anchor_rows(docs, width), ["slot"])
     anchors = land(anchors.select(F.col("row").alias("__key"), F.col("places").alias("__anchors")), "substring-anchors")
     key = F.xxhash64(docs["doc_id"], docs["text"])
-    marked = docs.join(anchors, key == F.col("__key"), "left").drop("__key")
-    texts = land(marked.withColumn("__row", F.monotonically_increasing_id()), "substring-texts")
-    touched = texts.where("__anchors is not null")
+    touched = docs.join(anchors, key == F.col("__key")).drop("__key").withColumn("__row", F.monotonically_increasing_id())
+    touched = land(touched, "substring-touched")
     raw = touched.select(F.col("__row").alias("row"), F.col("text").cast("binary").alias("raw"), F.col("__anchors").alias("places"))
     windows = _repeated(_window_rows(raw, width), ["slot", "second"])
     windows = land(windows.select(F.col("row").alias("__at"), F.col("places").alias("__starts")), "substring-windows")
-    found = touched.drop("__anchors").join(windows, F.col("__row") == F.col("__at"), "left").drop("__at")
-    clean = texts.where("__anchors is null").drop("__anchors").withColumn("__starts", F.lit(None).cast("array<binary>"))
-    return found.drop("__row").unionByName(clean.drop("__row"))
+    found = touched.drop("__anchors").join(windows, F.col("__row") == F.col("__at"), "left").drop("__at", "__row")
+    clean = docs.join(anchors.select("__key"), key == F.col("__key"), "left_anti")
+    return found.unionByName(clean.withColumn("__starts", F.lit(None).cast("array<int>")))
 
 
-def kept_words(raw: bytes, starts: list[bytes] | None, width: int) -> tuple[int, list[bytes]]:
+def kept_words(raw: bytes, starts: np.ndarray | None, width: int) -> tuple[int, list[bytes]]:
     """Number of words, and the words outside the windows."""
     words = raw.split()
-    if not starts:
+    if starts is None or not len(starts):
         return len(words), words
     edge = np.zeros(len(words) + 1, dtype=np.int64)
-    at = np.unique(_places(starts))
+    at = np.unique(starts)
     edge[at] += 1
     edge[at + width] -= 1
     kept = np.flatnonzero(np.cumsum(edge)[:-1] == 0)
@@ -219,7 +202,7 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         for batch in batches:
             counts, removed, shas = [], [], []
             for raw, starts in zip(batch.column("raw"), batch.column("starts")):
-                n, kept = kept_words(raw.as_py() or b"", starts.as_py(), width)
+                n, kept = kept_words(raw.as_py() or b"", starts.values.to_numpy() if starts.is_valid else None, width)
                 counts.append(n)
                 removed.append(n - len(kept))
                 shas.append(hashlib.sha256(b" ".join(kept)).hexdigest())
@@ -239,7 +222,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     @F.pandas_udf(T.StringType())
     def cut(raw, starts):
-        return raw.combine(starts, lambda r, s: b" ".join(kept_words(bytes(r), list(s), width)[1]).decode("utf-8", "replace"))
+        return raw.combine(starts, lambda r, s: b" ".join(kept_words(bytes(r), s, width)[1]).decode("utf-8", "replace"))
 
     marked = repeated_windows(docs, width)
     same, changed = marked.where("__starts is null"), marked.where("__starts is not null")

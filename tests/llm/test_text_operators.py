@@ -86,10 +86,11 @@ def test_remove_repeats_keeps_clean_documents_and_columns(spark):
     assert after["8"].text == ""
 
 
-def test_substring_many_copies_in_many_batches(spark):
+def test_substring_many_copies_in_many_batches(spark, monkeypatch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         rows = [(i, passage(50, 9) if i % 3 else passage(50, 100 + i), "en", "a") for i in range(200)]
+        monkeypatch.setattr(substring, "HELD_ROWS", 5)
         got = {r.doc_id: r.n_removed for r in substring.digests(docs(spark, rows)).collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
