@@ -8,22 +8,25 @@ compare with the oracle independent of summation order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.operators.keys import require_unique
+from lapse.operators.materialize import land, landing_root
+from lapse.operators.spine import USER_KEY, attach
 from lapse.plans import activity as act
 from lapse.plans import assemble, encode, model, quality, report
-from lapse.operators.keys import require_unique
-from lapse.operators.materialize import land
-from lapse.operators.spine import attach
-from lapse.sources.staging import staging_base
-from lapse.streaming.activity import activity_incremental
 from lapse.plans import onboarding, payments as pay, properties as props
 from lapse.plans import purchases as purch
-from lapse.sources.staging import staged_inputs
+from lapse.sources import csv as raw_csv
+from lapse.sources import sinks
+from lapse.sources.fixtures import generations_of, load_inputs
+from lapse.sources.tables import read_table
+from lapse.streaming.activity import activity_incremental
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -36,22 +39,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(fn(staged_inputs(spark, sf_dir)))
+        return rounded(fn(load_inputs(spark, sf_dir)))
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
 
 
+def _cards(i) -> DataFrame:
+    return pay.card_table(pay.classify_attempts(i.tx, i.purchases))
+
+
 def _attrib(i) -> DataFrame:
-    """Attributed failures through the per-card table (landed), as in the
-    full payment features: attempts are classified once per side."""
-    attempts = pay.classify_attempts(i.tx, i.purchases, i.users)
-    return pay.failure_table(attempts, pay.user_cards(attempts, materialize=True))
+    """Attributed failures through the landed card table, as in the full
+    payment features: attempts are read and classified once."""
+    return pay.failures_from_cards(_cards(i))
 
 
-# Activity sub-queries: each reads the per-user activity table (Catalyst
-# prunes the aggregates a query does not select).
+# Activity sub-queries: each computes the slot sums that its features need.
 ACTIVITY_GROUPS = {
     "gen_status_counts": ["gen_total", "gen_completed", "gen_failed", "gen_nsfw", "gen_canceled"],
     "gen_credits": ["gen_total_credits", "gen_avg_credits", "gen_video_count", "gen_image_count",
@@ -68,28 +73,28 @@ ACTIVITY_GROUPS = {
 
 
 def _act(cols: list[str]) -> Query:
-    return _q(lambda i: act.activity_table(i.generations, i.users).select("user_id", *cols))
+    return _q(lambda i: act.activity_table(i.generations, i.users, columns=tuple(cols)))
 
 
 def _countries(i) -> DataFrame:
-    return require_unique(i.props, "user_id", "properties").select("user_id", "country_code")
+    return require_unique(i.props, "properties").select(*USER_KEY, "country_code")
 
 
 def _cat_frame(i) -> DataFrame:
     """Users with the categorical model inputs (country, card, quiz answers)."""
-    attempts = pay.classify_attempts(i.tx, i.purchases, i.users)
-    cards = pay.risk_table(attempts).select("user_id", "tx_card_brand", "tx_card_funding")
+    cards = pay.risk_from_cards(_cards(i)).select(*USER_KEY, "tx_card_brand", "tx_card_funding")
     blocks = [_countries(i), cards, onboarding.quiz_table(i.quizzes)]
     fills = {**pay.payment_fills(), **onboarding.quiz_fills()}
-    merged = assemble.merge_features(i.users, blocks)
+    merged = assemble.merge_features(require_unique(i.users, "users"), blocks)
     keep = ["tx_card_brand", "tx_card_funding", *onboarding.QUIZ_COLUMNS]
-    return merged.select(*i.users.columns, "country_code", *[fills[c].alias(c) for c in keep])
+    # Landed: the category counts, the dictionaries and the coding read it.
+    return land(merged.select(*i.users.columns, "country_code", *[fills[c].alias(c) for c in keep]), "categoricals")
 
 
 def _country_frame(i) -> DataFrame:
     """(user, split, label, cleaned country), landed: the label indexer, the
     target encoding's branches and the report branches all read it."""
-    return land(encode.clean_categoricals(i.users.join(_countries(i), "user_id", "left")), "country-frame")
+    return land(encode.clean_categoricals(i.users.join(_countries(i), list(USER_KEY), "left")), "country-frame")
 
 
 def _te(i) -> DataFrame:
@@ -98,13 +103,13 @@ def _te(i) -> DataFrame:
 
 
 def _prior(i) -> DataFrame:
-    """Country-prior baseline scores, decided, with the train targets."""
+    """Weighted country-prior scores, decided, with the train targets."""
     frame = _country_frame(i)
     lab = encode.label_index(frame)
     te = encode.target_encoding(lab, frame.where(F.col("split") != "train"))
-    decided = report.decide(report.prior_scores(te))
+    decided = report.decide(report.prior_scores(te, encode.class_names(frame)))
     # Landed: every report aggregates these scores in several branches.
-    return land(decided.join(lab.select("user_id", "target"), "user_id", "left"), "prior-scores")
+    return land(decided.join(lab.select(*USER_KEY, "target"), list(USER_KEY), "left"), "prior-scores")
 
 
 def _prior_train(i) -> DataFrame:
@@ -115,44 +120,131 @@ def _prior_test(i) -> DataFrame:
     return _prior(i).where(F.col("split") != "train")
 
 
-def _cluster_sizes(i) -> DataFrame:
-    feats = land(assemble.user_features(i), "user-features")
-    return model.cluster_sizes(feats, model.cluster_ids(feats))
+def _submission(i) -> DataFrame:
+    """The submission of the test users, written by the CSV sink and read back."""
+    path = f"{landing_root(i.users.sparkSession)}/submission-{uuid.uuid4().hex}"
+    sinks.write_submission(_prior_test(i), path)
+    return i.users.sparkSession.read.option("header", True).schema("user_id long, churn_status string").csv(path)
+
+
+def _submission_detailed(i) -> DataFrame:
+    path = f"{landing_root(i.users.sparkSession)}/submission-detailed-{uuid.uuid4().hex}"
+    decided = _prior_test(i)
+    sinks.write_submission_detailed(decided, path)
+    schema = report.submission_detailed(decided).schema
+    return i.users.sparkSession.read.option("header", True).schema(schema).csv(path)
+
+
+_RAW: dict[tuple[str, str], object] = {}
+
 
+def _csv(table: str) -> Query:
+    """A view written in the raw CSV layout and read back (written once per
+    application and input folder)."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _RAW:
+            root = f"{landing_root(spark)}/raw-csv-{uuid.uuid4().hex}"
+            raw_csv.write_raw_dir(load_inputs(spark, sf_dir), root)
+            _RAW[key] = raw_csv.load_raw_dir(spark, root)
+        return rounded(getattr(_RAW[key], table))
+
+    return run
+
+
+_PREPARED: dict[tuple[str, str], model.ModelData] = {}
 _FITTED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
-def _forest_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Forest CV outputs for these inputs, fitted once per process (the
-    outputs are landed tables, so later queries read them)."""
-    key = (spark.sparkContext.applicationId, staging_base(spark, sf_dir))
-    if key not in _FITTED:
-        i = staged_inputs(spark, sf_dir)
+def _prepared(spark: SparkSession, sf_dir: str) -> model.ModelData:
+    """Features, clusters, encodings and folds of these inputs, prepared once
+    per process (features and clusters are landed tables)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PREPARED:
+        i = load_inputs(spark, sf_dir)
         # The feature table feeds the scaler, k-means, both indexers, the
         # target encoding and the model matrix: land it once.
         feats = land(assemble.user_features(i), "user-features")
-        clusters = model.cluster_ids(feats)
-        frame = encode.model_frame(feats, clusters)
-        folds = encode.stratified_folds(encode.label_index(i.users))
-        _FITTED[key] = model.forest_cv(frame, folds)
+        _PREPARED[key] = model.prepare_model_data(feats, i.users)
+    return _PREPARED[key]
+
+
+def _forest_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Forest CV outputs (landed tables), fitted once per process."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        data = _prepared(spark, sf_dir)
+        _FITTED[key] = model.forest_cv(data.frame, data.folds, data.class_names)
     return _FITTED[key]
 
 
-def _oof_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(report.decide(_forest_for(spark, sf_dir)[0]))
+def _model(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(fn(_prepared(spark, sf_dir)))
+
+    return run
+
+
+def _oof(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(fn(report.decide(_forest_for(spark, sf_dir)[0])))
+
+    return run
+
+
+def _tested(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(fn(report.decide(_forest_for(spark, sf_dir)[1])))
+
+    return run
+
+
+def _whole(scored: DataFrame) -> list:
+    """Checks every scored row must pass, as counts."""
+    total = sum((F.col(c) for c in report.prob_columns(scored)), F.lit(0.0))
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.abs(total - 1) < 1e-6).alias("n_sum_to_one"),
+        F.count_if(F.col("confidence") == F.greatest(*report.prob_columns(scored))).alias("n_confidence_is_max"),
+    ]
+
+
+def _oof_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every train user scored once, in the fold it was dealt."""
+    oof = report.decide(_forest_for(spark, sf_dir)[0])
+    folds = _prepared(spark, sf_dir).folds.select(*USER_KEY, F.col("fold").alias("_dealt"))
+    joined = oof.join(folds, list(USER_KEY))
+    per_user = joined.withColumn("_one", F.lit(1)).groupBy(*USER_KEY).agg(
+        *[F.sum("_one").alias("_n"), *[F.first(c).alias(c) for c in ("fold", "_dealt", "confidence", *report.prob_columns(oof))]]
+    )
+    once = F.count_if((F.col("fold") == F.col("_dealt")) & (F.col("_n") == 1)).alias("n_once_in_fold")
+    return per_user.agg(*_whole(oof), once)
+
+
+def _cluster_coverage(data: model.ModelData) -> DataFrame:
+    """Every user has one cluster id, below the number of clusters."""
+    c = data.clusters
+    return c.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if((F.col("cluster_id") >= 0) & (F.col("cluster_id") < model.MAX_CLUSTERS)).alias("n_valid"),
+    )
 
 
-def _test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(report.submission_detailed(report.decide(_forest_for(spark, sf_dir)[1])))
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    types = purch.purchase_types(i.purchases)
+    data = _prepared(spark, sf_dir)
+    stages = assemble.build_tables(i, types)
+    return quality.stage_shapes({**stages, "features": data.features, "encoded": data.frame})
 
 
 def _activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity features through the incremental (streaming) path."""
-    i = staged_inputs(spark, sf_dir)
-    path = f"{staging_base(spark, sf_dir)}/generations"
-    table = activity_incremental(spark, path, i.users, i.generations.schema)
-    return rounded(attach(i.users.select("user_id"), table))
+    i = load_inputs(spark, sf_dir)
+    events = read_table(spark, sf_dir, "events")
+    table = activity_incremental(spark, f"{sf_dir.rstrip('/')}/events.parquet", i.users, events.schema, view=generations_of)
+    return rounded(attach(i.users.select(*USER_KEY), table))
 
 
 QUERIES: dict[str, Query] = {
@@ -160,36 +252,36 @@ QUERIES: dict[str, Query] = {
     "purchase_type_counts": _q(lambda i: purch.purchase_type_counts(i.purchases)),
     "purchase_span": _q(lambda i: purch.purchase_span(i.purchases)),
     "purchases_features": _q(lambda i: purch.purchase_features(i.purchases, i.users)),
-    "country_frequency": _q(lambda i: props.country_frequency(i.props, i.users)),
+    "country_frequency": _q(lambda i: props.country_frequency(i.props)),
     "subscription_calendar": _q(lambda i: props.subscription_calendar(i.props)),
-    "subscription_date_rank": _q(lambda i: props.subscription_date_rank(i.props, i.users)),
-    "properties_features": _q(lambda i: props.properties_features(i.props, i.users)),
+    "subscription_date_rank": _q(lambda i: props.subscription_date_rank(i.props)),
+    "properties_features": _q(lambda i: props.properties_features(i.props)),
     "quiz_features": _q(lambda i: onboarding.quiz_features(i.quizzes, i.users)),
-    "tx_success": _q(lambda i: pay.tx_success(i.tx, i.purchases, i.users)),
-    "tx_failed": _q(lambda i: pay.tx_failed(i.tx, i.purchases, i.users)),
-    "card_risk": _q(lambda i: pay.card_risk(pay.tx_success(i.tx, i.purchases, i.users))),
-    "country_mismatch": _q(lambda i: pay.country_mismatch(pay.tx_success(i.tx, i.purchases, i.users))),
-    "card_mode": _q(lambda i: pay.card_mode(pay.tx_success(i.tx, i.purchases, i.users))),
-    "fingerprint_users": _q(lambda i: pay.fingerprint_user_counts(pay.tx_success(i.tx, i.purchases, i.users))),
+    "tx_success": _q(lambda i: pay.tx_success(i.tx, i.purchases)),
+    "tx_failed": _q(lambda i: pay.tx_failed(i.tx, i.purchases)),
+    "card_risk": _q(lambda i: pay.card_risk(pay.tx_success(i.tx, i.purchases))),
+    "country_mismatch": _q(lambda i: pay.country_mismatch(pay.tx_success(i.tx, i.purchases))),
+    "card_mode": _q(lambda i: pay.card_mode(pay.tx_success(i.tx, i.purchases))),
+    "fingerprint_users": _q(lambda i: pay.fingerprint_user_counts(pay.tx_success(i.tx, i.purchases))),
     "failure_attribution": _q(
-        lambda i: _attrib(i).select("user_id", "tx_fail_count_weighted", "tx_fail_count_raw")
+        lambda i: _attrib(i).select(*USER_KEY, "tx_fail_count_weighted", "tx_fail_count_raw")
     ),
-    "failure_by_code": _q(lambda i: _attrib(i).select("user_id", *[f"fail_{c}" for c in pay.FAILURE_CODES])),
+    "failure_by_code": _q(lambda i: _attrib(i).select(*USER_KEY, *[f"fail_{c}" for c in pay.FAILURE_CODES])),
     "payments_features": _q(lambda i: pay.payment_features(i.tx, i.purchases, i.users)),
     **{name: _act(cols) for name, cols in ACTIVITY_GROUPS.items()},
     "activity_features": _q(lambda i: act.activity_features(i.generations, i.users)),
     "activity_features_incremental": _activity_stream,
     "stage_report": _q(quality.stage_report),
-    "align_splits": _q(lambda i: purch.purchase_types_by_split(i.purchases, i.users)),
+    "align_splits": _q(lambda i: purch.purchase_types_by_split(i.purchases)),
     "user_features": _q(assemble.user_features),
     "interactions": _q(
         lambda i: assemble.add_interactions(assemble.merged_features(i)).select(
-            "user_id", *assemble.INTERACTIONS
+            *USER_KEY, *assemble.INTERACTIONS
         )
     ),
-    "label_index": _q(lambda i: encode.label_index(i.users).select("user_id", "churn_status", "target")),
+    "label_index": _q(lambda i: encode.label_index(i.users).select(*USER_KEY, "churn_status", "target")),
     "category_codes": _q(
-        lambda i: encode.category_codes(_cat_frame(i)).select("user_id", "split", *encode.CAT_FEATURES)
+        lambda i: encode.category_codes(_cat_frame(i)).select(*USER_KEY, *encode.CAT_FEATURES)
     ),
     "target_encoding": _q(_te),
     "stratified_folds": _q(lambda i: encode.stratified_folds(encode.label_index(i.users))),
@@ -202,12 +294,25 @@ QUERIES: dict[str, Query] = {
     "churn_share": _q(lambda i: report.churn_share(_prior_test(i))),
     "top_confident_users": _q(lambda i: report.top_confident(_prior_test(i))),
     "top_users_display": _q(lambda i: report.display_top(report.top_confident(_prior_test(i)))),
-    "cluster_sizes": _q(lambda i: _cluster_sizes(i)),
-    "oof_predictions": _oof_predictions,
-    "test_predictions": _test_predictions,
+    "submission": _q(_submission),
+    "submission_detailed": _q(_submission_detailed),
+    **{f"csv_{table}": _csv(table) for table in raw_csv.FILES},
+    "stage_shapes": _shapes,
+    "feature_preview": _model(lambda d: model.feature_preview(d.frame)),
+    "scaled_features": _model(lambda d: model.scaled_features(d.features)),
+    "class_weights": _model(lambda d: model.class_weights(encode.label_index(d.features))),
+    "cluster_sizes": _model(lambda d: model.cluster_sizes(d.features, d.clusters)),
+    "cluster_coverage": _model(_cluster_coverage),
+    "oof_predictions": _oof(lambda d: d),
+    "oof_coverage": _oof_coverage,
+    "forest_confusion": _oof(report.confusion_matrix),
+    "forest_macro_f1": _oof(report.macro_f1),
+    "test_predictions": _tested(report.submission_detailed),
+    "test_coverage": _tested(lambda d: d.agg(*_whole(d))),
+    "forest_distribution": _tested(report.prediction_distribution),
     "clip_log": _q(
         lambda i: assemble.user_features(i).select(
-            "user_id", *assemble.CLIP_RULES, *[f"{c}_log" for c in assemble.LOG_COLUMNS]
+            *USER_KEY, *assemble.CLIP_RULES, *[f"{c}_log" for c in assemble.LOG_COLUMNS]
         )
     ),
 }

@@ -14,8 +14,12 @@ def _c(col: Column | str) -> Column:
 
 
 def to_number(col: Column | str) -> Column:
-    """Parse text to double; unparseable text becomes null (never an error)."""
-    return _c(col).try_cast("double")
+    """Parse text to double; text that is no number becomes null (never an
+    error): also ``nan``, and the type suffixes that a Java parse admits."""
+    c = _c(col)
+    suffixed = c.cast("string").rlike(r"[0-9.][dDfF]\s*$")
+    number = F.when(~suffixed, c).try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
@@ -42,8 +46,3 @@ def clip(col: Column | str, lo: float | None, hi: float | None) -> Column:
 def log1p_pos(col: Column | str) -> Column:
     """``log1p(max(x, 0))``; null stays null."""
     return F.log1p(clip(col, 0, None))
-
-
-def flag(cond: Column) -> Column:
-    """Boolean condition as 0/1 int."""
-    return cond.cast("int")

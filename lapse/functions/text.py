@@ -23,10 +23,6 @@ def column_suffix(value: Column | str) -> Column:
     return F.replace(F.lower(c), F.lit(" "), F.lit("_"))
 
 
-def suffix_text(value: str) -> str:
-    return value.lower().replace(" ", "_")
-
-
 def _as_text(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     dtype = df.schema[name].dataType

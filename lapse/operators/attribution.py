@@ -27,29 +27,29 @@ def users_per_fingerprint(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.groupBy(*keys, "fingerprint").agg(F.count(F.lit(1)).alias("n_users"))
 
 
-def attribute_failures(
-    success_fp: DataFrame,
-    failed_fp: DataFrame,
-    keys: list[str],
-    codes: tuple[str, ...] = (),
-    code_col: str = "failure_code",
-) -> DataFrame:
-    """Per user: weighted and raw failure counts, and weighted counts per code.
-
-    Output columns: user_id, tx_fail_count_weighted, tx_fail_count_raw,
-    fail_<code> for each code. Users without matched failures are absent.
-    """
-    pairs = fingerprint_users(success_fp, keys)
-    n = users_per_fingerprint(pairs, keys)
+def failures_per_fingerprint(failed_fp: DataFrame, keys: list[str], codes: tuple[str, ...] = (), code_col: str = "failure_code") -> DataFrame:
+    """Failed attempts per fingerprint: ``n_fail`` and ``n_<code>`` of each code."""
     code = F.coalesce(F.col(code_col), F.lit("unknown"))
-    fails = failed_fp.groupBy(*keys, "fingerprint").agg(
-        F.count(F.lit(1)).alias("_c"), *[F.count_if(code == c).alias(f"_c_{c}") for c in codes]
+    return failed_fp.groupBy(*keys, "fingerprint").agg(
+        F.count(F.lit(1)).alias("n_fail"), *[F.count_if(code == c).alias(f"n_{c}") for c in codes]
     )
-    stats = fails.join(n, [*keys, "fingerprint"])
-    matched = pairs.join(stats, [*keys, "fingerprint"])
+
+
+def attribute_counts(pairs: DataFrame, fails: DataFrame, keys: list[str], codes: tuple[str, ...] = ()) -> DataFrame:
+    """Per (keys..., user): weighted and raw failure counts, and weighted
+    counts per code, from distinct (fingerprint, user) pairs and failures per
+    fingerprint. Users without matched failures are absent."""
+    n = users_per_fingerprint(pairs, keys)
+    matched = pairs.join(fails.join(n, [*keys, "fingerprint"]), [*keys, "fingerprint"])
     w = F.lit(1.0) / F.col("n_users")
-    return matched.groupBy("user_id").agg(
-        F.sum(F.col("_c") * w).alias("tx_fail_count_weighted"),
-        F.sum("_c").alias("tx_fail_count_raw"),
-        *[F.sum(F.col(f"_c_{c}") * w).alias(f"fail_{c}") for c in codes],
+    return matched.groupBy(*keys, "user_id").agg(
+        F.sum(F.col("n_fail") * w).alias("tx_fail_count_weighted"),
+        F.sum("n_fail").alias("tx_fail_count_raw"),
+        *[F.sum(F.col(f"n_{c}") * w).alias(f"fail_{c}") for c in codes],
     )
+
+
+def attribute_failures(success_fp: DataFrame, failed_fp: DataFrame, keys: list[str], codes: tuple[str, ...] = ()) -> DataFrame:
+    """``attribute_counts`` from rows of successful and failed attempts."""
+    fails = failures_per_fingerprint(failed_fp, keys, codes)
+    return attribute_counts(fingerprint_users(success_fp, keys), fails, keys, codes)

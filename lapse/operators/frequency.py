@@ -16,11 +16,3 @@ def frequency_share(df: DataFrame, value: str, by: list[str] | tuple[str, ...] =
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(*by)) if by else F.sum("_n").over(Window.partitionBy())
     return counts.select(*by, value, (F.col("_n") / total).alias(out))
-
-
-def value_counts(df: DataFrame, value: str, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Rows per value with the share of the group total (nulls counted as a value)."""
-    by = list(by)
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(w))

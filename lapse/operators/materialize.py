@@ -7,9 +7,14 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lapse.session import shared_dir
 
+# Called with (name, DataFrame) before a table is landed, by plan reports and
+# tests that look at the landing jobs.
+observers: list = []
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -41,6 +46,8 @@ def land(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{landing_root(spark)}/{name}-{uuid.uuid4().hex}"
+    for observer in observers:
+        observer(name, df)
     with _shuffle_cleanup(spark):
         df.select("*").write.mode("overwrite").parquet(path)
     # The schema is known; reading it back needs no footer inference.
@@ -55,6 +62,14 @@ def land_all(tables: list[tuple[DataFrame, str]]) -> list[DataFrame]:
         return list(pool.map(lambda t: land(*t), tables))
 
 
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "left", limit: int = 100_000) -> DataFrame:
+    """Join a landed table, broadcast only when it has at most ``limit`` rows;
+    beyond that the join is left to the optimizer (shuffle, skew splitting)."""
+    if right.limit(limit + 1).count() <= limit:
+        right = F.broadcast(right)
+    return left.join(right, on, how)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

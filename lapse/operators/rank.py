@@ -4,12 +4,12 @@
 divided by the number of non-null values; null stays null.
 
 Plan: (1) distinct values with their counts (partial aggregation absorbs a
-hot value); (2) a coarse bucket per value -- a prefix of the text, which is
-monotone in the string order -- with per-bucket totals and their running
-offsets (a table of at most one row per bucket); (3) running counts inside
-each bucket, windowed by bucket; (4) the rank of each distinct value is
-bucket offset + offset in bucket + (ties + 1) / 2. Only (2) orders a whole
-partition, and it holds one row per bucket.
+hot value); (2) coarse buckets per value -- prefixes of the text, which are
+monotone in the string order -- in one or more levels, with totals per bucket
+and their running offsets inside the bucket one level up; (3) running counts
+inside each finest bucket; (4) the rank of each distinct value is the sum of
+the offsets + (ties + 1) / 2. No window orders more than the buckets inside
+one bucket of the level above.
 """
 
 from __future__ import annotations
@@ -21,33 +21,36 @@ _PRE = Window.unboundedPreceding
 
 
 def percent_rank_table(
-    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", bucket_chars: int = 10
+    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", bucket_chars: int | tuple[int, ...] = 10
 ) -> DataFrame:
     """One row per (by..., distinct non-null value) with its percent rank."""
     by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_b", F.substring(F.col(value).cast("string"), 1, bucket_chars))
-    )
-    buckets = counts.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
-    wb = Window.partitionBy(*by).orderBy("_b")
-    buckets = buckets.select(
-        *by,
-        "_b",
-        F.coalesce(F.sum("_bc").over(wb.rowsBetween(_PRE, -1)), F.lit(0)).alias("_boff"),
-        F.sum("_bc").over(Window.partitionBy(*by)).alias("_n"),
-    )
-    wv = Window.partitionBy(*by, "_b").orderBy(value).rowsBetween(_PRE, -1)
-    counts = counts.withColumn("_voff", F.coalesce(F.sum("_c").over(wv), F.lit(0)))
-    ranked = counts.join(buckets, [*by, "_b"])
-    pct = (F.col("_boff") + F.col("_voff") + (F.col("_c") + 1) / 2.0) / F.col("_n")
-    return ranked.select(*by, value, pct.alias(out))
+    levels = (bucket_chars,) if isinstance(bucket_chars, int) else tuple(bucket_chars)
+    names = [f"_b{j}" for j in range(len(levels))]
+    prefix = {n: F.substring(F.col(value).cast("string"), 1, chars) for n, chars in zip(names, levels)}
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")).withColumns(prefix)
+
+    def offsets(table: DataFrame, outer: list[str], order: str, total: str, name: str) -> DataFrame:
+        before = F.sum(total).over(Window.partitionBy(*by, *outer).orderBy(order).rowsBetween(_PRE, -1))
+        return table.withColumn(name, F.coalesce(before, F.lit(0)))
+
+    ranked = offsets(counts, names, value, "_c", "_voff")
+    finest = counts.groupBy(*by, *names).agg(F.sum("_c").alias("_t"))
+    for j in reversed(range(len(levels))):
+        keys = names[: j + 1]
+        table = finest.groupBy(*by, *keys).agg(F.sum("_t").alias("_t"))
+        ranked = ranked.join(offsets(table, keys[:-1], keys[-1], "_t", f"_off{j}").drop("_t"), [*by, *keys])
+    totals = finest.groupBy(*by).agg(F.sum("_t").alias("_n")) if by else None
+    if totals is None:
+        ranked = ranked.withColumn("_n", F.lit(finest.agg(F.sum("_t")).first()[0]))
+    else:
+        ranked = ranked.join(totals, by)
+    start = sum((F.col(f"_off{j}") for j in range(len(levels))), F.col("_voff"))
+    return ranked.select(*by, value, ((start + (F.col("_c") + 1) / 2.0) / F.col("_n")).alias(out))
 
 
 def with_percent_rank(
-    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", bucket_chars: int = 10
+    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", bucket_chars: int | tuple[int, ...] = 10
 ) -> DataFrame:
     """``df`` plus its percent-rank column (left join on the distinct values)."""
     table = percent_rank_table(df, value, by, out, bucket_chars)

@@ -39,13 +39,24 @@ def day_number(col: str) -> str:
     return f"({m} * 31 + {d} + {h} / 24.0)"
 
 
+def number(x: str) -> str:
+    """Text as a double; no number or NaN is missing."""
+    return f"NULLIF(TRY_CAST({x} AS DOUBLE), 'nan'::DOUBLE)"
+
+
+def same_user(a: str, b: str) -> str:
+    """A user is a (split, id) pair."""
+    return f"{a}.split = {b}.split AND {a}.user_id = {b}.user_id"
+
+
 def cnt(cond: str) -> str:
     return f"COUNT(*) FILTER (WHERE {cond})"
 
 
 # ---------------------------------------------------------------- purchases
 
-PURCHASE_TYPES = ("credits_package", "subscription_create", "subscription_update")
+# The types that occur in the fixture.
+PURCHASE_TYPES = ("credits_package", "gift_card", "subscription_create", "subscription_update")
 
 _PURCH_SUMMARY = """
   COUNT(transaction_id) AS total_purchases,
@@ -66,27 +77,27 @@ _PURCH_SPAN = f"  MAX({day_number('purchase_time')}) - MIN({day_number('purchase
 
 def purchase_summary() -> str:
     return with_fixtures() + f"""
-SELECT user_id, total_purchases, {rnd('total_spend', 'total_spend')}, {rnd('avg_purchase_amount', 'avg_purchase_amount')},
+SELECT split, user_id, total_purchases, {rnd('total_spend', 'total_spend')}, {rnd('avg_purchase_amount', 'avg_purchase_amount')},
        {rnd('max_purchase', 'max_purchase')}, {rnd('min_purchase', 'min_purchase')}, n_purchase_types
-FROM (SELECT user_id, {_PURCH_SUMMARY} FROM purchases GROUP BY user_id) a"""
+FROM (SELECT split, user_id, {_PURCH_SUMMARY} FROM purchases GROUP BY split, user_id) a"""
 
 
 def purchase_type_counts() -> str:
-    return with_fixtures() + f"SELECT user_id,\n{_PURCH_TYPES}\nFROM purchases GROUP BY user_id"
+    return with_fixtures() + f"SELECT split, user_id,\n{_PURCH_TYPES}\nFROM purchases GROUP BY split, user_id"
 
 
 def purchase_span() -> str:
     return with_fixtures() + f"""
-SELECT user_id, {rnd('days_between_first_last', 'days_between_first_last')}
-FROM (SELECT user_id,\n{_PURCH_SPAN}\nFROM purchases GROUP BY user_id) a"""
+SELECT split, user_id, {rnd('days_between_first_last', 'days_between_first_last')}
+FROM (SELECT split, user_id,\n{_PURCH_SPAN}\nFROM purchases GROUP BY split, user_id) a"""
 
 
 PURCHASE_FEATURE_CTE = f"""purch_agg AS (
-SELECT user_id, {_PURCH_SUMMARY},
+SELECT split, user_id, {_PURCH_SUMMARY},
 {_PURCH_TYPES},
 {_PURCH_SPAN},
   1 AS has_purchases
-FROM purchases GROUP BY user_id)"""
+FROM purchases GROUP BY split, user_id)"""
 
 PURCHASE_FEATURES = [
     ("total_purchases", "int"), ("total_spend", "dbl"), ("avg_purchase_amount", "dbl"),
@@ -105,15 +116,15 @@ def filled(alias: str, cols, fill: str = "0") -> list[str]:
 
 
 def purchases_features() -> str:
-    sel = ",\n  ".join(["u.user_id", *filled("p", PURCHASE_FEATURES)])
+    sel = ",\n  ".join(["u.split", "u.user_id", *filled("p", PURCHASE_FEATURES)])
     return with_fixtures(PURCHASE_FEATURE_CTE) + f"""
 SELECT {sel}
-FROM users u LEFT JOIN purch_agg p ON u.user_id = p.user_id"""
+FROM users u LEFT JOIN purch_agg p ON {same_user('u', 'p')}"""
 
 
 # ---------------------------------------------------------------- properties
 
-PROPS_SPLIT_CTE = "pr AS (SELECT p.*, u.split FROM props p JOIN users u ON p.user_id = u.user_id)"
+PROPS_SPLIT_CTE = "pr AS (SELECT * FROM props)"
 
 
 def _cal_parts(col: str) -> dict[str, str]:
@@ -146,7 +157,7 @@ SELECT split, country_code, COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY split) A
 FROM pr WHERE country_code IS NOT NULL GROUP BY split, country_code)"""
 
 PROPS_FEATURE_CTE = f"""props_feat AS (
-SELECT pr.user_id, pr.subscription_plan, pr.country_code, cf.country_freq,
+SELECT pr.split, pr.user_id, pr.subscription_plan, pr.country_code, cf.country_freq,
        {_calendar_select('pr.subscription_start_date')},
        {RANK_EXPR.replace('subscription_start_date', 'pr.subscription_start_date').replace('PARTITION BY split', 'PARTITION BY pr.split')} AS sub_date_rank
 FROM pr LEFT JOIN cfreq cf ON pr.split = cf.split AND pr.country_code = cf.country_code)"""
@@ -157,26 +168,26 @@ def country_frequency() -> str:
 
 
 def subscription_calendar() -> str:
-    return with_fixtures() + f"SELECT user_id, {_calendar_select()} FROM props"
+    return with_fixtures() + f"SELECT split, user_id, {_calendar_select()} FROM props"
 
 
 def subscription_date_rank() -> str:
-    return with_fixtures(PROPS_SPLIT_CTE) + f"SELECT user_id, {rnd(RANK_EXPR, 'sub_date_rank')} FROM pr"
+    return with_fixtures(PROPS_SPLIT_CTE) + f"SELECT split, user_id, {rnd(RANK_EXPR, 'sub_date_rank')} FROM pr"
 
 
 def properties_features() -> str:
     return with_fixtures(PROPS_SPLIT_CTE, FREQ_CTE, PROPS_FEATURE_CTE) + f"""
-SELECT user_id, subscription_plan, country_code, {rnd('country_freq', 'country_freq')}, sub_month, sub_day_of_week, sub_hour,
+SELECT split, user_id, subscription_plan, country_code, {rnd('country_freq', 'country_freq')}, sub_month, sub_day_of_week, sub_hour,
        {rnd('sub_date_rank', 'sub_date_rank')}
 FROM props_feat"""
 
 
 # ---------------------------------------------------------------- onboarding
 
-QUIZ_FEATURE_CTE = """quiz_feat AS (
-SELECT u.user_id,
+QUIZ_FEATURE_CTE = f"""quiz_feat AS (
+SELECT u.split, u.user_id,
        COALESCE(q.source, 'missing') AS quiz_source,
-       COALESCE(TRY_CAST(q.team_size AS DOUBLE), 0.0) AS quiz_team_size,
+       COALESCE({number('q.team_size')}, 0.0) AS quiz_team_size,
        COALESCE(q.experience, 'missing') AS quiz_experience,
        COALESCE(q.usage_plan, 'missing') AS quiz_usage_plan,
        COALESCE(q.frustration, 'missing') AS quiz_frustration,
@@ -184,12 +195,12 @@ SELECT u.user_id,
        COALESCE(q.role, 'missing') AS quiz_role,
        CASE WHEN q.user_id IS NULL THEN 0
             ELSE CAST(COALESCE(q.source, q.experience, q.frustration, q.first_feature, q.role) IS NOT NULL AS INTEGER) END AS has_quiz_data
-FROM users u LEFT JOIN quizzes q ON u.user_id = q.user_id)"""
+FROM users u LEFT JOIN quizzes q ON {same_user('u', 'q')})"""
 
 
 def quiz_features() -> str:
     return with_fixtures(QUIZ_FEATURE_CTE) + f"""
-SELECT user_id, quiz_source, {rnd('quiz_team_size', 'quiz_team_size')}, quiz_experience, quiz_usage_plan, quiz_frustration,
+SELECT split, user_id, quiz_source, {rnd('quiz_team_size', 'quiz_team_size')}, quiz_experience, quiz_usage_plan, quiz_frustration,
        quiz_first_feature, quiz_role, has_quiz_data
 FROM quiz_feat"""
 
@@ -199,8 +210,8 @@ FROM quiz_feat"""
 FAILURE_CODES = ("card_declined", "expired_card", "incorrect_cvc", "incorrect_number", "processing_error")
 
 PAY_CTES = (
-    "pr_p AS (SELECT p.*, u.split FROM purchases p JOIN users u ON p.user_id = u.user_id)",
-    "pmap AS (SELECT DISTINCT split, transaction_id, user_id FROM pr_p WHERE transaction_id IS NOT NULL)",
+    # All purchases count, whoever bought.
+    "pmap AS (SELECT DISTINCT split, transaction_id, user_id FROM purchases WHERE transaction_id IS NOT NULL)",
     "succ AS (SELECT t.*, m.user_id FROM tx t JOIN pmap m ON t.split = m.split AND t.transaction_id = m.transaction_id)",
     "fail AS (SELECT t.* FROM tx t WHERE NOT EXISTS "
     "(SELECT 1 FROM pmap m WHERE m.split = t.split AND m.transaction_id = t.transaction_id))",
@@ -236,9 +247,9 @@ MISMATCH_SELECT = (
 
 def _mode_cte(col: str, out: str) -> str:
     return f"""{out}_m AS (
-SELECT user_id, {col} AS {out} FROM (
-  SELECT user_id, {col}, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY COUNT(*) DESC, {col}) AS rn
-  FROM succ WHERE {col} IS NOT NULL GROUP BY user_id, {col}) x WHERE rn = 1)"""
+SELECT split, user_id, {col} AS {out} FROM (
+  SELECT split, user_id, {col}, ROW_NUMBER() OVER (PARTITION BY split, user_id ORDER BY COUNT(*) DESC, {col}) AS rn
+  FROM succ WHERE {col} IS NOT NULL GROUP BY split, user_id, {col}) x WHERE rn = 1)"""
 
 
 MODE_CTES = (_mode_cte("card_brand", "tx_card_brand"), _mode_cte("card_funding", "tx_card_funding"))
@@ -248,17 +259,17 @@ ATTRIB_CTES = (
     f"succ_fp AS (SELECT DISTINCT split, {FP_EXPR} AS fingerprint, user_id FROM succ WHERE user_id IS NOT NULL)",
     "fp_n AS (SELECT split, fingerprint, COUNT(*) AS n_users FROM succ_fp GROUP BY split, fingerprint)",
     f"fail_fp AS (SELECT split, {FP_EXPR} AS fingerprint, COALESCE(failure_code, 'unknown') AS code FROM fail)",
-    """matched AS (SELECT s.user_id, f.code, 1.0 / n.n_users AS weight
+    """matched AS (SELECT s.split, s.user_id, f.code, 1.0 / n.n_users AS weight
 FROM fail_fp f JOIN succ_fp s ON f.split = s.split AND f.fingerprint = s.fingerprint
 JOIN fp_n n ON f.split = n.split AND f.fingerprint = n.fingerprint)""",
-    "fail_agg AS (SELECT user_id, SUM(weight) AS tx_fail_count_weighted, COUNT(*) AS tx_fail_count_raw, "
+    "fail_agg AS (SELECT split, user_id, SUM(weight) AS tx_fail_count_weighted, COUNT(*) AS tx_fail_count_raw, "
     + ", ".join(f"COALESCE(SUM(weight) FILTER (WHERE code = '{c}'), 0) AS fail_{c}" for c in FAILURE_CODES)
-    + " FROM matched GROUP BY user_id)",
+    + " FROM matched GROUP BY split, user_id)",
 )
 
-PAY_FEATURE_CTE = f"""risk AS (SELECT user_id, {RISK_SELECT}, {MISMATCH_SELECT} FROM succ GROUP BY user_id),
+PAY_FEATURE_CTE = f"""risk AS (SELECT split, user_id, {RISK_SELECT}, {MISMATCH_SELECT} FROM succ GROUP BY split, user_id),
 pay_base AS (
-SELECT u.user_id,
+SELECT u.split, u.user_id,
   COALESCE(r.tx_success_count, 0) AS tx_success_count,
   COALESCE(r.tx_has_digital_wallet, 0) AS tx_has_digital_wallet,
   COALESCE(r.tx_has_3d_secure, 0) AS tx_has_3d_secure,
@@ -275,10 +286,10 @@ SELECT u.user_id,
   COALESCE(f.tx_fail_count_raw, 0) AS tx_fail_count_raw,
   {", ".join(f"COALESCE(f.fail_{c}, 0) AS fail_{c}" for c in FAILURE_CODES)}
 FROM users u
-LEFT JOIN risk r ON u.user_id = r.user_id
-LEFT JOIN tx_card_brand_m b ON u.user_id = b.user_id
-LEFT JOIN tx_card_funding_m fu ON u.user_id = fu.user_id
-LEFT JOIN fail_agg f ON u.user_id = f.user_id),
+LEFT JOIN risk r ON {same_user('u', 'r')}
+LEFT JOIN tx_card_brand_m b ON {same_user('u', 'b')}
+LEFT JOIN tx_card_funding_m fu ON {same_user('u', 'fu')}
+LEFT JOIN fail_agg f ON {same_user('u', 'f')}),
 pay_feat AS (
 SELECT *, tx_fail_count_weighted / (tx_fail_count_weighted + tx_success_count + 1e-6) AS tx_failure_rate FROM pay_base)"""
 
@@ -306,20 +317,20 @@ def tx_failed() -> str:
 
 def card_risk() -> str:
     cols = PAYMENT_FEATURES[:9]
-    return with_fixtures(*PAY_CTES, f"r AS (SELECT user_id, {RISK_SELECT} FROM succ GROUP BY user_id)") + (
-        "SELECT r.user_id, " + ", ".join(plain("r", cols)) + " FROM r"
+    return with_fixtures(*PAY_CTES, f"r AS (SELECT split, user_id, {RISK_SELECT} FROM succ GROUP BY split, user_id)") + (
+        "SELECT r.split, r.user_id, " + ", ".join(plain("r", cols)) + " FROM r"
     )
 
 
 def country_mismatch() -> str:
-    return with_fixtures(*PAY_CTES) + f"SELECT user_id, ROUND(tx_country_mismatch_rate, 6) AS tx_country_mismatch_rate FROM (SELECT user_id, {MISMATCH_SELECT} FROM succ GROUP BY user_id) r"
+    return with_fixtures(*PAY_CTES) + f"SELECT split, user_id, ROUND(tx_country_mismatch_rate, 6) AS tx_country_mismatch_rate FROM (SELECT split, user_id, {MISMATCH_SELECT} FROM succ GROUP BY split, user_id) r"
 
 
 def card_mode() -> str:
-    return with_fixtures(*PAY_CTES, *MODE_CTES) + """
-SELECT u.user_id, COALESCE(b.tx_card_brand, 'unknown') AS tx_card_brand, COALESCE(f.tx_card_funding, 'unknown') AS tx_card_funding
-FROM (SELECT DISTINCT user_id FROM succ) u
-LEFT JOIN tx_card_brand_m b ON u.user_id = b.user_id LEFT JOIN tx_card_funding_m f ON u.user_id = f.user_id"""
+    return with_fixtures(*PAY_CTES, *MODE_CTES) + f"""
+SELECT u.split, u.user_id, COALESCE(b.tx_card_brand, 'unknown') AS tx_card_brand, COALESCE(f.tx_card_funding, 'unknown') AS tx_card_funding
+FROM (SELECT DISTINCT split, user_id FROM succ) u
+LEFT JOIN tx_card_brand_m b ON {same_user('u', 'b')} LEFT JOIN tx_card_funding_m f ON {same_user('u', 'f')}"""
 
 
 def fingerprint_users() -> str:
@@ -328,19 +339,19 @@ def fingerprint_users() -> str:
 
 def failure_attribution() -> str:
     return with_fixtures(*PAY_CTES, *ATTRIB_CTES) + (
-        "SELECT user_id, ROUND(tx_fail_count_weighted, 6) AS tx_fail_count_weighted, tx_fail_count_raw FROM fail_agg"
+        "SELECT split, user_id, ROUND(tx_fail_count_weighted, 6) AS tx_fail_count_weighted, tx_fail_count_raw FROM fail_agg"
     )
 
 
 def failure_by_code() -> str:
     return with_fixtures(*PAY_CTES, *ATTRIB_CTES) + (
-        "SELECT user_id, " + ", ".join(rnd(f"fail_{c}", f"fail_{c}") for c in FAILURE_CODES) + " FROM fail_agg"
+        "SELECT split, user_id, " + ", ".join(rnd(f"fail_{c}", f"fail_{c}") for c in FAILURE_CODES) + " FROM fail_agg"
     )
 
 
 def payments_features() -> str:
     return with_fixtures(*PAY_CTES, *MODE_CTES, *ATTRIB_CTES, PAY_FEATURE_CTE) + (
-        "SELECT p.user_id, " + ", ".join(plain("p", PAYMENT_FEATURES)) + " FROM pay_feat p"
+        "SELECT p.split, p.user_id, " + ", ".join(plain("p", PAYMENT_FEATURES)) + " FROM pay_feat p"
     )
 
 
@@ -351,16 +362,16 @@ DAY_BITS = [f"active_day_{d}" for d in range(14)]
 
 # Direct event-level form: window over raw events, no slot pre-aggregation.
 GEN_CTES = (
-    "gen_k AS (SELECT g.*, u.split FROM generations g JOIN users u ON g.user_id = u.user_id)",
+    f"gen_k AS (SELECT g.* FROM generations g JOIN users u ON {same_user('u', 'g')})",
     f"""gen_e AS (SELECT *, {day_number('created_at')} AS day_num,
   {extract_num('created_at', HOUR_PAT, 1)} AS hr,
   NULLIF(regexp_extract(created_at, '{DATE_PAT}', 1), '') AS day_date,
-  COALESCE(TRY_CAST(credit_cost AS DOUBLE), 0.0) AS credit,
-  TRY_CAST(duration AS DOUBLE) AS dur,
+  COALESCE({number('credit_cost')}, 0.0) AS credit,
+  {number('duration')} AS dur,
   COALESCE(lower(generation_type) LIKE '%video%', false) AS is_video,
   COALESCE(lower(generation_type) LIKE '%image%', false) AS is_image
 FROM gen_k)""",
-    "gen_r AS (SELECT *, day_num - MIN(day_num) OVER (PARTITION BY user_id) AS rel FROM gen_e)",
+    "gen_r AS (SELECT *, day_num - MIN(day_num) OVER (PARTITION BY split, user_id) AS rel FROM gen_e)",
     """gen_u AS (SELECT user_id, split,
   COUNT(generation_id) AS gen_total,
   """ + ",\n  ".join(f"{cnt(f'status = {chr(39)}{st}{chr(39)}')} AS gen_{st}" for st in STATUSES) + """,
@@ -429,7 +440,7 @@ _ACT = dict(ACTIVITY_FEATURES)
 
 def _act_query(cols: list[str]) -> str:
     sel = ", ".join(rnd(f"g.{c}", c) if _ACT[c] == "dbl" else f"g.{c}" for c in cols)
-    return with_fixtures(*GEN_CTES) + f"SELECT g.user_id, {sel} FROM gen_f g"
+    return with_fixtures(*GEN_CTES) + f"SELECT g.split, g.user_id, {sel} FROM gen_f g"
 
 
 ACTIVITY_GROUPS = {
@@ -446,22 +457,22 @@ ACTIVITY_GROUPS = {
     "gen_recency": ["days_since_last_gen", "days_since_first_gen"],
 }
 
-ACT_FEATURE_CTE = "act_feat AS (SELECT u.user_id, " + ", ".join(
+ACT_FEATURE_CTE = "act_feat AS (SELECT u.split, u.user_id, " + ", ".join(
     f"COALESCE(g.{c}, 0) AS {c}" for c, _ in ACTIVITY_FEATURES
-) + " FROM users u LEFT JOIN gen_f g ON u.user_id = g.user_id)"
+) + f" FROM users u LEFT JOIN gen_f g ON {same_user('u', 'g')})"
 
 
 def activity_features() -> str:
-    return with_fixtures(*GEN_CTES, ACT_FEATURE_CTE) + "SELECT a.user_id, " + ", ".join(
+    return with_fixtures(*GEN_CTES, ACT_FEATURE_CTE) + "SELECT a.split, a.user_id, " + ", ".join(
         plain("a", ACTIVITY_FEATURES)
     ) + " FROM act_feat a"
 
 
 # ---------------------------------------------------------------- assembly
 
-PURCH_FEAT_CTE = "purch_feat AS (SELECT u.user_id, " + ", ".join(
+PURCH_FEAT_CTE = "purch_feat AS (SELECT u.split, u.user_id, " + ", ".join(
     f"COALESCE(p.{n}, 0) AS {n}" for n, _ in PURCHASE_FEATURES
-) + " FROM users u LEFT JOIN purch_agg p ON u.user_id = p.user_id)"
+) + f" FROM users u LEFT JOIN purch_agg p ON {same_user('u', 'p')})"
 
 PROPS_FEATURES = [
     ("subscription_plan", "str"), ("country_code", "str"), ("country_freq", "dbl"), ("sub_month", "int"),
@@ -471,6 +482,8 @@ QUIZ_FEATURES = [
     ("quiz_source", "str"), ("quiz_team_size", "dbl"), ("quiz_experience", "str"), ("quiz_usage_plan", "str"),
     ("quiz_frustration", "str"), ("quiz_first_feature", "str"), ("quiz_role", "str"), ("has_quiz_data", "int"),
 ]
+# Interaction terms, clip bounds and logged columns, stated
+# again so that the oracle does not depend on the engine.
 INTERACTION_SQL = [
     ("credits_x_failure_rate", "dbl", "gen_total_credits * tx_failure_rate"),
     ("trend_x_recency", "dbl", "gen_trend * days_since_last_gen"),
@@ -512,12 +525,12 @@ ASSEMBLY_CTES = (
         + [f"ac.{n}" for n, _ in ACTIVITY_FEATURES]
         + [f"qf.{n}" for n, _ in QUIZ_FEATURES]
     )
-    + """ FROM users u
-LEFT JOIN props_feat pf ON u.user_id = pf.user_id
-LEFT JOIN purch_feat pu ON u.user_id = pu.user_id
-LEFT JOIN pay_feat pa ON u.user_id = pa.user_id
-LEFT JOIN act_feat ac ON u.user_id = ac.user_id
-LEFT JOIN quiz_feat qf ON u.user_id = qf.user_id)""",
+    + f""" FROM users u
+LEFT JOIN props_feat pf ON {same_user('u', 'pf')}
+LEFT JOIN purch_feat pu ON {same_user('u', 'pu')}
+LEFT JOIN pay_feat pa ON {same_user('u', 'pa')}
+LEFT JOIN act_feat ac ON {same_user('u', 'ac')}
+LEFT JOIN quiz_feat qf ON {same_user('u', 'qf')})""",
     "inter AS (SELECT *, " + ", ".join(f"{e} AS {n}" for n, _, e in INTERACTION_SQL) + " FROM merged)",
     "clipped AS (SELECT * REPLACE ("
     + ", ".join(
@@ -543,12 +556,12 @@ def user_features() -> str:
 
 def interactions() -> str:
     cols = [(n, k) for n, k, _ in INTERACTION_SQL]
-    return with_fixtures(*ALL_FEATURE_CTES) + "SELECT f.user_id, " + ", ".join(plain("f", cols)) + " FROM inter f"
+    return with_fixtures(*ALL_FEATURE_CTES) + "SELECT f.split, f.user_id, " + ", ".join(plain("f", cols)) + " FROM inter f"
 
 
 def clip_log() -> str:
     cols = [(c, dict(USER_FEATURES)[c]) for c in CLIP_SQL] + [(f"{c}_log", "dbl") for c in LOG_SQL]
-    return with_fixtures(*ALL_FEATURE_CTES) + "SELECT f.user_id, " + ", ".join(plain("f", cols)) + " FROM uf f"
+    return with_fixtures(*ALL_FEATURE_CTES) + "SELECT f.split, f.user_id, " + ", ".join(plain("f", cols)) + " FROM uf f"
 
 
 # ---------------------------------------------------------------- encodings
@@ -563,7 +576,7 @@ ENC_CTES = (
     "enc_base AS (SELECT user_id, split, churn_status, "
     + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), 'missing') AS {c}" for c in CAT_FEATURES)
     + " FROM uf)",
-    "lbl AS (SELECT user_id, churn_status, country_code, "
+    "lbl AS (SELECT split, user_id, churn_status, country_code, "
     "CAST(DENSE_RANK() OVER (ORDER BY churn_status) - 1 AS INTEGER) AS target FROM enc_base WHERE split = 'train')",
 )
 
@@ -573,7 +586,7 @@ def _hash_fold(id_expr: str, k_expr: str) -> str:
 
 
 TE_CTES = (
-    "te_tr AS (SELECT l.user_id, l.country_code, l.target, "
+    "te_tr AS (SELECT l.split, l.user_id, l.country_code, l.target, "
     + _hash_fold("l.user_id", "GREATEST(2, LEAST(5, (SELECT COUNT(*) FROM lbl)))")
     + " AS fold FROM lbl l)",
 )
@@ -596,7 +609,7 @@ def _te_test(k: int) -> str:
 
 
 def label_index() -> str:
-    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES) + "SELECT user_id, churn_status, target FROM lbl"
+    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES) + "SELECT split, user_id, churn_status, target FROM lbl"
 
 
 def category_codes() -> str:
@@ -626,7 +639,7 @@ N_FOLDS_SQL = "(SELECT LEAST(3, MIN(n)) FROM (SELECT COUNT(*) AS n FROM lbl GROU
 
 def stratified_folds() -> str:
     return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES) + f"""
-SELECT user_id, target,
+SELECT split, user_id, target,
   CAST((ROW_NUMBER() OVER (PARTITION BY target ORDER BY md5(CAST(user_id AS VARCHAR) || ':{SEED}'), user_id) - 1)
        % {N_FOLDS_SQL} AS INTEGER) AS fold
 FROM lbl"""
@@ -639,7 +652,7 @@ SELECT churn_status, target, COUNT(*) AS n_users, ROUND(COUNT(*) / SUM(COUNT(*))
 FROM lbl GROUP BY churn_status, target"""
 
 
-# ---------------------------------------------------------------- reports over the country-prior scores
+# ---------------------------------------------------------------- reports over the weighted country-prior scores
 
 TE_ALL_CTE = (
     "te_all AS (SELECT r.user_id, 'train' AS split, "
@@ -648,12 +661,19 @@ TE_ALL_CTE = (
     + ", ".join(f"{_te_test(k)} AS p{k}" for k in range(3))
     + " FROM enc_base e WHERE e.split <> 'train')"
 )
+# The share of class k times a weight of 1 to 5 by user and class, normalised.
+_RAW = [f"p{k} * (1 + (user_id * {k + 2} + {3 * k}) % 5)" for k in range(3)]
+WEIGHTED_CTE = (
+    "te_w AS (SELECT user_id, split, "
+    + ", ".join(f"CASE WHEN {' + '.join(_RAW)} > 0 THEN {x} / ({' + '.join(_RAW)}) END AS p{k}" for k, x in enumerate(_RAW))
+    + " FROM te_all)"
+)
 DECIDED_CTE = """decided AS (
 SELECT t.user_id, t.split, l.target, t.p0 AS prob_invol_churn, t.p1 AS prob_not_churned, t.p2 AS prob_vol_churn,
   CAST(CASE WHEN t.p0 >= t.p1 AND t.p0 >= t.p2 THEN 0 WHEN t.p1 >= t.p2 THEN 1 ELSE 2 END AS INTEGER) AS prediction,
   CASE WHEN t.p0 >= t.p1 AND t.p0 >= t.p2 THEN 'invol_churn' WHEN t.p1 >= t.p2 THEN 'not_churned' ELSE 'vol_churn' END AS predicted_class,
   GREATEST(t.p0, t.p1, t.p2) AS confidence
-FROM te_all t LEFT JOIN lbl l ON t.user_id = l.user_id)"""
+FROM te_w t LEFT JOIN lbl l ON t.split = l.split AND t.user_id = l.user_id)"""
 CLASS_REPORT_CTE = """cls AS (
 SELECT COALESCE(a.class_id, b.class_id) AS class_id, COALESCE(a.support, 0) AS support, COALESCE(a.tp, 0) AS tp, COALESCE(b.np, 0) AS np
 FROM (SELECT target AS class_id, COUNT(*) AS support, COUNT(*) FILTER (WHERE prediction = target) AS tp
@@ -667,7 +687,7 @@ SELECT class_id, CASE class_id WHEN 0 THEN 'invol_churn' WHEN 1 THEN 'not_churne
 FROM cls),
 cls3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM cls2)"""
 
-REPORT_CTES = (*ALL_FEATURE_CTES, *ENC_CTES, *TE_CTES, TE_ALL_CTE, DECIDED_CTE, CLASS_REPORT_CTE)
+REPORT_CTES = (*ALL_FEATURE_CTES, *ENC_CTES, *TE_CTES, TE_ALL_CTE, WEIGHTED_CTE, DECIDED_CTE, CLASS_REPORT_CTE)
 
 
 def confusion_matrix() -> str:
@@ -727,23 +747,133 @@ FROM (SELECT * FROM decided WHERE split <> 'train' ORDER BY confidence DESC, use
 
 def stage_report() -> str:
     dt = _cal_parts("p.subscription_start_date")
-    return with_fixtures(PROPS_SPLIT_CTE, *GEN_CTES[:2]) + f"""
+    return with_fixtures() + f"""
 SELECT s.split,
   (SELECT COUNT(*) FROM users u WHERE u.split = s.split) AS n_users,
-  (SELECT COUNT(*) FROM pr p WHERE p.split = s.split) AS n_property_rows,
-  (SELECT COUNT(*) FROM purchases p JOIN users u ON p.user_id = u.user_id WHERE u.split = s.split) AS n_purchase_rows,
+  (SELECT COUNT(*) FROM props p WHERE p.split = s.split) AS n_property_rows,
+  (SELECT COUNT(*) FROM purchases p WHERE p.split = s.split) AS n_purchase_rows,
   (SELECT COUNT(*) FROM tx t WHERE t.split = s.split) AS n_attempts,
-  (SELECT COUNT(*) FROM gen_e g WHERE g.split = s.split) AS n_generation_rows,
-  (SELECT COUNT(*) FROM quizzes q JOIN users u ON q.user_id = u.user_id WHERE u.split = s.split) AS n_quiz_rows,
-  (SELECT COUNT(*) FROM users u WHERE u.split = s.split AND NOT EXISTS (SELECT 1 FROM purchases p WHERE p.user_id = u.user_id)) AS n_users_without_purchases,
-  (SELECT COUNT(*) FROM gen_e g WHERE g.split = s.split AND g.day_num IS NULL) AS n_unparsed_event_times,
-  (SELECT COUNT(*) FROM pr p WHERE p.split = s.split AND {dt['month']} IS NULL) AS n_unparsed_start_dates
+  (SELECT COUNT(*) FROM generations g WHERE g.split = s.split) AS n_generation_rows,
+  (SELECT COUNT(*) FROM quizzes q WHERE q.split = s.split) AS n_quiz_rows,
+  (SELECT COUNT(*) FROM users u WHERE u.split = s.split AND NOT EXISTS (SELECT 1 FROM purchases p WHERE {same_user('p', 'u')})) AS n_users_without_purchases,
+  (SELECT COUNT(*) FROM generations g WHERE g.split = s.split AND {day_number('g.created_at')} IS NULL) AS n_unparsed_event_times,
+  (SELECT COUNT(*) FROM props p WHERE p.split = s.split AND {dt['month']} IS NULL) AS n_unparsed_start_dates
 FROM (SELECT DISTINCT split FROM users) s"""
 
 
+# Stage, rows from, columns besides split and user_id.
+STAGES = (
+    ("properties", "props", 7),
+    ("purchases", "purch_agg", len(PURCHASE_FEATURES)),
+    ("card_risk", "risk", 12),
+    ("failures", "fail_agg", 2 + len(FAILURE_CODES)),
+    ("activity", "gen_f", len(ACTIVITY_FEATURES)),
+    ("quizzes", "quizzes", 8),
+    ("features", "uf", 1 + len(USER_FEATURES)),
+    # the plan goes; the target, three encodings and the cluster come
+    ("encoded", "uf", 1 + len(USER_FEATURES) - 1 + 1 + 3 + 1),
+)
+
+
+def stage_shapes() -> str:
+    parts = [
+        f"SELECT {n} AS stage_no, '{name}' AS stage, split, COUNT(*) AS n_rows, {2 + columns} AS n_columns FROM {table} GROUP BY split"
+        for n, (name, table, columns) in enumerate(STAGES)
+    ]
+    return with_fixtures(*ALL_FEATURE_CTES) + " UNION ALL ".join(parts)
+
+
 def align_splits() -> str:
-    return with_fixtures(PROPS_SPLIT_CTE) + "SELECT p.user_id, u.split,\n" + _PURCH_TYPES + """
-FROM purchases p JOIN users u ON p.user_id = u.user_id GROUP BY p.user_id, u.split"""
+    return with_fixtures() + "SELECT split, user_id,\n" + _PURCH_TYPES + " FROM purchases GROUP BY split, user_id"
+
+
+# ---------------------------------------------------------------- raw CSV layout
+
+# Text read as missing, as far as the fixture holds it.
+_TOKENS = "('n/a', 'nan', 'NaN')"
+RAW_COLUMNS = {
+    "users": ("user_id", "churn_status"),
+    "props": ("user_id", "subscription_start_date", "subscription_plan", "country_code"),
+    "purchases": ("user_id", "transaction_id", "#purchase_amount_dollars", "purchase_type", "purchase_time"),
+    "tx": (
+        "transaction_id", "digital_wallet", "?is_3d_secure", "?is_prepaid", "?is_virtual", "?is_business", "cvc_check",
+        "#amount_in_usd", "billing_address_country", "card_country", "card_brand", "card_funding", "bank_name", "failure_code",
+    ),
+    "generations": ("generation_id", "user_id", "created_at", "status", "generation_type", "credit_cost", "duration"),
+    "quizzes": ("user_id", "source", "team_size", "experience", "usage_plan", "frustration", "first_feature", "role"),
+}
+
+
+def csv_table(table: str) -> str:
+    def column(c: str) -> str:
+        if c[0] == "#":
+            return rnd(c[1:], c[1:])
+        if c[0] == "?":
+            return c[1:]
+        return f"CASE WHEN CAST({c} AS VARCHAR) NOT IN {_TOKENS} THEN CAST({c} AS VARCHAR) END AS {c}"
+
+    return with_fixtures() + f"SELECT split, {', '.join(map(column, RAW_COLUMNS[table]))} FROM {table}"
+
+
+# ---------------------------------------------------------------- model inputs and coverage
+
+CLUSTER_FEATURES = (
+    "gen_total", "gen_completed", "gen_total_credits", "gen_trend", "days_since_last_gen",
+    "total_purchases", "total_spend", "tx_failure_rate", "gen_intensity",
+)
+
+
+def scaled_features() -> str:
+    def scaled(c: str) -> str:
+        x, own = f"COALESCE(f.{c}, 0)", f"COALESCE({c}, 0)"
+        mean = f"(SELECT AVG({own}) FROM uf WHERE split = 'train')"
+        deviation = f"(SELECT STDDEV_SAMP({own}) FROM uf WHERE split = 'train')"
+        return rnd(f"CASE WHEN {deviation} > 0 THEN ({x} - {mean}) / {deviation} ELSE 0.0 END", c)
+
+    return with_fixtures(*ALL_FEATURE_CTES) + f"SELECT f.split, f.user_id, {', '.join(map(scaled, CLUSTER_FEATURES))} FROM uf f"
+
+
+def class_weights() -> str:
+    return with_fixtures(*ALL_FEATURE_CTES, *ENC_CTES) + (
+        "SELECT target, ROUND(SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)), 6) AS w FROM lbl GROUP BY target"
+    )
+
+
+def oof_coverage() -> str:
+    return with_fixtures() + """
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_sum_to_one, COUNT(*) AS n_confidence_is_max, COUNT(*) AS n_once_in_fold
+FROM users WHERE split = 'train'"""
+
+
+def test_coverage() -> str:
+    return with_fixtures() + """
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_sum_to_one, COUNT(*) AS n_confidence_is_max FROM users WHERE split <> 'train'"""
+
+
+def cluster_coverage() -> str:
+    return with_fixtures() + "SELECT COUNT(*) AS n_rows, COUNT(*) AS n_valid FROM users"
+
+
+def submission() -> str:
+    return with_fixtures(*REPORT_CTES) + "SELECT user_id, predicted_class AS churn_status FROM decided WHERE split <> 'train'"
+
+
+def submission_detailed() -> str:
+    probs = ", ".join(rnd(f"prob_{c}", f"prob_{c}") for c in ("invol_churn", "not_churned", "vol_churn"))
+    return with_fixtures(*REPORT_CTES) + (
+        f"SELECT user_id, predicted_class, {probs}, ROUND(confidence, 6) AS confidence FROM decided WHERE split <> 'train'"
+    )
+
+
+def feature_preview() -> str:
+    names = [n for n, _ in USER_FEATURES if n != "subscription_plan"][:15]
+    rows = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names))
+    # The list depends on the purchase types alone; the scan shows they occur.
+    return with_fixtures() + (
+        f"SELECT v.position, v.feature FROM (VALUES {rows}) v(position, feature) "
+        "WHERE v.feature NOT LIKE 'ptype_%' OR EXISTS (SELECT 1 FROM purchases p "
+        "WHERE 'ptype_' || replace(lower(p.purchase_type), ' ', '_') = v.feature)"
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -770,6 +900,16 @@ def oracle_sql() -> dict[str, str]:
         "activity_features": activity_features(),
         "activity_features_incremental": activity_features(),
         "stage_report": stage_report(),
+        "stage_shapes": stage_shapes(),
+        **{f"csv_{table}": csv_table(table) for table in RAW_COLUMNS},
+        "scaled_features": scaled_features(),
+        "class_weights": class_weights(),
+        "oof_coverage": oof_coverage(),
+        "test_coverage": test_coverage(),
+        "cluster_coverage": cluster_coverage(),
+        "submission": submission(),
+        "submission_detailed": submission_detailed(),
+        "feature_preview": feature_preview(),
         "align_splits": align_splits(),
         "user_features": user_features(),
         "interactions": interactions(),

@@ -7,12 +7,14 @@ lands whole in one task:
 1. ``activity_slots``: events are aggregated per (user, date, day number,
    hour, type) -- a partial + final hash aggregation, so map-side combine
    collapses a hot user before the shuffle. Everything later reads slots
-   (at most hours x types rows per user and day), never raw events.
-2. Slots meet the user spine (inner join: events of unknown users drop,
-   and each slot gets its split).
-3. The user's first day number comes from a window over that user's slots;
-   one aggregation per user then computes every count, distinct count,
-   first-48h, weekly and daily-bit value.
+   (at most hours x types rows per user and day), never raw events. Only the
+   sums that the wanted features need are computed, and the slots are landed
+   only if more than one branch reads them.
+2. The user's first day number is an aggregate of the slots, joined back; one
+   aggregation per user then computes every count, first-48h, weekly and
+   daily-bit value. Distinct days are a set bounded by the calendar, distinct
+   types a roll-up per (user, type), so no distinct count expands the rows.
+3. Users outside the spine are dropped per user, not per event.
 4. The split-wide last day is a one-row-per-split aggregate, broadcast.
 
 The day number ignores the year and counts 31 days per month (see
@@ -23,7 +25,7 @@ day-relative features.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.numeric import safe_ratio, smooth_ratio, to_number
@@ -31,9 +33,9 @@ from lapse.functions.text import contains_ci
 from lapse.functions.time import date_text, day_number, hour_of
 from lapse.operators.sequence import bits_array, first_quit_day, longest_run, window_sum
 from lapse.operators.materialize import land
-from lapse.operators.spine import attach
+from lapse.operators.spine import USER_KEY, attach
 
-# Statuses counted, horizon of the daily bits, window lengths.
+# Feature names, statuses counted, horizon of the daily bits, window lengths.
 STATUSES = ("completed", "failed", "nsfw", "canceled")
 N_DAYS = 14
 FIRST_DAYS = 2
@@ -56,15 +58,38 @@ ACTIVITY_COLUMNS = (
     "gen_has_generations",
 )
 
-SLOT_KEYS = ["user_id", "day_date", "day_num", "hour", "generation_type"]
-
+SLOT_KEYS = [*USER_KEY, "day_date", "day_num", "hour", "generation_type"]
+SLOT_SUMS = ("s_rows", "s_n", *[f"s_{s}" for s in STATUSES], "s_credits", "s_video", "s_image", "s_dur_sum", "s_dur_n")
 
-def activity_slots(generations: DataFrame, calendar: bool = False) -> DataFrame:
+# What features need beyond row counts and credits.
+EXTRA_SUMS = {
+    **{f"gen_{s}": (f"s_{s}",) for s in STATUSES},
+    "completion_rate": ("s_completed",),
+    "nsfw_rate": ("s_nsfw",),
+    "gen_video_count": ("s_video",),
+    "gen_video_ratio": ("s_video",),
+    "gen_image_count": ("s_image",),
+    "gen_avg_duration": ("s_dur_sum", "s_dur_n"),
+}
+TYPES = {"gen_unique_types"}
+LAST_DAY = {"days_since_last_gen", "days_since_first_gen"}
+PLAIN = {
+    "gen_total", *EXTRA_SUMS, "gen_total_credits", "gen_avg_credits", "gen_avg_hour", "gen_active_days",
+    "gen_intensity", "is_short_life", "is_one_day_user", "gen_has_generations", *TYPES, *LAST_DAY,
+}
+
+
+def slot_sums(columns) -> tuple[str, ...]:
+    """The slot sums that the wanted features are computed from."""
+    needed = {"s_rows", "s_n", "s_credits", *[x for c in columns for x in EXTRA_SUMS.get(c, ())]}
+    return tuple(x for x in SLOT_SUMS if x in needed)
+
+
+def activity_slots(generations: DataFrame, calendar: bool = False, sums: tuple[str, ...] = SLOT_SUMS) -> DataFrame:
     """Partial sums per (user, date, day number, hour, type)."""
     credit = F.coalesce(to_number("credit_cost"), F.lit(0.0))
-    dur = to_number("duration")
     ev = generations.select(
-        "user_id",
+        *USER_KEY,
         "generation_id",
         "status",
         "generation_type",
@@ -72,118 +97,129 @@ def activity_slots(generations: DataFrame, calendar: bool = False) -> DataFrame:
         day_number("created_at", calendar).alias("day_num"),
         hour_of("created_at").alias("hour"),
         credit.alias("credit"),
-        dur.alias("dur"),
-    )
-    return ev.groupBy(*SLOT_KEYS).agg(
-        F.count(F.lit(1)).alias("s_rows"),
-        F.count("generation_id").alias("s_n"),
-        *[F.count_if(F.col("status") == s).alias(f"s_{s}") for s in STATUSES],
-        F.sum("credit").alias("s_credits"),
-        F.count_if(contains_ci("generation_type", "video")).alias("s_video"),
-        F.count_if(contains_ci("generation_type", "image")).alias("s_image"),
-        F.sum("dur").alias("s_dur_sum"),
-        F.count("dur").alias("s_dur_n"),
+        to_number("duration").alias("dur"),
     )
+    every = {
+        "s_rows": F.count(F.lit(1)),
+        "s_n": F.count("generation_id"),
+        **{f"s_{s}": F.count_if(F.col("status") == s) for s in STATUSES},
+        "s_credits": F.sum("credit"),
+        "s_video": F.count_if(contains_ci("generation_type", "video")),
+        "s_image": F.count_if(contains_ci("generation_type", "image")),
+        "s_dur_sum": F.sum("dur"),
+        "s_dur_n": F.count("dur"),
+    }
+    return ev.groupBy(*SLOT_KEYS).agg(*[every[c].alias(c) for c in sums])
 
 
 def _zsum(c) -> F.Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
-SLOT_SUMS = ("s_rows", "s_n", *[f"s_{s}" for s in STATUSES], "s_credits", "s_video", "s_image", "s_dur_sum", "s_dur_n")
-
-
 def merge_slots(partials: DataFrame) -> DataFrame:
-    """Combine slot partials computed over separate chunks of the events
+    """Combine slot partials computed over separate batches of the events
     (all slot values are sums or counts, so they merge by summing)."""
     return partials.groupBy(*SLOT_KEYS).agg(*[F.sum(c).alias(c) for c in SLOT_SUMS])
 
 
 def activity_table(
-    generations: DataFrame, users: DataFrame, calendar: bool = False, materialize: bool = True
+    generations: DataFrame, users: DataFrame, calendar: bool = False, materialize: bool = True, columns: tuple[str, ...] = ACTIVITY_COLUMNS
 ) -> DataFrame:
-    """All activity features for users with at least one event (one row each).
+    """The activity features ``columns`` for users with at least one event.
 
-    With ``materialize`` the slot table is landed in the shared folder first
-    (one scan of the events); the per-user aggregation and the split-wide
-    last day both read it. Without it, the last-day branch would scan and
-    aggregate the events a second time.
+    With ``materialize`` the slots are landed in the shared folder if several
+    branches of the plan read them, so that the events are scanned once.
     """
-    slots = activity_slots(generations, calendar)
-    if materialize:
+    slots = activity_slots(generations, calendar, slot_sums(columns))
+    if materialize and not set(columns) <= PLAIN - TYPES - LAST_DAY:
         slots = land(slots, "activity-slots")
-    return activity_from_slots(slots, users)
+    return activity_from_slots(slots, users, columns)
 
 
-def activity_from_slots(slots: DataFrame, users: DataFrame) -> DataFrame:
+def activity_from_slots(slots: DataFrame, users: DataFrame, columns: tuple[str, ...] = ACTIVITY_COLUMNS) -> DataFrame:
     """User-level activity features from (merged) slot partials."""
-    slots = slots.join(users.select("user_id", "split"), "user_id")
-    slots = slots.withColumn("rel", F.col("day_num") - F.min("day_num").over(Window.partitionBy("user_id")))
-    rel = F.col("rel")
-    day_int = F.least(F.floor(rel), F.lit(N_DAYS - 1))
-    n, cr = F.col("s_n"), F.col("s_credits")
+    key, wanted, present = list(USER_KEY), set(columns), set(slots.columns)
+
+    def s(name: str) -> F.Column:
+        return F.col(name) if name in present else F.lit(0)
 
-    base = slots.groupBy("split", "user_id").agg(
+    n, cr = F.col("s_n"), F.col("s_credits")
+    aggs = [
         _zsum(n).alias("gen_total"),
-        *[_zsum(f"s_{s}").alias(f"gen_{s}") for s in STATUSES],
+        *[_zsum(s(f"s_{x}")).alias(f"gen_{x}") for x in STATUSES],
         _zsum(cr).alias("gen_total_credits"),
-        _zsum("s_video").alias("gen_video_count"),
-        _zsum("s_image").alias("gen_image_count"),
-        (F.countDistinct("day_date") + F.max(F.col("day_date").isNull().cast("int"))).alias("gen_active_days"),
-        (F.countDistinct("generation_type") + F.max(F.col("generation_type").isNull().cast("int"))).alias(
-            "gen_unique_types"
-        ),
-        _zsum("s_dur_sum").alias("_dur_sum"),
-        _zsum("s_dur_n").alias("_dur_n"),
+        _zsum(s("s_video")).alias("gen_video_count"),
+        _zsum(s("s_image")).alias("gen_image_count"),
+        # A set bounded by the calendar; a missing date counts as one value.
+        (F.size(F.collect_set("day_date")) + F.max(F.col("day_date").isNull().cast("int"))).cast("bigint").alias("gen_active_days"),
+        _zsum(s("s_dur_sum")).alias("_dur_sum"),
+        _zsum(s("s_dur_n")).alias("_dur_n"),
         _zsum(F.col("hour") * F.col("s_rows")).alias("_hour_sum"),
         F.min("day_num").alias("_first_day"),
         F.max("day_num").alias("_last_day"),
-        _zsum(F.when(rel < WEEK, n)).alias("gen_week1_count"),
-        _zsum(F.when(rel < WEEK, cr)).alias("credits_week1"),
-        _zsum(F.when(rel >= WEEK, n)).alias("gen_week2_count"),
-        _zsum(F.when(rel >= WEEK, cr)).alias("credits_week2"),
-        _zsum(F.when(rel < FIRST_DAYS, n)).alias("gen_day01_count"),
-        _zsum(F.when(rel < FIRST_DAYS, cr)).alias("credits_day01"),
-        *[F.coalesce(F.max((day_int == d).cast("int")), F.lit(0)).alias(b) for d, b in enumerate(DAY_BITS)],
-    )
-    last_day = F.broadcast(base.groupBy("split").agg(F.max("_last_day").alias("_split_last_day")))
-    out = base.join(last_day, "split", "left")
-
+    ]
+    if not wanted <= PLAIN:
+        first = slots.groupBy(*key).agg(F.min("day_num").alias("_first"))
+        slots = slots.join(first, key).withColumn("rel", F.col("day_num") - F.col("_first"))
+        rel = F.col("rel")
+        day_int = F.least(F.floor(rel), F.lit(N_DAYS - 1))
+        aggs += [
+            _zsum(F.when(rel < WEEK, n)).alias("gen_week1_count"),
+            _zsum(F.when(rel < WEEK, cr)).alias("credits_week1"),
+            _zsum(F.when(rel >= WEEK, n)).alias("gen_week2_count"),
+            _zsum(F.when(rel >= WEEK, cr)).alias("credits_week2"),
+            _zsum(F.when(rel < FIRST_DAYS, n)).alias("gen_day01_count"),
+            _zsum(F.when(rel < FIRST_DAYS, cr)).alias("credits_day01"),
+            *[F.coalesce(F.max((day_int == d).cast("int")), F.lit(0)).alias(b) for d, b in enumerate(DAY_BITS)],
+        ]
+    known = users.select(*key)
+    out = slots.groupBy(*key).agg(*aggs).join(known, key, "left_semi")
+    if wanted & TYPES:
+        types = slots.select(*key, "generation_type").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("gen_unique_types"))
+        out = out.join(types, key)
+    if wanted & LAST_DAY:
+        days = slots.groupBy(*key).agg(F.max("day_num").alias("_day")).join(known, key, "left_semi")
+        last_day = days.groupBy("split").agg(F.max("_day").alias("_split_last_day"))
+        out = out.join(F.broadcast(last_day), "split", "left")
+    features = _features(wanted)
+    return out.withColumns(features).select(*key, *columns)
+
+
+def _features(wanted: set[str]) -> dict[str, F.Column]:
+    """Ratios, flags and sequences over one row per user."""
     total = F.col("gen_total")
     active = F.col("gen_active_days")
     bits = bits_array(DAY_BITS)
     w1, w2 = F.col("gen_week1_count"), F.col("gen_week2_count")
     c1, c2 = F.col("credits_week1"), F.col("credits_week2")
     day01_ratio = smooth_ratio("gen_day01_count", total)
-    out = out.withColumns(
-        {
-            "gen_avg_credits": safe_ratio("gen_total_credits", total),
-            "completion_rate": safe_ratio("gen_completed", total),
-            "nsfw_rate": safe_ratio("gen_nsfw", total),
-            "gen_intensity": safe_ratio(total, active),
-            "gen_video_ratio": safe_ratio("gen_video_count", total),
-            "gen_avg_duration": safe_ratio("_dur_sum", "_dur_n"),
-            "gen_avg_hour": safe_ratio("_hour_sum", total),
-            "first_quit_day": first_quit_day(bits, N_DAYS),
-            "max_active_streak": longest_run(bits),
-            "week1_active_days": window_sum(bits, 0, WEEK),
-            "week2_active_days": window_sum(bits, WEEK, N_DAYS - WEEK),
-            "day01_ratio": day01_ratio,
-            "day01_credits_ratio": smooth_ratio("credits_day01", "gen_total_credits"),
-            "burst_flag": (day01_ratio > BURST_SHARE).cast("int"),
-            "is_short_life": (active <= SHORT_LIFE_DAYS).cast("int"),
-            "is_one_day_user": (active == 1).cast("int"),
-            "gen_trend": (w2 - w1) / (w1 + 1),
-            "credits_trend": (c2 - c1) / (c1 + 1),
-            "deceleration_flag": (w2 < w1 * DECELERATION).cast("int"),
-            "days_since_last_gen": F.col("_split_last_day") - F.col("_last_day"),
-            "days_since_first_gen": F.col("_split_last_day") - F.col("_first_day"),
-            "gen_has_generations": F.lit(1),
-        }
-    )
-    return out.select("user_id", *ACTIVITY_COLUMNS)
+    features = {
+        "gen_avg_credits": safe_ratio("gen_total_credits", total),
+        "completion_rate": safe_ratio("gen_completed", total),
+        "nsfw_rate": safe_ratio("gen_nsfw", total),
+        "gen_intensity": safe_ratio(total, active),
+        "gen_video_ratio": safe_ratio("gen_video_count", total),
+        "gen_avg_duration": safe_ratio("_dur_sum", "_dur_n"),
+        "gen_avg_hour": safe_ratio("_hour_sum", total),
+        "first_quit_day": first_quit_day(bits, N_DAYS),
+        "max_active_streak": longest_run(bits),
+        "week1_active_days": window_sum(bits, 0, WEEK),
+        "week2_active_days": window_sum(bits, WEEK, N_DAYS - WEEK),
+        "day01_ratio": day01_ratio,
+        "day01_credits_ratio": smooth_ratio("credits_day01", "gen_total_credits"),
+        "burst_flag": (day01_ratio > BURST_SHARE).cast("int"),
+        "is_short_life": (active <= SHORT_LIFE_DAYS).cast("int"),
+        "is_one_day_user": (active == 1).cast("int"),
+        "gen_trend": (w2 - w1) / (w1 + 1),
+        "credits_trend": (c2 - c1) / (c1 + 1),
+        "deceleration_flag": (w2 < w1 * DECELERATION).cast("int"),
+        "days_since_last_gen": F.col("_split_last_day") - F.col("_last_day"),
+        "days_since_first_gen": F.col("_split_last_day") - F.col("_first_day"),
+        "gen_has_generations": F.lit(1),
+    }
+    return {name: c for name, c in features.items() if name in wanted}
 
 
 def activity_features(generations: DataFrame, users: DataFrame, calendar: bool = False) -> DataFrame:
     """Activity features on the user spine; users without events get zeros."""
-    return attach(users.select("user_id"), activity_table(generations, users, calendar))
+    return attach(users.select(*USER_KEY), activity_table(generations, users, calendar))

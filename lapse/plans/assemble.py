@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.numeric import clip, log1p_pos, smooth_ratio
+from lapse.operators.keys import require_unique
 from lapse.operators.materialize import land_all
+from lapse.operators.spine import USER_KEY
 from lapse.plans.activity import ACTIVITY_COLUMNS, activity_from_slots, activity_slots
 from lapse.plans.onboarding import QUIZ_COLUMNS, quiz_fills, quiz_table
-from lapse.plans.payments import PAYMENT_COLUMNS, classify_attempts, failure_table, payment_fills, risk_from_cards, user_cards
+from lapse.plans.payments import PAYMENT_COLUMNS, card_table, classify_attempts, failures_from_cards, payment_fills, risk_from_cards
 from lapse.plans.properties import PROPERTY_COLUMNS, properties_frame, properties_from_frame
-from lapse.plans.purchases import purchase_columns, purchase_table
+from lapse.plans.purchases import purchase_columns, purchase_table, purchase_types
 from lapse.sources.fixtures import ChurnInputs
 
 # Interaction terms, computed before clipping.
@@ -60,12 +62,12 @@ LOG_COLUMNS = (
 def merge_features(users: DataFrame, blocks: list[DataFrame]) -> DataFrame:
     """Left-join every one-row-per-user block onto the users table.
 
-    All blocks are keyed and already partitioned by ``user_id``; Spark
+    All blocks are keyed and already partitioned by (split, user_id); Spark
     reuses that partitioning across the chain of joins.
     """
     out = users
     for block in blocks:
-        out = out.join(block, "user_id", "left")
+        out = out.join(block, list(USER_KEY), "left")
     return out
 
 
@@ -80,46 +82,49 @@ def clip_and_log(df: DataFrame) -> DataFrame:
     return clipped.withColumns({f"{c}_log": log1p_pos(c) for c in LOG_COLUMNS if c in present})
 
 
-def build_tables(inputs: ChurnInputs) -> list[DataFrame]:
+def build_tables(inputs: ChurnInputs, types: tuple[str, ...]) -> dict[str, DataFrame]:
     """The per-user aggregate tables (only users with data in each)."""
     i = inputs
-    attempts = classify_attempts(i.tx, i.purchases, i.users)
+    attempts = classify_attempts(i.tx, i.purchases)
     # Tables read by several branches are landed together, once.
     cards, slots, props = land_all(
         [
-            (user_cards(attempts), "user-cards"),
+            (card_table(attempts, materialize=False), "card-table"),
             (activity_slots(i.generations), "activity-slots"),
-            (properties_frame(i.props, i.users), "properties"),
+            (properties_frame(i.props), "properties"),
         ]
     )
-    return [
-        properties_from_frame(props),
-        purchase_table(i.purchases),
-        risk_from_cards(cards),
-        failure_table(attempts, cards),
-        activity_from_slots(slots, i.users),
-        quiz_table(i.quizzes),
-    ]
+    return {
+        "properties": properties_from_frame(props),
+        "purchases": purchase_table(i.purchases, types),
+        "card_risk": risk_from_cards(cards),
+        "failures": failures_from_cards(cards),
+        "activity": activity_from_slots(slots, i.users),
+        "quizzes": quiz_table(i.quizzes),
+    }
 
 
-def feature_fills() -> dict[str, F.Column]:
+def feature_fills(types: tuple[str, ...]) -> dict[str, F.Column]:
     """Gap filling of every block after the spine join, as one projection."""
-    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in [*purchase_columns(), *ACTIVITY_COLUMNS]}
+    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in [*purchase_columns(types), *ACTIVITY_COLUMNS]}
     return {**{c: F.col(c) for c in PROPERTY_COLUMNS}, **zero, **payment_fills(), **quiz_fills()}
 
 
 def merged_features(inputs: ChurnInputs) -> DataFrame:
-    """users + every block: one spine, one chain of left joins on user_id,
-    then all gap fills in a single projection."""
-    merged = merge_features(inputs.users, build_tables(inputs))
-    fills = feature_fills()
-    order = [*PROPERTY_COLUMNS, *purchase_columns(), *PAYMENT_COLUMNS, *ACTIVITY_COLUMNS, *QUIZ_COLUMNS]
+    """users + every block: one spine, one chain of left joins on (split,
+    user_id), then all gap fills in a single projection. A user listed twice
+    in a split fails the job."""
+    types = purchase_types(inputs.purchases)
+    blocks = build_tables(inputs, types)
+    merged = merge_features(require_unique(inputs.users, "users"), list(blocks.values()))
+    fills = feature_fills(types)
+    order = [*PROPERTY_COLUMNS, *purchase_columns(types), *PAYMENT_COLUMNS, *ACTIVITY_COLUMNS, *QUIZ_COLUMNS]
     return merged.select(*inputs.users.columns, *[fills[c].alias(c) for c in order])
 
 
 def user_features(inputs: ChurnInputs) -> DataFrame:
     """The full per-user feature table: users columns, 5 blocks, 14 interactions,
-    clipping, 13 log terms (125 columns besides user_id, churn_status, split)."""
+    clipping, 13 log terms (the type columns are those that occur)."""
     return clip_and_log(add_interactions(merged_features(inputs)))
 
 

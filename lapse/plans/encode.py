@@ -10,7 +10,9 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapse.operators.materialize import join_small, land
 from lapse.operators.positions import hash_fold, row_positions
+from lapse.operators.spine import USER_KEY
 
 # Engine defaults and the categorical columns it encodes.
 SEED = 42
@@ -21,7 +23,9 @@ CAT_FEATURES = (
     "country_code", "tx_card_brand", "tx_card_funding", "quiz_source", "quiz_experience",
     "quiz_frustration", "quiz_first_feature", "quiz_role", "quiz_usage_plan",
 )
-CLASSES = ("invol_churn", "not_churned", "vol_churn")  # alphabetical = code order
+# Most classes a label may have: each gets its own columns.
+MAX_CLASSES = 100
+MAX_CATEGORIES = 100_000
 DROPPED = ("subscription_plan",)
 NON_FEATURES = ("user_id", "churn_status", "target", "split")
 
@@ -32,6 +36,15 @@ def clean_categoricals(df: DataFrame, cols: tuple[str, ...] = CAT_FEATURES) -> D
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in cols if c in present})
 
 
+def class_names(features: DataFrame, label: str = "churn_status") -> tuple[str, ...]:
+    """The labels that occur in train, in code (alphabetical) order."""
+    found = features.where((F.col("split") == "train") & F.col(label).isNotNull()).select(label).distinct()
+    names = tuple(sorted(r[0] for r in found.limit(MAX_CLASSES + 1).collect()))
+    if len(names) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return names
+
+
 def label_index(features: DataFrame, label: str = "churn_status") -> DataFrame:
     """Train users with ``target`` = code of the label in alphabetical order.
 
@@ -46,15 +59,20 @@ def category_codes(features: DataFrame, cols: tuple[str, ...] = CAT_FEATURES) ->
     """Replace each categorical by its code among the sorted train values.
 
     A value never seen in train gets code 0. The indexer keeps one
-    dictionary per column (bounded by the column's category count).
+    dictionary per column, so a column with more than ``MAX_CATEGORIES``
+    values in train (free text, say) is refused before the fit.
     """
     df = clean_categoricals(features, cols)
     present = set(df.columns)
     cols = tuple(c for c in cols if c in present)
+    train = df.where(F.col("split") == "train")
+    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    if too_many := [c for c in cols if sizes[c] > MAX_CATEGORIES]:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {too_many}")
     tmp = [f"_code_{c}" for c in cols]
     model = StringIndexer(
         inputCols=list(cols), outputCols=tmp, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df.where(F.col("split") == "train"))
+    ).fit(train)
     sizes = {c: len(labels) for c, labels in zip(cols, model.labelsArray)}
     coded = model.transform(df)
     return coded.withColumns(
@@ -66,7 +84,6 @@ def target_encoding(
     labelled: DataFrame,
     test: DataFrame,
     col: str = "country_code",
-    n_classes: int = len(CLASSES),
     seed: int = SEED,
     max_folds: int = MAX_TE_FOLDS,
 ) -> DataFrame:
@@ -79,20 +96,24 @@ def target_encoding(
     totals from the category totals -- one aggregation for all folds. The
     totals tables have one row per (category, fold).
     """
+    # Class sizes of the train set (one small job): classes, folds, fallback.
+    sizes = {r["target"]: r["n"] for r in labelled.groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_classes, n_train = max(sizes, default=-1) + 1, sum(sizes.values())
     ys = [(F.col("target") == k).cast("double") for k in range(n_classes)]
-    # Scalars of the train set (one small job): fold count and class totals.
-    totals = labelled.agg(F.count(F.lit(1)).alias("n"), *[F.sum(y).alias(f"s{k}") for k, y in enumerate(ys)]).first()
-    n_folds = max(2, min(max_folds, totals["n"]))
-    tr = labelled.select("user_id", "split", col, "target").withColumn("_fold", hash_fold("user_id", seed, n_folds))
+    n_folds = max(2, min(max_folds, n_train))
+    overall = [F.lit(sizes.get(k, 0) / max(1, n_train)) for k in range(n_classes)]
+    tr = labelled.select(*USER_KEY, col, "target").withColumn("_fold", hash_fold("user_id", seed, n_folds))
     cf = tr.groupBy(col, "_fold").agg(F.count(F.lit(1)).alias("_n_cf"), *[F.sum(y).alias(f"_s_cf{k}") for k, y in enumerate(ys)])
     by_c = Window.partitionBy(col)
     everything = Window.partitionBy()
-    # cf is one row per (category, fold): windows over it stay small.
+    # cf is one row per (category, fold): windows over it stay small, and once
+    # landed and counted it is broadcast while small.
     cf = cf.select(
         col, "_fold", "_n_cf", *[f"_s_cf{k}" for k in range(n_classes)],
         F.sum("_n_cf").over(by_c).alias("_n_c"),
         *[F.sum(f"_s_cf{k}").over(by_c).alias(f"_s_c{k}") for k in range(n_classes)],
     )
+    cf = land(cf, "encoding-totals")
     # Fold and category totals roll up from the (category, fold) table, so the
     # train rows are read once for it and once for the final lookup.
     folds = cf.groupBy("_fold").agg(
@@ -104,26 +125,23 @@ def target_encoding(
         *[F.sum(f"_s_f{k}").over(everything).alias(f"_s_all{k}") for k in range(n_classes)],
     )
     out_fold = F.col("_n_c") - F.col("_n_cf")
-    train_enc = tr.join(cf, [col, "_fold"], "left").join(F.broadcast(folds), "_fold", "left").select(
-        "user_id", "split", col,
+    # Rows whose category lies in one fold only fall back to the other folds'
+    # share, and to the overall share if all rows lie in one fold.
+    train_enc = join_small(tr, cf, [col, "_fold"]).join(F.broadcast(folds), "_fold", "left").select(
+        *USER_KEY, col,
         *[
-            F.when(out_fold > 0, (F.col(f"_s_c{k}") - F.col(f"_s_cf{k}")) / out_fold)
-            .otherwise((F.col(f"_s_all{k}") - F.col(f"_s_f{k}")) / (F.col("_n_all") - F.col("_n_f")))
-            .alias(f"{col}_te_cls{k}")
+            F.coalesce(
+                F.try_divide(F.col(f"_s_c{k}") - F.col(f"_s_cf{k}"), out_fold),
+                F.try_divide(F.col(f"_s_all{k}") - F.col(f"_s_f{k}"), F.col("_n_all") - F.col("_n_f")),
+                overall[k],
+            ).alias(f"{col}_te_cls{k}")
             for k in range(n_classes)
         ],
     )
     full = cf.groupBy(col).agg(F.sum("_n_cf").alias("_n"), *[F.sum(f"_s_cf{k}").alias(f"_s{k}") for k in range(n_classes)])
-    test_enc = (
-        test.select("user_id", "split", col)
-        .join(full, col, "left")
-        .select(
-            "user_id", "split", col,
-            *[
-                F.coalesce(F.col(f"_s{k}") / F.col("_n"), F.lit(totals[f"s{k}"] / totals["n"])).alias(f"{col}_te_cls{k}")
-                for k in range(n_classes)
-            ],
-        )
+    test_enc = join_small(test.select(*USER_KEY, col), land(full, "encoding-full"), col).select(
+        *USER_KEY, col,
+        *[F.coalesce(F.try_divide(F.col(f"_s{k}"), F.col("_n")), overall[k]).alias(f"{col}_te_cls{k}") for k in range(n_classes)],
     )
     return train_enc.unionByName(test_enc)
 
@@ -148,8 +166,8 @@ def stratified_folds(labelled: DataFrame, seed: int = SEED, max_folds: int = MAX
     md5-key order are dealt round-robin, so per class fold sizes differ by at
     most one."""
     k = n_folds_of(labelled, max_folds)
-    pos = row_positions(labelled.select("user_id", "target"), "user_id", seed, by=["target"], out="_pos")
-    return pos.select("user_id", "target", ((F.col("_pos") - 1) % k).cast("int").alias("fold"))
+    pos = row_positions(labelled.select(*USER_KEY, "target"), "user_id", seed, by=["target"], out="_pos")
+    return pos.select(*USER_KEY, "target", ((F.col("_pos") - 1) % k).cast("int").alias("fold"))
 
 
 def n_folds_of(labelled: DataFrame, max_folds: int = MAX_FOLDS) -> int:
@@ -161,9 +179,10 @@ def model_frame(features: DataFrame, clusters: DataFrame | None = None, seed: in
     """Encoded model table for both splits: category codes, target encoding,
     ``target`` for train users (null for test), plan column dropped."""
     coded = category_codes(features).drop(*DROPPED)
+    key = list(USER_KEY)
     if clusters is not None:
-        coded = coded.join(clusters, "user_id", "left")
-    cleaned = clean_categoricals(features.select("user_id", "split", "churn_status", "country_code"))
+        coded = coded.join(clusters, key, "left")
+    cleaned = clean_categoricals(features.select(*key, "churn_status", "country_code"))
     labelled = label_index(cleaned)
-    te = target_encoding(labelled, cleaned.where(F.col("split") != "train"), seed=seed).drop("split", "country_code")
-    return coded.join(labelled.select("user_id", "target"), "user_id", "left").join(te, "user_id", "left")
+    te = target_encoding(labelled, cleaned.where(F.col("split") != "train"), seed=seed).drop("country_code")
+    return coded.join(labelled.select(*key, "target"), key, "left").join(te, key, "left")

@@ -17,13 +17,14 @@ from functools import reduce
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapse.operators.spine import numeric_columns
+from lapse.operators.spine import USER_KEY, numeric_columns
 from lapse.plans.encode import (
-    CAT_FEATURES, CLASSES, NON_FEATURES, SEED, label_index, model_frame, n_folds_of, stratified_folds,
+    CAT_FEATURES, NON_FEATURES, SEED, class_names, label_index, model_frame, n_folds_of, stratified_folds,
 )
 from lapse.operators.materialize import land
 
@@ -38,46 +39,79 @@ NUM_TREES = 300
 MIN_LEAF = 2
 MAX_DEPTH = 30  # MLlib's limit; the engine grows trees without a depth cap
 MISSING_NUMBER = -1.0
-PROB_COLUMNS = tuple(f"prob_{c}" for c in CLASSES)
+# Thresholds MLlib may try per feature (its default is 32).
+MAX_BINS = 64
+# Labelled rows a fit reads at most; beyond it a hash sample is drawn. Trees and
+# k-means statistics are held by the driver, so the fit has a bound; scoring
+# covers all rows.
+MAX_FIT_ROWS = 1_000_000
 
 
-def _checkpoint(df: DataFrame, name: str) -> DataFrame:
-    return land(df, name)
+def bounded(rows: DataFrame, limit: int = MAX_FIT_ROWS, seed: int = SEED) -> DataFrame:
+    """``rows``, or a reproducible hash sample of about ``limit`` of them."""
+    n = rows.count()
+    if n <= limit:
+        return rows
+    draw = F.pmod(F.xxhash64(*USER_KEY, F.lit(seed)), F.lit(1 << 40))
+    return rows.where(draw < int(limit / n * (1 << 40)))
+
+
+def cluster_inputs(features: DataFrame) -> DataFrame:
+    """Users with the assembled clustering inputs (gaps as 0)."""
+    cols = list(CLUSTER_FEATURES)
+    filled = features.select(*USER_KEY, *cols).na.fill(0, subset=cols)
+    return VectorAssembler(inputCols=cols, outputCol="_raw").transform(filled)
+
+
+def scaler_for(raw: DataFrame):
+    """Standardisation (train mean, sample deviation) of the cluster inputs."""
+    return StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True).fit(raw.where(F.col("split") == "train"))
+
+
+def scaled_features(features: DataFrame) -> DataFrame:
+    """The standardised clustering inputs as columns, every user."""
+    raw = cluster_inputs(features)
+    x = vector_to_array("_x")
+    return scaler_for(raw).transform(raw).select(*USER_KEY, *[x[j].alias(c) for j, c in enumerate(CLUSTER_FEATURES)])
 
 
 def cluster_ids(
-    features: DataFrame, seed: int = SEED, max_k: int = MAX_CLUSTERS, restarts: int = KMEANS_RESTARTS
+    features: DataFrame, seed: int = SEED, max_k: int = MAX_CLUSTERS, restarts: int = KMEANS_RESTARTS, max_rows: int = MAX_FIT_ROWS
 ) -> DataFrame:
-    """(user_id, cluster_id) for every user; scaler and k-means fit on train.
+    """(split, user_id, cluster_id) for every user; scaler and k-means fit on train.
 
     k = min(6, train users); of ``restarts`` seeded fits the one with the
     lowest within-cluster cost is kept.
     """
-    cols = list(CLUSTER_FEATURES)
-    filled = features.select("user_id", "split", *cols).na.fill(0, subset=cols)
-    raw = VectorAssembler(inputCols=cols, outputCol="_raw").transform(filled)
-    train = raw.where(F.col("split") == "train")
-    scaler = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True).fit(train)
-    train_x = _checkpoint(scaler.transform(train).select("user_id", "_x"), "kmeans-train")
-    k = max(1, min(max_k, train_x.count()))
-
-    def fit(r: int):
-        model = KMeans(k=k, seed=seed + r, featuresCol="_x", predictionCol="cluster_id", maxIter=300).fit(train_x)
-        return model.summary.trainingCost, r, model
-
-    # The restarts are independent jobs: submitted together, they share the
-    # executors instead of queueing one small job after another.
-    with ThreadPoolExecutor(max_workers=restarts) as pool:
-        fits = list(pool.map(fit, range(restarts)))
+    raw = cluster_inputs(features)
+    scaler = scaler_for(raw)
+    scaled = scaler.transform(raw.where(F.col("split") == "train")).select(*USER_KEY, "_x")
+    train_x = bounded(land(scaled, "kmeans-train"), max_rows, seed).select("_x")
+    # Kept once for all restarts; an unpersisted frame would be cached by each.
+    train_x = train_x.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        k = max(1, min(max_k, train_x.count()))
+
+        def fit(r: int):
+            model = KMeans(k=k, seed=seed + r, featuresCol="_x", predictionCol="cluster_id", maxIter=300).fit(train_x)
+            return model.summary.trainingCost, r, model
+
+        # The restarts are independent jobs: submitted together, they share the
+        # executors instead of queueing one small job after another.
+        with ThreadPoolExecutor(max_workers=restarts) as pool:
+            fits = list(pool.map(fit, range(restarts)))
+    finally:
+        train_x.unpersist()
     best = min(fits, key=lambda t: (t[0], t[1]))[2]  # lowest cost, then first restart
-    scored = best.transform(scaler.transform(raw).select("user_id", "_x"))
-    return scored.select("user_id", F.col("cluster_id").cast("int").alias("cluster_id"))
+    scored = best.transform(scaler.transform(raw).select(*USER_KEY, "_x"))
+    return scored.select(*USER_KEY, F.col("cluster_id").cast("int").alias("cluster_id"))
 
 
 def cluster_sizes(features: DataFrame, clusters: DataFrame) -> DataFrame:
     """Train users per cluster, ordered by cluster id."""
-    train = features.where(F.col("split") == "train").select("user_id")
-    return train.join(clusters, "user_id").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_users")).orderBy("cluster_id")
+    train = features.where(F.col("split") == "train").select(*USER_KEY)
+    joined = train.join(clusters, list(USER_KEY))
+    return joined.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_users")).orderBy("cluster_id")
 
 
 def feature_columns(frame: DataFrame) -> list[str]:
@@ -91,25 +125,23 @@ def _assembled(frame: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(filled)
 
 
-def _balanced_weights(train: DataFrame) -> DataFrame:
+def class_weights(train: DataFrame) -> DataFrame:
     """w_c = n / (n_classes * n_c), the 'balanced' class weight (one row per class)."""
     counts = train.groupBy("target").agg(F.count(F.lit(1)).alias("_nc"))
     everything = Window.partitionBy()  # over the per-class rows only
     w = F.sum("_nc").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("_nc"))
-    return F.broadcast(counts.select("target", w.alias("w")))
-
-
-def _probs(df: DataFrame) -> DataFrame:
-    p = vector_to_array("probability")
-    return df.withColumns({name: p[i] for i, name in enumerate(PROB_COLUMNS)})
+    return counts.select("target", w.alias("w"))
 
 
 def forest_cv(
     frame: DataFrame,
     folds: DataFrame,
+    classes: tuple[str, ...],
     num_trees: int = NUM_TREES,
     min_leaf: int = MIN_LEAF,
     max_depth: int = MAX_DEPTH,
+    max_bins: int = MAX_BINS,
+    max_rows: int = MAX_FIT_ROWS,
     seed: int = SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold train probabilities and fold-averaged test probabilities.
@@ -118,49 +150,51 @@ def forest_cv(
     expensive part; the landed tables can be read any number of times).
 
     ``frame``: model table (both splits, ``target`` on train rows);
-    ``folds``: (user_id, fold). Returns (oof, test): oof has user_id, target,
-    fold and prob_*; test has user_id and prob_* averaged over the folds.
+    ``folds``: (split, user_id, fold); ``classes`` in code order. Returns
+    (oof, test): oof has split, user_id, target, fold and prob_*; test has
+    split, user_id and prob_* averaged over the folds.
     """
-    data = _assembled(frame).select("user_id", "split", "target", "features")
-    train = _checkpoint(
-        data.where(F.col("split") == "train").join(folds.select("user_id", "fold"), "user_id"), "forest-train"
-    )
-    test = _checkpoint(data.where(F.col("split") != "train").select("user_id", "features"), "forest-test")
+    key, probs = list(USER_KEY), [f"prob_{c}" for c in classes]
+    data = _assembled(frame).select(*key, "target", "features")
+    train = land(data.where(F.col("split") == "train").join(folds.select(*key, "fold"), key), "forest-train")
+    test = land(data.where(F.col("split") != "train").select(*key, "features"), "forest-test")
     n_folds = folds.agg(F.max("fold")).first()[0] + 1
 
-    def fit_fold(f: int) -> tuple[DataFrame, DataFrame]:
-        tr = train.where(F.col("fold") != f)
-        tr = tr.join(_balanced_weights(tr), "target").withColumn("label", F.col("target").cast("double"))
-        model = RandomForestClassifier(
+    def fit_fold(f: int):
+        tr = bounded(train.where(F.col("fold") != f), max_rows, seed)
+        tr = tr.join(F.broadcast(class_weights(tr)), "target").withColumn("label", F.col("target").cast("double"))
+        return RandomForestClassifier(
             featuresCol="features", labelCol="label", weightCol="w", numTrees=num_trees,
-            minInstancesPerNode=min_leaf, maxDepth=max_depth, featureSubsetStrategy="sqrt",
-            seed=seed + f + 1,
+            minInstancesPerNode=min_leaf, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="sqrt",
+            seed=seed + f + 1, probabilityCol=f"_p{f}", rawPredictionCol=f"_r{f}", predictionCol=f"_c{f}",
             # Execution setting only: node ids cached (checkpointed every 10
             # levels) so deep trees do not re-route every row from the root.
             # The per-task statistics buffer stays at MLlib's default size,
             # since fold fits run concurrently.
             cacheNodeIds=True, checkpointInterval=10,
         ).fit(tr)
-        va = _probs(model.transform(train.where(F.col("fold") == f)))
-        return va.select("user_id", "target", "fold", *PROB_COLUMNS), _probs(model.transform(test)).select(
-            "user_id", *PROB_COLUMNS
-        )
 
     # Fold fits are independent; their jobs run side by side.
     with ThreadPoolExecutor(max_workers=n_folds) as pool:
-        parts = list(pool.map(fit_fold, range(n_folds)))
-    oof_parts = [p[0] for p in parts]
-    test_parts = [p[1] for p in parts]
-    oof = land(reduce(DataFrame.unionByName, oof_parts), "forest-oof")
-    test_avg = reduce(DataFrame.unionByName, test_parts).groupBy("user_id").agg(
-        *[(F.sum(c) / n_folds).alias(c) for c in PROB_COLUMNS]
-    )
-    return oof, land(test_avg, "forest-test-probs")
+        models = list(pool.map(fit_fold, range(n_folds)))
+
+    def part(f: int) -> DataFrame:
+        p = vector_to_array(f"_p{f}")
+        scored = models[f].transform(train.where(F.col("fold") == f))
+        return scored.select(*key, "target", "fold", *[p[i].alias(c) for i, c in enumerate(probs)])
+
+    oof = land(reduce(DataFrame.unionByName, map(part, range(n_folds))), "forest-oof")
+    # The models score the test users one after another in the same rows, and
+    # a projection averages: no union, no shuffle.
+    scored = reduce(lambda df, m: m.transform(df), models, test)
+    averages = [sum((vector_to_array(f"_p{f}")[i] for f in range(n_folds)), F.lit(0.0)) / n_folds for i in range(len(probs))]
+    return oof, land(scored.select(*key, *[a.alias(c) for a, c in zip(averages, probs)]), "forest-test-probs")
 
 
-def feature_preview(frame: DataFrame, n: int = 15) -> list[str]:
-    """The first ``n`` feature names (schema only, no job)."""
-    return feature_columns(frame)[:n]
+def feature_preview(frame: DataFrame, n: int = 15) -> DataFrame:
+    """The first ``n`` feature names, numbered (schema only)."""
+    names = feature_columns(frame)[:n]
+    return frame.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string")
 
 
 @dataclass
@@ -168,8 +202,9 @@ class ModelData:
     """Everything the forest needs, as lazy DataFrames plus a few scalars."""
 
     features: DataFrame  # user feature table, both splits
+    clusters: DataFrame  # (split, user_id, cluster_id)
     frame: DataFrame  # encoded model table (codes, target encoding, cluster id, target)
-    folds: DataFrame  # (user_id, target, fold) for train users
+    folds: DataFrame  # (split, user_id, target, fold) for train users
     feature_cols: list[str]
     cat_features: tuple[str, ...]
     class_names: tuple[str, ...]
@@ -180,17 +215,18 @@ class ModelData:
 def prepare_model_data(features: DataFrame, users: DataFrame, seed: int = SEED) -> ModelData:
     """Clusters, encodings and folds for the feature table (one job for the
     fold count, which is a property of the class sizes)."""
-    clusters = cluster_ids(features, seed=seed)
+    clusters = land(cluster_ids(features, seed=seed), "clusters")
     frame = model_frame(features, clusters, seed=seed)
     labelled = label_index(users)
     n_folds = n_folds_of(labelled)
     return ModelData(
         features=features,
+        clusters=clusters,
         frame=frame,
         folds=stratified_folds(labelled, seed=seed),
         feature_cols=feature_columns(frame),
         cat_features=CAT_FEATURES,
-        class_names=CLASSES,
+        class_names=class_names(users),
         n_folds=int(n_folds),
         seed=seed,
     )

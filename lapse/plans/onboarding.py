@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lapse.functions.numeric import to_number
 from lapse.operators.keys import require_unique
+from lapse.operators.spine import USER_KEY
 
 # Quiz answer columns and the placeholder of a missing answer.
 QUIZ_TEXT = ("source", "experience", "usage_plan", "frustration", "first_feature", "role")
@@ -22,9 +23,9 @@ QUIZ_COLUMNS = (
 def quiz_table(quizzes: DataFrame) -> DataFrame:
     """One row per user with a quiz: renamed answers, parsed team size and
     ``has_quiz_data`` = any of five answers present. Duplicate rows fail."""
-    q = require_unique(quizzes.select("user_id", "source", "team_size", *QUIZ_TEXT[1:]), "user_id", "quizzes")
+    q = require_unique(quizzes.select(*USER_KEY, "source", "team_size", *QUIZ_TEXT[1:]), "quizzes")
     return q.select(
-        "user_id",
+        *USER_KEY,
         *[F.col(c).alias(f"quiz_{c}") for c in QUIZ_TEXT],
         to_number("team_size").alias("quiz_team_size"),
         F.coalesce(*[F.col(c) for c in QUIZ_PRESENCE]).isNotNull().cast("int").alias("has_quiz_data"),
@@ -41,6 +42,6 @@ def quiz_fills() -> dict[str, F.Column]:
 def quiz_features(quizzes: DataFrame, users: DataFrame) -> DataFrame:
     """Answers on the user spine: text null -> 'missing', team size parsed (bad -> 0),
     ``has_quiz_data`` = any of five answers present."""
-    out = users.select("user_id").join(quiz_table(quizzes), "user_id", "left")
+    out = users.select(*USER_KEY).join(quiz_table(quizzes), list(USER_KEY), "left")
     fills = quiz_fills()
-    return out.select("user_id", *[fills[c].alias(c) for c in QUIZ_COLUMNS])
+    return out.select(*USER_KEY, *[fills[c].alias(c) for c in QUIZ_COLUMNS])

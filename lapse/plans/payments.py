@@ -1,8 +1,9 @@
 """Payment features: card risk over successful attempts, attributed failures.
 
 An attempt is successful when its transaction id occurs in the purchases of
-the same split; the purchase gives it a user. Failed attempts have no user
-and are attributed by card fingerprint (``lapse.operators.attribution``).
+the same split, whoever bought; the purchase gives it a user. Failed attempts
+have no user and are attributed by card fingerprint
+(``lapse.operators.attribution``).
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.functions.text import fingerprint
-from lapse.operators.attribution import attribute_failures, fingerprint_users, users_per_fingerprint
+from lapse.operators.attribution import attribute_counts, fingerprint_users, users_per_fingerprint
 from lapse.operators.materialize import land
 from lapse.operators.mode import mode_or
-from lapse.plans.properties import with_split
+from lapse.operators.spine import USER_KEY
 
 # Card attributes forming the fingerprint, in this order.
 FINGERPRINT_COLUMNS = (
@@ -36,34 +37,30 @@ PAYMENT_COLUMNS = (
 KEYS = ["split"]
 
 
-def purchase_map(purchases: DataFrame, users: DataFrame) -> DataFrame:
+def purchase_map(purchases: DataFrame) -> DataFrame:
     """Distinct (split, transaction_id, user_id) of the purchases."""
-    return (
-        with_split(purchases, users)
-        .where(F.col("transaction_id").isNotNull())
-        .select("split", "transaction_id", "user_id")
-        .distinct()
-    )
+    known = purchases.where(F.col("transaction_id").isNotNull())
+    return known.select("split", "transaction_id", "user_id").distinct()
 
 
-def classify_attempts(tx: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
+def classify_attempts(tx: DataFrame, purchases: DataFrame) -> DataFrame:
     """Every attempt once per matching purchase user, with ``is_success``.
 
     One left join on (split, transaction_id) serves both the successful
     rows (matched, with their user) and the failed rows (unmatched), so the
     attempts are shuffled once.
     """
-    pm = purchase_map(purchases, users).withColumn("_hit", F.lit(True))
+    pm = purchase_map(purchases).withColumn("_hit", F.lit(True))
     out = tx.join(pm, ["split", "transaction_id"], "left")
     return out.withColumn("is_success", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
 
 
-def tx_success(tx: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
-    return classify_attempts(tx, purchases, users).where("is_success").drop("is_success")
+def tx_success(tx: DataFrame, purchases: DataFrame) -> DataFrame:
+    return classify_attempts(tx, purchases).where("is_success").drop("is_success")
 
 
-def tx_failed(tx: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
-    return classify_attempts(tx, purchases, users).where(~F.col("is_success")).drop("is_success", "user_id")
+def tx_failed(tx: DataFrame, purchases: DataFrame) -> DataFrame:
+    return classify_attempts(tx, purchases).where(~F.col("is_success")).drop("is_success", "user_id")
 
 
 def _risk_aggs() -> list:
@@ -93,17 +90,17 @@ def _mode_aggs() -> list:
 
 def card_risk(success: DataFrame) -> DataFrame:
     """Per user over successful attempts: count, any-flags, cvc pass rate, amounts."""
-    return success.groupBy("user_id").agg(*_risk_aggs())
+    return success.groupBy(*USER_KEY).agg(*_risk_aggs())
 
 
 def country_mismatch(success: DataFrame) -> DataFrame:
     """Share of successful attempts whose billing country differs from the card's."""
-    return success.groupBy("user_id").agg(_mismatch_agg())
+    return success.groupBy(*USER_KEY).agg(_mismatch_agg())
 
 
 def card_mode(success: DataFrame) -> DataFrame:
     """Most used card brand and funding per user ('unknown' when none)."""
-    return success.groupBy("user_id").agg(*_mode_aggs())
+    return success.groupBy(*USER_KEY).agg(*_mode_aggs())
 
 
 def with_fingerprint(df: DataFrame) -> DataFrame:
@@ -115,26 +112,21 @@ def fingerprint_user_counts(success: DataFrame) -> DataFrame:
     return users_per_fingerprint(fingerprint_users(with_fingerprint(success), KEYS), KEYS)
 
 
-def failure_attribution(success: DataFrame, failed: DataFrame) -> DataFrame:
-    return attribute_failures(with_fingerprint(success), with_fingerprint(failed), KEYS, FAILURE_CODES)
-
-
-def user_cards(attempts: DataFrame, materialize: bool = False) -> DataFrame:
-    """One row per (split, card fingerprint, user) over successful attempts,
-    with the partial sums the per-user risk features need.
+def card_table(attempts: DataFrame, materialize: bool = True) -> DataFrame:
+    """One row per (split, card fingerprint, user, success) with the partial
+    sums that every payment feature needs; a failed attempt has no user.
 
     Brand, funding, prepaid, virtual and both countries are fingerprint
     fields, so they are constant inside a group; brand and funding are kept
     as keys. The risk roll-up, the most-used brand and funding and the
-    failure attribution all read this table; with ``materialize`` it is
-    landed once in the shared folder, so the attempts are scanned once for
-    the successful side instead of once per consumer.
+    failure attribution all read this table, which is landed once, so the
+    attempts are scanned and joined once for all of them.
     """
-    success = with_fingerprint(attempts.where("is_success").where(F.col("user_id").isNotNull()))
     passed = F.coalesce(F.col("cvc_check"), F.lit("")) == "pass"
     differs = F.coalesce(F.col("billing_address_country"), F.lit("")) != F.coalesce(F.col("card_country"), F.lit(""))
     any_true = lambda c: F.bool_or(F.coalesce(F.col(c), F.lit(False)))
-    cards = success.groupBy("split", "fingerprint", "user_id", "card_brand", "card_funding").agg(
+    keys = ["split", "fingerprint", "user_id", "is_success", "card_brand", "card_funding"]
+    cards = with_fingerprint(attempts).groupBy(*keys).agg(
         F.count("transaction_id").alias("_n"),
         F.count(F.lit(1)).alias("_rows"),
         F.bool_or(F.coalesce(F.col("digital_wallet"), F.lit("none")) != "none").alias("_wallet"),
@@ -147,25 +139,30 @@ def user_cards(attempts: DataFrame, materialize: bool = False) -> DataFrame:
         F.count("amount_in_usd").alias("_amt_n"),
         F.max("amount_in_usd").alias("_amt_max"),
         F.count_if(differs).alias("_mismatch"),
+        *[F.count_if(F.col("failure_code") == c).alias(f"n_{c}") for c in FAILURE_CODES],
     )
-    return land(cards, "user-cards") if materialize else cards
+    return land(cards, "card-table") if materialize else cards
+
+
+def _paid(cards: DataFrame) -> DataFrame:
+    return cards.where(F.col("is_success") & F.col("user_id").isNotNull())
 
 
-def _most_used(cards: DataFrame, col: str, out: str) -> DataFrame:
+def _most_used(paid: DataFrame, col: str, out: str) -> DataFrame:
     """Per user the value of ``col`` on most successful attempts; ties -> smallest.
 
     Top-1 per user by ``row_number``: Spark limits each group before the
     shuffle (window group limit), and a user has one row per distinct value.
     """
-    counts = cards.where(F.col(col).isNotNull()).groupBy("user_id", col).agg(F.sum("_rows").alias("_c"))
-    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("_c"), F.asc(col)))
-    return counts.withColumn("_r", rank).where(F.col("_r") == 1).select("user_id", F.col(col).alias(out))
+    counts = paid.where(F.col(col).isNotNull()).groupBy(*USER_KEY, col).agg(F.sum("_rows").alias("_c"))
+    rank = F.row_number().over(Window.partitionBy(*USER_KEY).orderBy(F.desc("_c"), F.asc(col)))
+    return counts.withColumn("_r", rank).where(F.col("_r") == 1).select(*USER_KEY, F.col(col).alias(out))
 
 
 def risk_from_cards(cards: DataFrame) -> DataFrame:
-    """Card-risk features per user, rolled up from the per-card partial sums."""
-    rows = F.sum("_rows")
-    risk = cards.groupBy("user_id").agg(
+    """Card-risk features per user, rolled up from the card table."""
+    paid, rows = _paid(cards), F.sum("_rows")
+    risk = paid.groupBy(*USER_KEY).agg(
         F.sum("_n").alias("tx_success_count"),
         *[F.bool_or(f"_{k}").cast("int").alias(n) for k, n in zip(("wallet", "3ds", "prepaid", "virtual", "business"), RISK_FLAGS)],
         (F.sum("_cvc_pass") / rows).alias("tx_cvc_pass_rate"),
@@ -173,21 +170,18 @@ def risk_from_cards(cards: DataFrame) -> DataFrame:
         F.max("_amt_max").alias("tx_max_amount"),
         (F.sum("_mismatch") / rows).alias("tx_country_mismatch_rate"),
     )
-    return risk.join(_most_used(cards, "card_brand", "tx_card_brand"), "user_id", "left").join(
-        _most_used(cards, "card_funding", "tx_card_funding"), "user_id", "left"
-    )
-
-
-def risk_table(attempts: DataFrame) -> DataFrame:
-    """Card-risk aggregates per user over the successful attempts."""
-    return risk_from_cards(user_cards(attempts, materialize=True))
+    for col, name in (("card_brand", "tx_card_brand"), ("card_funding", "tx_card_funding")):
+        risk = risk.join(_most_used(paid, col, name), list(USER_KEY), "left")
+    return risk
 
 
-def failure_table(attempts: DataFrame, cards: DataFrame | None = None) -> DataFrame:
+def failures_from_cards(cards: DataFrame) -> DataFrame:
     """Attributed failures per user (users with a matched failure only)."""
-    cards = cards if cards is not None else user_cards(attempts)
-    failed = with_fingerprint(attempts.where(~F.col("is_success")))
-    return attribute_failures(cards, failed, KEYS, FAILURE_CODES)
+    pairs = fingerprint_users(_paid(cards), KEYS)
+    fails = cards.where(~F.col("is_success")).groupBy(*KEYS, "fingerprint").agg(
+        F.sum("_rows").alias("n_fail"), *[F.sum(f"n_{c}").alias(f"n_{c}") for c in FAILURE_CODES]
+    )
+    return attribute_counts(pairs, fails, KEYS, FAILURE_CODES)
 
 
 def payment_fills() -> dict[str, F.Column]:
@@ -203,10 +197,9 @@ def payment_fills() -> dict[str, F.Column]:
 
 def payment_features(tx: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
     """All 20 payment features on the user spine."""
-    attempts = classify_attempts(tx, purchases, users)
-    cards = user_cards(attempts, materialize=True)
-    out = users.select("user_id").join(risk_from_cards(cards), "user_id", "left").join(
-        failure_table(attempts, cards), "user_id", "left"
-    )
+    cards = card_table(classify_attempts(tx, purchases))
+    out = users.select(*USER_KEY)
+    for table in (risk_from_cards(cards), failures_from_cards(cards)):
+        out = out.join(table, list(USER_KEY), "left")
     fills = payment_fills()
-    return out.select("user_id", *[fills[c].alias(c) for c in PAYMENT_COLUMNS])
+    return out.select(*USER_KEY, *[fills[c].alias(c) for c in PAYMENT_COLUMNS])

@@ -1,7 +1,7 @@
 """Subscription properties: plan, country share, calendar parts, date rank.
 
 Share and rank are computed within each split (train and test are scored
-as separate populations), so ``split`` comes from the user spine.
+as separate populations).
 """
 
 from __future__ import annotations
@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from lapse.functions.time import datetime_parts, weekday_sat0
 from lapse.operators.frequency import frequency_share
 from lapse.operators.keys import require_unique
-from lapse.operators.materialize import land
+from lapse.operators.materialize import join_small, land
 from lapse.operators.rank import with_percent_rank
+from lapse.operators.spine import USER_KEY
 
-# Rank buckets are minutes ("YYYY-MM-DD HH:MM"): a day holding a third of
-# all sign-ups is still split into 1,440 window partitions.
-RANK_BUCKET_CHARS = 16
+# Rank buckets are days, then minutes ("YYYY-MM-DD HH:MM") inside a day: no
+# task orders more than the days of a split, the minutes of a day, or the
+# distinct texts of a minute.
+RANK_BUCKET_CHARS = (10, 16)
 
 PROPERTY_COLUMNS = (
     "subscription_plan", "country_code", "country_freq",
@@ -25,59 +27,51 @@ PROPERTY_COLUMNS = (
 )
 
 
-def with_split(df: DataFrame, users: DataFrame) -> DataFrame:
-    """Attach each row's split through its user (rows of unknown users drop)."""
-    return df.join(users.select("user_id", "split"), "user_id")
-
-
-def country_frequency(props: DataFrame, users: DataFrame) -> DataFrame:
+def country_frequency(props: DataFrame) -> DataFrame:
     """Share of each country among the split's non-null country codes."""
-    return frequency_share(with_split(props, users), "country_code", ["split"], out="country_freq")
+    return frequency_share(props, "country_code", ["split"], out="country_freq")
 
 
 def subscription_calendar(props: DataFrame) -> DataFrame:
     """Month, day of week (0 = Saturday) and hour of the subscription start."""
     p = datetime_parts("subscription_start_date")
     return props.select(
-        "user_id",
+        *USER_KEY,
         p["month"].cast("int").alias("sub_month"),
         weekday_sat0(p["year"], p["month"], p["day"]).alias("sub_day_of_week"),
         p["hour"].cast("int").alias("sub_hour"),
     )
 
 
-def subscription_date_rank(props: DataFrame, users: DataFrame) -> DataFrame:
+def subscription_date_rank(props: DataFrame) -> DataFrame:
     """Percent rank of the start-date text within the split, ties averaged."""
-    p = land(properties_frame(props, users).select("user_id", "split", "subscription_start_date"), "properties-dates")
-    ranked = with_percent_rank(
-        p,
-        "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS,
-    )
-    return ranked.select("user_id", "sub_date_rank")
+    p = land(properties_frame(props).select(*USER_KEY, "subscription_start_date"), "properties-dates")
+    ranked = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS)
+    return ranked.select(*USER_KEY, "sub_date_rank")
 
 
-def properties_frame(props: DataFrame, users: DataFrame) -> DataFrame:
-    """Key-checked properties with each row's split (not yet landed)."""
-    return with_split(require_unique(props, "user_id", "properties"), users)
+def properties_frame(props: DataFrame) -> DataFrame:
+    """Key-checked properties (not yet landed)."""
+    return require_unique(props, "properties")
 
 
-def properties_features(props: DataFrame, users: DataFrame) -> DataFrame:
+def properties_features(props: DataFrame) -> DataFrame:
     """One row per user with properties (not yet joined to the full spine)."""
     # Landed: the share, the rank (two branches) and the main projection all
-    # read it, and Spark would otherwise re-run the key check and the split
-    # join for each of them.
-    return properties_from_frame(land(properties_frame(props, users), "properties"))
+    # read it, and Spark would otherwise re-run the key check for each.
+    return properties_from_frame(land(properties_frame(props), "properties"))
 
 
 def properties_from_frame(p: DataFrame) -> DataFrame:
     """Property features from a (landed) ``properties_frame``."""
-    # One row per (split, country); AQE broadcasts it from its measured size.
-    freq = frequency_share(p, "country_code", ["split"], out="country_freq")
+    # One row per (split, country): landed, counted, and broadcast while small,
+    # so that users are not shuffled on some tens of keys.
+    freq = land(frequency_share(p, "country_code", ["split"], out="country_freq"), "country-share")
     parts = datetime_parts("subscription_start_date")
     out = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS)
-    out = out.join(freq, ["split", "country_code"], "left")
+    out = join_small(out, freq, ["split", "country_code"])
     return out.select(
-        "user_id",
+        *USER_KEY,
         "subscription_plan",
         "country_code",
         "country_freq",

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from lapse.functions.text import column_suffix
 from lapse.functions.time import day_number
-from lapse.operators.spine import attach
+from lapse.operators.materialize import land
+from lapse.operators.spine import USER_KEY, attach
 
-# Purchase types known to the engine (column suffixes).
-PURCHASE_TYPES = ("credits_package", "subscription_create", "subscription_update")
+# Most types a catalogue may hold: each becomes a column.
+MAX_TYPES = 200
 
 SUMMARY_COLUMNS = (
     "total_purchases", "total_spend", "avg_purchase_amount",
@@ -26,10 +27,20 @@ def _summary_aggs() -> list:
         F.avg(amt).alias("avg_purchase_amount"),
         F.max(amt).alias("max_purchase"),
         F.min(amt).alias("min_purchase"),
-        F.countDistinct("purchase_type").alias("n_purchase_types"),
+        # A set bounded by the type catalogue: no extra exchange for a distinct count.
+        F.size(F.collect_set("purchase_type")).cast("bigint").alias("n_purchase_types"),
     ]
 
 
+def purchase_types(purchases: DataFrame, limit: int = MAX_TYPES) -> tuple[str, ...]:
+    """The column suffixes of the types that occur, sorted (one small job)."""
+    found = purchases.select(column_suffix("purchase_type").alias("t")).where(F.col("t").isNotNull()).distinct()
+    types = tuple(sorted(r.t for r in found.limit(limit + 1).collect()))
+    if len(types) > limit:
+        raise ValueError(f"more than {limit} purchase types")
+    return types
+
+
 def _type_aggs(types: tuple[str, ...]) -> list:
     name = column_suffix("purchase_type")
     return [F.count_if(name == t).alias(f"ptype_{t}") for t in types]
@@ -42,61 +53,62 @@ def _span_agg():
 
 def purchase_summary(purchases: DataFrame) -> DataFrame:
     """count / sum / mean / max / min of amounts and distinct types per user."""
-    return purchases.groupBy("user_id").agg(*_summary_aggs())
+    return purchases.groupBy(*USER_KEY).agg(*_summary_aggs())
 
 
-def purchase_type_counts(purchases: DataFrame, types: tuple[str, ...] = PURCHASE_TYPES) -> DataFrame:
-    """Purchases per user and type as ``ptype_<type>`` columns, absent = 0."""
-    return purchases.groupBy("user_id").agg(*_type_aggs(types))
+def purchase_type_counts(purchases: DataFrame, types: tuple[str, ...] | None = None) -> DataFrame:
+    """Purchases per user and type as ``ptype_<type>`` columns, absent = 0.
+    The types are those of ``purchases`` unless given."""
+    types = purchase_types(purchases) if types is None else types
+    return purchases.groupBy(*USER_KEY).agg(F.count(F.lit(1)).alias("_rows"), *_type_aggs(types)).drop("_rows")
 
 
 def purchase_span(purchases: DataFrame) -> DataFrame:
     """Day-number span between a user's first and last purchase."""
-    return purchases.groupBy("user_id").agg(_span_agg())
+    return purchases.groupBy(*USER_KEY).agg(_span_agg())
 
 
-def purchase_table(purchases: DataFrame, types: tuple[str, ...] = PURCHASE_TYPES) -> DataFrame:
+def purchase_table(purchases: DataFrame, types: tuple[str, ...]) -> DataFrame:
     """All purchase aggregates in one aggregation, for users with purchases."""
-    return purchases.groupBy("user_id").agg(
+    return purchases.groupBy(*USER_KEY).agg(
         *_summary_aggs(), *_type_aggs(types), _span_agg(), F.lit(1).alias("has_purchases")
     )
 
 
-def purchase_columns(types: tuple[str, ...] = PURCHASE_TYPES) -> list[str]:
+def purchase_columns(types: tuple[str, ...]) -> list[str]:
     return [*SUMMARY_COLUMNS, *[f"ptype_{t}" for t in types], "days_between_first_last", "has_purchases"]
 
 
-def purchase_features(
-    purchases: DataFrame, users: DataFrame, types: tuple[str, ...] = PURCHASE_TYPES
-) -> DataFrame:
+def purchase_features(purchases: DataFrame, users: DataFrame, types: tuple[str, ...] | None = None) -> DataFrame:
     """All purchase features on the user spine in one aggregation + one join.
 
     ``has_purchases`` marks users that appear in the purchases at all; every
     numeric gap becomes 0.
     """
-    return attach(users.select("user_id"), purchase_table(purchases, types))
+    types = purchase_types(purchases) if types is None else types
+    return attach(users.select(*USER_KEY), purchase_table(purchases, types))
 
 
-def purchase_types_by_split(purchases: DataFrame, users: DataFrame, splits: tuple[str, ...] = ("train", "test")) -> DataFrame:
+def purchase_types_by_split(purchases: DataFrame, splits: tuple[str, ...] = ("train", "test")) -> DataFrame:
     """Type counts with the type columns discovered per split, then aligned.
 
-    Each split's pivot columns come from the types present in that split
-    (one small distinct per split, bounded by the type catalogue); the
-    splits are then given the same columns (absent ones 0) and stacked.
+    The purchases are read once, into counts per (user, type), which are
+    landed; each split's type columns come from them, and the splits are then
+    given the same columns (absent ones 0) and stacked.
     """
     from lapse.plans.assemble import align_columns
-    from lapse.plans.properties import with_split
 
-    p = with_split(purchases, users)
+    typed = purchases.select(*USER_KEY, "purchase_type")
+    counts = land(typed.groupBy(*USER_KEY, "purchase_type").agg(F.count(F.lit(1)).alias("n")), "purchase-types")
+    suffix = column_suffix("purchase_type")
     frames = []
     for split in splits:
-        part = p.where(F.col("split") == split)
-        found = part.select(column_suffix("purchase_type").alias("t")).where(F.col("t").isNotNull()).distinct()
-        types = tuple(sorted(r.t for r in found.collect()))
-        frames.append(purchase_type_counts(part, types).withColumn("split", F.lit(split)))
+        part = counts.where(F.col("split") == split)
+        sums = [F.coalesce(F.sum(F.when(suffix == t, F.col("n"))), F.lit(0)).alias(f"ptype_{t}") for t in purchase_types(part)]
+        frames.append(part.groupBy(*USER_KEY).agg(F.sum("n").alias("_rows"), *sums).drop("_rows"))
     out = frames[0]
     for other in frames[1:]:
         out, other = align_columns(out, other)
         out = out.unionByName(other)
     cols = sorted(c for c in out.columns if c.startswith("ptype_"))
-    return out.select("user_id", "split", *cols)
+    return out.select(*USER_KEY, *cols)

@@ -1,5 +1,6 @@
-"""Input and stage report: row counts per split, users without purchases,
-and timestamps that could not be parsed (counted here instead of failing)."""
+"""Input and stage reports: row counts per split, users without purchases,
+timestamps that could not be parsed (counted here instead of failing), and the
+shape of the feature table after each stage."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.time import datetime_parts, day_number
-from lapse.plans.properties import with_split
+from lapse.operators.spine import USER_KEY
 from lapse.sources.fixtures import ChurnInputs
 
 REPORT_COLUMNS = (
@@ -19,26 +20,33 @@ REPORT_COLUMNS = (
 
 
 def stage_report(i: ChurnInputs) -> DataFrame:
-    """One row per split. Every part is a per-split count (a few rows), so the
-    joins between them are trivial; the inputs are each scanned once."""
-    u = i.users
+    """One row per split. Every part counts rows where they lie (no raw row is
+    shuffled): a few rows per part meet in the joins. Purchases are reduced to
+    their distinct users before these are taken off the spine."""
     one = F.lit(1)
+    unparsed_start = F.count_if(datetime_parts("subscription_start_date")["month"].isNull())
+    unparsed_event = F.count_if(day_number("created_at").isNull())
     parts = [
-        u.groupBy("split").agg(F.count(one).alias("n_users")),
-        with_split(i.props, u).groupBy("split").agg(
-            F.count(one).alias("n_property_rows"),
-            F.count_if(datetime_parts("subscription_start_date")["month"].isNull()).alias("n_unparsed_start_dates"),
-        ),
-        with_split(i.purchases, u).groupBy("split").agg(F.count(one).alias("n_purchase_rows")),
+        i.users.groupBy("split").agg(F.count(one).alias("n_users")),
+        i.props.groupBy("split").agg(F.count(one).alias("n_property_rows"), unparsed_start.alias("n_unparsed_start_dates")),
+        i.purchases.groupBy("split").agg(F.count(one).alias("n_purchase_rows")),
         i.tx.groupBy("split").agg(F.count(one).alias("n_attempts")),
-        with_split(i.generations, u).groupBy("split").agg(
-            F.count(one).alias("n_generation_rows"),
-            F.count_if(day_number("created_at").isNull()).alias("n_unparsed_event_times"),
-        ),
-        with_split(i.quizzes, u).groupBy("split").agg(F.count(one).alias("n_quiz_rows")),
-        u.join(i.purchases.select("user_id"), "user_id", "left_anti")
+        i.generations.groupBy("split").agg(F.count(one).alias("n_generation_rows"), unparsed_event.alias("n_unparsed_event_times")),
+        i.quizzes.groupBy("split").agg(F.count(one).alias("n_quiz_rows")),
+        i.users.join(i.purchases.select(*USER_KEY).distinct(), list(USER_KEY), "left_anti")
         .groupBy("split")
         .agg(F.count(one).alias("n_users_without_purchases")),
     ]
     out = reduce(lambda a, b: a.join(b, "split", "full_outer"), parts)
     return out.select("split", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in REPORT_COLUMNS])
+
+
+def stage_shapes(stages: dict[str, DataFrame]) -> DataFrame:
+    """Rows and columns after each stage, per split (stages in given order)."""
+    parts = [
+        df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(n).alias("stage_no"), F.lit(name).alias("stage"), "split", "n_rows", F.lit(len(df.columns)).alias("n_columns")
+        )
+        for n, (name, df) in enumerate(stages.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)

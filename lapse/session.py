@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -42,15 +43,19 @@ def build_session(
 ) -> SparkSession:
     """Get or create a session with the engine defaults.
 
-    ``master`` and ``shuffle_partitions`` are only applied when given, so on
-    a cluster the submit-time settings win.
+    Settings given at submit time (spark-submit, spark-defaults) win over the
+    defaults here; ``shuffle_partitions`` and ``extra`` win over both. The
+    cluster defaults apply to every master that is not local.
     """
+    submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    where = master or submitted.get("spark.master", "local[*]")
     conf = dict(DEFAULT_CONF)
-    if master and not master.startswith("local"):
+    if not where.startswith("local"):
         conf.update(CLUSTER_CONF)
+    conf = {k: v for k, v in conf.items() if not submitted.contains(k)}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -62,9 +67,21 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
+    """One JVM, or the local-cluster test master: all tasks on this machine."""
     return spark.sparkContext.master.startswith("local")
 
 
+def _checked(spark: SparkSession, folder: str) -> str:
+    """``folder``, unless it lies in a temp folder that each machine of a
+    cluster has for itself (a mounted folder may be shared)."""
+    scheme, path = folder.split(":", 1) if ":" in folder.split("/", 1)[0] else ("", folder)
+    path = "/" + path.lstrip("/")
+    private = any(path.startswith(f"{d.rstrip('/')}/") for d in ("/tmp", "/var/tmp", tempfile.gettempdir()))
+    if scheme in ("", "file") and private and not _is_local(spark):
+        raise RuntimeError(f"{folder} is local to each machine; name a folder that all executors share")
+    return folder
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
@@ -77,7 +94,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
-        return current
+        return _checked(spark, current)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not _is_local(spark):
@@ -85,7 +102,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared folder"
             )
         configured = tempfile.mkdtemp(prefix="lapse-ckpt-")
-    sc.setCheckpointDir(configured)
+    sc.setCheckpointDir(_checked(spark, configured))
     return sc.getCheckpointDir() or configured
 
 
@@ -97,7 +114,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured.rstrip("/")
+        return _checked(spark, configured).rstrip("/")
     return checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
 
 

@@ -9,8 +9,7 @@ Layout under a root folder::
 
 Every file starts with an unnamed index column, which is dropped. Cells are
 read as text, the missing-value tokens below become null, and each column
-is then converted with ``try_cast`` (a bad value becomes null, never an
-error). Splits become a ``split`` column: train and test files of a table
+is then converted (a bad value becomes null, never an error). Splits become a ``split`` column: train and test files of a table
 are read as one DataFrame.
 """
 
@@ -18,8 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from lapse.functions.numeric import to_number
 from lapse.sources.fixtures import ChurnInputs
 
 # Text read as missing (the common CSV missing-value tokens).
@@ -51,6 +50,9 @@ RAW_SCHEMAS: dict[str, list[tuple[str, str]]] = {
     ],
 }
 
+# Tables whose cells are free text and may hold line breaks.
+FREE_TEXT = ("quizzes",)
+
 FILES = {
     "users": "users.csv",
     "props": "users_properties.csv",
@@ -66,12 +68,18 @@ def _typed(c: str, dtype: str) -> F.Column:
     if dtype == B:
         low = F.lower(col)
         return F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False)).alias(c)
-    return (col if dtype == S else col.try_cast(dtype)).alias(c)
+    return (col if dtype == S else to_number(col)).alias(c)
+
 
+def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
+    """One raw CSV file as a typed DataFrame (index column dropped).
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw CSV file as a typed DataFrame (index column dropped)."""
-    raw = spark.read.option("header", True).option("multiLine", False).csv(path)
+    Cells may be quoted, with doubled quotes inside. ``multi_line`` admits line
+    breaks in quoted cells, at the price that a file is read by one task; by
+    default it is on for the tables in ``FREE_TEXT`` only.
+    """
+    multi_line = table in FREE_TEXT if multi_line is None else multi_line
+    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
     data_cols = raw.columns[1:]
     raw = raw.select(*data_cols)
     wanted = [(c, t) for c, t in RAW_SCHEMAS[table] if c in data_cols]
@@ -79,7 +87,10 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return raw.select(*[_typed(c, t) for c, t in wanted], *extra)
 
 
-def _split_path(root: str, split: str, table: str) -> str:
+def raw_path(root: str, split: str, table: str) -> str:
+    """Where a table's file (or folder of part files) lies."""
+    if table == "generations" and split == "train":
+        return f"{root.rstrip('/')}/train_users_generations.csv/train_users_generations.csv"
     folder = "Train Data" if split == "train" else "Test Data"
     return f"{root.rstrip('/')}/{folder}/{split}_{FILES[table]}"
 
@@ -90,18 +101,17 @@ def load_raw_dir(spark: SparkSession, root: str) -> ChurnInputs:
     for table in FILES:
         parts = []
         for split in ("train", "test"):
-            if table == "generations" and split == "train":
-                path = f"{root.rstrip('/')}/train_users_generations.csv/train_users_generations.csv"
-            else:
-                path = _split_path(root, split, table)
-            parts.append(read_raw_csv(spark, path, table).withColumn("split", F.lit(split)))
-        df = parts[0].unionByName(parts[1], allowMissingColumns=True)
-        if table != "users" and table != "tx":
-            df = df.drop("split")
-        out[table] = df
+            parts.append(read_raw_csv(spark, raw_path(root, split, table), table).withColumn("split", F.lit(split)))
+        out[table] = parts[0].unionByName(parts[1], allowMissingColumns=True)
     return ChurnInputs(**out)
 
 
-def empty_like(spark: SparkSession, table: str) -> DataFrame:
-    fields = [T.StructField(c, T._parse_datatype_string(t), True) for c, t in RAW_SCHEMAS[table]]
-    return spark.createDataFrame([], T.StructType(fields))
+def write_raw_dir(inputs: ChurnInputs, root: str) -> None:
+    """Write the six inputs in the raw layout (folders of part files), with an
+    index column first, nulls as empty cells and quotes doubled."""
+    for table in FILES:
+        df: DataFrame = getattr(inputs, table)
+        columns = [F.col(c).cast("string").alias(c) for c, _ in RAW_SCHEMAS[table]]
+        for split in ("train", "test"):
+            rows = df.where(F.col("split") == split).select(F.monotonically_increasing_id().alias("index"), *columns)
+            rows.write.mode("overwrite").options(header=True, quote='"', escape='"', emptyValue="").csv(raw_path(root, split, table))

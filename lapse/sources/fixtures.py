@@ -7,9 +7,7 @@ none of these, so each is a deterministic view over the TPC-H-like tables
 kept as SQL text in ``FIXTURE_SQL`` for the DuckDB oracle; both give the
 same rows.
 
-Instead of train/test file twins every view carries a ``split`` value:
-``users`` and ``tx`` hold it as a column, the others get it from a join
-with ``users`` wherever a per-split result is needed.
+Instead of train/test file twins every view carries a ``split`` column.
 """
 
 from __future__ import annotations
@@ -50,6 +48,7 @@ def props_view(t: Tables) -> DataFrame:
         t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(first, F.col("o_custkey") == k)
         .select(
+            _split_of(k).alias("split"),
             k.alias("user_id"),
             F.col("c_mktsegment").alias("subscription_plan"),
             F.when(k % 37 == 0, F.lit(None).cast("string"))
@@ -64,12 +63,17 @@ def props_view(t: Tables) -> DataFrame:
 
 def purchases_view(t: Tables) -> DataFrame:
     o = t.orders
-    return o.where((F.col("o_orderstatus") == "F") & (F.col("o_custkey") % 13 != 0)).select(
-        F.col("o_orderkey").alias("transaction_id"),
-        F.col("o_custkey").alias("user_id"),
+    k = F.col("o_custkey")
+    return o.where(F.col("o_orderstatus") == "F").select(
+        _split_of(k).alias("split"),
+        F.when(F.col("o_orderkey") % 41 != 0, F.col("o_orderkey")).alias("transaction_id"),
+        # Every 13th customer's purchases belong to buyers who are no users.
+        F.when(k % 13 == 0, -k).otherwise(k).alias("user_id"),
         (F.col("o_totalprice") / 1000).alias("purchase_amount_dollars"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Subscription Create"))
         .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Subscription Update"))
+        # A type of one split only.
+        .when((F.col("o_orderpriority") == "5-LOW") & (k % 5 == 4), F.lit("Gift Card"))
         .otherwise(F.lit("Credits Package"))
         .alias("purchase_type"),
         F.col("o_orderdate").cast("string").alias("purchase_time"),
@@ -128,20 +132,30 @@ def tx_view(t: Tables) -> DataFrame:
 
 
 def generations_view(t: Tables) -> DataFrame:
-    e = t.events
+    return generations_of(t.events)
+
+
+def generations_of(e: DataFrame) -> DataFrame:
+    """Usage events from the raw events (also a stream of them)."""
     uid = F.col("user_id")
     ts = F.col("ts")
     eid = F.col("event_id")
-    dropped = (
-        ((uid % 7 == 0) & (ts >= F.expr("TIMESTAMP '2024-01-02 12:00:00'")))
-        | ((uid % 7 == 1) & (F.dayofmonth(ts) % 3 == 0))
-        | ((uid % 7 == 2) & (ts >= F.expr("TIMESTAMP '2024-01-10 00:00:00'")))
+    # Some users' events are moved in time: all to the first day, off every
+    # third day, or into the first nine days.
+    back = (
+        F.when((uid % 7 == 0) & (ts >= F.expr("TIMESTAMP '2024-01-02 12:00:00'")), F.dayofmonth(ts) - 1)
+        .when((uid % 7 == 1) & (F.dayofmonth(ts) % 3 == 0), F.lit(1))
+        .when((uid % 7 == 2) & (ts >= F.expr("TIMESTAMP '2024-01-10 00:00:00'")), F.dayofmonth(ts) - 1 - F.dayofmonth(ts) % 9)
+        .otherwise(F.lit(0))
+        .cast("int")
     )
     null_str = F.lit(None).cast("string")
-    return e.where(~dropped).select(
+    moved = e.withColumn("_back", back)
+    return moved.select(
+        _split_of(uid).alias("split"),
         eid.alias("generation_id"),
         uid,
-        ts.cast("string").alias("created_at"),
+        F.expr("CAST(ts - INTERVAL '1' DAY * _back AS STRING)").alias("created_at"),
         F.when(F.col("event_type") == "error", F.lit("failed"))
         .when(F.col("event_type") == "view", F.lit("nsfw"))
         .when(F.col("event_type") == "signup", F.lit("canceled"))
@@ -155,6 +169,8 @@ def generations_view(t: Tables) -> DataFrame:
         .alias("generation_type"),
         F.when(eid % 17 == 0, F.lit("n/a"))
         .when(eid % 19 == 0, null_str)
+        .when(eid % 23 == 0, F.lit("nan"))
+        .when(eid % 29 == 0, F.lit("1d"))
         .otherwise(F.col("value").cast("string"))
         .alias("credit_cost"),
         F.when((eid % 5).isin(1, 2), (eid % 30).cast("string"))
@@ -166,16 +182,19 @@ def generations_view(t: Tables) -> DataFrame:
 def quizzes_view(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     null_str = F.lit(None).cast("string")
-    return t.customer.where(k % 3 != 0).select(
-        k.alias("user_id"),
+    return t.customer.select(
+        _split_of(k).alias("split"),
+        # Every third answer row belongs to nobody on the user list.
+        F.when(k % 3 == 0, -k).otherwise(k).alias("user_id"),
         F.when(k % 4 == 0, null_str).otherwise(F.concat(F.lit("src"), (k % 6).cast("string"))).alias("source"),
         F.when(k % 11 == 0, F.lit("unknown"))
         .when(k % 7 == 0, null_str)
+        .when(k % 10 == 1, F.lit("NaN"))
         .otherwise((k % 50).cast("string"))
         .alias("team_size"),
         F.when(k % 4 == 0, null_str).otherwise(F.lit("beginner")).alias("experience"),
         F.col("c_mktsegment").alias("usage_plan"),
-        F.when(k % 8 == 1, F.lit("price")).otherwise(null_str).alias("frustration"),
+        F.when(k % 8 == 1, F.lit('too "dear", I\nthink')).otherwise(null_str).alias("frustration"),
         F.when(k % 4 == 0, null_str).otherwise(F.lit("video")).alias("first_feature"),
         F.when(k % 16 == 4, F.lit("creator")).otherwise(null_str).alias("role"),
     )
@@ -213,7 +232,8 @@ SELECT c_custkey AS user_id,
        CASE WHEN c_custkey % 5 < 3 THEN 'train' ELSE 'test' END AS split
 FROM customer""",
     "props": """
-SELECT c_custkey AS user_id,
+SELECT CASE WHEN c_custkey % 5 < 3 THEN 'train' ELSE 'test' END AS split,
+       c_custkey AS user_id,
        c_mktsegment AS subscription_plan,
        CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE n_name END AS country_code,
        CAST(first_ts + INTERVAL '1' HOUR * CAST(c_custkey % 24 AS INT) AS STRING) AS subscription_start_date
@@ -222,13 +242,15 @@ JOIN nation ON c_nationkey = n_nationkey
 JOIN (SELECT o_custkey, MIN(o_orderdate) AS first_ts
 FROM orders GROUP BY o_custkey) f ON o_custkey = c_custkey""",
     "purchases": """
-SELECT o_orderkey AS transaction_id,
-       o_custkey AS user_id,
+SELECT CASE WHEN o_custkey % 5 < 3 THEN 'train' ELSE 'test' END AS split,
+       CASE WHEN o_orderkey % 41 <> 0 THEN o_orderkey END AS transaction_id,
+       CASE WHEN o_custkey % 13 = 0 THEN -o_custkey ELSE o_custkey END AS user_id,
        o_totalprice / 1000 AS purchase_amount_dollars,
-       CASE o_orderpriority WHEN '1-URGENT' THEN 'Subscription Create' WHEN '2-HIGH' THEN 'Subscription Update' ELSE 'Credits Package' END AS purchase_type,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'Subscription Create' WHEN o_orderpriority = '2-HIGH' THEN 'Subscription Update'
+            WHEN o_orderpriority = '5-LOW' AND o_custkey % 5 = 4 THEN 'Gift Card' ELSE 'Credits Package' END AS purchase_type,
        CAST(o_orderdate AS STRING) AS purchase_time
 FROM orders
-WHERE o_orderstatus = 'F' AND o_custkey % 13 <> 0""",
+WHERE o_orderstatus = 'F'""",
     "tx": """
 SELECT o_orderkey AS transaction_id,
        CASE WHEN c_custkey % 5 < 3 THEN 'train' ELSE 'test' END AS split,
@@ -249,25 +271,30 @@ FROM orders
 JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey""",
     "generations": """
-SELECT event_id AS generation_id,
-       user_id, CAST(ts AS STRING) AS created_at,
+SELECT CASE WHEN user_id % 5 < 3 THEN 'train' ELSE 'test' END AS split,
+       event_id AS generation_id,
+       user_id,
+       CAST(ts - INTERVAL '1' DAY * CAST(CASE
+         WHEN user_id % 7 = 0 AND ts >= TIMESTAMP '2024-01-02 12:00:00' THEN EXTRACT(DAY FROM ts) - 1
+         WHEN user_id % 7 = 1 AND EXTRACT(DAY FROM ts) % 3 = 0 THEN 1
+         WHEN user_id % 7 = 2 AND ts >= TIMESTAMP '2024-01-10 00:00:00' THEN EXTRACT(DAY FROM ts) - 1 - EXTRACT(DAY FROM ts) % 9
+         ELSE 0 END AS INT) AS STRING) AS created_at,
        CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'nsfw' WHEN 'signup' THEN 'canceled' ELSE 'completed' END AS status,
        CASE event_id % 5 WHEN 0 THEN 'text_to_image' WHEN 1 THEN 'image_to_video' WHEN 2 THEN 'Text_To_Video' WHEN 3 THEN 'audio' ELSE NULL END AS generation_type,
-       CASE WHEN event_id % 17 = 0 THEN 'n/a' WHEN event_id % 19 = 0 THEN NULL ELSE CAST(value AS STRING) END AS credit_cost,
+       CASE WHEN event_id % 17 = 0 THEN 'n/a' WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN 'nan' WHEN event_id % 29 = 0 THEN '1d' ELSE CAST(value AS STRING) END AS credit_cost,
        CASE WHEN event_id % 5 IN (1,2) THEN CAST(event_id % 30 AS STRING) ELSE NULL END AS duration
-FROM events
-WHERE NOT (user_id % 7 = 0 AND ts >= TIMESTAMP '2024-01-02 12:00:00') AND NOT (user_id % 7 = 1 AND EXTRACT(DAY FROM ts) % 3 = 0) AND NOT (user_id % 7 = 2 AND ts >= TIMESTAMP '2024-01-10 00:00:00')""",
+FROM events""",
     "quizzes": """
-SELECT c_custkey AS user_id,
+SELECT CASE WHEN c_custkey % 5 < 3 THEN 'train' ELSE 'test' END AS split,
+       CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS user_id,
        CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CONCAT('src', CAST(c_custkey % 6 AS STRING)) END AS source,
-       CASE WHEN c_custkey % 11 = 0 THEN 'unknown' WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_custkey % 50 AS STRING) END AS team_size,
+       CASE WHEN c_custkey % 11 = 0 THEN 'unknown' WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN 'NaN' ELSE CAST(c_custkey % 50 AS STRING) END AS team_size,
        CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'beginner' END AS experience,
        c_mktsegment AS usage_plan,
-       CASE WHEN c_custkey % 8 = 1 THEN 'price' ELSE NULL END AS frustration,
+       CASE WHEN c_custkey % 8 = 1 THEN 'too "dear", I' || chr(10) || 'think' ELSE NULL END AS frustration,
        CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'video' END AS first_feature,
        CASE WHEN c_custkey % 16 = 4 THEN 'creator' ELSE NULL END AS role
-FROM customer
-WHERE c_custkey % 3 <> 0""",
+FROM customer""",
 }
 
 

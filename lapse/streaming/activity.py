@@ -1,7 +1,6 @@
-"""Activity features over an event log that arrives file by file.
+"""Activity features over an event log that goes on arriving.
 
-The event log may be far larger than one batch. Each micro-batch of new
-event files is reduced to slot partials (per user, date, day number, hour,
+Each micro-batch of new event files is reduced to slot partials (per user, date, day number, hour,
 type: counts and sums) and written under ``<partials>/batch=<id>`` --
 overwriting that folder if a batch is replayed after a failure, so the
 sink is idempotent and the streaming checkpoint makes it exactly-once.
@@ -12,6 +11,7 @@ features are then computed from the merged slots exactly as in batch.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,21 +25,37 @@ def land_batch(batch: DataFrame, batch_id: int, partials_path: str, calendar: bo
     activity_slots(batch, calendar).write.mode("overwrite").parquet(f"{partials_path}/batch={batch_id}")
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(where).isDirectory()
+
+
 def slot_partials_stream(
     spark: SparkSession,
     events_path: str,
     schema,
     partials_path: str,
     checkpoint_path: str,
-    files_per_batch: int = 1,
+    view: Callable[[DataFrame], DataFrame] | None = None,
     calendar: bool = False,
 ):
-    """Start the streaming query that lands slot partials per micro-batch."""
+    """Start the streaming query that lands slot partials per micro-batch.
+
+    A micro-batch takes all files that have arrived since the last one.
+    ``view`` maps the stream to the usage-event columns.
+    """
 
     def land(batch: DataFrame, batch_id: int) -> None:
         land_batch(batch, batch_id, partials_path, calendar)
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(events_path)
+    folder, name = events_path.rstrip("/").rsplit("/", 1)
+    reader = spark.readStream.schema(schema)
+    if is_folder(spark, events_path):
+        stream = reader.parquet(events_path)
+    else:  # a stream reads folders: one file of a folder by its name
+        stream = reader.option("pathGlobFilter", name).parquet(folder)
+    stream = view(stream) if view else stream
     return (
         stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint_path)
@@ -49,7 +65,8 @@ def slot_partials_stream(
 
 
 def activity_incremental(
-    spark: SparkSession, events_path: str, users: DataFrame, schema, run_name: str = "activity-stream"
+    spark: SparkSession, events_path: str, users: DataFrame, schema, run_name: str = "activity-stream",
+    view: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Run the stream over all available event files, then finalize.
 
@@ -58,7 +75,7 @@ def activity_incremental(
     """
     run = f"{run_name}-{uuid.uuid4().hex}"
     partials = scratch_path(spark, f"{run}-partials")
-    query = slot_partials_stream(spark, events_path, schema, partials, scratch_path(spark, f"{run}-checkpoint"))
+    query = slot_partials_stream(spark, events_path, schema, partials, scratch_path(spark, f"{run}-checkpoint"), view)
     query.awaitTermination()
     merged = merge_slots(spark.read.parquet(partials).drop("batch"))
     return activity_from_slots(merged, users)

@@ -14,7 +14,7 @@ from lapse.operators.sequence import bits_array, first_quit_day, longest_run
 from lapse.plans import activity, encode, onboarding, payments, purchases
 
 USERS = "user_id bigint, churn_status string, split string"
-PURCH = "transaction_id bigint, user_id bigint, purchase_amount_dollars double, purchase_type string, purchase_time string"
+PURCH = "split string, transaction_id bigint, user_id bigint, purchase_amount_dollars double, purchase_type string, purchase_time string"
 TX = (
     "transaction_id bigint, split string, card_brand string, card_country string, card_funding string, "
     "bank_name string, billing_address_country string, is_prepaid boolean, is_virtual boolean, "
@@ -22,11 +22,11 @@ TX = (
     "amount_in_usd double, failure_code string"
 )
 GEN = (
-    "generation_id bigint, user_id bigint, created_at string, status string, generation_type string, "
+    "split string, generation_id bigint, user_id bigint, created_at string, status string, generation_type string, "
     "credit_cost string, duration string"
 )
 QUIZ = (
-    "user_id bigint, source string, team_size string, experience string, usage_plan string, "
+    "split string, user_id bigint, source string, team_size string, experience string, usage_plan string, "
     "frustration string, first_feature string, role string"
 )
 
@@ -42,20 +42,21 @@ def tx_row(tid, split="train", brand="visa", country="US", funding="credit", cod
 
 def test_null_keys_never_match(spark):
     p = spark.createDataFrame(
-        [(None, 1, 5.0, "Credits Package", "2024-01-01 10:00:00"), (10, None, 7.0, "Credits Package", "2024-01-01 10:00:00")],
+        [("train", None, 1, 5.0, "Credits Package", "2024-01-01 10:00:00"), ("train", 10, None, 7.0, "Credits Package", "2024-01-01 10:00:00")],
         PURCH,
     )
     t = spark.createDataFrame([tx_row(None), tx_row(10)], TX)
-    att = payments.classify_attempts(t, p, users(spark)).collect()
-    # tx 10's purchase has no user -> it cannot join the spine; the null id never matches.
-    assert all(not r.is_success for r in att)
+    att = {r.transaction_id: r for r in payments.classify_attempts(t, p).collect()}
+    # The null id never matches; tx 10 was paid, though by nobody known.
+    assert not att[None].is_success and att[10].is_success and att[10].user_id is None
+    assert all(r.tx_success_count == 0 for r in payments.payment_features(t, p, users(spark)).collect())
     feats = purchases.purchase_features(p, users(spark)).where("user_id = 1").first()
     assert feats.total_purchases == 0 and feats.has_purchases == 1 and feats.total_spend == 5.0
 
 
 def test_mode_all_null_and_tie(spark):
     p = spark.createDataFrame(
-        [(t, 1 if t < 5 else 2, 1.0, "Credits Package", "2024-01-01 10:00:00") for t in range(1, 9)], PURCH
+        [("train", t, 1 if t < 5 else 2, 1.0, "Credits Package", "2024-01-01 10:00:00") for t in range(1, 9)], PURCH
     )
     brands = {1: "b", 2: "a", 3: "a", 4: "b", 5: None, 6: None, 7: None, 8: None}
     t = spark.createDataFrame([tx_row(k, brand=v) for k, v in brands.items()], TX)
@@ -74,7 +75,7 @@ def test_day_number_wraps_at_new_year(spark):
 
 def test_unparseable_event_time_is_counted_not_fatal(spark):
     g = spark.createDataFrame(
-        [(1, 1, "2024-01-01 10:00:00", "completed", "video", "3", None), (2, 1, "garbage", "failed", None, "n/a", "x")],
+        [("train", 1, 1, "2024-01-01 10:00:00", "completed", "video", "3", None), ("train", 2, 1, "garbage", "failed", None, "n/a", "x")],
         GEN,
     )
     r = activity.activity_features(g, users(spark)).where("user_id = 1").first()
@@ -86,7 +87,7 @@ def test_no_payments_at_all_gives_fixed_schema_of_zeros(spark):
     p = spark.createDataFrame([], PURCH)
     t = spark.createDataFrame([], TX)
     out = payments.payment_features(t, p, users(spark))
-    assert out.columns == ["user_id", *payments.PAYMENT_COLUMNS]
+    assert out.columns == ["split", "user_id", *payments.PAYMENT_COLUMNS]
     rows = out.collect()
     assert len(rows) == 3 and all(r.tx_success_count == 0 and r.tx_failure_rate == 0 for r in rows)
     assert all(r.tx_card_brand == "unknown" for r in rows)
@@ -112,11 +113,143 @@ def test_single_user_class_fails_fold_guard(spark):
 
 
 def test_duplicate_quiz_row_fails(spark):
-    q = spark.createDataFrame([(1, "a", "3", None, "x", None, None, None), (1, "b", "4", None, "x", None, None, None)], QUIZ)
+    q = spark.createDataFrame([("train", 1, "a", "3", None, "x", None, None, None), ("train", 1, "b", "4", None, "x", None, None, None)], QUIZ)
     with pytest.raises(Exception, match="duplicate user_id in quizzes"):
         onboarding.quiz_features(q, users(spark)).collect()
 
 
+def test_purchase_types_come_from_the_data(spark):
+    p = spark.createDataFrame(
+        [("train", 1, 1, 5.0, "Gift Card", "2024-01-01 10:00:00"), ("test", 2, 1, 7.0, "Top Up", None), ("test", 3, 1, 7.0, None, None)], PURCH
+    )
+    r = purchases.purchase_features(p, users(spark)).where("user_id = 1").first()
+    assert (r.total_purchases, r.ptype_gift_card, r.ptype_top_up, r.n_purchase_types) == (1, 1, 0, 1)
+    aligned = {r.split: r for r in purchases.purchase_types_by_split(p).collect()}
+    assert (aligned["train"].ptype_gift_card, aligned["train"].ptype_top_up) == (1, 0)
+    assert (aligned["test"].ptype_gift_card, aligned["test"].ptype_top_up) == (0, 1)
+    with pytest.raises(ValueError, match="more than 1 purchase types"):
+        purchases.purchase_types(p, limit=1)
+
+
+def test_an_id_in_both_splits_names_two_users(spark):
+    u = users(spark, [(1, "not_churned", "train"), (1, "vol_churn", "test")])
+    p = spark.createDataFrame([("train", 10, 1, 5.0, "Credits Package", "2024-01-01 10:00:00")], PURCH)
+    t = spark.createDataFrame([tx_row(10), tx_row(10, split="test", code="card_declined")], TX)
+    g = spark.createDataFrame([("test", 1, 1, "2024-01-01 10:00:00", "completed", "video", "3", None)], GEN)
+    bought = {r.split: r.total_purchases for r in purchases.purchase_features(p, u).collect()}
+    assert bought == {"train": 1, "test": 0}
+    paid = {r.split: (r.tx_success_count, r.tx_fail_count_raw) for r in payments.payment_features(t, p, u).collect()}
+    assert paid == {"train": (1, 0), "test": (0, 0)}
+    made = {r.split: r.gen_total for r in activity.activity_features(g, u).collect()}
+    assert made == {"train": 0, "test": 1}
+
+
+def test_success_of_an_unknown_buyer_is_no_failure(spark):
+    p = spark.createDataFrame(
+        [("train", 10, 1, 5.0, "Credits Package", None), ("train", 11, 999, 5.0, "Credits Package", None)], PURCH
+    )
+    t = spark.createDataFrame([tx_row(10), tx_row(11), tx_row(12, code="card_declined")], TX)
+    r = payments.payment_features(t, p, users(spark)).where("user_id = 1").first()
+    # The failed attempt is shared between user 1 and the unknown buyer.
+    assert (r.tx_success_count, r.tx_fail_count_raw, r.tx_fail_count_weighted) == (1, 1, 0.5)
+
+
+def test_text_that_is_no_number(spark):
+    from lapse.functions.numeric import to_number
+
+    texts = ["1.5", " 2 ", "nan", "NaN", "1d", "2.5F", "inf", "-Infinity", "1e3", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(to_number("t")).collect()]
+    assert got == [1.5, 2.0, None, None, None, None, float("inf"), float("-inf"), 1000.0, None, None, None]
+    g = spark.createDataFrame([("train", 1, 1, "2024-01-01 10:00:00", "completed", "video", "nan", "1d"),
+                               ("train", 2, 1, "2024-01-01 11:00:00", "completed", "video", "3", "nan")], GEN)
+    r = activity.activity_features(g, users(spark)).where("user_id = 1").first()
+    assert r.gen_total_credits == 3.0 and r.gen_avg_duration == 0.0
+
+
+def test_fixed_layout_and_patterns_cut_the_same_parts(spark):
+    from lapse.functions.time import date_text, datetime_parts, hour_of
+
+    texts = ["2024-01-31 23:59:58", "2024-01-31 23:59:58.123", "2024-1-5 3:04:05", "2024-01-05T10:00:00", "2024-01-05", " 2024-01-05 10:00:00",
+             "x2024-01-05 10:11", "2024-01-05 10:11", "12024-01-05 10:11:12", "2024-01-05  10:11:12", "2024- 1-05 10:11:12", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    import re
+
+    for r in df.select("t", day_number("t").alias("d"), hour_of("t").alias("h"), date_text("t").alias("day"), datetime_parts("t")["second"].alias("s")).collect():
+        t = r.t or ""
+        m = re.search(r"(\d+)-(\d+)-(\d+)\s+(\d+):(\d+)", t)
+        assert r.d == (None if not m else int(m[2]) * 31 + int(m[3]) + int(m[4]) / 24.0), t
+        assert r.h == (None if not m else float(m[4])), t
+        m = re.search(r"(\d+-\d+-\d+)", t)
+        assert r.day == (m[1] if m else None), t
+        m = re.search(r"(\d+)-(\d+)-(\d+)\s+(\d+):(\d+):(\d+)", t)
+        assert r.s == (float(m[6]) if m else None), t
+
+
+def test_duplicate_user_fails(spark):
+    from lapse.operators.keys import require_unique
+
+    u = users(spark, [(1, "not_churned", "train"), (1, "not_churned", "train")])
+    with pytest.raises(Exception, match="duplicate user_id in users"):
+        require_unique(u, "users").collect()
+
+
+@pytest.mark.parametrize("names", [("not_churned", "vol_churn"), ("a", "b", "not_churned", "z")])
+def test_any_number_of_classes(spark, names):
+    from lapse.plans import report
+
+    rows = [(i, names[i % len(names)], "train" if i < 40 else "test", "ABC"[i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, USERS + ", country_code string")
+    assert encode.class_names(df) == names
+    lab = encode.label_index(df)
+    te = encode.target_encoding(lab, df.where("split = 'test'"))
+    decided = report.decide(report.prior_scores(te, names))
+    assert report.prob_columns(decided) == tuple(f"prob_{n}" for n in names)
+    for r in decided.collect():
+        assert r.predicted_class == names[r.prediction]
+        assert sum(r[f"prob_{n}"] for n in names) == pytest.approx(1.0)
+
+
+def test_target_encoding_with_all_rows_in_one_fold_or_none(spark):
+    one = spark.createDataFrame([(1, "a", "train", "DE"), (2, "b", "test", "DE")], USERS + ", country_code string")
+    lab = encode.label_index(one)
+    rows = encode.target_encoding(lab, one.where("split = 'test'")).collect()
+    assert len(rows) == 2 and all(r.country_code_te_cls0 == 1.0 for r in rows)
+    none = lab.where("false")
+    assert [r.user_id for r in encode.target_encoding(none, one.where("split = 'test'")).collect()] == [2]
+
+
+def test_rank_levels_agree(spark):
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(i, f"2024-0{rnd.randint(1, 3)}-1{rnd.randint(0, 9)} 1{rnd.randint(0, 9)}:{rnd.randint(10, 59)}") for i in range(400)], "id long, v string")
+    for levels in (10, (10, 16), (4, 7, 10)):
+        got = {r.id: r.r for r in with_percent_rank(df, "v", out="r", bucket_chars=levels).collect()}
+        expect = df.toPandas().set_index("id")["v"].rank(pct=True).to_dict()
+        assert got == pytest.approx(expect)
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    from lapse.sources.csv import read_raw_csv
+
+    path = tmp_path / "train_users_quizzes.csv"
+    path.write_text(',user_id,source,team_size,experience,usage_plan,frustration,first_feature,role\n'
+                    '0,u1,"He said ""hi"", ok",3,,,"two\nlines",,\n1,u2,ads,1d,,,,,\n')
+    rows = {r.user_id: r for r in read_raw_csv(spark, str(path), "quizzes").collect()}
+    assert set(rows) == {"u1", "u2"}
+    assert rows["u1"].source == 'He said "hi", ok' and rows["u1"].team_size == "3" and rows["u1"].frustration == "two\nlines"
+
+
+def test_private_folders_are_refused_on_a_cluster(spark, monkeypatch):
+    from lapse import session
+
+    monkeypatch.setattr(session, "_is_local", lambda spark: False)
+    for folder in ("file:/tmp/x", "/tmp/x", "file:///var/tmp/x"):
+        with pytest.raises(RuntimeError, match="local to each machine"):
+            session._checked(spark, folder)
+    for folder in ("hdfs:///tmp/x", "file:///mnt/shared/x", "s3a://b/x"):
+        assert session._checked(spark, folder) == folder
+
+
 def test_percent_rank_matches_pandas(spark):
     rnd = random.Random(7)
     vals = [rnd.choice([None, *[f"2024-0{rnd.randint(1, 3)}-1{rnd.randint(0, 2)} 0{rnd.randint(0, 3)}" for _ in range(3)]])
@@ -233,14 +366,14 @@ def test_submission_sinks_round_trip(spark, tmp_path):
     sub = {r.user_id: r.churn_status for r in spark.read.option("header", True).csv(str(tmp_path / "sub")).collect()}
     assert sub == {"1": "not_churned", "2": "invol_churn"}
     det = spark.read.option("header", True).csv(str(tmp_path / "det"))
-    assert det.columns == ["user_id", "predicted_class", *report.PROB_COLUMNS, "confidence"]
+    assert det.columns == ["user_id", "predicted_class", *report.prob_columns(scored), "confidence"]
 
 
 def test_stream_batches_merge_and_replay_idempotently(spark, tmp_path):
     from lapse.plans.activity import activity_from_slots, activity_table, merge_slots
     from lapse.streaming.activity import land_batch
 
-    rows = [(k, 1 + k % 2, f"2024-01-0{1 + k % 5} 1{k % 3}:00:00", "completed", "video" if k % 2 else None, str(k), None)
+    rows = [("train", k, 1 + k % 2, f"2024-01-0{1 + k % 5} 1{k % 3}:00:00", "completed", "video" if k % 2 else None, str(k), None)
             for k in range(40)]
     g = spark.createDataFrame(rows, GEN)
     part = str(tmp_path / "partials")
@@ -260,7 +393,7 @@ def test_incremental_runs_in_one_session_do_not_share_state(spark, tmp_path):
     from lapse.streaming.activity import activity_incremental
 
     def events(offset):
-        rows = [(k, 1 + k % 3, f"2024-01-0{1 + k % 4} 0{k % 9}:00:00", "completed", "image", str(k + offset), None)
+        rows = [("train", k, 1 + k % 3, f"2024-01-0{1 + k % 4} 0{k % 9}:00:00", "completed", "image", str(k + offset), None)
                 for k in range(30 + offset)]
         return spark.createDataFrame(rows, GEN)
 

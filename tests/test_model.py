@@ -4,18 +4,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from lapse.operators.materialize import land
 from lapse.plans import assemble, encode, model, report
-from lapse.sources.staging import staged_inputs
+from lapse.sources.fixtures import load_inputs
 
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    i = staged_inputs(spark, SF_SMALL)
-    feats = assemble.user_features(i)
+    i = load_inputs(spark, SF_SMALL)
+    feats = land(assemble.user_features(i), "test-features")
     clusters = model.cluster_ids(feats, restarts=2)
     frame = encode.model_frame(feats, clusters)
     folds = encode.stratified_folds(encode.label_index(i.users))
-    oof, test = model.forest_cv(frame, folds, num_trees=10)
+    oof, test = model.forest_cv(frame, folds, encode.class_names(i.users), num_trees=10)
     return i, feats, clusters, folds, report.decide(oof).toPandas(), report.decide(test).toPandas()
 
 
@@ -29,11 +30,11 @@ def test_every_train_user_scored_once_out_of_fold(fitted):
 def test_probabilities_and_decisions(fitted):
     *_, oof, test = fitted
     for df in (oof, test):
-        probs = df[list(report.PROB_COLUMNS)]
+        probs = df[[c for c in df.columns if c.startswith("prob_")]]
         assert ((probs.sum(axis=1) - 1).abs() < 1e-6).all()
         assert ((probs.max(axis=1) - df.confidence).abs() < 1e-12).all()
         assert (probs.to_numpy().argmax(axis=1) == df.prediction).all()
-        assert set(df.predicted_class) <= set(encode.CLASSES)
+        assert set(df.predicted_class) <= {c.removeprefix("prob_") for c in probs.columns}
 
 
 def test_fold_sizes_per_class_differ_by_at_most_one(fitted):
@@ -52,7 +53,13 @@ def test_clusters_cover_all_users(fitted):
 
 def test_reports_on_forest_output(fitted, spark):
     *_, oof, _ = fitted
-    df = spark.createDataFrame(oof[["user_id", "target", "prediction", "predicted_class", "confidence", *report.PROB_COLUMNS]])
+    df = spark.createDataFrame(oof[["user_id", "target", "prediction", "predicted_class", "confidence", *report.prob_columns(oof)]])
     m = report.macro_f1(df).first()
     assert 0 <= m.macro_f1 <= 1 and m.n_users == len(oof)
     assert report.confusion_matrix(df).agg(F.sum("n_users")).first()[0] == len(oof)
+
+
+def test_bounded_fit_rows(spark):
+    df = spark.createDataFrame([("train", i) for i in range(2000)], "split string, user_id long")
+    assert model.bounded(df, 2000).count() == 2000
+    assert 400 < model.bounded(df, 500).count() < 600
