@@ -26,8 +26,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapse.llm.common import UNIT, WORD_PATTERN, join_small, text_or_empty, unit_hash
-from lapse.operators.materialize import land
+from lapse.llm.common import UNIT, WORD_PATTERN, text_or_empty, unit_hash
+from lapse.operators.materialize import join_small, land
 
 # Entropy target as a share of the largest possible one (all sources equal).
 ENTROPY_SHARE = 0.95

@@ -73,8 +73,31 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-# Exact in SQL: integer scores of a brute-force search.
+# Exact in SQL: integer scores of a brute-force search, and all windows of all
+# documents grouped by their words.
 ORACLE_SQL: dict[str, str] = {
+    "op3_substring": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), windows AS (
+            SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+            FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+        ), repeated AS (
+            SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1
+        ), covered AS (
+            SELECT DISTINCT r, i + j AS p FROM (SELECT r, i, unnest(range(0, 35)) AS j FROM repeated)
+        ), placed AS (
+            SELECT r, p, w[p] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d)
+        ), kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY p) AS words, count(*) AS n
+            FROM placed ANTI JOIN covered USING (r, p) GROUP BY r
+        )
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(words, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)
+    """,
     "op2_topk": """
         WITH q AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
