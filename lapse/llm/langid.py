@@ -5,10 +5,10 @@ text), square-rooted and scaled to length one. Linear support vector machines
 (squared hinge, one against one) pick the language family; within a family
 one-against-one machines separate its languages.
 
-The machines are fitted on a bounded sample of labelled rows:
-``sample_per_language`` rows of each language (documented parameter), drawn by
-a hash over all labelled rows. Only that sample's feature vectors reach the
-driver. Prediction reads whole texts, in Arrow batches.
+The machines are fitted on a bounded sample of labelled rows, drawn by a hash
+over all labelled rows: about ``per_language`` rows of each language, and
+``SAMPLE_ROWS`` in all. One task reads that sample; the driver gets weights.
+More than ``MAX_LANGUAGES`` labels are refused. Prediction reads whole texts, in Arrow batches.
 
 Defined cases: null text or text without a letter gives ``und`` with score 0;
 null languages are not learned from; with a single learned language every
@@ -18,11 +18,11 @@ rows are predicted each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,8 @@ from lapse.llm.common import UNIT, held_out, unit_hash
 
 DIMS = 1 << 12
 SAMPLE_PER_LANGUAGE = 400
-MAX_LANGUAGES = 1000
+SAMPLE_ROWS = 8000  # over all languages: feature vectors of 131 MB at most
+MAX_LANGUAGES = 64  # one machine per pair of languages
 UNKNOWN = "und"
 PIECE = 1 << 20
 
@@ -77,29 +78,34 @@ def features(text: str) -> np.ndarray:
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 150) -> np.ndarray:
     """Weights (bias last) of a linear machine, classes weighted evenly, by
     accelerated gradient descent on the squared hinge loss."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     w = v = np.zeros(x.shape[1])
     rate = 1.0 / (1.0 + 4.0 * c)  # rows have squared length 2 at most
     for t in range(rounds):
-        slack = np.maximum(0.0, 1.0 - y * (x @ v))
-        new = v - rate * (v - 2.0 * c * (x.T @ (weight * slack * y)))
+        slack = np.maximum(0.0, 1.0 - y * (x @ v.astype(x.dtype)))
+        push = (weight * slack * y).astype(x.dtype) @ x
+        new = v - rate * (v - 2.0 * c * push)
         v = new + t / (t + 3.0) * (new - w)
         w = new
-    return w
+    return w.astype(np.float32)
 
 
 class Machines:
     """One-against-one machines over a set of classes."""
 
-    def __init__(self, x: np.ndarray, labels: np.ndarray):
-        self.classes = sorted(set(labels.tolist()))
-        self.pairs = list(combinations(range(len(self.classes)), 2))
-        rows = []
-        for a, b in self.pairs:
-            in_a, in_b = labels == self.classes[a], labels == self.classes[b]
-            rows.append(fit_svm(x[in_a | in_b], np.where(in_a[in_a | in_b], 1.0, -1.0)))
-        self.weights = np.array(rows).reshape(len(self.pairs), x.shape[1] + 1)
+    def __init__(self, classes: list[str], weights: np.ndarray):
+        self.classes, self.weights = classes, weights
+        self.pairs = list(combinations(range(len(classes)), 2))
+
+    @staticmethod
+    def fit(x: np.ndarray, labels: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Classes, and a row of weights per pair of them."""
+        classes, rows = sorted(set(labels.tolist())), []
+        for a, b in combinations(classes, 2):
+            either = (labels == a) | (labels == b)
+            rows.append(fit_svm(x[either], np.where(labels[either] == a, 1.0, -1.0)))
+        return classes, np.array(rows, dtype=np.float32).reshape(len(rows), x.shape[1] + 1)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class number and score (0 to 1) of each row."""
@@ -117,12 +123,19 @@ class Machines:
 
 
 class Model:
-    """Family machines over language machines."""
+    """Family machines over language machines; without any, all is unknown."""
+
+    def __init__(self, fitted: tuple | None):
+        top, inner = fitted or (None, {})
+        self.top = Machines(*top) if top else None
+        self.inner = {f: Machines(*m) for f, m in inner.items()}
 
-    def __init__(self, x: np.ndarray, langs: np.ndarray):
+    @staticmethod
+    def fit(x: np.ndarray, langs: np.ndarray) -> tuple:
+        """Machines of the families, and of the languages of each."""
         families = np.array([family(v) for v in langs], dtype=object)
-        self.top = Machines(x, families) if len(x) else None
-        self.inner = {f: Machines(x[families == f], langs[families == f]) for f in (self.top.classes if len(x) else [])}
+        inner = {f: Machines.fit(x[families == f], langs[families == f]) for f in sorted(set(families))}
+        return Machines.fit(x, families), inner
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         langs, scores = np.full(len(x), UNKNOWN, dtype=object), np.zeros(len(x))
@@ -138,16 +151,18 @@ class Model:
         return langs, scores
 
 
-def sample_rows(docs: DataFrame, learn: Column, per_language: int) -> pd.DataFrame:
-    """Feature vectors of a bounded, hash-drawn sample of each language."""
-    known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count()
-    sizes = counts.limit(MAX_LANGUAGES + 1).collect()
+def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+    """Fit on a bounded, hash-drawn sample of the labelled rows of ``docs``
+    (text, lang) that ``learn`` admits. One task fits; only weights return."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known if learn is None else known.where(learn)
+    sizes = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} language labels")
     if not sizes:
-        return pd.DataFrame({"lang": [], "x": []})
-    rate = F.create_map(*[v for r in sizes for v in (F.lit(r["lang"]), F.lit(min(1.0, 1.2 * per_language / r["count"])))])
+        return Model(None)
+    wanted = min(per_language, SAMPLE_ROWS // len(sizes))
+    rate = F.create_map(*[v for r in sizes for v in (F.lit(r["lang"]), F.lit(min(1.0, wanted / r["count"])))])
     draw = unit_hash(F.lit("sample"), "doc_id", F.xxhash64("text")) / F.lit(float(UNIT))
     drawn = known.where(draw < F.element_at(rate, F.col("lang")))
 
@@ -156,15 +171,16 @@ def sample_rows(docs: DataFrame, learn: Column, per_language: int) -> pd.DataFra
             x = [features(t).astype(np.float32).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], ["lang", "x"])
 
-    return drawn.select("lang", "text").mapInArrow(profile, "lang string, x binary").toPandas()
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["lang"], r["x"]) for batch in batches for r in batch.to_pylist())
+        if rows:  # in an order that does not depend on arrival
+            x = np.frombuffer(b"".join(b for _, b in rows), dtype=np.float32).reshape(len(rows), DIMS)
+            fitted = pickle.dumps(Model.fit(x, np.array([lang for lang, _ in rows], dtype=object)))
+            yield pa.RecordBatch.from_arrays([pa.array([fitted], pa.binary())], ["fitted"])
 
-
-def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Fit on labelled rows of ``docs`` (text, lang) that ``learn`` admits."""
-    rows = sample_rows(docs, F.lit(True) if learn is None else learn, per_language)
-    x = np.array([np.frombuffer(b, dtype=np.float32) for b in rows["x"]], dtype=float).reshape(len(rows), DIMS)
-    order = np.lexsort((x[:, 0], rows["lang"].to_numpy(str))) if len(rows) else []
-    return Model(x[order], rows["lang"].to_numpy(object)[order])
+    profiles = drawn.select("lang", "text").mapInArrow(profile, "lang string, x binary")
+    fitted = profiles.repartition(1).mapInArrow(train, "fitted binary").collect()
+    return Model(pickle.loads(fitted[0]["fitted"]) if fitted else None)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], lang: str = "lang_pred", score: str = "score") -> DataFrame:
