@@ -38,38 +38,87 @@ from pyspark.sql import functions as F
 
 from lapse.llm.common import LOWER, held_out
 from lapse.llm.runs import column
-from lapse.llm.words import mix, word_hashes
+from lapse.llm.words import grouped, mix, word_hashes_of
 from lapse.operators.materialize import land
 
 FREQUENT = 1 << 18
-CLASSES = MEMBERS = 16
+CLASSES = MEMBERS = 16  # 256 buckets: the top eight bits of a word's hash
 CLASS_ROWS, MEMBER_ROWS = 1 << 12, 1 << 14
 ROUNDS = 3
 FEATURES = 3
 SHRINK = 20.0
 MAX_STEP = 1.0
-TOKENS = 1 << 16  # tokens per numpy batch
+GROUP_BYTES = 1 << 18  # bytes of text per numpy batch
 COUNT_FLUSH = 1 << 21
 BLOCK = 256  # weight rows per gradient message
 START = np.uint64(0x5851F42D4C957F2D)
 END = np.uint64(0x14057B7EF767814F)
 
 
-def tokens(text: str | None) -> np.ndarray:
-    """Hashes of the lower-cased (A-Z) text's words and the end."""
-    words = word_hashes((text or "").encode("utf-8", "replace").translate(LOWER))
-    return np.append(words, END)
+def tokens_of(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Batches of whole texts: the hashes of their lower-cased (A-Z) words,
+    each text followed by the end, and the number of tokens of each text."""
+    raw = ((t.as_py() or "").encode("utf-8", "replace").translate(LOWER) for t in texts)
+    for group in grouped(raw, GROUP_BYTES):
+        words, counts = word_hashes_of(group)
+        ends = np.cumsum(counts + 1) - 1
+        out = np.empty(len(words) + len(counts), dtype=np.uint64)
+        is_word = np.ones(len(out), dtype=bool)
+        is_word[ends] = False
+        out[is_word], out[ends] = words, END
+        yield out, counts + 1
 
 
 def bucket_of(words: np.ndarray) -> np.ndarray:
-    return (words >> np.uint64(56)).astype(np.int64) % (CLASSES * MEMBERS)
+    """The top eight bits of the word's hash."""
+    return (words >> np.uint64(56)).astype(np.int64)
+
+
+def contexts(words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """One hash per token and feature; a text's first tokens see START."""
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[starts] = START
+    skip = np.empty_like(words)
+    skip[1:] = before[:-1]
+    skip[starts] = START
+    return [mix(before + np.uint64(1)), mix(skip * np.uint64(3) ^ before), mix(skip + np.uint64(2))]
 
 
-def contexts(words: np.ndarray) -> list[np.ndarray]:
-    """One hash per token and feature."""
-    before = np.concatenate([[START], words[:-1]])
-    skip = np.concatenate([[START], before[:-1]])
-    return [mix(before + np.uint64(1)), mix(skip * np.uint64(3) ^ before), mix(skip + np.uint64(2))]
+class Table:
+    """Open-addressing lookup of word hashes, all of a batch at once."""
+
+    def __init__(self, words: np.ndarray, values: np.ndarray):
+        size = 1 << max(4, (4 * len(words)).bit_length())
+        self.mask = np.uint64(size - 1)
+        self.keys, self.used = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=bool)
+        self.values, self.probes = np.zeros(size), 0
+        left, place = np.arange(len(words)), (words & self.mask).astype(np.int64)
+        while len(left):
+            self.probes += 1
+            free = left[~self.used[place[left]]]
+            _, first = np.unique(place[free], return_index=True)
+            won = free[first]
+            self.keys[place[won]], self.values[place[won]], self.used[place[won]] = words[won], values[won], True
+            left = np.setdiff1d(left, won, assume_unique=True)
+            place[left] = (place[left] + 1) & (size - 1)
+
+    def get(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value (0 if absent) and presence of each word."""
+        place = (words & self.mask).astype(np.int64)
+        found = self.used[place] & (self.keys[place] == words)
+        value = np.where(found, self.values[place], 0.0)
+        left = np.flatnonzero(self.used[place] & ~found)
+        for _ in range(1, self.probes):
+            if not len(left):
+                break
+            place[left] = (place[left] + 1) & int(self.mask)
+            at = place[left]
+            hit = self.used[at] & (self.keys[at] == words[left])
+            found[left[hit]] = True
+            value[left[hit]] = self.values[at[hit]]
+            left = left[self.used[at] & ~hit]
+        return value, found
 
 
 class Weights:
@@ -83,33 +132,35 @@ class Weights:
         self.member_rows = np.zeros((MEMBER_ROWS, MEMBERS), dtype=np.float32)
 
     def rows(self, features: list[np.ndarray], classes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        top = [(f % np.uint64(CLASS_ROWS)).astype(np.uint16) for f in features]
-        salt = mix(classes.astype(np.uint64) + np.uint64(11))
-        low = [((f + salt >> np.uint64(20)) % np.uint64(MEMBER_ROWS)).astype(np.uint16) for f in features]
+        top = [(f & np.uint64(CLASS_ROWS - 1)).astype(np.uint16) for f in features]
+        salt = mix(np.arange(CLASSES, dtype=np.uint64) + np.uint64(11))[classes]
+        low = [((f + salt >> np.uint64(20)) & np.uint64(MEMBER_ROWS - 1)).astype(np.uint16) for f in features]
         return top, low
 
-    def forward(self, words: np.ndarray, features: list[np.ndarray]):
-        """Rows, and probabilities of all classes and of the class's members."""
-        bucket = bucket_of(words)
-        classes, members = np.divmod(bucket, MEMBERS)
+    def scores(self, words: np.ndarray, features: list[np.ndarray]):
+        """Class and member numbers, rows, and both softmaxes' exponentials
+        with their sums."""
+        classes, members = np.divmod(bucket_of(words), MEMBERS)
         top, low = self.rows(features, classes)
         out = []
-        for rows, weights, bias in ((top, self.class_rows, np.log(self.class_share)[None]), (low, self.member_rows, np.log(self.member_share)[classes])):
+        for rows, weights, bias in (
+            (top, self.class_rows, np.log(self.class_share).astype(np.float32)[None]),
+            (low, self.member_rows, np.log(self.member_share).astype(np.float32)[classes]),
+        ):
             z = weights[rows[0]]
             for r in rows[1:]:
                 z += weights[r]
-            z += bias.astype(np.float32)
-            z -= z.max(axis=1, keepdims=True)
+            z += bias
+            # Weights are bounded by the rounds' steps, so nothing overflows.
             np.exp(z, out=z)
-            z /= z.sum(axis=1, keepdims=True)
-            out.append(z)
-        return classes, members, top, low, out[0], out[1]
+            out.append((z, z.sum(axis=1)))
+        return classes, members, top, low, *out
 
     def log10(self, words: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
         """log10 probability of every word's bucket."""
-        classes, members, _, _, p, q = self.forward(words, features)
+        classes, members, _, _, (p, p_sum), (q, q_sum) = self.scores(words, features)
         at = np.arange(len(words))
-        return np.log10(np.maximum(p[at, classes], 1e-30).astype(float)) + np.log10(np.maximum(q[at, members], 1e-30).astype(float))
+        return np.log10((p[at, classes] / p_sum).astype(float) * (q[at, members] / q_sum))
 
     def step(self, top: np.ndarray, low: np.ndarray) -> None:
         """Move against summed gradients (last column: feature counts)."""
@@ -132,7 +183,9 @@ def _add(target: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
 
 
 def gradient_batch(weights: Weights, words: np.ndarray, features: list[np.ndarray], top_sum: np.ndarray, low_sum: np.ndarray) -> None:
-    classes, members, top, low, p, q = weights.forward(words, features)
+    classes, members, top, low, (p, p_sum), (q, q_sum) = weights.scores(words, features)
+    p /= p_sum[:, None]
+    q /= q_sum[:, None]
     at = np.arange(len(words))
     p[at, classes] -= 1.0
     q[at, members] -= 1.0
@@ -142,26 +195,6 @@ def gradient_batch(weights: Weights, words: np.ndarray, features: list[np.ndarra
         _add(low_sum, r, q)
 
 
-def _token_batches(texts) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray]]:
-    """Batches of whole texts: words, features, number of words per text."""
-    held: list[np.ndarray] = []
-    n = 0
-    for text in texts:
-        words = tokens(text.as_py())
-        held.append(words)
-        n += len(words)
-        if n >= TOKENS:
-            yield _joined(held)
-            held, n = [], 0
-    if held:
-        yield _joined(held)
-
-
-def _joined(held):
-    per_text = [contexts(w) for w in held]
-    return np.concatenate(held), [np.concatenate(f) for f in zip(*per_text)], np.array([len(w) for w in held])
-
-
 def word_counts(docs: DataFrame, learn: Column) -> DataFrame:
     """(word, n) over the tokens of the documents that ``learn`` admits."""
 
@@ -173,9 +206,9 @@ def word_counts(docs: DataFrame, learn: Column) -> DataFrame:
         done: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             held, size = [], 0
-            for text in batch.column(0):
-                held.append(tokens(text.as_py()))
-                size += len(held[-1])
+            for words, _ in tokens_of(batch.column(0)):
+                held.append(words)
+                size += len(words)
                 if size > COUNT_FLUSH:
                     done.append(np.unique(np.concatenate(held), return_counts=True))
                     held, size = [], 0
@@ -225,8 +258,8 @@ def train_round(part: DataFrame, weights: Weights) -> tuple[np.ndarray, np.ndarr
     def gradients(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, low = np.zeros((CLASS_ROWS, CLASSES + 1)), np.zeros((MEMBER_ROWS, MEMBERS + 1))
         for batch in batches:
-            for words, features, _ in _token_batches(batch.column(0)):
-                gradient_batch(weights, words, features, top, low)
+            for words, sizes in tokens_of(batch.column(0)):
+                gradient_batch(weights, words, contexts(words, np.cumsum(sizes) - sizes), top, low)
         yield _blocks(top, low)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,6 +281,8 @@ def train_round(part: DataFrame, weights: Weights) -> tuple[np.ndarray, np.ndarr
 
 
 def train(docs: DataFrame, learn: Column, totals: np.ndarray, rounds: int = ROUNDS) -> Weights:
+    if rounds * FEATURES * MAX_STEP > 80:
+        raise ValueError("too many rounds for single precision exponentials")
     weights = Weights(totals)
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
     for r in range(rounds):
@@ -271,21 +306,25 @@ def score_documents(docs: DataFrame, divisor: int = 7, frequent: int = FREQUENT,
     bucket_size = np.log10(totals + kinds + 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, logs = shared.value
+        table = Table(*shared.value)
         for batch in batches:
             results: list[list] = [[], [], [], [], [], []]
-            for words, features, sizes in _token_batches(batch.column("text")):
-                model = weights.log10(words, features) - bucket_size[bucket_of(words)]
-                at = np.minimum(np.searchsorted(table, words), max(0, len(table) - 1))
-                found = table[at] == words if len(table) else np.zeros(len(words), dtype=bool)
-                gain = np.where(found, logs[at], 0.0) if len(table) else np.zeros(len(words))
+            for words, sizes in tokens_of(batch.column("text")):
                 starts = np.cumsum(sizes) - sizes
+                model = weights.log10(words, contexts(words, starts)) - bucket_size[bucket_of(words)]
+                gain, found = table.get(words)
                 for list_, values in zip(results, (sizes, np.add.reduceat(found.astype(np.int64), starts), np.add.reduceat(gain, starts), np.add.reduceat(model, starts))):
                     list_.extend(values.tolist())
-                for a, n in zip(starts.tolist(), sizes.tolist()):
-                    rare, times = np.unique(words[a : a + n][~found[a : a + n]], return_counts=True)
-                    results[4].append(rare.view(np.int64))
-                    results[5].append(times)
+                # The other words of each text, once with their number.
+                rare = np.flatnonzero(~found)
+                text = np.searchsorted(starts, rare, side="right") - 1
+                order = np.lexsort((words[rare], text))
+                text, rare = text[order], words[rare][order]
+                first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (rare[1:] != rare[:-1]))) if len(rare) else rare.astype(int)
+                times = np.diff(np.append(first, len(rare)))
+                cuts = np.searchsorted(text[first], np.arange(1, len(sizes)))
+                results[4] += np.split(rare[first].view(np.int64), cuts)
+                results[5] += np.split(times, cuts)
             kinds_ = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             names = ["n_tokens", "n_found", "gain", "model", "rare", "times"]
             arrays = [pa.array(v, k) for v, k in zip(results, kinds_)]

@@ -83,6 +83,33 @@ def word_hashes(text: bytes, separators: np.ndarray = SPACES) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def grouped(texts, size: int = PIECE):
+    """Lists of consecutive texts (bytes) of about ``size`` bytes in all."""
+    held: list[bytes] = []
+    n = 0
+    for text in texts:
+        held.append(text)
+        n += len(text)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def word_hashes_of(texts: list[bytes], separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of several texts in a row, and each text's number of
+    words; one evaluation for all of them unless they are long. A line feed
+    must be a separator."""
+    if sum(map(len, texts)) > 2 * PIECE:
+        parts = [word_hashes(t, separators) for t in texts]
+        return np.concatenate(parts), np.array([len(x) for x in parts])
+    raw = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    start, _ = spans(raw, separators)
+    return _piece_hashes(raw, separators), np.diff(np.searchsorted(start, ends), prepend=0)
+
+
 def window_hashes(words: np.ndarray, starts: np.ndarray, width: int, base: int = WORD_BASE) -> np.ndarray:
     """Hash of the ``width`` words from each start (all starts must fit)."""
     if not len(starts):

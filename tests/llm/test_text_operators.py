@@ -44,6 +44,14 @@ def test_word_hashes_tell_words_apart(monkeypatch):
     assert len(same) == len({tuple(expected[i : i + 3]) for i in starts.tolist()})
 
 
+def test_word_hashes_of_several_texts():
+    texts = [t.encode() for t in ("", "a b", " ", passage(300), "b", "")]
+    hashes, counts = w.word_hashes_of(texts)
+    assert counts.tolist() == [len(t.split()) for t in texts]
+    assert (hashes == np.concatenate([w.word_hashes(t) for t in texts])).all()
+    assert [sum(map(len, g)) for g in w.grouped([b"x" * 5] * 7, 10)] == [10, 10, 10, 5]
+
+
 # --- substring deduplication -------------------------------------------------
 
 
@@ -293,10 +301,31 @@ def test_model_probabilities_sum_to_one():
     assert abs((10.0 ** weights.log10(every, features)).sum() - 1.0) < 1e-4
 
 
+def test_table_finds_what_it_holds():
+    draw = np.random.default_rng(8)
+    keys = np.unique(draw.integers(0, 1 << 63, 3000, dtype=np.uint64) & ~np.uint64(0xFF0))  # crowded places
+    table = lm.Table(keys, np.arange(len(keys)) + 1.0)
+    value, found = table.get(np.concatenate([keys, keys + np.uint64(1 << 40)]))
+    inside = np.isin(keys + np.uint64(1 << 40), keys)
+    assert found[: len(keys)].all() and (value[: len(keys)] == np.arange(len(keys)) + 1).all()
+    assert (found[len(keys) :] == inside).all() and (value[len(keys) :][~inside] == 0).all()
+    value, found = lm.Table(keys[:0], np.zeros(0)).get(keys[:5])
+    assert not found.any() and not value.any()
+
+
+def test_contexts_stop_at_texts():
+    a, b = np.arange(1, 6, dtype=np.uint64), np.arange(50, 53, dtype=np.uint64)
+    one = [np.concatenate(x) for x in zip(lm.contexts(a, np.array([0])), lm.contexts(b, np.array([0])))]
+    both = lm.contexts(np.concatenate([a, b]), np.array([0, 5]))
+    assert all((x == y).all() for x, y in zip(one, both))
+    short = lm.contexts(np.concatenate([a[:1], b]), np.array([0, 1]))
+    assert all((x[1:] == y).all() for x, y in zip(short, lm.contexts(b, np.array([0]))))
+
+
 def test_gradient_matches_differences():
     draw = np.random.default_rng(4)
     words_ = draw.integers(0, 1 << 63, 200, dtype=np.uint64)
-    features = lm.contexts(words_)
+    features = lm.contexts(words_, np.array([0, 90]))
     weights = lm.Weights(np.ones(lm.CLASSES * lm.MEMBERS))
     top, low = np.zeros((lm.CLASS_ROWS, lm.CLASSES + 1)), np.zeros((lm.MEMBER_ROWS, lm.MEMBERS + 1))
     lm.gradient_batch(weights, words_, features, top, low)
