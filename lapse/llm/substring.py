@@ -42,6 +42,7 @@ PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 SECOND_BASE = 0xD6E8FEB86659FD93
 REPEATED, DEALT = 1, 2  # flags: already seen twice; takes part by its hash
 HELD_ROWS = 4096
+PART_ROWS = 1 << 19
 
 
 def anchor_starts(n_words: int, width: int) -> np.ndarray:
@@ -77,6 +78,19 @@ def _deal(hashes: np.ndarray, second: np.ndarray, key: np.ndarray, at: np.ndarra
     return [slot.view(np.int64), second.view(np.int64), key, at.astype(np.int64) * 4 + flags]
 
 
+def _dealt(found: Iterator[tuple]) -> Iterator[list[np.ndarray]]:
+    """``_deal`` over the documents' hashes, in parts of bounded size."""
+    parts, n = [], 0
+    for part in found:
+        parts.append(part)
+        n += len(part[0])
+        if n >= PART_ROWS:
+            yield _deal(*[np.concatenate(x) for x in zip(*parts)])
+            parts, n = [], 0
+    if n:
+        yield _deal(*[np.concatenate(x) for x in zip(*parts)])
+
+
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(row, places): the places whose hash occurs at least twice."""
 
@@ -129,15 +143,15 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = column(batch, "row")
-            parts = []
-            for i, text in enumerate(batch.column("raw")):
-                words = word_hashes(text.as_py() or b"")
-                starts = anchor_starts(len(words), width)
-                if len(starts):
-                    parts.append((window_hashes(words, starts, width - PERIOD + 1), np.full(len(starts), keys[i]), starts))
-            if parts:
-                hashes, row, at = [np.concatenate(x) for x in zip(*parts)]
-                slot, _, row, place = _deal(hashes, np.zeros(len(hashes), dtype=np.uint64), row, at)
+
+            def found(batch=batch, keys=keys):
+                for i, text in enumerate(batch.column("raw")):
+                    words = word_hashes(text.as_py() or b"")
+                    starts = anchor_starts(len(words), width)
+                    hashes = window_hashes(words, starts, width - PERIOD + 1)
+                    yield hashes, np.zeros(len(hashes), dtype=np.uint64), np.full(len(starts), keys[i]), starts
+
+            for slot, _, row, place in _dealt(found()):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slot, row, place)], ["slot", "row", "place"])
 
     raw = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("raw"))
@@ -150,15 +164,15 @@ def _window_rows(touched: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = column(batch, "row")
-            parts = []
-            for i, (text, places) in enumerate(zip(batch.column("raw"), batch.column("places"))):
-                words = word_hashes(text.as_py() or b"")
-                starts = window_starts(np.unique(places.values.to_numpy()), len(words), width)
-                if len(starts):
+
+            def found(batch=batch, keys=keys):
+                for i, (text, places) in enumerate(zip(batch.column("raw"), batch.column("places"))):
+                    words = word_hashes(text.as_py() or b"")
+                    starts = window_starts(np.unique(places.values.to_numpy()), len(words), width)
                     hashes = [window_hashes(words, starts, width, base) for base in (WORD_BASE, SECOND_BASE)]
-                    parts.append((*hashes, np.full(len(starts), keys[i]), starts))
-            if parts:
-                dealt = _deal(*[np.concatenate(x) for x in zip(*parts)])
+                    yield *hashes, np.full(len(starts), keys[i]), starts
+
+            for dealt in _dealt(found()):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in dealt], ["slot", "second", "row", "place"])
 
     return touched.mapInArrow(run, "slot long, second long, row long, place long")
