@@ -14,7 +14,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from lapse.session import build_session, checkpoint_dir
 
-    s = build_session("local[4]", app_name="lapse-tests", shuffle_partitions=4)
+    # Long locations, so that plan tests see the names of landed tables.
+    extra = {"spark.sql.maxMetadataStringLength": "1000"}
+    s = build_session("local[4]", app_name="lapse-tests", shuffle_partitions=4, extra=extra)
     checkpoint_dir(s)  # sets a private folder only when the session names none
     yield s
     s.stop()

@@ -64,7 +64,7 @@ def main() -> None:
     args = sys.argv[1:]
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = args or [n for n in catalog.QUERIES if n not in MODEL_QUERIES]
-    spark = build_session("local[8]", app_name="lapse-plans", shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    spark = build_session("local[8]", app_name="lapse-plans", shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "1000"})
     rows = []
     landed: list = []
     materialize.observers.append(lambda what, df: landed.append((what, plan_of(df))))
@@ -77,48 +77,6 @@ def main() -> None:
         rows += [(f"{name} (lands {what})", None, summarize(plan)) for what, plan in landed]
         rows.append((name, secs, summarize(plan_of(df))))
         print(name, f"{secs:.1f}s", rows[-1][2], flush=True)
-    out = []
-    for cols, where in found:
-        landed = re.search(r"lapse-tables/[^/]+/([a-z]+(?:-[a-z]+)*)-[0-9a-f]", where)
-        source = re.search(r"/(\w+)\.parquet", where)
-        name = f"landed:{landed[1]}" if landed else source[1] if source else "?"
-        out.append((name, [c.strip().split("#")[0] for c in cols.split(",") if c.strip()]))
-    return out
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def summarize(plan: str) -> dict:
-    by_table: dict[str, list[int]] = {}
-    for table, cols in scans_of(plan):
-        by_table.setdefault(table, []).append(len(cols))
-    return {
-        "scans": ", ".join(f"{t}×{len(v)} ({'/'.join(map(str, v))} cols)" for t, v in sorted(by_table.items())),
-        "shuffles": len(re.findall(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition", plan)),
-        "broadcasts": plan.count("BroadcastExchange"),
-        "smj": plan.count("SortMergeJoin"),
-        "bhj": plan.count("BroadcastHashJoin"),
-        "windows": len(re.findall(r"\bWindow \[", plan)),
-        "flags": ", ".join(f for f in RED_FLAGS if f in plan) or "-",
-    }
-
-
-def main() -> None:
-    args = sys.argv[1:]
-    sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    names = args or [n for n in catalog.QUERIES if n not in MODEL_QUERIES]
-    spark = build_session("local[8]", app_name="lapse-plans", shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
-    rows = []
-    for name in names:
-        t0 = time.perf_counter()
-        df = catalog.QUERIES[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        secs = time.perf_counter() - t0
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        rows.append((name, secs, summarize(plan)))
-        print(name, f"{secs:.1f}s", rows[-1][2], flush=True)
     out = [
         "# Physical plans of the registered queries",
         "",
