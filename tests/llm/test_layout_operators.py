@@ -177,6 +177,22 @@ def test_shards_keep_groups_together(spark):
     assert cut <= 16
 
 
+@pytest.mark.parametrize("copies", [2, 3])
+def test_groups_stay_together_when_every_text_has_copies(spark, copies):
+    rows = [(i, passage(5, i // copies), "en", "a") for i in range(960)]
+    groups, _ = check_shards(docs(spark, rows), 16)
+    assert sum(len(s) > 1 for s in groups.values()) <= 16
+
+
+def test_large_groups_start_whole_or_on_few_shards():
+    placed, left = sharding.place_large([(1, 25), (2, 9), (3, 4)], [10] * 4)
+    shards = Counter(link for link, *_ in placed)
+    assert shards == {1: 3, 2: 1, 3: 1} and sum(left) == 2
+    for link in shards:
+        spans = sorted((low, high) for x, _, low, high in placed if x == link)
+        assert spans[0][0] == 0 and spans[-1][1] == sharding.UNIT and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_hot_group_takes_few_shards(spark):
     rows = [(i, "same text" if i % 3 == 0 else passage(5, i), "en", "a") for i in range(900)]
     groups, n = check_shards(docs(spark, rows), 16)
