@@ -2,8 +2,8 @@
 
 Documents are tokenized and cut into pieces of the sequence length and one
 remainder. Packing works on the histogram of piece lengths: lengths are placed
-longest first, each time into the packs that are shortest so far, updating
-counts of packing patterns rather than single packs. Patterns then go back to
+longest first, each time into the packs that are shortest so far, or evenly
+into as few new packs as hold them, updating counts of packing patterns rather than single packs. Patterns then go back to
 the pieces by rank: the n-th piece of a length takes the n-th place that the
 patterns hold for this length.
 
@@ -163,14 +163,19 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = SEQUENCE) ->
 
 def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, tuple[int, ...]]]:
     """Packing patterns (count, lengths): lengths longest first, each into the
-    shortest packs so far, or into new packs where it doesn't fit there."""
+    shortest packs so far. Pieces that fit nowhere share new packs: as few
+    packs as hold them, dealt evenly."""
     open_packs: dict[int, list[tuple[int, tuple[int, ...]]]] = defaultdict(list)
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         while left:
             shortest = min(open_packs, default=size)
             if shortest + length > size:
-                open_packs[length].append((left, (length,)))
+                packs = -(-left // (size // length))
+                each, more = divmod(left, packs)
+                for count, n in ((more, each + 1), (packs - more, each)):
+                    if count:
+                        open_packs[n * length].append((count, (length,) * n))
                 break
             count, pattern = open_packs[shortest].pop()
             taken = min(left, count)

@@ -113,6 +113,18 @@ def test_patterns_place_every_length_once(histogram):
         assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
 
 
+def padding_of(histogram, size):
+    sequences = sum(count for count, _ in packing.pack_histogram(histogram, size))
+    return 1 - sum(n * k for n, k in histogram.items()) / (size * sequences)
+
+
+def test_pieces_of_a_hot_length_share_new_packs():
+    assert packing.pack_histogram({300: 3001}, 1024) == [(2, (300, 300)), (999, (300, 300, 300))]
+    even = {n: 10 for n in range(1, 1025)}
+    assert padding_of({**even, 300: 5120}, 1024) < 0.06
+    assert padding_of({n: 10 for n in range(250, 1025)} | {300: 4000}, 1024) < 0.25
+
+
 def plain_ids(text):
     t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     t.encode_special_tokens = True
