@@ -5,8 +5,9 @@ its words of highest inverse document frequency, the frequencies being counted
 over all documents. A text's occurrences of indexed words propose alignments
 (template, place of its first word); alignments that several indexed words
 agree on, by relative position, are kept, and their mandatory key phrases are
-verified word by word at the aligned places. The share of a template's words
-found in place is the score.
+verified word by word, in order, each at most ``KEY_SHIFT`` words from its
+place after the one before (the first: from its aligned place). The share of a
+template's words found in place is the score, places moving with the phrases.
 
 A few plain phrases (the base) are found exactly wherever they stand.
 
@@ -43,7 +44,7 @@ TEMPLATES = (
     (
         "mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this software"
-        " and associated documentation files to deal in the software without restriction",
+        " and associated documentation files the software to deal in the software without restriction",
         ("permission is hereby granted", "without restriction"),
     ),
     ("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
@@ -74,6 +75,7 @@ TEMPLATES = (
 
 RARE_WORDS = 3  # words by which a template is indexed
 AGREEING = 2  # indexed words that must agree on an alignment
+KEY_SHIFT = 3  # words by which a key phrase may stand nearer or farther
 
 # Bytes that separate words: all but digits, lower-case letters and non-ASCII.
 SEPARATORS = np.zeros(256, dtype=bool)
@@ -130,19 +132,45 @@ class Scanner:
         votes: Counter[tuple[int, int]] = Counter()
         for p in np.flatnonzero(np.isin(ids, self.indexed)).tolist():
             votes.update((t, p - o) for t, o in self.postings[int(ids[p])])
-        return [a for a, n in votes.items() if n >= AGREEING]
+        near = range(-KEY_SHIFT, KEY_SHIFT + 1)
+        return [(t, start) for t, start in votes if sum(votes[t, start + d] for d in near) >= AGREEING]
+
+    def in_place(self, ids: np.ndarray, t: int, start: int) -> int:
+        """Most words of the template in place over all ways to find its key
+        phrases in order from ``start``; -1 if there is none."""
+        _, words, keys = self.templates[t]
+
+        def here(lo: int, hi: int, start: int) -> np.ndarray:
+            place = start + np.arange(lo, hi)
+            inside = (place >= 0) & (place < len(ids))
+            return inside & (ids[np.where(inside, place, 0)] == words[lo:hi])
+
+        def best(n: int, after: int, start: int) -> int:
+            if n == len(keys):
+                return int(here(after, len(words), start).sum())
+            key, most = keys[n], -1
+            for at in sequence_places(words, key).tolist():
+                for moved in range(start - KEY_SHIFT, start + KEY_SHIFT + 1):
+                    if at < after or moved + at < max(0, start + after) or not np.array_equal(ids[moved + at : moved + at + len(key)], key):
+                        continue
+                    rest = best(n + 1, at + len(key), moved)
+                    if rest >= 0:
+                        # Words between two phrases follow the one up to some place, then lead to the other.
+                        follow, lead = here(after, at, start if n else moved), here(after, at, moved)
+                        between = lead.sum() + max(0, np.cumsum(follow.astype(int) - lead).max(initial=0))
+                        most = max(most, int(between) + len(key) + rest)
+            return most
+
+        return best(0, 0, start)
 
     def verified(self, ids: np.ndarray) -> list[tuple[str, float]]:
         """(label, share of template words in place) of verified templates."""
         out = []
         for t, start in self.alignments(ids):
-            label, words, keys = self.templates[t]
-            lo, hi = max(0, start), min(len(ids), start + len(words))
-            here = ids[lo:hi]
-            in_place = (here == words[lo - start : hi - start]).sum() / len(words)
-            wanted = [(k, sequence_places(words, k)) for k in keys]
-            if all(any(np.array_equal(ids[max(0, start + s) : start + s + len(k)], k) for s in places.tolist()) for k, places in wanted):
-                out.append((label, float(in_place)))
+            label, words, _ = self.templates[t]
+            found = self.in_place(ids, t, start)
+            if found >= 0:
+                out.append((label, found / len(words)))
         return out
 
     def scan(self, text: str | None) -> tuple:

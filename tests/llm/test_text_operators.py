@@ -240,6 +240,90 @@ def test_licences_against_brute_force(spark):
     assert all(0 <= r.score <= 1 and set(r.base_labels.split(",")) <= {*r.labels.split(","), ""} for r in got)
 
 
+MIT = """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+"""
+GNU = """This %s is free software: you can redistribute it and/or modify
+it under the terms of the GNU %s as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_published_licence_texts(spark):
+    published = {
+        "mit": MIT, "bsd": BSD, "unlicense": UNLICENSE, "apache-2.0": APACHE, "mpl-2.0": MPL,
+        "gpl": GNU % ("program", "General Public License"),
+        "lgpl": GNU % ("library", "Lesser General Public License"),
+        "agpl": GNU % ("program", "Affero General Public License"),
+    }
+    rows = [(i, text, "en", "a") for i, text in enumerate(published.values())]
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs(spark, AWKWARD[3:5] + [(100 + i, *r) for i, *r in rows])).collect()}
+    for i, label in enumerate(published):
+        assert label in got[100 + i].labels.split(",") and got[100 + i].score == 1.0, label
+        assert set(got[100 + i].labels.split(",")) <= {label, "gpl"}
+
+
+def test_key_phrases_may_shift_a_little(spark):
+    def moved(n):
+        return MIT.replace("to deal", "x " * n + "to deal")
+
+    texts = [moved(1), moved(licenses.KEY_SHIFT), MIT.replace('(the "Software")', "(Software)"), moved(licenses.KEY_SHIFT + 1)]
+    texts += ["without restriction " + MIT.split("without restriction")[0]]  # not in order
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    assert [got[i].labels for i in range(5)] == ["mit", "mit", "mit", "", ""]
+    assert all(0.9 < got[i].score <= 1 for i in range(3))
+
+
 # --- language ----------------------------------------------------------------
 
 
