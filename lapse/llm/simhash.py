@@ -63,7 +63,7 @@ def _word_lists(text: bytes, overlap: int) -> Iterator[list[bytes]]:
         new = WORDS.findall(text, at, stop)
         at = stop
         if new:
-            words = words[len(words) - overlap :] + new if overlap else new
+            words = words[-overlap:] + new if overlap else new
             yield words
 
 

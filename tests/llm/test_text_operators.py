@@ -146,6 +146,12 @@ def test_simhash_against_brute_force(spark, monkeypatch):
     assert simhash.fingerprint(passage(300)) == brute_fingerprint(passage(300), 4)
 
 
+@pytest.mark.parametrize("after", [1, 2, 300])
+def test_simhash_carries_every_word_of_a_short_list(after):
+    text = "a" * 600_000 + " " + "b" * 600_000 + " " + passage(after)
+    assert simhash.fingerprint(text) == brute_fingerprint(text, 4)
+
+
 def random_fingerprints(n, seed):
     draw = np.random.default_rng(seed)
     centres = draw.integers(0, 1 << 63, 12, dtype=np.uint64)
