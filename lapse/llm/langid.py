@@ -210,8 +210,24 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFr
     return predict(rows, model, ["doc_id", "held_out"])
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The documents whose text holds a letter; all columns unchanged."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(t) and has_letter(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def reject_unknown(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """The documents whose language could be told; all columns unchanged."""
+    """The documents whose text holds a letter, so that a language can be told;
+    all columns unchanged. Where no language could be learned, nothing is told
+    and the letters alone decide."""
     model = fit(docs, ~held_out(4), per_language)
+    if model.top is None:
+        return lettered(docs)
     known = predict(docs, model, docs.columns, "__lang_pred", "__lang_score")
-    return known.where(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
+    # A fitted model scores every lettered text, also one labelled ``und``, above 0.
+    return known.where(F.col("__lang_score") > 0).select(*docs.columns)

@@ -45,6 +45,17 @@ def test_run_equals_its_stages(spark, tmp_path):
     assert Counter(tuple(r[c] for c in key) for r in df.collect()) == Counter(tuple(r[c] for c in key) for r in pipeline.run(spark, SMALL).collect())
 
 
+def test_unlabelled_documents_stay(spark, tmp_path):
+    null, und = ([(*r[:2], lang, r[3]) for r in AWKWARD] for lang in (None, "und"))
+    for rows in (null, und):
+        kept = pipeline.language(spark, docs(spark, rows), SMALL)
+        assert kept.columns == docs(spark).columns
+        assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r[0]) for r in AWKWARD if r[0] not in (1, 2, 3, 11))
+    docs(spark, null).write.parquet(str(tmp_path / "documents.parquet"))
+    packed = {r.doc_id for r in pipeline.run(spark, str(tmp_path)).collect()}
+    assert {None, 4, 8, 9, 10} <= packed and not packed & {1, 2, 3, 11}
+
+
 def test_registered(spark):
     names = set(entry.queries())
     assert "pipeline" in names and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
