@@ -41,9 +41,9 @@ MAX_DEPTH = 30  # MLlib's limit; the engine grows trees without a depth cap
 MISSING_NUMBER = -1.0
 # Thresholds MLlib may try per feature (its default is 32).
 MAX_BINS = 64
-# Labelled rows a fit reads at most; beyond it a hash sample is drawn. Trees and
-# k-means statistics are held by the driver, so the fit has a bound; scoring
-# covers all rows.
+# Labelled rows a forest fit reads at most; beyond it a hash sample is drawn.
+# Trees are held by the driver, so the fit has a bound; scoring covers all rows.
+# K-means reads all train users (the driver holds its centres only).
 MAX_FIT_ROWS = 1_000_000
 
 
@@ -76,7 +76,7 @@ def scaled_features(features: DataFrame) -> DataFrame:
 
 
 def cluster_ids(
-    features: DataFrame, seed: int = SEED, max_k: int = MAX_CLUSTERS, restarts: int = KMEANS_RESTARTS, max_rows: int = MAX_FIT_ROWS
+    features: DataFrame, seed: int = SEED, max_k: int = MAX_CLUSTERS, restarts: int = KMEANS_RESTARTS
 ) -> DataFrame:
     """(split, user_id, cluster_id) for every user; scaler and k-means fit on train.
 
@@ -86,7 +86,7 @@ def cluster_ids(
     raw = cluster_inputs(features)
     scaler = scaler_for(raw)
     scaled = scaler.transform(raw.where(F.col("split") == "train")).select(*USER_KEY, "_x")
-    train_x = bounded(land(scaled, "kmeans-train"), max_rows, seed).select("_x")
+    train_x = land(scaled, "kmeans-train").select("_x")
     # Kept once for all restarts; an unpersisted frame would be cached by each.
     train_x = train_x.persist(StorageLevel.MEMORY_AND_DISK)
     try:

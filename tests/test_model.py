@@ -51,6 +51,12 @@ def test_clusters_cover_all_users(fitted):
     assert 1 <= k <= model.MAX_CLUSTERS
 
 
+def test_kmeans_reads_all_train_users(fitted, monkeypatch):
+    _, feats, clusters, *_ = fitted
+    monkeypatch.setattr(model, "bounded", lambda rows, *_: rows.limit(4))
+    assert sorted(model.cluster_ids(feats, restarts=2).collect()) == sorted(clusters.collect())
+
+
 def test_reports_on_forest_output(fitted, spark):
     *_, oof, _ = fitted
     df = spark.createDataFrame(oof[["user_id", "target", "prediction", "predicted_class", "confidence", *report.prob_columns(oof)]])
