@@ -1,14 +1,17 @@
-"""Language identification in two levels: family first, then language.
+"""Language identification by levels: family first, then language.
 
 Texts become hashed counts of byte n-grams (1 to 3 bytes of the lower-cased
 text), square-rooted and scaled to length one. Linear support vector machines
 (squared hinge, one against one) pick the language family; within a family
-one-against-one machines separate its languages.
+one-against-one machines separate its languages. Where more than ``MAX_CLASSES``
+families (or languages of one family) occur, those with similar profiles form
+groups, and a level of machines among the groups comes before. So the number of
+machines grows with the labels, not with their square.
 
-The machines are fitted on a bounded sample of labelled rows, drawn by a hash
-over all labelled rows: about ``per_language`` rows of each language, and
-``SAMPLE_ROWS`` in all. One task reads that sample; the driver gets weights.
-More than ``MAX_LANGUAGES`` labels are refused. Prediction reads whole texts, in Arrow batches.
+Every set of machines is fitted in a task of its own, on a bounded sample of
+labelled rows, drawn by a hash over all labelled rows: about ``per_language``
+rows of each language, and ``SAMPLE_ROWS`` in all. The driver gets the labels'
+counts and the weights. Prediction reads whole texts, in Arrow batches.
 
 Defined cases: null text or text without a letter gives ``und`` with score 0;
 null languages are not learned from; with a single learned language every
@@ -31,8 +34,9 @@ from lapse.llm.common import UNIT, held_out, unit_hash
 
 DIMS = 1 << 12
 SAMPLE_PER_LANGUAGE = 400
-SAMPLE_ROWS = 8000  # over all languages: feature vectors of 131 MB at most
-MAX_LANGUAGES = 64  # one machine per pair of languages
+SAMPLE_ROWS = 8000  # of one set of machines: feature vectors of 131 MB at most
+MAX_CLASSES = 32  # of one set, which has a machine per pair of classes
+CENTRE_ROWS, CENTRE_DIMS = 50, 64  # rows of a language, and dimensions, of its mean profile
 UNKNOWN = "und"
 PIECE = 1 << 20
 
@@ -94,12 +98,12 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 150) ->
 class Machines:
     """One-against-one machines over a set of classes."""
 
-    def __init__(self, classes: list[str], weights: np.ndarray):
+    def __init__(self, classes: list, weights: np.ndarray):
         self.classes, self.weights = classes, weights
         self.pairs = list(combinations(range(len(classes)), 2))
 
     @staticmethod
-    def fit(x: np.ndarray, labels: np.ndarray) -> tuple[list[str], np.ndarray]:
+    def fit(x: np.ndarray, labels: np.ndarray) -> tuple[list, np.ndarray]:
         """Classes, and a row of weights per pair of them."""
         classes, rows = sorted(set(labels.tolist())), []
         for a, b in combinations(classes, 2):
@@ -122,65 +126,125 @@ class Machines:
         return best, total[np.arange(len(x)), best] / (n - 1)
 
 
-class Model:
-    """Family machines over language machines; without any, all is unknown."""
+def _groups(members: list[tuple]) -> list[list[tuple]]:
+    """Members (mean profile, ...) in groups of ``MAX_CLASSES`` at most, halved
+    along the direction in which the profiles differ most."""
+    if len(members) <= MAX_CLASSES:
+        return [members]
+    x = np.array([m[0] for m in members])
+    x = x - x.mean(axis=0)
+    order = np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")
+    halves = np.split(order, [len(order) // 2])
+    return [g for half in halves for g in _groups([members[i] for i in sorted(half)])]
 
-    def __init__(self, fitted: tuple | None):
-        top, inner = fitted or (None, {})
-        self.top = Machines(*top) if top else None
-        self.inner = {f: Machines(*m) for f, m in inner.items()}
 
-    @staticmethod
-    def fit(x: np.ndarray, langs: np.ndarray) -> tuple:
-        """Machines of the families, and of the languages of each."""
-        families = np.array([family(v) for v in langs], dtype=object)
-        inner = {f: Machines.fit(x[families == f], langs[families == f]) for f in sorted(set(families))}
-        return Machines.fit(x, families), inner
+class Tree:
+    """Levels of classes: ``nodes`` lists the children of each node, which are
+    languages or numbers of nodes; ``root`` is one of either."""
+
+    def __init__(self, centres: dict[str, np.ndarray | None]):
+        self.nodes: list[list[str | int]] = []
+        families: dict[str, list[tuple]] = {}
+        for lang in sorted(centres):
+            families.setdefault(family(lang), []).append((centres[lang], lang))
+        self.root = self._join([self._join(families[f]) for f in sorted(families)])[1]
+
+    def _join(self, members: list[tuple]) -> tuple:
+        """One member (mean profile, child) over all of ``members``."""
+        if len(members) > MAX_CLASSES:
+            return self._join([self._join(g) for g in _groups(members)])
+        if len(members) == 1:
+            return members[0]
+        self.nodes.append([child for _, child in members])
+        known = [c for c, _ in members if c is not None]
+        return np.mean(known, axis=0) if known else None, len(self.nodes) - 1
+
+    def languages(self, child: str | int) -> list[str]:
+        return [child] if isinstance(child, str) else [v for c in self.nodes[child] for v in self.languages(c)]
+
+
+class Model:
+    """Machines of every node of a tree; without a tree, all is unknown."""
+
+    def __init__(self, tree: Tree | None, fitted: dict[int, tuple] | None = None):
+        self.tree = tree
+        self.machines = {n: Machines(*m) for n, m in (fitted or {}).items()}
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         langs, scores = np.full(len(x), UNKNOWN, dtype=object), np.zeros(len(x))
-        if self.top is None or not len(x):
-            return langs, scores
-        chosen, sure = self.top.predict(x)
-        for j, f in enumerate(self.top.classes):
-            rows = np.flatnonzero(chosen == j)
-            if len(rows):
-                best, score = self.inner[f].predict(x[rows])
-                langs[rows] = np.array(self.inner[f].classes, dtype=object)[best]
-                scores[rows] = score * sure[rows]
+
+        def descend(child: str | int, rows: np.ndarray, sure: np.ndarray) -> None:
+            if isinstance(child, str):
+                langs[rows], scores[rows] = child, sure
+                return
+            chosen, score = self.machines[child].predict(x[rows])
+            for j, c in enumerate(self.machines[child].classes):
+                here = np.flatnonzero(chosen == j)
+                if len(here):
+                    descend(self.tree.nodes[child][c], rows[here], sure[here] * score[here])
+
+        if self.tree is not None and len(x):
+            descend(self.tree.root, np.arange(len(x)), np.ones(len(x)))
         return langs, scores
 
 
+def _sample(known: DataFrame, rates: pa.Table) -> DataFrame:
+    """Rows of ``known`` by the rates of their language (lang, ..., rate)."""
+    draw = unit_hash(F.lit("sample"), "doc_id", F.xxhash64("text")) / F.lit(float(UNIT))
+    table = F.broadcast(known.sparkSession.createDataFrame(rates).withColumnRenamed("lang", "__lang"))
+    return known.join(table, (F.col("lang") == F.col("__lang")) & (draw < F.col("rate")))
+
+
+def mean_profiles(known: DataFrame, counts: dict[str, int]) -> dict[str, np.ndarray]:
+    """A folded mean profile of each language, of about ``CENTRE_ROWS`` rows."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [features(t).reshape(CENTRE_DIMS, -1).sum(axis=1) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["lang", "x"])
+
+    rates = pa.table({"lang": list(counts), "rate": [min(1.0, CENTRE_ROWS / n) for n in counts.values()]})
+    folded = _sample(known, rates).select("lang", "text").mapInArrow(fold, "lang string, x array<double>")
+    # Rounded, since sums depend on arrival.
+    means = folded.groupBy("lang").agg(F.array(*[F.round(F.avg(F.get("x", F.lit(i))), 6) for i in range(CENTRE_DIMS)]).alias("x"))
+    found = {r["lang"]: np.array(r["x"]) for r in means.collect()}
+    return {lang: found.get(lang, np.zeros(CENTRE_DIMS)) for lang in counts}
+
+
 def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Fit on a bounded, hash-drawn sample of the labelled rows of ``docs``
-    (text, lang) that ``learn`` admits. One task fits; only weights return."""
+    """Fit on bounded, hash-drawn samples of the labelled rows of ``docs``
+    (text, lang) that ``learn`` admits. A task fits a node; only weights return."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = known if learn is None else known.where(learn)
-    sizes = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} language labels")
-    if not sizes:
+    known = (known if learn is None else known.where(learn)).select("doc_id", "lang", "text")
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
         return Model(None)
-    wanted = min(per_language, SAMPLE_ROWS // len(sizes))
-    rate = F.create_map(*[v for r in sizes for v in (F.lit(r["lang"]), F.lit(min(1.0, wanted / r["count"])))])
-    draw = unit_hash(F.lit("sample"), "doc_id", F.xxhash64("text")) / F.lit(float(UNIT))
-    drawn = known.where(draw < F.element_at(rate, F.col("lang")))
+    many = len(counts) > MAX_CLASSES
+    tree = Tree(mean_profiles(known, counts) if many else dict.fromkeys(counts))
+    paths = []
+    for node, children in enumerate(tree.nodes):
+        under = [tree.languages(c) for c in children]
+        wanted = min(per_language, SAMPLE_ROWS / sum(map(len, under)))
+        paths += [(lang, node, c, min(1.0, wanted / counts[lang])) for c, langs in enumerate(under) for lang in langs]
+    if not paths:
+        return Model(tree)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [features(t).astype(np.float32).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], ["lang", "x"])
+            x = [features(t).astype(np.float32).tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], ["node", "child", "x"])
 
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r["lang"], r["x"]) for batch in batches for r in batch.to_pylist())
-        if rows:  # in an order that does not depend on arrival
-            x = np.frombuffer(b"".join(b for _, b in rows), dtype=np.float32).reshape(len(rows), DIMS)
-            fitted = pickle.dumps(Model.fit(x, np.array([lang for lang, _ in rows], dtype=object)))
-            yield pa.RecordBatch.from_arrays([pa.array([fitted], pa.binary())], ["fitted"])
+    def train(table: pa.Table) -> pa.Table:
+        # In an order that does not depend on arrival.
+        rows = sorted(zip(table.column("child").to_pylist(), table.column("x").to_pylist()))
+        x = np.frombuffer(b"".join(b for _, b in rows), dtype=np.float32).reshape(len(rows), DIMS)
+        fitted = pickle.dumps(Machines.fit(x, np.array([c for c, _ in rows])))
+        return pa.table({"node": table.column("node").slice(0, 1), "fitted": pa.array([fitted], pa.binary())})
 
-    profiles = drawn.select("lang", "text").mapInArrow(profile, "lang string, x binary")
-    fitted = profiles.repartition(1).mapInArrow(train, "fitted binary").collect()
-    return Model(pickle.loads(fitted[0]["fitted"]) if fitted else None)
+    rates = pa.table(dict(zip(("lang", "node", "child", "rate"), zip(*paths))))
+    profiles = _sample(known, rates).select("node", "child", "text").mapInArrow(profile, "node long, child long, x binary")
+    fitted = profiles.groupBy("node").applyInArrow(train, "node long, fitted binary").collect()
+    return Model(tree, {r["node"]: pickle.loads(r["fitted"]) for r in fitted})
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], lang: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -226,7 +290,7 @@ def reject_unknown(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) ->
     all columns unchanged. Where no language could be learned, nothing is told
     and the letters alone decide."""
     model = fit(docs, ~held_out(4), per_language)
-    if model.top is None:
+    if model.tree is None:
         return lettered(docs)
     known = predict(docs, model, docs.columns, "__lang_pred", "__lang_score")
     # A fitted model scores every lettered text, also one labelled ``und``, above 0.

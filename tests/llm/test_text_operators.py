@@ -356,6 +356,24 @@ def test_language_awkward_cases(spark):
     assert unlabelled[0].lang_pred == langid.UNKNOWN
 
 
+def test_language_of_many_labels(spark):
+    """More labels than one set of machines has, in families and outside."""
+    labels = [*(f"x{n:02}" for n in range(90)), "en", "en-US", "de", "fr", "es"]
+    draw = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzäöüéèçñßøåabcde"))
+    vocabulary = {v: ["".join(draw.choice(letters, 6)) for _ in range(25)] for v in labels}
+    rows = [(i, " ".join(draw.choice(vocabulary[v], 60)), v, "a") for i, v in enumerate(labels * 12)]
+    got = langid.identify(docs(spark, rows)).collect()
+    truth = {r[0]: r[2] for r in rows}
+    held = [r for r in got if r.held_out]
+    assert len(got) == len(rows) and {r.lang_pred for r in got} == set(labels)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.9 * len(held)
+    assert all(0 < r.score <= 1 for r in got)
+    tree = langid.Tree({f"x{n}": draw.normal(size=8) for n in range(3000)})
+    assert max(map(len, tree.nodes)) <= langid.MAX_CLASSES
+    assert sorted(tree.languages(tree.root)) == sorted(f"x{n}" for n in range(3000))
+
+
 # --- language model ------------------------------------------------------------
 
 
