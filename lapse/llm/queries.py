@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import ann, langid, licenses, lm, mixing, packing, sharding, simhash, substring, topk
+from lapse.llm import ann, collocations, langid, licenses, lm, mixing, packing, sharding, simhash, spelling, substring, topk
 from lapse.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,16 +65,27 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of 2 to 3 words of each language."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_topk, op3_substring, op4_ann, op5_packing,
         op6_licenses, op7_langid, op8_lm, op9_simhash, op10_sharding,
+        op11_spelling, op13_collocations,
     )
 }
 
-# Exact in SQL: integer scores of a brute-force search, and all windows of all
-# documents grouped by their words.
+# Exact in SQL: integer scores of a brute-force search, all windows of all
+# documents grouped by their words, all phrases counted.
 ORACLE_SQL: dict[str, str] = {
     "op3_substring": r"""
         WITH d AS (
@@ -114,4 +125,48 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op13_collocations": r"""
+        WITH p AS (
+            SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+            FROM (
+                SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array(
+                           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents)
+        ), grams AS (
+            SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+                  FROM p CROSS JOIN (VALUES (1), (2), (3)) AS sizes (m) WHERE len(w) >= m)
+        ), f AS (
+            SELECT lang, m, phrase, count(*) AS n FROM grams GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(n) AS n FROM f WHERE m = 1 GROUP BY lang
+        ), found AS (
+            SELECT lang, m, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND n >= 10
+        ), longest AS (
+            SELECT lang, phrase, max(a) AS a
+            FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM found WHERE m = 3)
+            GROUP BY ALL
+        ), kept AS (
+            SELECT c.* FROM found c LEFT JOIN longest s USING (lang, phrase)
+            WHERE s.a IS NULL OR 100 * s.a < 50 * c.a
+        ), cuts AS (
+            SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, x.n AS l, y.n AS r, k,
+                   (1000000::HUGEINT * c.a * c.a) // (x.n::HUGEINT * y.n) AS score
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head
+                        JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+        ), weakest AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored)
+            WHERE nth = 1
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM weakest
+        )
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+               totals.n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
