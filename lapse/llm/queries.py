@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import ann, collocations, langid, licenses, lm, mixing, packing, sharding, simhash, spelling, substring, topk
+from lapse.llm import ann, collocations, langid, licenses, lm, mixing, packing, sharding, simhash, spelling, substring, suffixes, topk
 from lapse.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents"))
 
 
+def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left in every document without passages of smaller documents."""
+    return suffixes.cut_documents(read_table(spark, sf_dir, "documents"), texts=False).drop("spans")
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of 2 to 3 words of each language."""
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
@@ -80,7 +85,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_mixing, op2_topk, op3_substring, op4_ann, op5_packing,
         op6_licenses, op7_langid, op8_lm, op9_simhash, op10_sharding,
-        op11_spelling, op13_collocations,
+        op11_spelling, op12_suffixes, op13_collocations,
     )
 }
 
@@ -125,6 +130,37 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_suffixes": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+        ), windows AS (
+            SELECT r, doc_id, i, md5(substr(x, (2 * i + 1)::BIGINT, 100)) AS h
+            FROM (SELECT r, doc_id, x, unnest(range(0, (len(x) / 2)::BIGINT - 49)) AS i FROM d WHERE len(x) >= 100)
+        ), lost AS (
+            SELECT r, i FROM (
+                SELECT r, i, coalesce(doc_id, 9223372036854775807) AS id,
+                       min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY h) AS least
+                FROM windows)
+            WHERE least < id
+        ), ends AS (
+            SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, TRUE) AS fresh FROM lost
+        ), spans AS (
+            SELECT r, min(i) AS begin, max(i) + 50 AS stop
+            FROM (SELECT r, i, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i) AS nth FROM ends) GROUP BY r, nth
+        ), gaps AS (
+            SELECT r, coalesce(lag(stop) OVER (PARTITION BY r ORDER BY begin), 0) AS a, begin AS b FROM spans
+            UNION ALL
+            SELECT d.r, coalesce(max(stop), 0), any_value((len(x) / 2)::BIGINT) FROM d LEFT JOIN spans USING (r) GROUP BY d.r
+        ), kept AS (
+            SELECT r, string_agg(substr(x, (2 * a + 1)::BIGINT, (2 * (b - a))::BIGINT), '' ORDER BY a) AS k
+            FROM gaps JOIN d USING (r) GROUP BY r
+        ), n AS (
+            SELECT r, count(*) AS n_spans, sum(stop - begin) AS n_removed FROM spans GROUP BY r
+        )
+        SELECT doc_id, (len(x) / 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256
+        FROM d JOIN kept USING (r) LEFT JOIN n USING (r)
+    """,
     "op13_collocations": r"""
         WITH p AS (
             SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
