@@ -1,26 +1,29 @@
 """Sharding by balanced label propagation (DataFrame operations only).
 
 Documents that share a link key (by default: equal texts) are linked; a
-document's label is its shard. Link groups start whole: the large ones (at most
-shards x ``SMALL_SHARE``) are placed one by one, over the emptiest shards where
-none holds them whole, all others by cumulated sizes over the room left. So
-they also stay together when linked rows fill the quotas and nothing can move.
-Every round counts the labels within each
-link group, and members move towards the label that most of their neighbours
-have, as long as that shard's quota has room; which of them move is drawn
-by a hash where the room is short. Neighbourhoods are kept as one
-histogram per group, so no pairs of documents are ever formed. When nothing
-moves any more, documents over a shard's quota and documents without
-neighbours fill the shards to exactly even row counts.
+document's label is its shard, at first one drawn by a hash. Every round counts
+the labels within each link group, and members wish to move to the label that
+most of their neighbours have. Wishes are summed into a matrix (from shard, to
+shard), and of each cell the share is admitted that keeps the quotas: what
+leaves a shard frees as many places as may come in, so documents also swap
+places where all quotas are full. Which of them move is drawn by a hash.
+Neighbourhoods are kept as one histogram per group, so no pairs of documents
+are ever formed. Groups larger than a shard fill as few shards as their quotas
+allow from the start and stay there. When nothing moves any more, documents over
+a shard's quota and documents without neighbours fill the shards to exactly even
+row counts.
 
 Scale: the text is read once and reduced to a narrow landed table; rounds
 join labels and histograms on the link key (a hot group is split by AQE's
 skew join, its histogram is pre-aggregated before the shuffle); quotas are 16
-numbers; positions come from per-bucket counts, never from one global sort.
+numbers and the matrix 256; positions come from per-bucket counts, never from
+one global sort.
 
 Defined cases: a null text has size 1 and is linked with other null texts;
-repeated rows are rows of their own; null ids are ordinary ids; an empty table
-gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
+texts may have any length; repeated rows are rows of their own; null ids are
+ordinary ids; ties between labels go by a hash of group, label and round; an
+empty table gives an empty result; columns other than ``doc_id`` and ``text``
+are ignored.
 """
 
 from __future__ import annotations
@@ -36,9 +39,8 @@ from lapse.operators.materialize import land, release
 
 N_SHARDS = 16
 MAX_ROUNDS = 16
-OPEN_SHARE = 10
 BUCKET_ROWS = 20_000
-# Groups of more than this part of a shard are placed one by one.
+# Members of a group larger than this part of a shard are drawn one by one.
 SMALL_SHARE = 16
 
 
@@ -55,14 +57,6 @@ def _at(values: list, index: str) -> Column:
     return F.get(_literal(values), F.col(index).cast("int"))
 
 
-def _loads(labels: DataFrame, n_shards: int) -> tuple[list[int], int]:
-    """Rows per shard and the number of rows moved in the last round."""
-    loads, moved = [0] * n_shards, 0
-    for r in labels.groupBy("shard").agg(F.count("*").alias("n"), F.sum(F.col("moved").cast("long")).alias("m")).collect():
-        loads[r["shard"]], moved = r["n"], moved + r["m"]
-    return loads, moved
-
-
 def place_large(groups: list[tuple[int, int]], quota: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int]]:
     """(link, shard, draws from, draws below) of groups (link, members), and the
     room left: the largest first, whole where a shard has room for it, else
@@ -79,68 +73,111 @@ def place_large(groups: list[tuple[int, int]], quota: list[int]) -> tuple[list[t
     return out, left
 
 
-def _starts(groups: DataFrame, quota: list[int], buckets: int) -> DataFrame:
-    """(link, members, shard, low, high): the shard that a group's documents
-    start on, by their draw from ``low`` to below ``high``."""
-    spark, limit = groups.sparkSession, max(quota)
-    large = F.col("members") * SMALL_SHARE > limit
-    found = [(r["link"], r["members"]) for r in groups.where(large).collect()]
-    placed, left = place_large(found, quota)
+def _starts(base: DataFrame, groups: DataFrame, quota: list[int]) -> tuple[DataFrame, list[int]]:
+    """The linked rows with their first shard (``fixed`` where it is final) and
+    the places that the groups larger than a shard leave."""
+    spark, n_shards = base.sparkSession, len(quota)
+    large = F.col("members") > max(quota)
+    # Fewer than there are shards.
+    placed, left = place_large([(r["link"], r["members"]) for r in groups.where(large).collect()], quota)
     columns = [pa.array(c, k) for c, k in zip(zip(*placed) if placed else [[]] * 4, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))]
-    pieces = spark.createDataFrame(pa.table(columns, names=["link", "shard", "low", "high"]))
-    small = groups.where(~large).withColumn("bucket", F.pmod("link", F.lit(buckets)))
-    counts = small.groupBy("bucket").agg(F.sum("members").alias("n")).withColumn("all", F.lit(0))
-    n_small = counts.agg(F.sum("n")).first()[0] or 0
-    before = Window.partitionBy("all").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("bucket").orderBy("link").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("offset") + F.coalesce(F.sum("members").over(inside), F.lit(0))
-    # Shares of the small groups' rows by room, so that all shards keep some.
-    ends = [n_small * sum(left[: s + 1]) // max(1, sum(left)) for s in range(len(quota) - 1)]
-    shard = sum(((F.col("start") >= e).cast("int") for e in ends), F.lit(0))
-    whole = small.join(offsets, "bucket").withColumn("start", start)
-    whole = whole.select("link", "members", shard.alias("shard"), F.lit(0).cast("long").alias("low"), F.lit(UNIT).cast("long").alias("high"))
-    return whole.unionByName(groups.where(large).join(F.broadcast(pieces), "link").select(*whole.columns))
-
-
-def _round(labels: DataFrame, loads: list[int], quota: list[int], buckets: int, number: int) -> DataFrame:
-    """One round of propagation: new labels under the quotas."""
-    n_shards = len(quota)
-    # A shard is open while it lacks a tenth of its quota; admission is by
-    # chance, so the last few places would keep attracting wishes in vain.
-    room = [q - n if OPEN_SHARE * (q - n) > q else 0 for q, n in zip(quota, loads)]
-    hist = labels.groupBy("link").agg(
-        F.array(*[F.sum((F.col("shard") == s).cast("long")) for s in range(n_shards)]).alias("hist")
+    pieces = spark.createDataFrame(pa.table(columns, names=["link", "fixed", "low", "high"]))
+    total = max(1, sum(left))
+    ends = [UNIT * sum(left[: s + 1]) // total for s in range(n_shards - 1)]
+    draw = unit_hash("doc_id", "link", F.lit(-1))
+    drawn = sum(((F.col("draw") >= e).cast("int") for e in ends), F.lit(0))
+    rows = base.join(groups, "link").withColumn("draw", draw)
+    within = (F.col("draw") >= F.col("low")) & (F.col("draw") < F.col("high"))
+    rows = rows.join(F.broadcast(pieces), "link", "left").where(F.coalesce(within, F.lit(True)))
+    shard = F.coalesce("fixed", drawn).cast("int").alias("shard")
+    return rows.select("doc_id", "size", "crc", "link", "members", shard, F.col("fixed").isNotNull().alias("fixed")), left
+
+
+def _wishes(labels: DataFrame, room: list[int], number: int) -> DataFrame:
+    """(link, hist, to): members of each group by shard, and the shard that
+    most of them have, among those with places."""
+    hist = labels.where("not fixed").groupBy("link").agg(
+        F.array(*[F.sum((F.col("shard") == s).cast("long")) for s in range(len(room))]).alias("hist")
     )
-    # The fullest label among shards with room; ties go to the lower shard.
-    ranked = F.transform("hist", lambda h, i: F.when(F.get(_literal(room), i) > 0, F.struct(h.alias("h"), (-i).alias("i"))))
-    hist = hist.withColumn("best", F.array_max(ranked)).where("best.h is not null")
-    leaves = F.transform("hist", lambda h, i: F.when(F.struct(h.alias("h"), (-i).alias("i")) < F.col("best"), h).otherwise(0))
-    hist = hist.select(
-        "link",
+    ranked = F.transform(
         "hist",
-        "best",
-        (-F.col("best.i")).cast("int").alias("to"),
-        F.aggregate(leaves, F.lit(0).cast("long"), lambda a, x: a + x).alias("wish"),
-        F.pmod("link", F.lit(buckets)).alias("bucket"),
-    ).where("wish > 0")
-    # Quotas: wishes are admitted bucket by bucket while the shard has room,
-    # the last bucket in part. At most shards x buckets rows.
-    wishes = hist.groupBy("to", "bucket").agg(F.sum("wish").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("to").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    share = (_at(room, "to") - F.coalesce(before, F.lit(0))) / F.col("n")
-    admitted = wishes.select("to", "bucket", share.alias("admit")).where("admit > 0")
-    moves = hist.join(F.broadcast(admitted), ["to", "bucket"]).select("link", "hist", "best", "to", "admit")
-    own = F.struct(F.get("hist", F.col("shard")).alias("h"), (-F.col("shard")).alias("i"))
-    draw = unit_hash("doc_id", F.lit(number)) / F.lit(float(UNIT))
-    go = F.coalesce((own < F.col("best")) & (draw < F.col("admit")), F.lit(False))
-    return labels.join(moves, "link", "left").select(
+        lambda h, i: F.when(
+            F.get(_literal(room), i) > 0,
+            F.struct(h.alias("h"), F.xxhash64("link", i, F.lit(number)).alias("tie"), i.cast("int").alias("shard")),
+        ),
+    )
+    return hist.withColumn("to", F.array_max(ranked)["shard"])
+
+
+def _matrix(wishes: DataFrame, n_shards: int) -> tuple[list[list[int]], list[int], int]:
+    """Documents that wish to move from shard to shard, those on each shard,
+    and the number of links cut."""
+    own = [F.sum(F.get("hist", F.lit(s))).alias(f"s{s}") for s in range(n_shards)]
+    all_ = F.aggregate("hist", F.lit(0).cast("long"), lambda a, x: a + x)
+    inner = F.aggregate("hist", F.lit(0).cast("long"), lambda a, x: a + x * x)
+    matrix, loads, cut = [[0] * n_shards for _ in range(n_shards)], [0] * n_shards, 0
+    for r in wishes.groupBy("to").agg(*own, F.sum(((all_ * all_ - inner) / 2).cast("long")).alias("cut")).collect():
+        cut += r["cut"]
+        for s in range(n_shards):
+            loads[s] += r[f"s{s}"]
+            if r["to"] is not None and r["to"] != s:
+                matrix[s][r["to"]] += r[f"s{s}"]
+    return matrix, loads, cut
+
+
+def admitted(matrix: list[list[int]], loads: list[int], room: list[int], rounds: int = 1000) -> list[list[float]]:
+    """Of each cell (from, to) the share that may move: all at first; where more
+    would come into a shard than its places and what leaves it allow, all that
+    comes in is scaled down, until every shard keeps its quota."""
+    n = len(room)
+    flow = [[float(x) for x in row] for row in matrix]
+    for _ in range(rounds):
+        over = False
+        for t in range(n):
+            into = sum(flow[s][t] for s in range(n))
+            limit = max(0.0, room[t] - loads[t] + sum(flow[t]))
+            if into > limit + 0.5:
+                over = True
+                for s in range(n):
+                    flow[s][t] *= limit / into
+        if not over:
+            break
+    return [[f / w if w else 0.0 for f, w in zip(flows, row)] for flows, row in zip(flow, matrix)]
+
+
+def _moved(labels: DataFrame, wishes: DataFrame, shares: list[list[float]], limit: int, number: int) -> DataFrame:
+    """Labels after the admitted moves."""
+    n_shards = len(shares)
+    share = F.get(F.array(*[F.lit(x) for row in shares for x in row]), F.col("shard") * n_shards + F.col("to"))
+    # A small group's members decide alike, those of a large one each by itself.
+    one = F.when(F.col("members") * SMALL_SHARE > limit, F.col("doc_id"))
+    draw = unit_hash("link", one, F.lit(number)) / F.lit(float(UNIT))
+    go = F.coalesce(~F.col("fixed") & (F.col("shard") != F.col("to")) & (draw < share), F.lit(False))
+    return labels.join(wishes.select("link", "to"), "link", "left").select(
         "doc_id", "size", "crc", "link", "members",
         F.when(go, F.col("to")).otherwise(F.col("shard")).alias("shard"),
-        go.alias("moved"),
+        "fixed",
     )
 
 
+def propagate(labels: DataFrame, room: list[int], max_rounds: int = MAX_ROUNDS) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Landed labels after propagation under ``room`` places a shard, and for
+    each round the links cut before it and the documents it may move."""
+    history: list[tuple[int, int]] = []
+    for number in range(max_rounds):
+        wishes = land(_wishes(labels, room, number), "shard-wishes")
+        matrix, loads, cut = _matrix(wishes, len(room))
+        shares = admitted(matrix, loads, room)
+        moving = round(sum(w * f for row, part in zip(matrix, shares) for w, f in zip(row, part)))
+        history.append((cut, moving))
+        if not moving:
+            release(wishes)
+            break
+        before, labels = labels, land(_moved(labels, wishes, shares, max(room), number), "shard-labels")
+        release(before, wishes)
+    return labels, history
+
+
 def _positions(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     """Gapless positions from 0 within ``keys``, members of a link adjacent.
 
@@ -180,19 +217,10 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, link: Column | No
     quota = quotas(n_rows, n_shards)
     buckets = max(16, math.ceil(n_rows / n_shards / BUCKET_ROWS))
     groups = land(base.groupBy("link").agg(F.count("*").alias("members")).where("members > 1"), "shard-groups")
-    draw = unit_hash("doc_id", F.lit(-1))
-    first = base.join(_starts(groups, quota, buckets * n_shards), "link").where((draw >= F.col("low")) & (draw < F.col("high")))
-    labels = land(first.select("doc_id", "size", "crc", "link", "members", "shard", F.lit(True).alias("moved")), "shard-labels")
-    loads, _ = _loads(labels, n_shards)
-    idle = 0
-    for number in range(max_rounds):
-        before, labels = labels, land(_round(labels, loads, quota, buckets * 16, number), "shard-labels")
-        release(before)
-        loads, moved = _loads(labels, n_shards)
-        idle = 0 if moved else idle + 1
-        if idle == 2:
-            break
-
+    first, room = _starts(base, groups, quota)
+    labels, _ = propagate(land(first, "shard-labels"), room, max_rounds)
+    counted = {r["shard"]: r["count"] for r in labels.groupBy("shard").count().collect()}
+    loads = [counted.get(s, 0) for s in range(n_shards)]
     kept = [min(n, q) for n, q in zip(loads, quota)]
     placed = land(_positions(labels, ["shard"], buckets).select("doc_id", "size", "crc", "link", "members", "shard", "position"), "shard-placed")
     staying = F.col("position") < _at(quota, "shard")
