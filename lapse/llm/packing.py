@@ -8,19 +8,24 @@ the pieces by rank: the n-th piece of a length takes the n-th place that the
 patterns hold for this length.
 
 Scale: token ids stay inside the tokenizing task, which returns a narrow row
-per piece. The histogram has at most as many entries as the sequence length,
-and so have the places, which are broadcast. Ranks come from counts
-per (length, bucket), so a length that a third of all pieces share is split.
+per piece. The histogram has at most as many entries as the sequence length.
+The places grow with the patterns, not with the pieces; they are broadcast
+where there are at most ``MAX_PLACES``. Ranks come from counts per (length,
+bucket), so a length that a third of all pieces share is split. Long texts are
+encoded in parts of about a megabyte, cut where no token can cross.
 
 Defined cases: a null text counts as an empty one (one piece holding the end
-id); texts holding special-token strings are ordinary text; repeated rows are
-packed each; an empty table gives an empty result; other columns are ignored.
+id); a string that the tokenizer file adds as a token (such as an end mark) gets
+that token's id, as the tokenizer gives it; repeated rows are packed each; null
+ids are ordinary ids; ties go by id, start and ids; texts may have any length;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -37,6 +42,8 @@ SEQUENCE = 1024
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BUCKET_ROWS = 20_000
+MAX_PLACES = 100_000
+PART = 1 << 20  # letters encoded at once
 CACHE_UNITS = 400_000
 LONG_UNIT = 400
 
@@ -67,11 +74,13 @@ def _merge_ranks(spec: dict) -> dict[bytes, int] | None:
 class Encoder:
     """Token ids (little-endian 32-bit) of texts, as the tokenizer file says.
 
-    A byte-level tokenizer never joins text across a space that follows
+    Added tokens of the file are found first, as the tokenizer does. A
+    byte-level tokenizer never joins text across a space that follows
     anything and precedes a non-space, so texts are cut there and the ids of
     the pieces are cached. Vocabularies whose merges are in id order are
-    encoded by rank, which gives the same ids faster; all others, and very
-    long pieces, by the tokenizer itself.
+    encoded by rank, which gives the same ids faster; all others, very
+    long pieces, and texts with added tokens that reach beyond themselves, by
+    the tokenizer itself.
     """
 
     def __init__(self, path: str):
@@ -79,11 +88,17 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
         self.ranked = None
         with open(path, encoding="utf-8") as f:
-            ranks = _merge_ranks(json.load(f))
+            spec = json.load(f)
+        ranks = _merge_ranks(spec)
+        tokens = spec.get("added_tokens", [])
+        self.added = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in tokens}
+        self.plain = not any(t.get(k) for t in tokens for k in ("lstrip", "rstrip", "single_word", "normalized"))
+        # Longer tokens first where one begins another.
+        mark = "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True))
+        self.marks = re.compile(f"({mark})") if mark else None
         if ranks:
             import public_tokenizers
             import tiktoken
@@ -110,9 +125,31 @@ class Encoder:
                 out.append(u)
         return out
 
+    def _parts(self, text: str) -> Iterator[str]:
+        """The text in parts of about ``PART`` letters, cut at safe spaces."""
+        at = 0
+        while len(text) - at > 2 * PART:
+            cut = text.find(" ", at + PART)
+            while 0 <= cut and (cut + 1 == len(text) or text[cut + 1].isspace()):
+                cut = text.find(" ", cut + 1)
+            if cut < 0:
+                break
+            yield text[at:cut]
+            at = cut
+        yield text[at:]
+
     def encode(self, text: str) -> bytes:
-        if self.ranked is None:
+        if self.ranked is None or (not self.plain and self.marks and self.marks.search(text)):
             return self._ids(text)
+        out = []
+        for n, between in enumerate(self.marks.split(text) if self.marks else [text]):
+            if n % 2:
+                out.append(self.added[between])
+            elif between:
+                out += map(self._encoded, self._parts(between))
+        return b"".join(out)
+
+    def _encoded(self, text: str) -> bytes:
         cache, out = self.cache, []
         if len(cache) > CACHE_UNITS:
             cache.clear()
@@ -220,8 +257,9 @@ def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE) -> Da
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     place_rows = places(pack_histogram(histogram, length))
     schema = "at_length long, first long, last long, sequence long, offset long"
-    # At most a few places per length and pattern: bounded by the sequence length.
-    table = F.broadcast(spark.createDataFrame(place_rows, schema))
+    table = spark.createDataFrame(place_rows, schema)
+    if len(place_rows) <= MAX_PLACES:
+        table = F.broadcast(table)
     ranked = _ranked(cut, max(1, -(-sum(histogram.values()) // BUCKET_ROWS)))
     inside = (F.col("length") == F.col("at_length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
     return ranked.join(table, inside).select(

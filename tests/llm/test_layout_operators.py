@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -10,12 +11,13 @@ import numpy as np
 import public_tokenizers
 import pytest
 from helpers import AWKWARD, SMALL, docs, passage, words
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lapse.llm import ann, mixing, packing, sharding, topk
+from lapse.operators.materialize import land
 
 
 def plan_text(df):
@@ -125,19 +127,41 @@ def test_pieces_of_a_hot_length_share_new_packs():
     assert padding_of({n: 10 for n in range(250, 1025)} | {300: 4000}, 1024) < 0.25
 
 
+@functools.cache
+def plain_tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+
+
 def plain_ids(text):
-    t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
-    return t.encode(text, add_special_tokens=False).ids
+    return plain_tokenizer().encode(text, add_special_tokens=False).ids
+
 
+END = "<|endoftext|>"
+PARTS = st.lists(st.sampled_from(["ab", " ", "'s", "\n", "1", "é", " 漢", "\x1c", "x  y", END, END, "<|", "endoftext|>"]), max_size=14)
 
-@given(st.text(st.sampled_from("ab 's\n\t1.é  漢\x1c"), max_size=60) | st.text(max_size=40))
+
+@given(st.text(st.sampled_from("ab 's\n\t1.é  漢\x1c"), max_size=60) | st.text(max_size=40) | PARTS.map("".join))
+@example(f"{END}a {END} b{END}")
+@example(f" {END}{END} ")
 @settings(max_examples=300, deadline=None)
 def test_encoder_gives_the_tokenizers_ids(text):
     got = np.frombuffer(packing.encoder(None).encode(text), dtype="<u4").tolist()
     assert got == plain_ids(text)
 
 
+def test_encoder_of_long_texts_in_parts(monkeypatch):
+    text = f"some words  and\n more, {END} it's 12 é " * 300 + "x" * 3000 + "  y " * 50
+    monkeypatch.setattr(packing, "PART", 97)
+    assert np.frombuffer(packing.encoder(None).encode(text), dtype="<u4").tolist() == plain_ids(text)
+
+
+def test_places_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = docs(spark)
+    expected = sorted(map(tuple, packing.pack(rows).collect()), key=repr)
+    monkeypatch.setattr(packing, "MAX_PLACES", 0)
+    assert sorted(map(tuple, packing.pack(rows).collect()), key=repr) == expected
+
+
 def test_packing_round_trip(spark):
     for df in (docs(spark), spark.read.parquet(f"{SMALL}/documents.parquet")):
         expected = Counter()
@@ -186,25 +210,102 @@ def test_shards_keep_groups_together(spark):
     rows = [(i, passage(5, i // 3), "en", "a") for i in range(600)] + [(i, passage(6, i), "en", "a") for i in range(600, 1000)]
     groups, _ = check_shards(docs(spark, rows), 16)
     cut = sum(len(s) > 1 for s in groups.values())
-    assert cut <= 16
+    assert cut <= 32
 
 
 @pytest.mark.parametrize("copies", [2, 3])
 def test_groups_stay_together_when_every_text_has_copies(spark, copies):
     rows = [(i, passage(5, i // copies), "en", "a") for i in range(960)]
     groups, _ = check_shards(docs(spark, rows), 16)
-    assert sum(len(s) > 1 for s in groups.values()) <= 16
+    # All places are taken, so moves are exchanges; a tenth may stay cut.
+    assert sum(len(s) > 1 for s in groups.values()) <= len(groups) / 10
 
 
-def test_large_groups_start_whole_or_on_few_shards():
-    placed, left = sharding.place_large([(1, 25), (2, 9), (3, 4)], [10] * 4)
+def test_groups_larger_than_a_shard_take_few():
+    placed, left = sharding.place_large([(1, 25), (2, 11)], [10] * 5)
     shards = Counter(link for link, *_ in placed)
-    assert shards == {1: 3, 2: 1, 3: 1} and sum(left) == 2
+    assert shards == {1: 3, 2: 2} and sum(left) == 14
     for link in shards:
         spans = sorted((low, high) for x, _, low, high in placed if x == link)
         assert spans[0][0] == 0 and spans[-1][1] == sharding.UNIT and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
 
 
+def cut_links(labels):
+    """Links (pairs of a group) between shards, from (link, shard) rows."""
+    groups = defaultdict(Counter)
+    for link, shard in labels:
+        groups[link][shard] += 1
+    return sum((sum(c.values()) ** 2 - sum(n * n for n in c.values())) // 2 for c in groups.values())
+
+
+def brute_propagation(labels, room, rounds=16):
+    """Document by document: each moves to the shard that most of its group
+    has, into a free place or by exchange with a document that wants its own."""
+    shard, members = dict(enumerate(s for _, s in labels)), defaultdict(list)
+    for i, (link, _) in enumerate(labels):
+        members[link].append(i)
+    load = Counter(shard.values())
+    for _ in range(rounds):
+        waiting, moved = defaultdict(list), 0
+        for link, group in sorted(members.items()):
+            have = Counter(shard[i] for i in group)
+            to = max(have, key=lambda s: (have[s], -s))
+            for i in group:
+                if shard[i] == to:
+                    continue
+                if load[to] < room[to]:
+                    load[shard[i]] -= 1
+                    load[to] += 1
+                    shard[i] = to
+                    moved += 1
+                elif waiting[to, shard[i]]:
+                    j = waiting[to, shard[i]].pop()
+                    shard[i], shard[j] = to, shard[i]
+                    moved += 2
+                else:
+                    waiting[shard[i], to].append(i)
+        if not moved:
+            break
+    return cut_links([(link, shard[i]) for i, (link, _) in enumerate(labels)])
+
+
+@pytest.mark.parametrize("alone", [0, 400], ids=["all-linked", "half-linked"])
+@pytest.mark.parametrize("copies", [2, 4, 9])
+def test_propagation_moves_documents_and_cuts_fewer_links(spark, alone, copies):
+    n, shards = 2160, 8
+    quota = sharding.quotas(n + alone * 6, shards)
+    rows = [(i, f"t{i // copies}") for i in range(n)]
+    base = spark.createDataFrame(rows, "doc_id long, text string")
+    base = base.select("doc_id", F.lit(1).cast("long").alias("size"), F.lit(0).cast("long").alias("crc"), F.xxhash64("text").alias("link"))
+    groups = base.groupBy("link").agg(F.count("*").alias("members"))
+    first, room = sharding._starts(base, groups, quota)
+    first = land(first, "test-labels")
+    before = [(r.link, r.shard) for r in first.collect()]
+    labels, history = sharding.propagate(first, room)
+    after = [(r.link, r.shard) for r in labels.collect()]
+    cuts = [c for c, _ in history]
+    assert cuts[0] == cut_links(before) and sum(m for _, m in history) > n / 4
+    assert all(a >= b for a, b in zip(cuts, cuts[1:])) and cuts[1] < cuts[0]
+    # Where every place is taken, a tenth of the first cut may stay.
+    assert cut_links(after) <= max(1.1 * brute_propagation(before, room), 0.1 * cuts[0])
+    loads = Counter(s for _, s in after)
+    assert all(loads[s] <= q + 4 * math.sqrt(q) for s, q in enumerate(quota))
+
+
+def test_admitted_moves_keep_the_quotas():
+    draw = np.random.default_rng(4)
+    for _ in range(20):
+        loads = draw.integers(50, 150, 6).tolist()
+        room = [x + int(draw.integers(-10, 20)) for x in loads]
+        matrix = draw.integers(0, 30, (6, 6)) * (1 - np.eye(6, dtype=int))
+        flow = np.array(sharding.admitted(matrix.tolist(), loads, room)) * matrix
+        after = np.array(loads) + flow.sum(axis=0) - flow.sum(axis=1)
+        assert (flow >= 0).all() and (flow <= matrix).all()
+        assert all(a <= max(r, n) + 0.6 for a, r, n in zip(after, room, loads))
+    swaps = [[0, 40, 0], [30, 0, 0], [0, 0, 0]]
+    assert np.allclose(np.array(sharding.admitted(swaps, [100, 100, 100], [100, 100, 100])) * swaps, [[0, 30, 0], [30, 0, 0], [0, 0, 0]], atol=0.6)
+
+
 def test_hot_group_takes_few_shards(spark):
     rows = [(i, "same text" if i % 3 == 0 else passage(5, i), "en", "a") for i in range(900)]
     groups, n = check_shards(docs(spark, rows), 16)
