@@ -9,25 +9,32 @@ groups, and a level of machines among the groups comes before. So the number of
 machines grows with the labels, not with their square.
 
 Every set of machines is fitted in a task of its own, on a bounded sample of
-labelled rows, drawn by a hash over all labelled rows: about ``per_language``
-rows of each language, and ``SAMPLE_ROWS`` in all. The driver gets the labels'
-counts and the weights. Prediction reads whole texts, in Arrow batches.
+labelled rows: of each language the ``per_language`` different texts (at most
+``SAMPLE_ROWS`` of a set) that a hash draws first; copies of a text count once.
+The ``MAX_LABELS`` labels with the most texts are learned, which bounds the sample
+and what the driver gets: the labels' counts and the weights. Prediction reads
+whole texts, in Arrow batches.
 
 Defined cases: null text or text without a letter gives ``und`` with score 0;
 null languages are not learned from; with a single learned language every
 other text gets that language; with none every text gets ``und``; repeated
-rows are predicted each; an empty table gives an empty result.
+rows are predicted each, and a hot text does not outweigh others in the fit;
+null ids are not held out; ties between languages go to the first by name, ties
+between labels for a place among those learned too; texts of any length are
+profiled in pieces; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.llm.common import UNIT, held_out, unit_hash
@@ -36,8 +43,10 @@ DIMS = 1 << 12
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE_ROWS = 8000  # of one set of machines: feature vectors of 131 MB at most
 MAX_CLASSES = 32  # of one set, which has a machine per pair of classes
+MAX_LABELS = 256  # learned in all: 72 MB of weights at most
 CENTRE_ROWS, CENTRE_DIMS = 50, 64  # rows of a language, and dimensions, of its mean profile
 UNKNOWN = "und"
+RELABEL_SCORE = 0.9  # a label is corrected where another language is this sure
 PIECE = 1 << 20
 
 # Languages by family; a code not listed is its own family.
@@ -177,6 +186,10 @@ class Model:
             if isinstance(child, str):
                 langs[rows], scores[rows] = child, sure
                 return
+            if child not in self.machines:
+                under = self.tree.languages(child)
+                langs[rows], scores[rows] = under[0], sure / len(under)
+                return
             chosen, score = self.machines[child].predict(x[rows])
             for j, c in enumerate(self.machines[child].classes):
                 here = np.flatnonzero(chosen == j)
@@ -188,11 +201,21 @@ class Model:
         return langs, scores
 
 
-def _sample(known: DataFrame, rates: pa.Table) -> DataFrame:
-    """Rows of ``known`` by the rates of their language (lang, ..., rate)."""
-    draw = unit_hash(F.lit("sample"), "doc_id", F.xxhash64("text")) / F.lit(float(UNIT))
-    table = F.broadcast(known.sparkSession.createDataFrame(rates).withColumnRenamed("lang", "__lang"))
-    return known.join(table, (F.col("lang") == F.col("__lang")) & (draw < F.col("rate")))
+def _sample(known: DataFrame, wanted: pa.Table) -> DataFrame:
+    """Different texts of ``known`` (lang, text, draw), those drawn first: as
+    many for each row of ``wanted`` (lang, ..., rows, rate) as its ``rows``.
+    ``rate`` is a draw below which there are enough, so only those are dealt."""
+    table = F.broadcast(known.sparkSession.createDataFrame(wanted).withColumnRenamed("lang", "__lang"))
+    drawn = known.join(table, (F.col("lang") == F.col("__lang")) & (F.col("draw") / F.lit(float(UNIT)) < F.col("rate"))).drop("__lang")
+    keys = [c for c in wanted.column_names if c != "rate"]
+    once = drawn.groupBy(*keys, "draw").agg(F.min("text").alias("text"))
+    order = Window.partitionBy(*[k for k in keys if k != "rows"]).orderBy("draw", "text")
+    return once.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= F.col("rows"))
+
+
+def _enough(rows: int, texts: int) -> float:
+    """A rate at which ``rows`` of ``texts`` are drawn, all but surely."""
+    return min(1.0, (rows + 6 * math.sqrt(rows) + 20) / texts)
 
 
 def mean_profiles(known: DataFrame, counts: dict[str, int]) -> dict[str, np.ndarray]:
@@ -203,8 +226,9 @@ def mean_profiles(known: DataFrame, counts: dict[str, int]) -> dict[str, np.ndar
             x = [features(t).reshape(CENTRE_DIMS, -1).sum(axis=1) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["lang", "x"])
 
-    rates = pa.table({"lang": list(counts), "rate": [min(1.0, CENTRE_ROWS / n) for n in counts.values()]})
-    folded = _sample(known, rates).select("lang", "text").mapInArrow(fold, "lang string, x array<double>")
+    rates = [_enough(CENTRE_ROWS, n) for n in counts.values()]
+    wanted = pa.table({"lang": list(counts), "rows": [CENTRE_ROWS] * len(counts), "rate": rates})
+    folded = _sample(known, wanted).select("lang", "text").mapInArrow(fold, "lang string, x array<double>")
     # Rounded, since sums depend on arrival.
     means = folded.groupBy("lang").agg(F.array(*[F.round(F.avg(F.get("x", F.lit(i))), 6) for i in range(CENTRE_DIMS)]).alias("x"))
     found = {r["lang"]: np.array(r["x"]) for r in means.collect()}
@@ -215,8 +239,11 @@ def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE
     """Fit on bounded, hash-drawn samples of the labelled rows of ``docs``
     (text, lang) that ``learn`` admits. A task fits a node; only weights return."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = (known if learn is None else known.where(learn)).select("doc_id", "lang", "text")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    draw = unit_hash(F.lit("sample"), F.xxhash64("text")).alias("draw")
+    known = (known if learn is None else known.where(learn)).select("lang", "text", draw)
+    texts = known.groupBy("lang", "draw").agg(F.lit(1).alias("one")).groupBy("lang").count()
+    most = texts.orderBy(F.desc("count"), "lang").limit(MAX_LABELS)
+    counts = {r["lang"]: r["count"] for r in most.collect()}
     if not counts:
         return Model(None)
     many = len(counts) > MAX_CLASSES
@@ -224,8 +251,8 @@ def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE
     paths = []
     for node, children in enumerate(tree.nodes):
         under = [tree.languages(c) for c in children]
-        wanted = min(per_language, SAMPLE_ROWS / sum(map(len, under)))
-        paths += [(lang, node, c, min(1.0, wanted / counts[lang])) for c, langs in enumerate(under) for lang in langs]
+        rows = max(1, min(per_language, SAMPLE_ROWS // sum(map(len, under))))
+        paths += [(lang, node, c, rows, _enough(rows, counts[lang])) for c, langs in enumerate(under) for lang in langs]
     if not paths:
         return Model(tree)
 
@@ -241,8 +268,8 @@ def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE
         fitted = pickle.dumps(Machines.fit(x, np.array([c for c, _ in rows])))
         return pa.table({"node": table.column("node").slice(0, 1), "fitted": pa.array([fitted], pa.binary())})
 
-    rates = pa.table(dict(zip(("lang", "node", "child", "rate"), zip(*paths))))
-    profiles = _sample(known, rates).select("node", "child", "text").mapInArrow(profile, "node long, child long, x binary")
+    wanted = pa.table(dict(zip(("lang", "node", "child", "rows", "rate"), zip(*paths))))
+    profiles = _sample(known, wanted).select("node", "child", "text").mapInArrow(profile, "node long, child long, x binary")
     fitted = profiles.groupBy("node").applyInArrow(train, "node long, fitted binary").collect()
     return Model(tree, {r["node"]: pickle.loads(r["fitted"]) for r in fitted})
 
@@ -285,13 +312,23 @@ def lettered(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def reject_unknown(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
+def settle_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, sure: float = RELABEL_SCORE) -> DataFrame:
     """The documents whose text holds a letter, so that a language can be told;
-    all columns unchanged. Where no language could be learned, nothing is told
-    and the letters alone decide."""
-    model = fit(docs, ~held_out(4), per_language)
-    if model.tree is None:
+    the others go. A null ``lang`` becomes the predicted language; a label is
+    replaced where another language is predicted with a score of at least
+    ``sure``. A text is judged by a model that has learned from other texts only
+    (two halves by a hash of the text), so a wrong label does not vouch for
+    itself. All other columns are unchanged. Where no language could be learned,
+    nothing is told and the letters alone decide."""
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    models = [fit(docs, ~held_out(4) & (half != side), per_language) for side in (0, 1)]
+    learned = [m for m in models if m.tree is not None]
+    if not learned:
         return lettered(docs)
-    known = predict(docs, model, docs.columns, "__lang_pred", "__lang_score")
-    # A fitted model scores every lettered text, also one labelled ``und``, above 0.
-    return known.where(F.col("__lang_score") > 0).select(*docs.columns)
+    models = [m if m.tree is not None else learned[0] for m in models]
+    judged = [predict(docs.where(half == side), m, docs.columns, "__lang_pred", "__lang_score") for side, m in enumerate(models)]
+    known = judged[0].unionByName(judged[1])
+    # A fitted model names a language for every lettered text.
+    wrong = F.col("lang").isNull() | ((F.col("__lang_pred") != F.col("lang")) & (F.col("__lang_score") >= sure))
+    settled = known.where(F.col("__lang_score") > 0).withColumn("lang", F.when(wrong, F.col("__lang_pred")).otherwise(F.col("lang")))
+    return settled.select(*docs.columns)

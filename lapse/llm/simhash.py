@@ -239,15 +239,22 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
 
 def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest
-    id (then text hash); rows repeated as a whole stay once."""
+    id, then text hash, then hash of the whole row; rows repeated as a whole
+    stay once."""
     groups = near_duplicates(docs, width, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")
     first = groups.groupBy("root").agg(F.min(order).alias("first"))
     first = first.select(F.col("first.doc_id").alias("__kept_id"), F.col("first.text_hash").alias("__kept_hash"))
+    row, keys = F.xxhash64(*[docs[c] for c in docs.columns]), ["__kept_id", "__kept_hash"]
+    repeated = bool(groups.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count())
+    if repeated:
+        # Rows with equal id and text: narrow rows tell which one stays.
+        rows = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(docs["text"]).alias("hash"), row.alias("row"))
+        least = rows.groupBy("id", "hash").agg(F.min("row").alias("__kept_row"))
+        first = first.join(least, F.col("__kept_id").eqNullSafe(F.col("id")) & (F.col("__kept_hash") == F.col("hash"))).drop("id", "hash")
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__kept_id")) & (F.xxhash64(docs["text"]) == F.col("__kept_hash"))
-    kept = docs.join(first, same)
-    if groups.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
-        # Rows with equal id and text: any one of them stays.
-        one = Window.partitionBy("__kept_id", "__kept_hash").orderBy(F.lit(0))
-        kept = kept.withColumn("__kept_n", F.row_number().over(one)).where("__kept_n = 1")
+    kept = docs.join(first, same & (row == F.col("__kept_row")) if repeated else same)
+    if repeated:
+        # What is left of them is equal; copies are combined before the shuffle.
+        kept = kept.dropDuplicates(keys)
     return kept.select(*[docs[c] for c in docs.columns])

@@ -14,10 +14,15 @@ times to one witness, so a passage shared by a third of all documents sends
 one row per batch. The text moves twice: to its repeated anchors, and (only
 where it has such) to its repeated windows.
 
+``digests`` removes every occurrence of a repeated window; ``keep_one`` is for
+corpora and leaves the first one in (by document id, then place): the words of
+a window's first occurrence stay, and other occurrences go.
+
 Defined cases: a null text has no words and stays null; texts shorter than
-the window stay; repeated rows are repeated passages of each other; documents
-without removals keep their text as it was; an empty table gives an empty
-result; other columns come back unchanged.
+the window stay; repeated rows are repeated passages of each other (for
+``keep_one``, rows equal in id and text are one document); null ids come last;
+texts may have any length; documents without removals keep their text as it
+was; an empty table gives an empty result; other columns come back unchanged.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +47,7 @@ WIDTH = 35
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 SECOND_BASE = 0xD6E8FEB86659FD93
 REPEATED, DEALT = 1, 2  # flags: already seen twice; takes part by its hash
+LAST_ID = (1 << 63) - 1
 HELD_ROWS = 4096
 PART_ROWS = 1 << 19
 
@@ -196,6 +203,77 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return found.unionByName(clean.withColumn("__starts", F.lit(None).cast("array<int>")))
 
 
+def _ordered_windows(touched: DataFrame, width: int) -> DataFrame:
+    """As ``_window_rows``, with the document id: the witness of a window is
+    the first of its occurrences in the batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = column(batch, "id"), column(batch, "row")
+            order, parts, n = np.lexsort((keys, ids)), [], 0
+            for i in order.tolist():
+                words = word_hashes(batch.column("raw")[i].as_py() or b"")
+                starts = window_starts(np.unique(batch.column("places")[i].values.to_numpy()), len(words), width)
+                hashes = [window_hashes(words, starts, width, base) for base in (WORD_BASE, SECOND_BASE)]
+                parts.append((*hashes, np.full(len(starts), ids[i]), np.full(len(starts), keys[i]), starts))
+                n += len(starts)
+                if n >= PART_ROWS:
+                    yield dealt(parts)
+                    parts, n = [], 0
+            if n:
+                yield dealt(parts)
+
+    def dealt(parts: list[tuple]) -> pa.RecordBatch:
+        first, second, ids, keys, at = (np.concatenate(x) for x in zip(*parts))
+        found = _deal(first, second, np.arange(len(first)), at)
+        number = found[2]
+        columns = [found[0], found[1], ids[number], keys[number], found[3]]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["slot", "second", "id", "row", "place"])
+
+    return touched.mapInArrow(run, "slot long, second long, id long, row long, place long")
+
+
+def _later(rows: DataFrame) -> DataFrame:
+    """(row, later, firsts): of windows that occur twice, the places of all
+    occurrences but the first, and of the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, waiting = None, None  # the last run, and its first place while it is single
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            slot, second, row, place = (column(batch, c) for c in ("slot", "second", "row", "place"))
+            dealt, known = (place & DEALT) > 0, (place & REPEATED) > 0
+            at = np.flatnonzero(dealt)
+            key = np.stack([slot[at], second[at]], axis=1)
+            fresh = np.ones(len(at), dtype=bool)
+            fresh[1:] = (key[1:] != key[:-1]).any(axis=1)
+            if len(at):
+                fresh[0] = open_key is None or tuple(key[0]) != open_key
+            # The first of a run is one if another follows or its batch had more.
+            follows = np.append(~fresh[1:], False) if len(at) else fresh
+            first, later = at[fresh & (follows | known[at])], np.append(np.flatnonzero(~dealt), at[~fresh])
+            if waiting is not None and len(at):
+                if not fresh[0]:
+                    yield marked(np.array([waiting[0]]), np.array([waiting[1]]), True)
+                waiting = None
+            yield marked(row[first], place[first], True)
+            yield marked(row[later], place[later], False)
+            if len(at):
+                open_key = tuple(key[-1])
+                if fresh[-1] and not known[at[-1]]:
+                    waiting = (row[at[-1]], place[at[-1]])
+
+    def marked(row: np.ndarray, place: np.ndarray, first: bool) -> pa.RecordBatch:
+        columns = [pa.array(row), pa.array((place >> 2).astype(np.int32)), pa.array(np.full(len(row), first))]
+        return pa.RecordBatch.from_arrays(columns, ["row", "place", "first"])
+
+    dealt = rows.repartition("slot").sortWithinPartitions("slot", "second", "id", "row", "place")
+    found = dealt.mapInArrow(run, "row long, place int, first boolean")
+    lists = [F.collect_list(F.when(F.col("first") == which, F.col("place"))).alias(name) for name, which in (("later", False), ("firsts", True))]
+    return found.groupBy("row").agg(*lists)
+
+
 def kept_words(raw: bytes, starts: np.ndarray | None, width: int) -> tuple[int, list[bytes]]:
     """Number of words, and the words outside the windows."""
     words = raw.split()
@@ -245,3 +323,45 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return same.unionByName(changed).select(*docs.columns)
+
+
+def covered(n_words: int, starts: np.ndarray, width: int) -> np.ndarray:
+    """Which words lie in a window from one of the starts."""
+    edge = np.zeros(n_words + 1, dtype=np.int64)
+    at = np.unique(starts)
+    edge[at] += 1
+    edge[at + width] -= 1
+    return np.cumsum(edge)[:-1] > 0
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents, all columns, with passages cut from ``text`` that also
+    stand earlier in the table (kept words joined by one space) and ``n_chars``,
+    if there, renewed."""
+    if width < PERIOD + 1:
+        raise ValueError(f"a window needs more than {PERIOD} words")
+    anchors = _repeated(_anchor_rows(docs, width), ["slot"])
+    anchors = land(anchors.select(F.col("row").alias("__key"), F.col("places").alias("__anchors")), "substring-anchors")
+    key = F.xxhash64(docs["doc_id"], docs["text"])
+    raw, order = F.col("text").cast("binary").alias("raw"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id")
+    touched = docs.join(anchors, key == F.col("__key")).select(order, F.col("__key").alias("row"), raw, F.col("__anchors").alias("places"))
+    # Rows equal in id and text meet in one task, one of them stands for all.
+    touched = touched.groupBy("id", "row").agg(F.any_value("raw").alias("raw"), F.any_value("places").alias("places"))
+    found = land(_later(_ordered_windows(touched, width)).where(F.size("later") > 0), "substring-later")
+    found = found.select(F.col("row").alias("__at"), F.col("later").alias("__later"), F.col("firsts").alias("__firsts"))
+
+    @F.pandas_udf(T.StringType())
+    def cut(raw, later, firsts):
+        def left(text, gone, kept):
+            words = bytes(text).split()
+            stays = ~covered(len(words), gone, width) | covered(len(words), kept, width)
+            return b" ".join([words[i] for i in np.flatnonzero(stays).tolist()]).decode("utf-8", "replace")
+
+        return pd.Series([left(*cells) for cells in zip(raw, later, firsts)], dtype=object)
+
+    changed = docs.join(found, key == F.col("__at"))
+    changed = changed.withColumn("text", cut(F.col("text").cast("binary"), F.col("__later"), F.col("__firsts")))
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    same = docs.join(found.select("__at"), key == F.col("__at"), "left_anti")
+    return same.select(*docs.columns).unionByName(changed.select(*docs.columns))

@@ -7,7 +7,8 @@ from collections import Counter
 import corpus_pipeline as pipeline
 import duckdb
 import pytest
-from helpers import AWKWARD, SMALL, docs
+from helpers import AWKWARD, SMALL, docs, passage
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lapse.llm import queries
@@ -30,6 +31,23 @@ def test_stages_over_awkward_documents(spark, tmp_path):
     assert counts[1] < counts[0] and counts[2] == counts[1] and counts[3] >= counts[2]
 
 
+def test_repeated_passages_stay_once(spark):
+    passage_ = passage(60, 77)
+    rows = [(i, f"start{i} {passage_} end{i}", "en", "a") for i in range(1, 6)]
+    kept = {r.doc_id: r.text for r in pipeline.repeats(spark, docs(spark, rows), SMALL).collect()}
+    assert kept[1] == rows[0][1] and all(kept[i] == f"start{i} end{i}" for i in range(2, 6))
+
+
+def test_planted_wrong_labels_are_corrected(spark):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").where("lang is not null and length(text) > 500")
+    truth = {r.doc_id: r.lang for r in table.select("doc_id", "lang").collect()}
+    english = sorted(i for i, v in truth.items() if v == "en")[:3]
+    wrong = F.when(F.col("doc_id") == english[0], "fr").when(F.col("doc_id") == english[1], None).otherwise(F.col("lang"))
+    got = {r.doc_id: r.lang for r in pipeline.language(spark, table.withColumn("lang", wrong), SMALL).collect()}
+    assert got[english[0]] == got[english[1]] == "en"
+    assert sum(got[i] == v for i, v in truth.items()) >= 0.98 * len(truth)
+
+
 def test_stages_over_an_empty_table(spark, tmp_path):
     df = write_and_read(spark, docs(spark, []), tmp_path / "in")
     for name, stage in pipeline.STAGES:
@@ -58,7 +76,7 @@ def test_unlabelled_documents_stay(spark, tmp_path):
 
 def test_registered(spark):
     names = set(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 

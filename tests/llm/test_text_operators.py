@@ -8,9 +8,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import ASCII_LOWER, AWKWARD, SMALL, docs, passage, words
+from pyspark.sql import functions as F
 
 from lapse.llm import langid, licenses, lm, simhash, substring
 from lapse.llm import words as w
@@ -105,6 +107,68 @@ def test_substring_many_copies_in_many_batches(spark, monkeypatch):
     assert got == {i: 50 if i % 3 else 0 for i in range(200)}
 
 
+def keep_one_brute(rows, width=substring.WIDTH):
+    """Texts by (id, text): words in later occurrences of a window go, words in
+    first occurrences stay."""
+    once = sorted({(substring.LAST_ID if i is None else i, t) for i, t in rows if t is not None}, key=lambda r: (r[0], row_hash(r)))
+    places = {}
+    for n, (_, text) in enumerate(once):
+        ws = words(text)
+        for p in range(len(ws) - width + 1):
+            places.setdefault(tuple(ws[p : p + width]), []).append((n, p))
+    gone, kept = {}, {}
+    for first, *others in places.values():
+        if others:
+            kept.setdefault(first[0], []).append(first[1])
+        for n, p in others:
+            gone.setdefault(n, []).append(p)
+    out = {}
+    for n, (i, text) in enumerate(once):
+        if n in gone:
+            ws = words(text)
+            lost = {q for p in gone[n] for q in range(p, p + width)} - {q for p in kept.get(n, []) for q in range(p, p + width)}
+            out[i, text] = " ".join(x for q, x in enumerate(ws) if q not in lost)
+    return sorted(((i, out.get((substring.LAST_ID if i is None else i, t), t)) for i, t in rows), key=repr)
+
+
+HASHES = {}
+
+
+def row_hash(row):
+    return HASHES[row]
+
+
+def one_occurrence_rows():
+    rows = [(r[0], r[1]) for r in AWKWARD]
+    rows += [(5, passage(60, 1)), (20, passage(50, 8) + " x " + passage(50, 1)), (21, "y " + passage(50, 8)), (None, passage(40, 8))]
+    rows += [(22, "z " * 120), (23, "z " * 60 + passage(36, 8)), (24, passage(50, 30) + " " + passage(60, 31)), (25, " ".join([*words(passage(50, 30))[20:], *words(passage(60, 31))[:30]]))]
+    return rows
+
+
+@pytest.mark.parametrize("parts", [substring.PART_ROWS, 10])
+def test_keep_one_against_brute_force(spark, monkeypatch, parts):
+    monkeypatch.setattr(substring, "PART_ROWS", parts)
+    rows = one_occurrence_rows()
+    df = docs(spark, [(i, t, "en", "a") for i, t in rows])
+    for r in df.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).collect():
+        HASHES[substring.LAST_ID if r.doc_id is None else r.doc_id, r.text] = r.h
+    out = substring.keep_one(df)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == keep_one_brute(rows)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+
+
+def test_keep_one_leaves_one_of_many_copies(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(i, f"head{i} " + passage(50, 9) + f" tail{i}", "en", "a") for i in range(100)]
+        got = {r.doc_id: r.text for r in substring.keep_one(docs(spark, rows)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {i: rows[0][1] if i == 0 else f"head{i} tail{i}" for i in range(100)}
+
+
 # --- SimHash -----------------------------------------------------------------
 
 
@@ -194,6 +258,17 @@ def test_keep_first_keeps_one_of_each_group(spark):
     assert ids == sorted((min((d for d in g if d is not None), default=None) for g in groups.values()), key=repr)
 
 
+def test_keep_first_of_equal_ids_and_texts_is_repeatable(spark):
+    """Rows that differ in other columns only: the same one stays whatever the
+    order of arrival."""
+    rows = [(i % 3, passage(20, i % 3), "en", f"source{i}") for i in range(60)]
+    kept = []
+    for order in (rows, rows[::-1], rows[7:] + rows[:7]):
+        kept.append(sorted((r.doc_id, r.source) for r in simhash.keep_first(docs(spark, order).repartition(5)).collect()))
+    assert len(kept[0]) == 3 and kept[0] == kept[1] == kept[2]
+    assert simhash.keep_first(docs(spark, [rows[0]] * 30)).count() == 1
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -349,9 +424,10 @@ def test_language_awkward_cases(spark):
     for doc in ("1", "2", "3", "11"):
         assert got[doc].lang_pred == langid.UNKNOWN and got[doc].score == 0.0
     assert got["5"].lang_pred in {"en", "de", "fr"}
-    known = langid.reject_unknown(docs(spark))
+    known = langid.settle_language(docs(spark))
     assert known.columns == docs(spark).columns
     assert known.count() == len(AWKWARD) - 4
+    assert all(r.lang is not None for r in known.collect())
     unlabelled = langid.identify(docs(spark, [(1, "some words", None, "a")])).collect()
     assert unlabelled[0].lang_pred == langid.UNKNOWN
 
@@ -374,6 +450,79 @@ def test_language_of_many_labels(spark):
     assert sorted(tree.languages(tree.root)) == sorted(f"x{n}" for n in range(3000))
 
 
+def language_rows(n, seed=0, labels=("en", "de", "fr")):
+    draw = np.random.default_rng(seed)
+    words_of = {v: ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(20)] for v in labels}
+    return [(i, " ".join(draw.choice(words_of[labels[i % len(labels)]], 40)), labels[i % len(labels)], "a") for i in range(n)]
+
+
+def test_language_of_repeated_rows(spark):
+    """Two texts of very many copies each, alone and beside other rows."""
+    hot = [(None, "aa bb cc dd", "en", "a")] * 4000 + [(None, "xx yy zz ww", "de", "a")] * 4000
+    got = langid.identify(docs(spark, hot)).groupBy("lang_pred").count().collect()
+    assert {r.lang_pred: r["count"] for r in got} == {"en": 4000, "de": 4000}
+    others = language_rows(200, labels=("fr", "es"))
+    got = {(r.doc_id, r.lang_pred) for r in langid.identify(docs(spark, hot + others)).collect()}
+    assert {(None, "en"), (None, "de")} <= got
+    truth = {r[0]: r[2] for r in others}
+    assert sum(truth[d] == p for d, p in got if d is not None) >= 190
+
+
+def test_language_sample_keeps_its_bound(spark):
+    rows = docs(spark, language_rows(900) + [(5000 + i, f"copy {i % 3}", "en", "a") for i in range(900)])
+    known = rows.select("lang", "text", langid.unit_hash(F.lit("sample"), F.xxhash64("text")).alias("draw"))
+    for wanted in (1, 7, 60):
+        table = pa.table({"lang": ["en", "de"], "rows": [wanted] * 2, "rate": [langid._enough(wanted, 303), langid._enough(wanted, 300)]})
+        drawn = Counter(r.lang for r in langid._sample(known, table).collect())
+        assert drawn == {"en": wanted, "de": wanted}
+
+
+def test_learned_labels_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LABELS", 2)
+    rows = language_rows(120) + [(1000 + i, f"noise {i}", f"dirty{i}", "a") for i in range(50)] + language_rows(60, 0, ("en", "de"))
+    got = langid.identify(docs(spark, [(i, *r[1:]) for i, r in enumerate(rows)])).collect()
+    assert {r.lang_pred for r in got} == {"de", "en"}
+
+
+def test_votes_against_brute_force():
+    """Scores of a set of machines: every pair votes by its margin."""
+    draw = np.random.default_rng(8)
+    x = np.abs(draw.normal(size=(60, 12))).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = draw.integers(0, 4, 60)
+    classes, weights = langid.Machines.fit(x, y)
+    best, score = langid.Machines(classes, weights).predict(x)
+    for i, row in enumerate(x):
+        votes = dict.fromkeys(classes, 0.0)
+        pairs = [(a, b) for n, a in enumerate(classes) for b in classes[n + 1 :]]
+        for (a, b), w in zip(pairs, weights):
+            sure = 1 / (1 + math.exp(-4 * (float(row @ w[:-1]) + float(w[-1]))))
+            votes[a] += sure
+            votes[b] += 1 - sure
+        top = max(classes, key=lambda c: votes[c])
+        assert classes[best[i]] == top and abs(score[i] - votes[top] / 3) < 1e-5
+
+
+def test_a_node_without_machines_falls_through():
+    tree = langid.Tree({"en": None, "de": None, "fr": None, "es": None})
+    langs, scores = langid.Model(tree, {}).predict(np.zeros((2, langid.DIMS)))
+    assert set(langs) == {"de"} and (scores > 0).all()
+
+
+def test_language_stage_fills_and_corrects_labels(spark):
+    rows = language_rows(300)
+    truth = {r[0]: r[2] for r in rows}
+    wrong, missing = {30, 31, 32}, {60, 61, 62}
+    rows = [(i, t, "de" if i in wrong and v != "de" else None if i in missing else v, s) for i, t, v, s in rows] + [(900, "1 2 3", "en", "a")]
+    got = {r.doc_id: r.lang for r in langid.settle_language(docs(spark, rows)).collect()}
+    assert 900 not in got and len(got) == 300
+    assert {i: got[i] for i in wrong | missing} == {i: truth[i] for i in wrong | missing}
+    assert sum(got[i] == truth[i] for i in got) >= 298
+    # A threshold above one changes no label.
+    kept = {r.doc_id: r.lang for r in langid.settle_language(docs(spark, rows), sure=1.1).collect()}
+    assert [kept[i] for i in sorted(wrong)] == ["de"] * 3
+
+
 # --- language model ------------------------------------------------------------
 
 
@@ -451,7 +600,7 @@ def test_gradient_matches_differences():
 
 @pytest.mark.parametrize(
     "operator",
-    [substring.digests, substring.remove_repeats, simhash.near_duplicates, simhash.keep_first, licenses.scan_licenses, langid.identify, langid.reject_unknown, lm.score_documents],
+    [substring.digests, substring.remove_repeats, substring.keep_one, simhash.near_duplicates, simhash.keep_first, licenses.scan_licenses, langid.identify, langid.settle_language, lm.score_documents],
 )
 def test_empty_tables(spark, operator):
     assert operator(docs(spark, [])).collect() == []
