@@ -4,15 +4,20 @@
 returns a DataFrame that is written as Parquet and read again as the next
 one's ``docs``. All but the last return the columns of ``documents``.
 
-1. language: documents whose language cannot be told go.
+1. language: documents whose language cannot be told go; a missing ``lang`` is
+   filled in, a label that another language contradicts surely is replaced.
 2. near_duplicates: one document of each SimHash group stays.
-3. repeats: passages of 35 and more words that occur elsewhere are cut out.
+3. repeats: passages of 35 and more words stay where they occur first.
 4. mixture: documents are repeated so that sources reach their target weights;
    every document stays at least once.
 5. packing: token sequences of at most 1024 ids.
 
-Each stage defines empty tables, null columns and repeated rows as its
-operator does (see the modules of ``lapse.llm``).
+Defined cases: an empty table stays empty through all stages; texts that are
+null, empty or without a letter go in stage 1; null ids are ids of their own and
+come last where documents are ordered; a null language is filled in; null
+sources are one source; rows repeated as a whole stay once (stage 2); ties go to
+the smaller id, then by hashes of text and row; texts may have any length; extra
+columns come back unchanged until packing drops them.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from lapse.sources.tables import read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.reject_unknown(docs)
+    return langid.settle_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return substring.remove_repeats(docs)
+    return substring.keep_one(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
