@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +18,17 @@ from pyspark.sql import types as T
 
 from lapse.operators.keys import require_unique
 from lapse.operators.materialize import land, landing_root
+from lapse.operators.rank import with_percent_rank
 from lapse.operators.spine import USER_KEY, attach
 from lapse.plans import activity as act
-from lapse.plans import assemble, encode, model, quality, report
+from lapse.plans import assemble, bundle, encode, model, quality, report
 from lapse.plans import onboarding, payments as pay, properties as props
 from lapse.plans import purchases as purch
 from lapse.sources import csv as raw_csv
 from lapse.sources import sinks
 from lapse.sources.fixtures import generations_of, load_inputs
 from lapse.sources.tables import read_table
+from lapse.streaming import activity as stream
 from lapse.streaming.activity import activity_incremental
 
 
@@ -154,7 +157,14 @@ def _csv(table: str) -> Query:
 
 
 _PREPARED: dict[tuple[str, str], model.ModelData] = {}
-_FITTED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+_FITTED: dict[tuple[str, str], tuple[model.Forests, DataFrame, DataFrame]] = {}
+_SAVED: dict[tuple[str, str], str] = {}
+
+
+def forget() -> None:
+    """Drop what is kept per process, so that the next query fits anew."""
+    for kept in (_RAW, _PREPARED, _FITTED, _SAVED):
+        kept.clear()
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> model.ModelData:
@@ -170,15 +180,68 @@ def _prepared(spark: SparkSession, sf_dir: str) -> model.ModelData:
     return _PREPARED[key]
 
 
-def _forest_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Forest CV outputs (landed tables), fitted once per process."""
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[model.Forests, DataFrame, DataFrame]:
+    """The fold forests and their scores (landed), fitted once per process."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         data = _prepared(spark, sf_dir)
-        _FITTED[key] = model.forest_cv(data.frame, data.folds, data.class_names)
+        forests = model.fit_forests(data.frame, data.folds, data.class_names)
+        _FITTED[key] = (forests, *model.score_forests(forests))
     return _FITTED[key]
 
 
+def _forest_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Forest CV outputs (landed tables)."""
+    return _fitted(spark, sf_dir)[1:]
+
+
+def _saved_model(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the saved pipeline, written once per process."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SAVED:
+        path = f"{landing_root(spark)}/model-{uuid.uuid4().hex}"
+        bundle.save(bundle.bundle(_prepared(spark, sf_dir), _fitted(spark, sf_dir)[0].models), path)
+        _SAVED[key] = path
+    return _SAVED[key]
+
+
+def _scored_from_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test users scored by the pipeline as loaded from its folder."""
+    loaded = bundle.load(_saved_model(spark, sf_dir))
+    features = _prepared(spark, sf_dir).features
+    return rounded(bundle.score(loaded, features.where(F.col("split") != "train"), ("user_id",)))
+
+
+def _saved_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test users whose scores from the saved pipeline are those of the fitted
+    forests: all, by class, by probabilities."""
+    loaded = _scored_from_saved(spark, sf_dir)
+    fitted = _tested(report.submission_detailed)(spark, sf_dir)
+    probs = report.prob_columns(fitted)
+    both = loaded.join(fitted.select("user_id", *[F.col(c).alias(f"_{c}") for c in (*probs, "predicted_class")]), "user_id", "full_outer")
+    near = [F.abs(F.col(c) - F.col(f"_{c}")) < 1e-6 for c in probs]
+    return both.agg(
+        F.count(F.lit(1)).alias("n_users"),
+        F.count_if(F.col("predicted_class") == F.col("_predicted_class")).alias("n_same_class"),
+        F.count_if(reduce(lambda a, b: a & b, near)).alias("n_same_probabilities"),
+    )
+
+
+def _encoding_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out-of-fold quality with encodings fitted on all train users (default)
+    and inside the folds, and what the first gains over the second."""
+    data = _prepared(spark, sf_dir)
+    inside = model.foldwise_oof(data.features, data.folds, data.class_names)
+    rows = [
+        report.macro_f1(report.decide(scored)).select(F.lit(name).alias("encodings"), "macro_f1", "accuracy", "n_users")
+        for name, scored in (("all train users", _forest_for(spark, sf_dir)[0]), ("inside the folds", inside))
+    ]
+    both = land(rows[0].unionByName(rows[1]), "encoding-report")
+    sign = F.when(F.col("encodings") == "inside the folds", -1.0).otherwise(1.0)
+    gain = both.agg(*[F.sum(F.col(c) * sign).alias(c) for c in ("macro_f1", "accuracy")], F.max("n_users").alias("n_users"))
+    return rounded(both.unionByName(gain.select(F.lit("difference").alias("encodings"), "macro_f1", "accuracy", "n_users")))
+
+
 def _model(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rounded(fn(_prepared(spark, sf_dir)))
@@ -233,12 +296,48 @@ def _cluster_coverage(data: model.ModelData) -> DataFrame:
 
 def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    types = purch.purchase_types(i.purchases)
     data = _prepared(spark, sf_dir)
-    stages = assemble.build_tables(i, types)
+    landed = assemble.land_inputs(i)
+    stages = assemble.build_tables(landed, purch.purchase_types(landed["purchase-types"]))
     return quality.stage_shapes({**stages, "features": data.features, "encoded": data.frame})
 
 
+def _three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity features after the events arrived in three parts, the state
+    compacted after each, with the last batch replayed."""
+    i = load_inputs(spark, sf_dir)
+    events = read_table(spark, sf_dir, "events")
+    state = stream.new_state(spark)
+    arrivals = f"{state}-arrivals"
+    for part in range(3):
+        new = events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part)
+        new.write.mode("append").parquet(arrivals)
+        version = stream.advance(spark, arrivals, events.schema, state, view=generations_of)
+    stream.land_batch(generations_of(new), version.last_batch, state)
+    stream.compact(spark, state)
+    table = act.activity_from_slots(stream.merged_slots(spark, state), i.users)
+    return rounded(attach(i.users.select(*USER_KEY), table))
+
+
+def _csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = f"{landing_root(spark)}/raw-csv-{uuid.uuid4().hex}"
+    raw_csv.write_raw_dir(load_inputs(spark, sf_dir), root)
+    return raw_csv.csv_types(spark, root)
+
+
+def _amount_ranks(i) -> DataFrame:
+    """Percent ranks within the split of a number and of a number that a large
+    part of the rows share."""
+    value = i.purchases.select(*USER_KEY, "transaction_id", "purchase_amount_dollars")
+    # A third of the amounts become one.
+    first = F.conv(F.substring(F.md5(F.col("transaction_id").cast("string")), 1, 6), 16, 10).cast("long")
+    hot = F.when(first % 3 == 0, F.lit(1.0)).otherwise(F.floor("purchase_amount_dollars").cast("double"))
+    rows = land(value.withColumn("common_amount", hot), "amounts")
+    ranked = with_percent_rank(rows, "purchase_amount_dollars", ["split"], out="amount_rank")
+    ranked = with_percent_rank(ranked, "common_amount", ["split"], out="common_rank")
+    return ranked.select(*USER_KEY, "transaction_id", "amount_rank", "common_rank")
+
+
 def _activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity features through the incremental (streaming) path."""
     i = load_inputs(spark, sf_dir)
@@ -271,7 +370,12 @@ QUERIES: dict[str, Query] = {
     **{name: _act(cols) for name, cols in ACTIVITY_GROUPS.items()},
     "activity_features": _q(lambda i: act.activity_features(i.generations, i.users)),
     "activity_features_incremental": _activity_stream,
+    "activity_three_batches": _three_batches,
+    "gen_streaks_calendar": _q(lambda i: act.streaks_calendar(i.generations, i.users)),
     "stage_report": _q(quality.stage_report),
+    "load_report": _q(quality.load_report),
+    "amount_ranks": _q(_amount_ranks),
+    "csv_types": _csv_types,
     "align_splits": _q(lambda i: purch.purchase_types_by_split(i.purchases)),
     "user_features": _q(assemble.user_features),
     "interactions": _q(
@@ -308,6 +412,9 @@ QUERIES: dict[str, Query] = {
     "forest_confusion": _oof(report.confusion_matrix),
     "forest_macro_f1": _oof(report.macro_f1),
     "test_predictions": _tested(report.submission_detailed),
+    "scored_from_saved": _scored_from_saved,
+    "saved_agreement": _saved_agreement,
+    "encoding_report": _encoding_report,
     "test_coverage": _tested(lambda d: d.agg(*_whole(d))),
     "forest_distribution": _tested(report.prediction_distribution),
     "clip_log": _q(

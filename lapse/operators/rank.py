@@ -1,15 +1,10 @@
-"""Percent rank with averaged ties, without a one-partition global sort.
-
-``rank(pct=True)`` semantics: the average 1-based rank of the tied values,
-divided by the number of non-null values; null stays null.
-
-Plan: (1) distinct values with their counts (partial aggregation absorbs a
-hot value); (2) coarse buckets per value -- prefixes of the text, which are
-monotone in the string order -- in one or more levels, with totals per bucket
-and their running offsets inside the bucket one level up; (3) running counts
-inside each finest bucket; (4) the rank of each distinct value is the sum of
-the offsets + (ties + 1) / 2. No window orders more than the buckets inside
-one bucket of the level above.
+"""Ranks of any ordered column, without a one-partition global sort.
+
+Distinct values (a hot value is one row with its count) are dealt into ranges
+by bounds that Spark samples, so each task holds a run of the order. The ranges
+are landed; their sizes, one row per range and group, are cumulated to offsets,
+and a window orders only inside a range. This serves text, numbers, dates:
+whatever Spark orders.
 """
 
 from __future__ import annotations
@@ -17,41 +12,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapse.operators.materialize import join_small, land
+
 _PRE = Window.unboundedPreceding
 
 
+def running_totals(
+    distinct: DataFrame, value: str, weight: str, by: list[str] | tuple[str, ...] = (), ranges: int | None = None
+) -> DataFrame:
+    """``distinct`` (one row per (by..., value), landed by range) plus ``before``,
+    the sum of ``weight`` over smaller values of the group, and ``total``.
+
+    ``ranges``: number of ranges (default: the session's shuffle partitions).
+    """
+    by = list(by)
+    order = [*by, value]
+    dealt = distinct.repartitionByRange(ranges, *order) if ranges else distinct.repartitionByRange(*order)
+    # The range's number is written with the rows, so it does not change when
+    # the table is read again.
+    dealt = land(dealt.withColumn("_range", F.spark_partition_id()), "rank-ranges")
+    sizes = dealt.groupBy(*by, "_range").agg(F.sum(weight).alias("_size"))
+    earlier = Window.partitionBy(*by).orderBy("_range")
+    sizes = sizes.select(
+        *by, "_range",
+        F.coalesce(F.sum("_size").over(earlier.rowsBetween(_PRE, -1)), F.lit(0)).alias("_offset"),
+        F.sum("_size").over(Window.partitionBy(*by)).alias("total"),
+    )
+    inside = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(_PRE, -1)
+    numbered = dealt.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    placed = join_small(numbered, land(sizes, "rank-offsets"), [*by, "_range"], "inner")
+    return placed.withColumn("before", F.col("_offset") + F.col("_inside")).drop("_range", "_offset", "_inside")
+
+
 def percent_rank_table(
-    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", bucket_chars: int | tuple[int, ...] = 10
+    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", ranges: int | None = None
 ) -> DataFrame:
-    """One row per (by..., distinct non-null value) with its percent rank."""
+    """One row per (by..., distinct non-null value) with its percent rank: the
+    average 1-based rank of the tied values over the number of non-null values."""
     by = list(by)
-    levels = (bucket_chars,) if isinstance(bucket_chars, int) else tuple(bucket_chars)
-    names = [f"_b{j}" for j in range(len(levels))]
-    prefix = {n: F.substring(F.col(value).cast("string"), 1, chars) for n, chars in zip(names, levels)}
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")).withColumns(prefix)
-
-    def offsets(table: DataFrame, outer: list[str], order: str, total: str, name: str) -> DataFrame:
-        before = F.sum(total).over(Window.partitionBy(*by, *outer).orderBy(order).rowsBetween(_PRE, -1))
-        return table.withColumn(name, F.coalesce(before, F.lit(0)))
-
-    ranked = offsets(counts, names, value, "_c", "_voff")
-    finest = counts.groupBy(*by, *names).agg(F.sum("_c").alias("_t"))
-    for j in reversed(range(len(levels))):
-        keys = names[: j + 1]
-        table = finest.groupBy(*by, *keys).agg(F.sum("_t").alias("_t"))
-        ranked = ranked.join(offsets(table, keys[:-1], keys[-1], "_t", f"_off{j}").drop("_t"), [*by, *keys])
-    totals = finest.groupBy(*by).agg(F.sum("_t").alias("_n")) if by else None
-    if totals is None:
-        ranked = ranked.withColumn("_n", F.lit(finest.agg(F.sum("_t")).first()[0]))
-    else:
-        ranked = ranked.join(totals, by)
-    start = sum((F.col(f"_off{j}") for j in range(len(levels))), F.col("_voff"))
-    return ranked.select(*by, value, ((start + (F.col("_c") + 1) / 2.0) / F.col("_n")).alias(out))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    placed = running_totals(counts, value, "_c", by, ranges)
+    return placed.select(*by, value, ((F.col("before") + (F.col("_c") + 1) / 2.0) / F.col("total")).alias(out))
 
 
 def with_percent_rank(
-    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", bucket_chars: int | tuple[int, ...] = 10
+    df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), out: str = "pct_rank", ranges: int | None = None
 ) -> DataFrame:
-    """``df`` plus its percent-rank column (left join on the distinct values)."""
-    table = percent_rank_table(df, value, by, out, bucket_chars)
-    return df.join(table, [*by, value], "left")
+    """``df`` plus its percent-rank column (left join on the distinct values;
+    null stays null)."""
+    return df.join(percent_rank_table(df, value, by, out, ranges), [*by, value], "left")
+
+
+def value_positions(df: DataFrame, value: str, out: str = "position", ranges: int | None = None) -> DataFrame:
+    """(value, position): each distinct non-null value with its position in
+    order, from 0."""
+    distinct = df.where(F.col(value).isNotNull()).select(value).distinct().withColumn("_one", F.lit(1))
+    return running_totals(distinct, value, "_one", (), ranges).select(value, F.col("before").cast("int").alias(out))

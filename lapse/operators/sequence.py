@@ -1,12 +1,14 @@
-"""Fixed-length daily activity bits and the sequence features read off them.
+"""Daily activity: bits of fixed length with the features read off them, and
+runs of days over the whole calendar.
 
-All functions work on an ``array<int>`` of 0/1 with Spark's higher-order
-functions, inside whole-stage codegen; no Python runs per row.
+The functions of bits work on an ``array<int>`` of 0/1 with Spark's
+higher-order functions; ``runs_of_days`` works on (key, day) rows of any span.
+No Python runs per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,3 +41,24 @@ def longest_run(bits: Column) -> Column:
 def window_sum(bits: Column, start: int, length: int) -> Column:
     """Sum of ``length`` bits starting at 0-based ``start``."""
     return F.aggregate(F.slice(bits, start + 1, length), F.lit(0), lambda a, x: a + x).cast("int")
+
+
+def runs_of_days(days: DataFrame, key: list[str], day: str) -> DataFrame:
+    """Per key over its distinct dates ``day`` (nulls left out): active days,
+    longest run of consecutive days, the run that holds the last day, and the
+    number of breaks between runs.
+
+    Days of a run share the difference of day number and position, so runs are
+    groups. A key has a row per day it was active, so its window is bounded by
+    the calendar whatever its number of events.
+    """
+    once = days.where(F.col(day).isNotNull()).select(*key, F.datediff(F.col(day), F.lit("1970-01-01").cast("date")).alias("_day")).distinct()
+    position = F.row_number().over(Window.partitionBy(*key).orderBy("_day"))
+    runs = once.withColumn("_run", F.col("_day") - position).groupBy(*key, "_run").agg(F.count(F.lit(1)).alias("_n"))
+    # Later runs have larger differences.
+    return runs.groupBy(*key).agg(
+        F.sum("_n").alias("active_days"),
+        F.max("_n").alias("longest_run"),
+        F.max_by("_n", "_run").alias("current_run"),
+        (F.count(F.lit(1)) - 1).alias("n_breaks"),
+    )

@@ -581,14 +581,10 @@ ENC_CTES = (
 )
 
 
-def _hash_fold(id_expr: str, k_expr: str) -> str:
-    return f"CAST(('0x' || substr(md5(CAST({id_expr} AS VARCHAR) || ':{SEED}'), 1, 8))::BIGINT % ({k_expr}) AS INTEGER)"
-
-
 TE_CTES = (
     "te_tr AS (SELECT l.split, l.user_id, l.country_code, l.target, "
-    + _hash_fold("l.user_id", "GREATEST(2, LEAST(5, (SELECT COUNT(*) FROM lbl)))")
-    + " AS fold FROM lbl l)",
+    f"CAST((ROW_NUMBER() OVER (ORDER BY md5(CAST(l.user_id AS VARCHAR) || ':{SEED}'), l.user_id) - 1) "
+    "% GREATEST(2, LEAST(5, (SELECT COUNT(*) FROM lbl))) AS INTEGER) AS fold FROM lbl l)",
 )
 
 
@@ -815,6 +811,61 @@ def csv_table(table: str) -> str:
     return with_fixtures() + f"SELECT split, {', '.join(map(column, RAW_COLUMNS[table]))} FROM {table}"
 
 
+def csv_types() -> str:
+    """Counts of cells by kind over the views' values as text."""
+    parts = []
+    for table, columns in RAW_COLUMNS.items():
+        for c in (c.lstrip("#?") for c in columns):
+            parts.append(f"SELECT '{table}' AS table_name, split, '{c}' AS column_name, CAST({c} AS VARCHAR) AS v FROM {table}")
+    truth, whole = "lower(v) IN ('true', 'false')", r"regexp_full_match(v, '[+-]?\d{1,18}')"
+    is_number = f"{number('v')} IS NOT NULL"
+    return with_fixtures(
+        "raw AS (" + "\nUNION ALL ".join(parts) + ")",
+        f"cells AS (SELECT table_name, split, column_name, CASE WHEN v NOT IN {_TOKENS} AND v <> '' THEN v END AS v FROM raw)",
+        f"""counted AS (SELECT table_name, split, column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(v) AS n_null,
+  {cnt(truth)} AS b, {cnt(whole)} AS i, {cnt(f"{is_number} AND NOT {whole}")} AS d,
+  {cnt(f"v IS NOT NULL AND NOT {truth} AND NOT ({is_number})")} AS t
+FROM cells GROUP BY table_name, split, column_name)""",
+    ) + """
+SELECT table_name, split, column_name,
+  CASE WHEN t > 0 OR (b > 0 AND i + d > 0) THEN 'text' WHEN d > 0 THEN 'double' WHEN i > 0 THEN 'integer' WHEN b > 0 THEN 'boolean' ELSE 'null' END AS kind,
+  n_null, n_rows
+FROM counted"""
+
+
+def amount_ranks() -> str:
+    def rank(c: str) -> str:
+        ties = f"COUNT(*) OVER (PARTITION BY split, {c})"
+        return f"(RANK() OVER (PARTITION BY split ORDER BY {c}) + ({ties} - 1) / 2.0) / COUNT({c}) OVER (PARTITION BY split)"
+
+    def of(c: str, alias: str) -> str:
+        return rnd(f"CASE WHEN {c} IS NOT NULL THEN {rank(c)} END", alias)
+
+    return with_fixtures(
+        """amounts AS (SELECT split, user_id, transaction_id, purchase_amount_dollars,
+  CASE WHEN ('0x' || substr(md5(CAST(transaction_id AS VARCHAR)), 1, 6))::BIGINT % 3 = 0 THEN 1.0
+       ELSE CAST(floor(purchase_amount_dollars) AS DOUBLE) END AS common_amount
+FROM purchases)"""
+    ) + f"SELECT split, user_id, transaction_id, {of('purchase_amount_dollars', 'amount_rank')}, {of('common_amount', 'common_rank')} FROM amounts"
+
+
+def streaks_calendar() -> str:
+    date = f"TRY_CAST(regexp_extract(g.created_at, '{DATE_PAT}', 1) AS DATE)"
+    return with_fixtures(
+        f"days AS (SELECT DISTINCT g.split, g.user_id, {date} AS day FROM generations g WHERE {date} IS NOT NULL)",
+        """runs AS (SELECT split, user_id, run, COUNT(*) AS n FROM (
+  SELECT split, user_id, date_diff('day', DATE '1970-01-01', day) - ROW_NUMBER() OVER (PARTITION BY split, user_id ORDER BY day) AS run FROM days)
+GROUP BY split, user_id, run)""",
+    ) + f"""
+SELECT split, user_id, CAST(SUM(n) AS BIGINT) AS active_days, MAX(n) AS longest_run, arg_max(n, run) AS current_run, COUNT(*) - 1 AS n_breaks
+FROM runs r WHERE EXISTS (SELECT 1 FROM users u WHERE {same_user('u', 'r')}) GROUP BY split, user_id"""
+
+
+def saved_agreement() -> str:
+    return with_fixtures() + """
+SELECT COUNT(*) AS n_users, COUNT(*) AS n_same_class, COUNT(*) AS n_same_probabilities FROM users WHERE split <> 'train'"""
+
+
 # ---------------------------------------------------------------- model inputs and coverage
 
 CLUSTER_FEATURES = (
@@ -899,6 +950,12 @@ def oracle_sql() -> dict[str, str]:
         **{name: _act_query(cols) for name, cols in ACTIVITY_GROUPS.items()},
         "activity_features": activity_features(),
         "activity_features_incremental": activity_features(),
+        "activity_three_batches": activity_features(),
+        "gen_streaks_calendar": streaks_calendar(),
+        "amount_ranks": amount_ranks(),
+        "csv_types": csv_types(),
+        "saved_agreement": saved_agreement(),
+        "load_report": stage_report(),
         "stage_report": stage_report(),
         "stage_shapes": stage_shapes(),
         **{f"csv_{table}": csv_table(table) for table in RAW_COLUMNS},

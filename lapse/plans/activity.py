@@ -10,10 +10,11 @@ lands whole in one task:
    (at most hours x types rows per user and day), never raw events. Only the
    sums that the wanted features need are computed, and the slots are landed
    only if more than one branch reads them.
-2. The user's first day number is an aggregate of the slots, joined back; one
-   aggregation per user then computes every count, first-48h, weekly and
-   daily-bit value. Distinct days are a set bounded by the calendar, distinct
-   types a roll-up per (user, type), so no distinct count expands the rows.
+2. The user's first day number is an aggregate of the slots, joined back; a
+   roll-up per (user, date), then per user, computes every count, first-48h,
+   weekly and daily-bit value. Its partials carry all sums, so distinct days
+   are a count of its rows, as distinct types are of a roll-up per (user,
+   type): all are hash aggregations, and no distinct count expands the rows.
 3. Users outside the spine are dropped per user, not per event.
 4. The split-wide last day is a one-row-per-split aggregate, broadcast.
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from lapse.functions.numeric import safe_ratio, smooth_ratio, to_number
 from lapse.functions.text import contains_ci
 from lapse.functions.time import date_text, day_number, hour_of
-from lapse.operators.sequence import bits_array, first_quit_day, longest_run, window_sum
+from lapse.operators.sequence import bits_array, first_quit_day, longest_run, runs_of_days, window_sum
 from lapse.operators.materialize import land
 from lapse.operators.spine import USER_KEY, attach
 
@@ -144,42 +145,54 @@ def activity_from_slots(slots: DataFrame, users: DataFrame, columns: tuple[str,
         return F.col(name) if name in present else F.lit(0)
 
     n, cr = F.col("s_n"), F.col("s_credits")
-    aggs = [
-        _zsum(n).alias("gen_total"),
-        *[_zsum(s(f"s_{x}")).alias(f"gen_{x}") for x in STATUSES],
-        _zsum(cr).alias("gen_total_credits"),
-        _zsum(s("s_video")).alias("gen_video_count"),
-        _zsum(s("s_image")).alias("gen_image_count"),
-        # A set bounded by the calendar; a missing date counts as one value.
-        (F.size(F.collect_set("day_date")) + F.max(F.col("day_date").isNull().cast("int"))).cast("bigint").alias("gen_active_days"),
-        _zsum(s("s_dur_sum")).alias("_dur_sum"),
-        _zsum(s("s_dur_n")).alias("_dur_n"),
-        _zsum(F.col("hour") * F.col("s_rows")).alias("_hour_sum"),
-        F.min("day_num").alias("_first_day"),
-        F.max("day_num").alias("_last_day"),
-    ]
+    sums = {
+        "gen_total": n,
+        **{f"gen_{x}": s(f"s_{x}") for x in STATUSES},
+        "gen_total_credits": cr,
+        "gen_video_count": s("s_video"),
+        "gen_image_count": s("s_image"),
+        "_dur_sum": s("s_dur_sum"),
+        "_dur_n": s("s_dur_n"),
+        "_hour_sum": F.col("hour") * F.col("s_rows"),
+    }
+    bits = {}
     if not wanted <= PLAIN:
         first = slots.groupBy(*key).agg(F.min("day_num").alias("_first"))
         slots = slots.join(first, key).withColumn("rel", F.col("day_num") - F.col("_first"))
         rel = F.col("rel")
         day_int = F.least(F.floor(rel), F.lit(N_DAYS - 1))
-        aggs += [
-            _zsum(F.when(rel < WEEK, n)).alias("gen_week1_count"),
-            _zsum(F.when(rel < WEEK, cr)).alias("credits_week1"),
-            _zsum(F.when(rel >= WEEK, n)).alias("gen_week2_count"),
-            _zsum(F.when(rel >= WEEK, cr)).alias("credits_week2"),
-            _zsum(F.when(rel < FIRST_DAYS, n)).alias("gen_day01_count"),
-            _zsum(F.when(rel < FIRST_DAYS, cr)).alias("credits_day01"),
-            *[F.coalesce(F.max((day_int == d).cast("int")), F.lit(0)).alias(b) for d, b in enumerate(DAY_BITS)],
-        ]
+        sums |= {
+            "gen_week1_count": F.when(rel < WEEK, n),
+            "credits_week1": F.when(rel < WEEK, cr),
+            "gen_week2_count": F.when(rel >= WEEK, n),
+            "credits_week2": F.when(rel >= WEEK, cr),
+            "gen_day01_count": F.when(rel < FIRST_DAYS, n),
+            "credits_day01": F.when(rel < FIRST_DAYS, cr),
+        }
+        bits = {b: (day_int == d).cast("int") for d, b in enumerate(DAY_BITS)}
+    parts = [
+        *[F.sum(c).alias(name) for name, c in sums.items()],
+        *[F.max(c).alias(name) for name, c in bits.items()],
+        F.min("day_num").alias("_first_day"),
+        F.max("day_num").alias("_last_day"),
+    ]
+    # A missing date is a day of its own.
+    days = slots.groupBy(*key, "day_date").agg(*parts)
+    aggs = [
+        *[_zsum(name).alias(name) for name in sums],
+        *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in bits],
+        F.min("_first_day").alias("_first_day"),
+        F.max("_last_day").alias("_last_day"),
+        F.count(F.lit(1)).alias("gen_active_days"),
+    ]
     known = users.select(*key)
-    out = slots.groupBy(*key).agg(*aggs).join(known, key, "left_semi")
+    out = days.groupBy(*key).agg(*aggs).join(known, key, "left_semi")
     if wanted & TYPES:
         types = slots.select(*key, "generation_type").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("gen_unique_types"))
         out = out.join(types, key)
     if wanted & LAST_DAY:
-        days = slots.groupBy(*key).agg(F.max("day_num").alias("_day")).join(known, key, "left_semi")
-        last_day = days.groupBy("split").agg(F.max("_day").alias("_split_last_day"))
+        last = slots.groupBy(*key).agg(F.max("day_num").alias("_day")).join(known, key, "left_semi")
+        last_day = last.groupBy("split").agg(F.max("_day").alias("_split_last_day"))
         out = out.join(F.broadcast(last_day), "split", "left")
     features = _features(wanted)
     return out.withColumns(features).select(*key, *columns)
@@ -223,3 +236,10 @@ def _features(wanted: set[str]) -> dict[str, F.Column]:
 def activity_features(generations: DataFrame, users: DataFrame, calendar: bool = False) -> DataFrame:
     """Activity features on the user spine; users without events get zeros."""
     return attach(users.select(*USER_KEY), activity_table(generations, users, calendar))
+
+
+def streaks_calendar(generations: DataFrame, users: DataFrame) -> DataFrame:
+    """Runs of active days over the whole calendar (the daily bits end at day
+    13), for users with a dated event."""
+    days = generations.select(*USER_KEY, date_text("created_at").try_cast("date").alias("day"))
+    return runs_of_days(days, list(USER_KEY), "day").join(users.select(*USER_KEY), list(USER_KEY), "left_semi")

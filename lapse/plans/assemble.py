@@ -4,18 +4,20 @@ interaction terms (on raw values), clipping, then log terms (on clipped values).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.numeric import clip, log1p_pos, smooth_ratio
 from lapse.operators.keys import require_unique
-from lapse.operators.materialize import land_all
+from lapse.operators.materialize import land_all_bucketed
 from lapse.operators.spine import USER_KEY
 from lapse.plans.activity import ACTIVITY_COLUMNS, activity_from_slots, activity_slots
 from lapse.plans.onboarding import QUIZ_COLUMNS, quiz_fills, quiz_table
-from lapse.plans.payments import PAYMENT_COLUMNS, card_table, classify_attempts, failures_from_cards, payment_fills, risk_from_cards
+from lapse.plans.payments import PAYMENT_COLUMNS, card_table, classify_attempts, failures_from_cards, paid_cards, payment_fills, risk_from_cards
 from lapse.plans.properties import PROPERTY_COLUMNS, properties_frame, properties_from_frame
-from lapse.plans.purchases import purchase_columns, purchase_table, purchase_types
+from lapse.plans.purchases import purchase_columns, purchase_rollup, purchase_table, purchase_types
 from lapse.sources.fixtures import ChurnInputs
 
 # Interaction terms, computed before clipping.
@@ -62,8 +64,8 @@ LOG_COLUMNS = (
 def merge_features(users: DataFrame, blocks: list[DataFrame]) -> DataFrame:
     """Left-join every one-row-per-user block onto the users table.
 
-    All blocks are keyed and already partitioned by (split, user_id); Spark
-    reuses that partitioning across the chain of joins.
+    All blocks are keyed by (split, user_id); where they come from tables
+    bucketed by it, the chain of joins needs no exchange.
     """
     out = users
     for block in blocks:
@@ -82,25 +84,37 @@ def clip_and_log(df: DataFrame) -> DataFrame:
     return clipped.withColumns({f"{c}_log": log1p_pos(c) for c in LOG_COLUMNS if c in present})
 
 
-def build_tables(inputs: ChurnInputs, types: tuple[str, ...]) -> dict[str, DataFrame]:
-    """The per-user aggregate tables (only users with data in each)."""
+def land_inputs(inputs: ChurnInputs, watch: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
+    """What the blocks are made of, reduced and key-checked, landed in buckets
+    of (split, user_id): every later aggregation and join by user reads the
+    buckets without an exchange. ``watch`` may attach metrics to the rows of an
+    input on their way into its table."""
     i = inputs
-    attempts = classify_attempts(i.tx, i.purchases)
-    # Tables read by several branches are landed together, once.
-    cards, slots, props = land_all(
-        [
-            (card_table(attempts, materialize=False), "card-table"),
-            (activity_slots(i.generations), "activity-slots"),
-            (properties_frame(i.props), "properties"),
-        ]
-    )
+    attempts = classify_attempts(watch("tx", i.tx), i.purchases)
+    tables = {
+        "users": watch("users", require_unique(i.users, "users")),
+        "properties": watch("props", properties_frame(i.props)),
+        "purchase-types": purchase_rollup(watch("purchases", i.purchases)),
+        "activity-slots": activity_slots(watch("generations", i.generations)),
+        "quizzes": watch("quizzes", quiz_table(i.quizzes)),
+    }
+    # Failed attempts have no user, so the card table is landed as it lies and
+    # its paid part is put into the buckets.
+    cards = card_table(attempts)
+    tables["paid-cards"] = paid_cards(cards)
+    landed = land_all_bucketed([(df, name) for name, df in tables.items()], USER_KEY)
+    return {**dict(zip(tables, landed)), "card-table": cards}
+
+
+def build_tables(landed: dict[str, DataFrame], types: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The per-user aggregate tables (only users with data in each)."""
     return {
-        "properties": properties_from_frame(props),
-        "purchases": purchase_table(i.purchases, types),
-        "card_risk": risk_from_cards(cards),
-        "failures": failures_from_cards(cards),
-        "activity": activity_from_slots(slots, i.users),
-        "quizzes": quiz_table(i.quizzes),
+        "properties": properties_from_frame(landed["properties"]),
+        "purchases": purchase_table(landed["purchase-types"], types),
+        "card_risk": risk_from_cards(landed["paid-cards"]),
+        "failures": failures_from_cards(landed["card-table"]),
+        "activity": activity_from_slots(landed["activity-slots"], landed["users"]),
+        "quizzes": landed["quizzes"],
     }
 
 
@@ -114,9 +128,10 @@ def merged_features(inputs: ChurnInputs) -> DataFrame:
     """users + every block: one spine, one chain of left joins on (split,
     user_id), then all gap fills in a single projection. A user listed twice
     in a split fails the job."""
-    types = purchase_types(inputs.purchases)
-    blocks = build_tables(inputs, types)
-    merged = merge_features(require_unique(inputs.users, "users"), list(blocks.values()))
+    landed = land_inputs(inputs)
+    types = purchase_types(landed["purchase-types"])
+    blocks = build_tables(landed, types)
+    merged = merge_features(landed["users"], list(blocks.values()))
     fills = feature_fills(types)
     order = [*PROPERTY_COLUMNS, *purchase_columns(types), *PAYMENT_COLUMNS, *ACTIVITY_COLUMNS, *QUIZ_COLUMNS]
     return merged.select(*inputs.users.columns, *[fills[c].alias(c) for c in order])

@@ -6,12 +6,13 @@ All encodings are fitted on the train split only and applied to both.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.operators.materialize import join_small, land
-from lapse.operators.positions import hash_fold, row_positions
+from lapse.operators.positions import row_positions
+from lapse.operators.rank import value_positions
 from lapse.operators.spine import USER_KEY
 
 # Engine defaults and the categorical columns it encodes.
@@ -25,6 +26,7 @@ CAT_FEATURES = (
 )
 # Most classes a label may have: each gets its own columns.
 MAX_CLASSES = 100
+# Values of a column that an indexer may hold; more are coded by a join.
 MAX_CATEGORIES = 100_000
 DROPPED = ("subscription_plan",)
 NON_FEATURES = ("user_id", "churn_status", "target", "split")
@@ -55,29 +57,64 @@ def label_index(features: DataFrame, label: str = "churn_status") -> DataFrame:
     return model.transform(train).withColumn("target", F.col("_t").cast("int")).drop("_t")
 
 
+def fit_categories(cleaned: DataFrame, cols: tuple[str, ...] = CAT_FEATURES) -> StringIndexerModel:
+    """An indexer over the sorted train values of each categorical."""
+    present = set(cleaned.columns)
+    cols = [c for c in cols if c in present]
+    indexer = StringIndexer(inputCols=cols, outputCols=[f"_code_{c}" for c in cols], stringOrderType="alphabetAsc", handleInvalid="keep")
+    return indexer.fit(cleaned.where(F.col("split") == "train"))
+
+
+def category_sizes(cleaned: DataFrame, cols: list[str]) -> dict[str, int]:
+    """The exact number of train values of each categorical, one column after
+    the other counted from its distinct values (no row is expanded)."""
+    train = cleaned.where(F.col("split") == "train")
+    return {c: train.select(c).distinct().count() for c in cols}
+
+
 def category_codes(features: DataFrame, cols: tuple[str, ...] = CAT_FEATURES) -> DataFrame:
     """Replace each categorical by its code among the sorted train values.
 
-    A value never seen in train gets code 0. The indexer keeps one
-    dictionary per column, so a column with more than ``MAX_CATEGORIES``
-    values in train (free text, say) is refused before the fit.
+    A value never seen in train gets code 0. Columns of up to
+    ``MAX_CATEGORIES`` train values share an indexer, whose dictionaries the
+    driver holds; any other (free text, say) gets its codes from a table of the
+    values' positions in order, joined.
     """
     df = clean_categoricals(features, cols)
     present = set(df.columns)
     cols = tuple(c for c in cols if c in present)
+    # An estimate settles which columns are far from the bound; the others are counted.
     train = df.where(F.col("split") == "train")
-    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    if too_many := [c for c in cols if sizes[c] > MAX_CATEGORIES]:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {too_many}")
-    tmp = [f"_code_{c}" for c in cols]
-    model = StringIndexer(
-        inputCols=list(cols), outputCols=tmp, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(train)
-    sizes = {c: len(labels) for c, labels in zip(cols, model.labelsArray)}
-    coded = model.transform(df)
-    return coded.withColumns(
-        {c: F.when(F.col(t) >= sizes[c], F.lit(0)).otherwise(F.col(t).cast("int")) for c, t in zip(cols, tmp)}
-    ).drop(*tmp)
+    about = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    unsure = [c for c in cols if about[c] * 2 > MAX_CATEGORIES]
+    counted = category_sizes(df, unsure)
+    wide = [c for c in unsure if counted[c] > MAX_CATEGORIES]
+    narrow = tuple(c for c in cols if c not in wide)
+    if narrow:
+        model = fit_categories(df, narrow)
+        df = model.transform(df)
+        codes = {c: F.when(F.col(f"_code_{c}") >= len(x), F.lit(0)).otherwise(F.col(f"_code_{c}").cast("int")) for c, x in zip(narrow, model.labelsArray)}
+        df = df.withColumns(codes).drop(*[f"_code_{c}" for c in narrow])
+    order = df.columns
+    for c in wide:
+        table = value_positions(train.select(c), c, out="_position")
+        df = df.join(table, c, "left").withColumn(c, F.coalesce("_position", F.lit(0))).drop("_position")
+    return df.select(*order)
+
+
+def encoding_folds(labelled: DataFrame, seed: int, n_folds: int) -> DataFrame:
+    """``labelled`` with ``_fold``, landed: dealt round-robin in md5 order."""
+    placed = row_positions(labelled, "user_id", seed, out="_pos")
+    return land(placed.withColumn("_fold", ((F.col("_pos") - 1) % n_folds).cast("int")).drop("_pos"), "encoding-folds")
+
+
+def encoding_shares(labelled: DataFrame, col: str) -> tuple[DataFrame, list[float]]:
+    """(col, <col>_te_cls<k>...): class shares per category over all train
+    rows, and the overall shares."""
+    sizes = {r["target"]: r["n"] for r in labelled.groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_classes, n_train = max(sizes, default=-1) + 1, sum(sizes.values())
+    shares = [F.try_divide(F.sum((F.col("target") == k).cast("double")), F.count(F.lit(1))).alias(f"{col}_te_cls{k}") for k in range(n_classes)]
+    return labelled.groupBy(col).agg(*shares), [sizes.get(k, 0) / max(1, n_train) for k in range(n_classes)]
 
 
 def target_encoding(
@@ -90,8 +127,8 @@ def target_encoding(
     """Out-of-fold class shares per category (``<col>_te_cls<k>``) for train
     rows, and full-train shares for test rows; fallback = the global share.
 
-    Train rows are split into K = max(2, min(5, n_train)) folds by a hash of
-    the user id. For a row in fold f the share is computed over train rows
+    Train rows are dealt into K = max(2, min(5, n_train)) folds in md5 order of
+    the user id, so folds differ by one row at most. For a row in fold f the share is computed over train rows
     of the same category outside fold f, by subtracting the (category, f)
     totals from the category totals -- one aggregation for all folds. The
     totals tables have one row per (category, fold).
@@ -102,7 +139,7 @@ def target_encoding(
     ys = [(F.col("target") == k).cast("double") for k in range(n_classes)]
     n_folds = max(2, min(max_folds, n_train))
     overall = [F.lit(sizes.get(k, 0) / max(1, n_train)) for k in range(n_classes)]
-    tr = labelled.select(*USER_KEY, col, "target").withColumn("_fold", hash_fold("user_id", seed, n_folds))
+    tr = encoding_folds(labelled.select(*USER_KEY, col, "target"), seed, n_folds)
     cf = tr.groupBy(col, "_fold").agg(F.count(F.lit(1)).alias("_n_cf"), *[F.sum(y).alias(f"_s_cf{k}") for k, y in enumerate(ys)])
     by_c = Window.partitionBy(col)
     everything = Window.partitionBy()

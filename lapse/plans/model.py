@@ -16,15 +16,18 @@ from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.operators.spine import USER_KEY, numeric_columns
+from lapse.plans.bundle import CategoryShares, NumberVector
 from lapse.plans.encode import (
-    CAT_FEATURES, NON_FEATURES, SEED, class_names, label_index, model_frame, n_folds_of, stratified_folds,
+    CAT_FEATURES, NON_FEATURES, SEED, class_names, clean_categoricals, encoding_shares, fit_categories, label_index, model_frame, n_folds_of,
+    stratified_folds,
 )
 from lapse.operators.materialize import land
 
@@ -35,6 +38,7 @@ CLUSTER_FEATURES = (
 )
 MAX_CLUSTERS = 6
 KMEANS_RESTARTS = 10
+RESTARTS_AT_ONCE = 4  # a fit's jobs and summaries also take the driver's memory
 NUM_TREES = 300
 MIN_LEAF = 2
 MAX_DEPTH = 30  # MLlib's limit; the engine grows trees without a depth cap
@@ -58,9 +62,7 @@ def bounded(rows: DataFrame, limit: int = MAX_FIT_ROWS, seed: int = SEED) -> Dat
 
 def cluster_inputs(features: DataFrame) -> DataFrame:
     """Users with the assembled clustering inputs (gaps as 0)."""
-    cols = list(CLUSTER_FEATURES)
-    filled = features.select(*USER_KEY, *cols).na.fill(0, subset=cols)
-    return VectorAssembler(inputCols=cols, outputCol="_raw").transform(filled)
+    return NumberVector(cols=list(CLUSTER_FEATURES)).transform(features).select(*USER_KEY, "_raw")
 
 
 def scaler_for(raw: DataFrame):
@@ -75,10 +77,10 @@ def scaled_features(features: DataFrame) -> DataFrame:
     return scaler_for(raw).transform(raw).select(*USER_KEY, *[x[j].alias(c) for j, c in enumerate(CLUSTER_FEATURES)])
 
 
-def cluster_ids(
+def fit_clusters(
     features: DataFrame, seed: int = SEED, max_k: int = MAX_CLUSTERS, restarts: int = KMEANS_RESTARTS
-) -> DataFrame:
-    """(split, user_id, cluster_id) for every user; scaler and k-means fit on train.
+) -> PipelineModel:
+    """Input vector, scaler and k-means, fitted on train.
 
     k = min(6, train users); of ``restarts`` seeded fits the one with the
     lowest within-cluster cost is kept.
@@ -96,17 +98,27 @@ def cluster_ids(
             model = KMeans(k=k, seed=seed + r, featuresCol="_x", predictionCol="cluster_id", maxIter=300).fit(train_x)
             return model.summary.trainingCost, r, model
 
-        # The restarts are independent jobs: submitted together, they share the
-        # executors instead of queueing one small job after another.
-        with ThreadPoolExecutor(max_workers=restarts) as pool:
+        # The restarts are independent jobs: some at once share the executors
+        # instead of queueing one small job after another.
+        with ThreadPoolExecutor(max_workers=RESTARTS_AT_ONCE) as pool:
             fits = list(pool.map(fit, range(restarts)))
     finally:
         train_x.unpersist()
     best = min(fits, key=lambda t: (t[0], t[1]))[2]  # lowest cost, then first restart
-    scored = best.transform(scaler.transform(raw).select(*USER_KEY, "_x"))
+    return PipelineModel(stages=[NumberVector(cols=list(CLUSTER_FEATURES)), scaler, best])
+
+
+def apply_clusters(features: DataFrame, fitted: PipelineModel) -> DataFrame:
+    """(split, user_id, cluster_id) for every user."""
+    scored = fitted.transform(features.select(*USER_KEY, *CLUSTER_FEATURES))
     return scored.select(*USER_KEY, F.col("cluster_id").cast("int").alias("cluster_id"))
 
 
+def cluster_ids(features: DataFrame, seed: int = SEED, max_k: int = MAX_CLUSTERS, restarts: int = KMEANS_RESTARTS) -> DataFrame:
+    """(split, user_id, cluster_id) for every user; scaler and k-means fit on train."""
+    return apply_clusters(features, fit_clusters(features, seed, max_k, restarts))
+
+
 def cluster_sizes(features: DataFrame, clusters: DataFrame) -> DataFrame:
     """Train users per cluster, ordered by cluster id."""
     train = features.where(F.col("split") == "train").select(*USER_KEY)
@@ -133,7 +145,33 @@ def class_weights(train: DataFrame) -> DataFrame:
     return counts.select("target", w.alias("w"))
 
 
-def forest_cv(
+@dataclass
+class Forests:
+    """The fold forests and the landed matrices they were fitted on and score."""
+
+    models: list
+    train: DataFrame  # split, user_id, target, features, fold
+    test: DataFrame  # split, user_id, features
+    classes: tuple[str, ...]
+
+
+def fit_forest(train: DataFrame, fold: int, num_trees: int, min_leaf: int, max_depth: int, max_bins: int, max_rows: int, seed: int):
+    """The forest of one fold on its train rows (target, features)."""
+    tr = bounded(train, max_rows, seed)
+    tr = tr.join(F.broadcast(class_weights(tr)), "target").withColumn("label", F.col("target").cast("double"))
+    return RandomForestClassifier(
+        featuresCol="features", labelCol="label", weightCol="w", numTrees=num_trees,
+        minInstancesPerNode=min_leaf, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="sqrt",
+        seed=seed + fold + 1, probabilityCol=f"_p{fold}", rawPredictionCol=f"_r{fold}", predictionCol=f"_c{fold}",
+        # Execution setting only: node ids cached (checkpointed every 10
+        # levels) so deep trees do not re-route every row from the root.
+        # The per-task statistics buffer stays at MLlib's default size,
+        # since fold fits run concurrently.
+        cacheNodeIds=True, checkpointInterval=10,
+    ).fit(tr)
+
+
+def fit_forests(
     frame: DataFrame,
     folds: DataFrame,
     classes: tuple[str, ...],
@@ -143,40 +181,36 @@ def forest_cv(
     max_bins: int = MAX_BINS,
     max_rows: int = MAX_FIT_ROWS,
     seed: int = SEED,
-) -> tuple[DataFrame, DataFrame]:
-    """Out-of-fold train probabilities and fold-averaged test probabilities.
-
-    Both results are landed in the shared folder (the fits are the
-    expensive part; the landed tables can be read any number of times).
+) -> Forests:
+    """One forest a fold, fitted on the train users outside it.
 
     ``frame``: model table (both splits, ``target`` on train rows);
-    ``folds``: (split, user_id, fold); ``classes`` in code order. Returns
-    (oof, test): oof has split, user_id, target, fold and prob_*; test has
-    split, user_id and prob_* averaged over the folds.
+    ``folds``: (split, user_id, fold); ``classes`` in code order.
     """
-    key, probs = list(USER_KEY), [f"prob_{c}" for c in classes]
+    key = list(USER_KEY)
     data = _assembled(frame).select(*key, "target", "features")
     train = land(data.where(F.col("split") == "train").join(folds.select(*key, "fold"), key), "forest-train")
     test = land(data.where(F.col("split") != "train").select(*key, "features"), "forest-test")
     n_folds = folds.agg(F.max("fold")).first()[0] + 1
 
+    settings = {"num_trees": num_trees, "min_leaf": min_leaf, "max_depth": max_depth, "max_bins": max_bins, "max_rows": max_rows, "seed": seed}
+
     def fit_fold(f: int):
-        tr = bounded(train.where(F.col("fold") != f), max_rows, seed)
-        tr = tr.join(F.broadcast(class_weights(tr)), "target").withColumn("label", F.col("target").cast("double"))
-        return RandomForestClassifier(
-            featuresCol="features", labelCol="label", weightCol="w", numTrees=num_trees,
-            minInstancesPerNode=min_leaf, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="sqrt",
-            seed=seed + f + 1, probabilityCol=f"_p{f}", rawPredictionCol=f"_r{f}", predictionCol=f"_c{f}",
-            # Execution setting only: node ids cached (checkpointed every 10
-            # levels) so deep trees do not re-route every row from the root.
-            # The per-task statistics buffer stays at MLlib's default size,
-            # since fold fits run concurrently.
-            cacheNodeIds=True, checkpointInterval=10,
-        ).fit(tr)
+        return fit_forest(train.where(F.col("fold") != f), f, **settings)
 
     # Fold fits are independent; their jobs run side by side.
     with ThreadPoolExecutor(max_workers=n_folds) as pool:
         models = list(pool.map(fit_fold, range(n_folds)))
+    return Forests(models, train, test, classes)
+
+
+def score_forests(forests: Forests) -> tuple[DataFrame, DataFrame]:
+    """(oof, test), landed: oof has split, user_id, target, fold and prob_* of
+    the forest that has not seen the user's fold; test has split, user_id and
+    prob_* averaged over the folds."""
+    key, probs = list(USER_KEY), [f"prob_{c}" for c in forests.classes]
+    models, train, test = forests.models, forests.train, forests.test
+    n_folds = len(models)
 
     def part(f: int) -> DataFrame:
         p = vector_to_array(f"_p{f}")
@@ -191,6 +225,46 @@ def forest_cv(
     return oof, land(scored.select(*key, *[a.alias(c) for a, c in zip(averages, probs)]), "forest-test-probs")
 
 
+def forest_cv(frame: DataFrame, folds: DataFrame, classes: tuple[str, ...], **settings) -> tuple[DataFrame, DataFrame]:
+    """Out-of-fold train probabilities and fold-averaged test probabilities,
+    landed (the fits are the expensive part)."""
+    return score_forests(fit_forests(frame, folds, classes, **settings))
+
+
+def foldwise_oof(
+    features: DataFrame, folds: DataFrame, classes: tuple[str, ...], seed: int = SEED, num_trees: int = NUM_TREES, restarts: int = KMEANS_RESTARTS
+) -> DataFrame:
+    """Out-of-fold train probabilities where clusters, dictionaries and country
+    shares too are fitted on the other folds only, landed.
+
+    ``forest_cv`` fits these on all train users before the folds are cut, as
+    the engine does by default; the held-out users have then had a part in
+    their own encodings. Columns as the out-of-fold table of ``forest_cv``.
+    """
+    key, probs = list(USER_KEY), [f"prob_{c}" for c in classes]
+    dealt = features.where(F.col("split") == "train").join(folds.select(*key, "fold", F.col("target").alias("_class")), key)
+    dealt = land(dealt, "foldwise-features")
+    n_folds = dealt.agg(F.max("fold")).first()[0] + 1
+
+    def part(f: int) -> DataFrame:
+        # Users of the fold stand where test users do.
+        split = F.when(F.col("fold") == f, F.lit("held")).otherwise(F.lit("train"))
+        rows = dealt.withColumn("split", split)
+        own = rows.drop("fold", "_class")
+        clusters = land(apply_clusters(own, fit_clusters(own, seed, restarts=restarts)), "foldwise-clusters")
+        data = land(_assembled(model_frame(own, clusters, seed=seed)).select(*key, "target", "features"), "foldwise-matrix")
+        forest = fit_forest(data.where(F.col("split") == "train"), f, num_trees, MIN_LEAF, MAX_DEPTH, MAX_BINS, MAX_FIT_ROWS, seed)
+        held = data.where(F.col("split") == "held").drop("target").join(rows.select(*key, F.col("_class").alias("target")), key)
+        p = vector_to_array(f"_p{f}")
+        scored = forest.transform(held)
+        return scored.select(
+            F.lit("train").alias("split"), "user_id", "target", F.lit(f).cast("int").alias("fold"), *[p[i].alias(c) for i, c in enumerate(probs)]
+        )
+
+    with ThreadPoolExecutor(max_workers=n_folds) as pool:
+        return land(reduce(DataFrame.unionByName, pool.map(part, range(n_folds))), "foldwise-oof")
+
+
 def feature_preview(frame: DataFrame, n: int = 15) -> DataFrame:
     """The first ``n`` feature names, numbered (schema only)."""
     names = feature_columns(frame)[:n]
@@ -199,7 +273,8 @@ def feature_preview(frame: DataFrame, n: int = 15) -> DataFrame:
 
 @dataclass
 class ModelData:
-    """Everything the forest needs, as lazy DataFrames plus a few scalars."""
+    """Everything the forest needs: lazy DataFrames, the fitted parts, a few
+    scalars. ``bundle.bundle`` makes one saveable pipeline of it."""
 
     features: DataFrame  # user feature table, both splits
     clusters: DataFrame  # (split, user_id, cluster_id)
@@ -210,12 +285,23 @@ class ModelData:
     class_names: tuple[str, ...]
     n_folds: int
     seed: int
+    cluster_model: PipelineModel  # input vector, scaler, k-means
+    category_model: StringIndexerModel  # a dictionary per categorical
+    shares: CategoryShares  # class shares per country over all train users
+
+
+def country_shares(features: DataFrame, col: str = "country_code") -> CategoryShares:
+    """Class shares per country over all train users, as a pipeline stage."""
+    labelled = label_index(clean_categoricals(features.select(*USER_KEY, "churn_status", col)))
+    table, overall = encoding_shares(labelled, col)
+    return CategoryShares(land(table, "country-shares"), col, overall)
 
 
 def prepare_model_data(features: DataFrame, users: DataFrame, seed: int = SEED) -> ModelData:
     """Clusters, encodings and folds for the feature table (one job for the
     fold count, which is a property of the class sizes)."""
-    clusters = land(cluster_ids(features, seed=seed), "clusters")
+    cluster_model = fit_clusters(features, seed=seed)
+    clusters = land(apply_clusters(features, cluster_model), "clusters")
     frame = model_frame(features, clusters, seed=seed)
     labelled = label_index(users)
     n_folds = n_folds_of(labelled)
@@ -229,4 +315,7 @@ def prepare_model_data(features: DataFrame, users: DataFrame, seed: int = SEED)
         class_names=class_names(users),
         n_folds=int(n_folds),
         seed=seed,
+        cluster_model=cluster_model,
+        category_model=fit_categories(clean_categoricals(features)),
+        shares=country_shares(features),
     )

@@ -144,7 +144,7 @@ def card_table(attempts: DataFrame, materialize: bool = True) -> DataFrame:
     return land(cards, "card-table") if materialize else cards
 
 
-def _paid(cards: DataFrame) -> DataFrame:
+def paid_cards(cards: DataFrame) -> DataFrame:
     return cards.where(F.col("is_success") & F.col("user_id").isNotNull())
 
 
@@ -161,7 +161,7 @@ def _most_used(paid: DataFrame, col: str, out: str) -> DataFrame:
 
 def risk_from_cards(cards: DataFrame) -> DataFrame:
     """Card-risk features per user, rolled up from the card table."""
-    paid, rows = _paid(cards), F.sum("_rows")
+    paid, rows = paid_cards(cards), F.sum("_rows")
     risk = paid.groupBy(*USER_KEY).agg(
         F.sum("_n").alias("tx_success_count"),
         *[F.bool_or(f"_{k}").cast("int").alias(n) for k, n in zip(("wallet", "3ds", "prepaid", "virtual", "business"), RISK_FLAGS)],
@@ -177,7 +177,7 @@ def risk_from_cards(cards: DataFrame) -> DataFrame:
 
 def failures_from_cards(cards: DataFrame) -> DataFrame:
     """Attributed failures per user (users with a matched failure only)."""
-    pairs = fingerprint_users(_paid(cards), KEYS)
+    pairs = fingerprint_users(paid_cards(cards), KEYS)
     fails = cards.where(~F.col("is_success")).groupBy(*KEYS, "fingerprint").agg(
         F.sum("_rows").alias("n_fail"), *[F.sum(f"n_{c}").alias(f"n_{c}") for c in FAILURE_CODES]
     )

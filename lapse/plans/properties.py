@@ -16,10 +16,6 @@ from lapse.operators.materialize import join_small, land
 from lapse.operators.rank import with_percent_rank
 from lapse.operators.spine import USER_KEY
 
-# Rank buckets are days, then minutes ("YYYY-MM-DD HH:MM") inside a day: no
-# task orders more than the days of a split, the minutes of a day, or the
-# distinct texts of a minute.
-RANK_BUCKET_CHARS = (10, 16)
 
 PROPERTY_COLUMNS = (
     "subscription_plan", "country_code", "country_freq",
@@ -46,7 +42,7 @@ def subscription_calendar(props: DataFrame) -> DataFrame:
 def subscription_date_rank(props: DataFrame) -> DataFrame:
     """Percent rank of the start-date text within the split, ties averaged."""
     p = land(properties_frame(props).select(*USER_KEY, "subscription_start_date"), "properties-dates")
-    ranked = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS)
+    ranked = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank")
     return ranked.select(*USER_KEY, "sub_date_rank")
 
 
@@ -68,7 +64,7 @@ def properties_from_frame(p: DataFrame) -> DataFrame:
     # so that users are not shuffled on some tens of keys.
     freq = land(frequency_share(p, "country_code", ["split"], out="country_freq"), "country-share")
     parts = datetime_parts("subscription_start_date")
-    out = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank", bucket_chars=RANK_BUCKET_CHARS)
+    out = with_percent_rank(p, "subscription_start_date", ["split"], out="sub_date_rank")
     out = join_small(out, freq, ["split", "country_code"])
     return out.select(
         *USER_KEY,

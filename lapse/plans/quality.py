@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lapse.functions.time import datetime_parts, day_number
@@ -41,6 +41,46 @@ def stage_report(i: ChurnInputs) -> DataFrame:
     return out.select("split", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in REPORT_COLUMNS])
 
 
+SPLITS = ("train", "test")
+# Report columns counted on the way of each input into its table.
+COUNTED = {
+    "users": {"n_users": lambda: F.lit(True)},
+    "props": {
+        "n_property_rows": lambda: F.lit(True),
+        "n_unparsed_start_dates": lambda: datetime_parts("subscription_start_date")["month"].isNull(),
+    },
+    "purchases": {"n_purchase_rows": lambda: F.lit(True)},
+    "tx": {"n_attempts": lambda: F.lit(True)},
+    "generations": {"n_generation_rows": lambda: F.lit(True), "n_unparsed_event_times": lambda: day_number("created_at").isNull()},
+    "quizzes": {"n_quiz_rows": lambda: F.lit(True)},
+}
+
+
+def load_report(i: ChurnInputs) -> DataFrame:
+    """``stage_report`` from metrics that the landing jobs of the feature table
+    observe as they write: no scan is made for it. Users without purchases come
+    from two landed tables bucketed by user."""
+    from lapse.plans.assemble import land_inputs
+
+    seen: dict[str, Observation] = {}
+
+    def watch(name: str, df: DataFrame) -> DataFrame:
+        seen[name] = Observation(f"load-{name}")
+        return df.observe(
+            seen[name], *[F.count_if((F.col("split") == s) & test()).alias(f"{c}__{s}") for c, test in COUNTED[name].items() for s in SPLITS]
+        )
+
+    landed = land_inputs(i, watch)
+    found = {k: v for o in seen.values() for k, v in o.get.items()}
+    names = [c for c in REPORT_COLUMNS if c != "n_users_without_purchases"]
+    rows = [(s, *(found[f"{c}__{s}"] for c in names)) for s in SPLITS if found[f"n_users__{s}"]]
+    report = i.users.sparkSession.createDataFrame(rows, ", ".join(["split string", *[f"{c} long" for c in names]]))
+    without = landed["users"].join(landed["purchase-types"].select(*USER_KEY), list(USER_KEY), "left_anti")
+    without = without.groupBy("split").agg(F.count(F.lit(1)).alias("n_users_without_purchases"))
+    out = report.join(without, "split", "left")
+    return out.select("split", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in REPORT_COLUMNS])
+
+
 def stage_shapes(stages: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns after each stage, per split (stages in given order)."""
     parts = [

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark import SparkConf
@@ -116,8 +115,3 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return _checked(spark, configured).rstrip("/")
     return checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared folder."""
-    return f"{shared_dir(spark)}/lapse-tables/{name}-{os.getpid()}"

@@ -15,6 +15,8 @@ are read as one DataFrame.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,22 +70,85 @@ def _typed(c: str, dtype: str) -> F.Column:
     if dtype == B:
         low = F.lower(col)
         return F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False)).alias(c)
+    if dtype == "long":
+        return col.try_cast("long").alias(c)
     return (col if dtype == S else to_number(col)).alias(c)
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
+# Kinds of cells, by rank: a column has the highest kind of its cells, but one
+# that mixes truth values with numbers is text.
+KINDS = ("null", "boolean", "integer", "double", "text")
+KIND_TYPES = {"null": S, "boolean": B, "integer": "long", "double": D, "text": S}
+
+
+def _raw_cells(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
+    """A raw file as text, without its index column."""
+    multi_line = table in FREE_TEXT if multi_line is None else multi_line
+    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
+    return raw.select(*raw.columns[1:])
+
+
+def _kind_counts(column: str) -> F.Column:
+    """Cells of each kind, and all of them, as one struct of sums."""
+    cell = F.when(~F.col(f"`{column}`").isin(*NULL_TOKENS), F.col(f"`{column}`"))
+    truth, whole = F.lower(cell).isin("true", "false"), cell.rlike(r"^[+-]?\d{1,18}$")
+    number = to_number(cell).isNotNull()
+    return F.struct(
+        F.lit(column).alias("column_name"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(cell.isNull()).alias("n_null"),
+        F.count_if(truth).alias("boolean"),
+        F.count_if(whole).alias("integer"),
+        F.count_if(number & ~whole).alias("double"),
+        F.count_if(cell.isNotNull() & ~truth & ~number).alias("text"),
+    )
+
+
+def merged_kind() -> F.Column:
+    """The kind of a column from its counts of cells; counts of parts merge by
+    summing, in any order."""
+    has = {k: F.col(k) > 0 for k in KINDS[1:]}
+    mixed = has["boolean"] & (has["integer"] | has["double"])
+    kind = F.when(has["text"] | mixed, "text")
+    for k in ("double", "integer", "boolean"):
+        kind = kind.when(has[k], k)
+    return kind.otherwise("null")
+
+
+def column_kinds(raw: DataFrame) -> DataFrame:
+    """column_name, kind, n_null, n_rows of every column of raw text cells: one
+    aggregation over all cells, whose single row is then turned."""
+    counted = raw.agg(F.array(*[_kind_counts(c) for c in raw.columns]).alias("columns"))
+    return counted.select(F.inline("columns")).select("column_name", merged_kind().alias("kind"), "n_null", "n_rows")
+
+
+def csv_types(spark: SparkSession, root: str) -> DataFrame:
+    """Inferred type and missing cells of every column of every raw file."""
+    parts = []
+    for table in FILES:
+        for split in ("train", "test"):
+            kinds = column_kinds(_raw_cells(spark, raw_path(root, split, table), table))
+            parts.append(kinds.select(F.lit(table).alias("table_name"), F.lit(split).alias("split"), *kinds.columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None, infer: bool = False) -> DataFrame:
     """One raw CSV file as a typed DataFrame (index column dropped).
 
+    Columns outside the table's schema stay text; with ``infer`` they get the
+    type of their cells (a pass over the file).
+
     Cells may be quoted, with doubled quotes inside. ``multi_line`` admits line
     breaks in quoted cells, at the price that a file is read by one task; by
     default it is on for the tables in ``FREE_TEXT`` only.
     """
-    multi_line = table in FREE_TEXT if multi_line is None else multi_line
-    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
-    data_cols = raw.columns[1:]
-    raw = raw.select(*data_cols)
+    raw = _raw_cells(spark, path, table, multi_line)
+    data_cols = raw.columns
     wanted = [(c, t) for c, t in RAW_SCHEMAS[table] if c in data_cols]
     extra = [c for c in data_cols if c not in dict(wanted)]
+    if infer and extra:
+        kinds = {r["column_name"]: KIND_TYPES[r["kind"]] for r in column_kinds(raw.select(*extra)).collect()}
+        return raw.select(*[_typed(c, t) for c, t in wanted], *[_typed(c, kinds[c]) for c in extra])
     return raw.select(*[_typed(c, t) for c, t in wanted], *extra)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lapse.functions.time import day_number
 from lapse.operators.positions import row_positions
-from lapse.operators.rank import with_percent_rank
+from lapse.operators.rank import value_positions, with_percent_rank
 from lapse.operators.sequence import bits_array, first_quit_day, longest_run
 from lapse.plans import activity, encode, onboarding, payments, purchases
 
@@ -127,8 +127,9 @@ def test_purchase_types_come_from_the_data(spark):
     aligned = {r.split: r for r in purchases.purchase_types_by_split(p).collect()}
     assert (aligned["train"].ptype_gift_card, aligned["train"].ptype_top_up) == (1, 0)
     assert (aligned["test"].ptype_gift_card, aligned["test"].ptype_top_up) == (0, 1)
-    with pytest.raises(ValueError, match="more than 1 purchase types"):
-        purchases.purchase_types(p, limit=1)
+    many = spark.createDataFrame([("train", k, 1, 1.0, f"type {k}", None) for k in range(250)], PURCH)
+    r = purchases.purchase_features(many, users(spark)).where("user_id = 1").first()
+    assert r.n_purchase_types == 250 and all(r[f"ptype_type_{k}"] == 1 for k in range(250))
 
 
 def test_an_id_in_both_splits_names_two_users(spark):
@@ -219,13 +220,41 @@ def test_target_encoding_with_all_rows_in_one_fold_or_none(spark):
     assert [r.user_id for r in encode.target_encoding(none, one.where("split = 'test'")).collect()] == [2]
 
 
-def test_rank_levels_agree(spark):
+@pytest.mark.parametrize("kind", ["text", "number", "hot"])
+def test_rank_of_any_ordered_column(spark, kind):
     rnd = random.Random(9)
-    df = spark.createDataFrame([(i, f"2024-0{rnd.randint(1, 3)}-1{rnd.randint(0, 9)} 1{rnd.randint(0, 9)}:{rnd.randint(10, 59)}") for i in range(400)], "id long, v string")
-    for levels in (10, (10, 16), (4, 7, 10)):
-        got = {r.id: r.r for r in with_percent_rank(df, "v", out="r", bucket_chars=levels).collect()}
-        expect = df.toPandas().set_index("id")["v"].rank(pct=True).to_dict()
-        assert got == pytest.approx(expect)
+    draw = {
+        "text": lambda: f"2024-0{rnd.randint(1, 3)}-1{rnd.randint(0, 9)} 1{rnd.randint(0, 9)}:{rnd.randint(10, 59)}",
+        "number": lambda: rnd.choice([rnd.uniform(-50, 50), float(rnd.randint(-9, 9))]),
+        "hot": lambda: 7 if rnd.random() < 0.4 else rnd.randint(-100, 100),
+    }[kind]
+    df = spark.createDataFrame([(i, i % 3, draw()) for i in range(400)], ["id", "g", "v"])
+    pdf = df.toPandas().set_index("id")
+    for ranges in (None, 1, 7, 50):
+        got = {r.id: r.r for r in with_percent_rank(df, "v", out="r", ranges=ranges).collect()}
+        assert got == pytest.approx(pdf["v"].rank(pct=True).to_dict())
+    got = {r.id: r.r for r in with_percent_rank(df, "v", ["g"], out="r", ranges=5).collect()}
+    assert got == pytest.approx(pdf.groupby("g")["v"].rank(pct=True).to_dict())
+    positions = {r.v: r.position for r in value_positions(df, "v", ranges=9).collect()}
+    assert positions == {v: n for n, v in enumerate(sorted(set(pdf["v"])))}
+
+
+def test_category_codes_beyond_the_dictionary_bound(spark, monkeypatch):
+    rows = [("train", i, f"c{i % 50:02}", "x") for i in range(200)] + [("test", 1, "c07", "x"), ("test", 2, "new", None)]
+    df = spark.createDataFrame(rows, "split string, user_id long, country_code string, quiz_role string")
+    cols = ("country_code", "quiz_role")
+    expected = sorted(map(tuple, encode.category_codes(df, cols).select("split", "user_id", *cols).collect()))
+    for limit in (10, 0):
+        monkeypatch.setattr(encode, "MAX_CATEGORIES", limit)
+        got = encode.category_codes(df, cols)
+        assert sorted(map(tuple, got.select("split", "user_id", *cols).collect())) == expected
+        assert [f.dataType.simpleString() for f in got.schema if f.name in cols] == ["int", "int"]
+
+
+def test_target_encoding_folds_differ_by_one_row_at_most(spark):
+    df = spark.createDataFrame([("train", i, i % 3) for i in range(523)], "split string, user_id long, target int")
+    sizes = [r["count"] for r in encode.encoding_folds(df, 42, 5).groupBy("_fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
 
 
 def test_csv_quotes_and_line_breaks(spark, tmp_path):
@@ -369,23 +398,111 @@ def test_submission_sinks_round_trip(spark, tmp_path):
     assert det.columns == ["user_id", "predicted_class", *report.prob_columns(scored), "confidence"]
 
 
+def generations(spark, ids, users_of=lambda k: 1 + k % 2):
+    rows = [("train", k, users_of(k), f"2024-01-0{1 + k % 5} 1{k % 3}:00:00", "completed", "video" if k % 2 else None, str(k), None) for k in ids]
+    return spark.createDataFrame(rows, GEN)
+
+
+def by_user(df):
+    return {r.user_id: r.asDict() for r in df.collect()}
+
+
 def test_stream_batches_merge_and_replay_idempotently(spark, tmp_path):
-    from lapse.plans.activity import activity_from_slots, activity_table, merge_slots
-    from lapse.streaming.activity import land_batch
-
-    rows = [("train", k, 1 + k % 2, f"2024-01-0{1 + k % 5} 1{k % 3}:00:00", "completed", "video" if k % 2 else None, str(k), None)
-            for k in range(40)]
-    g = spark.createDataFrame(rows, GEN)
-    part = str(tmp_path / "partials")
-    land_batch(g.where("generation_id < 20"), 0, part)
-    land_batch(g.where("generation_id >= 20"), 1, part)
-    land_batch(g.where("generation_id >= 20"), 1, part)  # replay of batch 1
-    merged = merge_slots(spark.read.parquet(part).drop("batch"))
-    got = {r.user_id: r for r in activity_from_slots(merged, users(spark)).collect()}
-    want = {r.user_id: r for r in activity_table(g, users(spark), materialize=False).collect()}
-    assert got.keys() == want.keys()
-    for u in want:
-        assert got[u].asDict() == want[u].asDict()
+    from lapse.streaming import activity as stream
+
+    state, every = str(tmp_path / "state"), users(spark)
+    g = generations(spark, range(40))
+    assert stream.compact(spark, state) == stream.Version(0, {}, -1) and stream.merged_slots(spark, state) is None
+    assert stream.land_batch(g.where("generation_id < 20"), 0, state)
+    assert stream.compact(spark, state).number == 1
+    late = g.where("generation_id >= 20")
+    assert stream.land_batch(late, 1, state)
+    assert stream.land_batch(late, 1, state)  # replayed before it was merged
+    version = stream.compact(spark, state)
+    assert version.number == 2 and version.last_batch == 1
+    assert not stream.land_batch(late, 1, state)  # replayed after it
+    assert stream.compact(spark, state) == version
+    want = by_user(activity.activity_table(g, every, materialize=False))
+    assert by_user(activity.activity_from_slots(stream.merged_slots(spark, state), every)) == want
+
+
+def test_compaction_rewrites_touched_buckets_and_removes_old_versions(spark, tmp_path):
+    from lapse.streaming import activity as stream
+
+    state = str(tmp_path / "state")
+    spread = generations(spark, range(300), users_of=lambda k: k % 60)
+    stream.land_batch(spread, 0, state)
+    first = stream.compact(spark, state)
+    assert len(first.holders) > 8 and set(first.holders.values()) == {1}
+    one = generations(spark, range(300, 310), users_of=lambda k: 7)
+    stream.land_batch(one, 1, state)
+    # A compaction that died before its version was whole leaves no trace.
+    (tmp_path / "state" / "versions" / "version=2").mkdir()
+    second = stream.compact(spark, state)
+    assert sorted(second.holders.values()) == [1] * (len(first.holders) - 1) + [2]
+    assert sorted(p.name for p in (tmp_path / "state" / "versions").iterdir()) == ["version=2"]
+    assert not list((tmp_path / "state" / "deltas").glob("batch=*"))
+    held = {(p.parent.name, p.name) for p in (tmp_path / "state" / "slots").glob("version=*/bucket=*")}
+    assert held == {(f"version={v}", f"bucket={b}") for b, v in second.holders.items()}
+    every = spark.createDataFrame([(k, None, "train") for k in range(60)], USERS)
+    want = by_user(activity.activity_table(spread.unionByName(one), every, materialize=False))
+    assert by_user(activity.activity_from_slots(stream.merged_slots(spark, state), every)) == want
+
+
+def test_state_advances_by_new_files_only(spark, tmp_path):
+    from lapse.streaming import activity as stream
+
+    state, arrivals = str(tmp_path / "state"), str(tmp_path / "arrivals")
+    for n, ids in enumerate((range(10), range(10, 25), range(25, 40))):
+        generations(spark, ids).write.mode("append").parquet(arrivals)
+        version = stream.advance(spark, arrivals, generations(spark, [0]).schema, state)
+        assert version.number == n + 1
+    assert stream.advance(spark, arrivals, generations(spark, [0]).schema, state) == version
+    want = by_user(activity.activity_table(generations(spark, range(40)), users(spark), materialize=False))
+    assert by_user(activity.activity_from_slots(stream.merged_slots(spark, state), users(spark))) == want
+
+
+def test_runs_over_the_whole_calendar(spark):
+    import datetime
+
+    rnd = random.Random(3)
+    day0 = datetime.date(2023, 12, 20)
+    days = {u: sorted({rnd.randint(0, 90) for _ in range(rnd.randint(1, 60))}) for u in range(20)}
+    rows = [("train", 1, u, f"{day0 + datetime.timedelta(d)} 0{k}:30:00", "completed", None, None, None) for u, ds in days.items() for d in ds for k in range(2)]
+    rows += [("train", 1, 0, "no date", "completed", None, None, None), ("train", 1, 99, None, "completed", None, None, None)]
+    every = spark.createDataFrame([(k, None, "train") for k in [*range(20), 99]], USERS)
+    got = by_user(activity.streaks_calendar(spark.createDataFrame(rows, GEN), every))
+    assert sorted(got) == list(range(20))
+    for u, ds in days.items():
+        runs = [[ds[0]]]
+        for a, b in zip(ds, ds[1:]):
+            runs[-1].append(b) if b == a + 1 else runs.append([b])
+        r = got[u]
+        assert (r["active_days"], r["longest_run"], r["current_run"], r["n_breaks"]) == (len(ds), max(map(len, runs)), len(runs[-1]), len(runs) - 1)
+
+
+def test_kinds_of_csv_columns(spark, tmp_path):
+    from lapse.sources import csv as raw_csv
+
+    path = tmp_path / "train_users.csv"
+    cells = {
+        "user_id": ["u1", "u2", "3"], "churn_status": ["nan", "", "NA"], "whole": ["1", "-20", "n/a"], "part": ["1", "2.5", "1e3"],
+        "truth": ["True", "false", ""], "mixed": ["true", "1", ""], "far": ["9" * 25, "1", "2"], "suffixed": ["1d", "2", "3"],
+    }
+    path.write_text("\n".join(",".join(r) for r in [["", *cells], *[[str(i), *(c[i] for c in cells.values())] for i in range(3)]]) + "\n")
+    kinds = {r.column_name: (r.kind, r.n_null, r.n_rows) for r in raw_csv.column_kinds(raw_csv._raw_cells(spark, str(path), "users")).collect()}
+    assert kinds == {
+        "user_id": ("text", 0, 3), "churn_status": ("null", 3, 3), "whole": ("integer", 1, 3), "part": ("double", 0, 3),
+        "truth": ("boolean", 1, 3), "mixed": ("text", 1, 3), "far": ("double", 0, 3), "suffixed": ("text", 0, 3),
+    }
+    plain = raw_csv.read_raw_csv(spark, str(path), "users")
+    assert dict(plain.dtypes)["whole"] == "string"
+    typed = raw_csv.read_raw_csv(spark, str(path), "users", infer=True)
+    assert dict(typed.dtypes) == {
+        "user_id": "string", "churn_status": "string", "whole": "bigint", "part": "double", "truth": "boolean", "mixed": "string",
+        "far": "double", "suffixed": "string",
+    }
+    assert [r.whole for r in typed.collect()] == [1, -20, None] and [r.truth for r in typed.collect()] == [True, False, None]
 
 
 def test_incremental_runs_in_one_session_do_not_share_state(spark, tmp_path):

@@ -1,11 +1,15 @@
 """Model invariants (no oracle is possible for the fitted models)."""
 
+import functools
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import ROOT, SF_SMALL
 from lapse.operators.materialize import land
-from lapse.plans import assemble, encode, model, report
+from lapse.plans import assemble, bundle, encode, model, report
 from lapse.sources.fixtures import load_inputs
 
 
@@ -20,6 +24,48 @@ def fitted(spark):
     return i, feats, clusters, folds, report.decide(oof).toPandas(), report.decide(test).toPandas()
 
 
+SCORE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from lapse.plans import bundle
+from lapse.session import build_session
+spark = build_session("local[2]", shuffle_partitions=2)
+features = spark.read.parquet(sys.argv[3])
+bundle.score(bundle.load(sys.argv[2]), features, ("split", "user_id")).write.parquet(sys.argv[4])
+"""
+
+
+def test_saved_pipeline_scores_in_another_process(spark, fitted, tmp_path, monkeypatch):
+    """Saved, loaded where nothing was fitted, applied to raw features: the
+    scores of the fitted forests, also for countries and answers never seen."""
+    i, feats, *_ = fitted
+    monkeypatch.setattr(model, "fit_clusters", functools.partial(model.fit_clusters, restarts=2))
+    data = model.prepare_model_data(feats, i.users)
+    forests = model.fit_forests(data.frame, data.folds, data.class_names, num_trees=5)
+    expected = report.decide(model.score_forests(forests)[1])
+    path, rows, out = (str(tmp_path / x) for x in ("model", "rows", "scores"))
+    bundle.save(bundle.bundle(data, forests.models), path)
+    test_users = feats.where("split != 'train'")
+    new = test_users.limit(3).withColumns({"user_id": F.col("user_id") + 10_000_000, "country_code": F.lit("XX"), "quiz_role": F.lit(None).cast("string")})
+    test_users.unionByName(new).write.parquet(rows)
+    subprocess.run([sys.executable, "-c", SCORE, ROOT, path, rows, out], check=True, capture_output=True, timeout=300)
+    got = {r.user_id: r for r in spark.read.parquet(out).collect()}
+    assert len(got) == test_users.count() + 3
+    for r in expected.collect():
+        assert got[r.user_id].predicted_class == r.predicted_class
+        for c in report.prob_columns(expected):
+            assert got[r.user_id][c] == pytest.approx(r[c], abs=1e-9)
+
+
+def test_encodings_inside_the_folds(spark, fitted):
+    i, feats, _, folds, oof, _ = fitted
+    inside = model.foldwise_oof(feats, folds, encode.class_names(i.users), num_trees=5, restarts=1)
+    got = report.decide(inside).toPandas()
+    dealt = {r.user_id: (r.fold, r.target) for r in folds.collect()}
+    assert len(got) == len(oof) and {r.user_id: (r.fold, r.target) for r in got.itertuples()} == dealt
+    assert ((got[[c for c in got.columns if c.startswith("prob_")]].sum(axis=1) - 1).abs() < 1e-6).all()
+
+
 def test_every_train_user_scored_once_out_of_fold(fitted):
     i, feats, _, folds, oof, test = fitted
     n_train = feats.where("split = 'train'").count()

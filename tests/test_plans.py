@@ -71,3 +71,26 @@ def test_counts_shuffle_no_raw_rows(spark, no_broadcast, name):
             if "user_id" in keys and "HashAggregate" not in below:
                 # Only the user list itself may move row by row.
                 assert {t for t, _ in scans_of(below)} <= {"customer"}, part[:400]
+
+
+@pytest.mark.parametrize("name", ["purchases_features", "purchase_summary", "activity_features", "gen_distinct_days_types", "user_features"])
+def test_aggregations_by_user_are_hash_aggregations(spark, no_broadcast, name):
+    found = plans(spark, name)
+    assert not any("ObjectHashAggregate" in p for p in found)
+    if name in ("purchases_features", "activity_features"):
+        assert not any("SortAggregate" in p for p in found)
+
+
+def test_purchases_scanned_once_with_their_types(spark, no_broadcast):
+    amounts = [c for t, c in scans(spark, "purchases_features") if t == "orders"]
+    assert len(amounts) == 1
+
+
+def test_joins_of_bucketed_tables_need_no_exchange(spark, no_broadcast):
+    """Of the feature table's 44 exchanges with unbucketed landed tables, those
+    by user are gone; what is left joins by date, card or country."""
+    plan = plans(spark, "user_features")[-1]
+    assert plan.count("Exchange hashpartitioning") <= 20
+    left = [p.split("]")[0] for p in plan.split("Exchange hashpartitioning(")[1:]]
+    by_user = [x for x in left if x.startswith("split") and "user_id" in x.split(",")[1]]
+    assert len(by_user) <= 4
