@@ -1,21 +1,24 @@
 """Approximate nearest neighbours with a vantage-point tree per shard.
 
-Every shard of the table (rows dealt by a hash of the id) gets a tree: a node
+Every shard of the table (a block of rows as they lie) gets a tree: a node
 picks a vantage point and splits its rows at the median distance to it. A
 query descends into the side it lies on, then into the other side only if that
 could hold something nearer by the triangle inequality, relaxed by ``factor``:
-the other side is visited if distance to the boundary * factor <= the k-th best
-distance so far. Factor 1 is an exact search; larger factors prune more.
+a side is visited if its boundary distance * factor <= the k-th best distance
+so far. The boundary distance is the largest on the way down. Factor 1 is an
+exact search; larger factors prune more. The k-th best is that of all trees
+before in the task, and of a first tree, so only that one starts from nothing.
 
-All rows are indexed. Trees are a landed table, one row per shard, which any
-number of query blocks can be joined with; memory per task is one shard and
-one block of queries. Queries of a block descend together.
+All rows are indexed. Trees are a landed table, one row per shard, that any
+number of query chunks can be run against; memory per task is one shard and
+one chunk of queries. Queries of a chunk descend together.
 
 Defined cases: vectors that are null, zero or hold null or non-finite
-components take no part, nor do rows without an id; rows repeated as a whole
-count once; rows having the query's id are its own; only vectors of equal
-length meet; fewer candidates than k give fewer rows; ties go to the smaller
-id; other columns are ignored.
+components take no part, nor do rows without an id; every row counts, also one
+repeated as a whole, as query and as candidate; rows having the query's id are
+its own; only vectors of equal length meet; fewer candidates than k give fewer
+rows; ties go to the smaller id; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapse.llm.vectors import arrow_rows, best, matrix, query_blocks, row_blocks, usable
+from lapse.llm.vectors import BLOCK_ROWS, Best, Queries, arrow_rows, ranked, search, usable, vectors_of
 from lapse.operators.materialize import land
 
 LEAF = 64
@@ -72,34 +75,32 @@ def build_tree(vectors: np.ndarray, leaf: int = LEAF, seed: int = 1) -> tuple[np
 
 
 class Search:
-    """Joint descent of many queries in one tree."""
+    """Joint descent of many queries in one tree; distances are offered to
+    ``best`` as negative scores."""
 
-    def __init__(self, ids, vectors, nodes, query_ids, queries, k, factor):
-        self.ids, self.vectors, self.nodes, self.k, self.factor = ids, vectors, nodes, k, factor
-        self.query_ids, self.queries = query_ids, queries
-        self.score = np.full((len(queries), k), np.inf)
-        self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
+    def __init__(self, ids, vectors, nodes, query_ids, queries, best: Best, factor: float):
+        self.ids, self.vectors, self.nodes, self.factor = ids, vectors, nodes, factor
+        self.query_ids, self.queries, self.best = query_ids, queries, best
+        self.limit = -best.floor()  # distance that still matters
         self.visited = 0
 
     def offer(self, which: np.ndarray, begin: int, end: int, away: np.ndarray) -> None:
-        """Merge candidates begin..end (distances ``away``) into the results."""
-        ids = np.broadcast_to(self.ids[begin:end], away.shape)
-        away = np.where(ids == self.query_ids[which, None], np.inf, away)
-        ids = np.where(np.isinf(away), np.iinfo(np.int64).max, ids)
-        score = np.concatenate([self.score[which], away], axis=1)
-        ids = np.concatenate([self.found[which], ids], axis=1)
-        order = np.lexsort((ids, score), axis=1)[:, : self.k]
-        self.score[which] = np.take_along_axis(score, order, axis=1)
-        self.found[which] = np.take_along_axis(ids, order, axis=1)
+        """Offer candidates begin..end at distances ``away``."""
+        ids = self.ids[begin:end]
+        q, j = np.nonzero((away <= self.limit[which, None]) & (ids != self.query_ids[which, None]))
+        if len(q):
+            self.best.offer(which[q], ids[j], -away[q, j])
+            self.limit[which] = -np.maximum(self.best.bound[which], np.where(self.best.n[which] >= self.best.k, self.best.score[which, -1], -np.inf))
 
     def run(self) -> None:
-        # Depth first: what is pushed last is visited first; a far side comes
-        # with the boundary distances and is checked when its turn comes.
+        # Depth first: what is pushed last is visited first; a side comes with
+        # boundary distances and is checked when its turn comes.
         everyone = np.arange(len(self.queries))
         work = [(0, everyone, np.zeros(len(everyone)))] if len(self.nodes) else []
         while work:
             number, which, boundary = work.pop()
-            which = which[boundary * self.factor <= self.score[which, -1]]
+            near = boundary * self.factor <= self.limit[which]
+            which, boundary = which[near], boundary[near]
             if not len(which):
                 continue
             begin, end, radius, inner, outer = self.nodes[number]
@@ -108,64 +109,50 @@ class Search:
                 self.visited += len(which) * (end - begin)
                 for at in range(0, len(which), 128):
                     some = which[at : at + 128]
-                    away = distances(self.vectors[None, begin:end], self.queries[some, None])
-                    self.offer(some, begin, end, away)
+                    self.offer(some, begin, end, distances(self.vectors[None, begin:end], self.queries[some, None]))
                 continue
             away = distances(self.queries[which], self.vectors[begin])
             self.visited += len(which)
             self.offer(which, begin, begin + 1, away[:, None])
-            gap = np.abs(away - radius)
+            far = np.maximum(boundary, np.abs(away - radius))
             inside = away < radius
-            work.append((int(outer), which[inside], gap[inside]))
-            work.append((int(inner), which[~inside], gap[~inside]))
-            work.append((int(outer), which[~inside], np.zeros((~inside).sum())))
-            work.append((int(inner), which[inside], np.zeros(inside.sum())))
+            work.append((int(outer), which[inside], far[inside]))
+            work.append((int(inner), which[~inside], far[~inside]))
+            work.append((int(outer), which[~inside], boundary[~inside]))
+            work.append((int(inner), which[inside], boundary[inside]))
 
 
-def index(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Trees (landed), one row per shard, over usable rows."""
-    blocks, n = row_blocks(rows)
+def index(rows: DataFrame) -> DataFrame:
+    """Trees (landed), one row per shard and length, over landed usable rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                dims = batch.column("dims")[i].as_py()
-                ids, vectors = matrix(batch, i, "ids", "values", dims)
-                by_id = np.lexsort((*vectors.T[::-1], ids))  # one tree whatever the order of arrival
+            for dims, ids, vectors in vectors_of(batch):
+                by_id = np.lexsort((*vectors.T[::-1], ids))  # one tree whatever the order of rows
                 ids, vectors = ids[by_id], vectors[by_id]
                 order, nodes = build_tree(vectors)
                 lists = [pa.array([x], pa.list_(t)) for x, t in ((ids[order], pa.int64()), (vectors[order].ravel(), pa.float64()), (nodes.ravel(), pa.float64()))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("dims").slice(i, 1), batch.column("block").slice(i, 1), *lists],
-                    ["dims", "block", "ids", "values", "nodes"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), *lists], ["dims", "ids", "values", "nodes"])
 
-    with arrow_rows(rows.sparkSession, 4):
-        trees = blocks.mapInArrow(run, "dims int, block int, ids array<long>, `values` array<double>, nodes array<double>")
-        return land(trees, "ann-trees"), n
+    with arrow_rows(rows.sparkSession, BLOCK_ROWS):
+        return land(rows.mapInArrow(run, "dims int, ids array<long>, `values` array<double>, nodes array<double>"), "ann-trees")
 
 
 def nearest(embeddings: DataFrame, queries: Column, k: int = 10, factor: float = FACTOR) -> DataFrame:
     """query_id, rank, vec_id and Euclidean distance of the k nearest found
     for every row that ``queries`` (a condition on vec_id) admits."""
     rows = land(usable(embeddings, nonzero=True), "ann-rows")
-    trees, n = index(rows)
+    trees = index(rows)
+
+    def scan(batch: pa.RecordBatch, chunk: Queries, best: dict[int, Best]) -> None:
+        for i in range(batch.num_rows):
+            dims = batch.column("dims")[i].as_py()
+            if dims not in chunk:
+                continue
+            ids, flat, nodes = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("ids", "values", "nodes"))
+            _, query_ids, query_vectors = chunk[dims]
+            Search(ids, flat.reshape(len(ids), dims), nodes.reshape(-1, 5), query_ids, query_vectors, best[dims], factor).run()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dims = batch.column("dims")[i].as_py()
-                ids, vectors = matrix(batch, i, "ids", "values", dims)
-                query_ids, query_vectors = matrix(batch, i, "query_ids", "query_values", dims)
-                nodes = batch.column("nodes")[i].values.to_numpy(zero_copy_only=False).reshape(-1, 5)
-                search = Search(ids, vectors, nodes, query_ids, query_vectors, k, factor)
-                search.run()
-                q, j = np.nonzero(np.isfinite(search.score))
-                row = (batch.column("query_block")[i].as_py() << 32) + q
-                columns = [query_ids[q], row, search.found[q, j], search.score[q, j]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "query_row", "vec_id", "score"])
-
-    pairs = trees.join(query_blocks(rows.where(queries), n), ["dims", "block"])
     with arrow_rows(embeddings.sparkSession, 4):
-        found = land(pairs.mapInArrow(run, "query_id long, query_row long, vec_id long, score double"), "ann-found")
-    return best(found, k, largest=False)
+        found = search(trees, rows.where(queries), k, float, trees.limit(1), scan)
+    return ranked(found, k).withColumn("score", -F.col("score"))

@@ -116,16 +116,16 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op2_topk": """
         WITH q AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
             FROM embeddings
-            WHERE embedding IS NOT NULL
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
-            FROM q a JOIN q b ON a.vec_id <> b.vec_id
+            SELECT a.r, a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
             WHERE a.vec_id % 50 = 0
         ), ranked AS (
-            SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank
+            SELECT *, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INTEGER AS rank
             FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5

@@ -1,30 +1,29 @@
 """Exact top-k search by inner product: columnar branch and bound.
 
-Inside a pair of blocks, candidates lie in vertical layout (one row per
-dimension, dimensions of large mass first). Scores are accumulated dimension
-block by dimension block; the mass that remains bounds what a candidate can
-still gain or lose (Cauchy-Schwarz), candidates that cannot reach a query's
-k-th best lower bound are dropped, and the survivors are compacted.
+Inside a block, candidates lie in vertical layout (one row per dimension,
+dimensions of large mass first). Scores are accumulated dimension block by
+dimension block; the mass that remains bounds what a candidate can still gain
+or lose (Cauchy-Schwarz), candidates that cannot reach a query's k-th best
+lower bound are dropped, and the survivors are compacted. A block starts from
+the k-th best of the blocks before it in its task, and of a first one.
 
 Components are quantised to floor(256 * x), scores are integers.
 
 Defined cases: vectors that are null or hold null or non-finite components
-take no part, nor do rows without an id; rows repeated as a whole count once;
-rows having the query's id are its own; only vectors of equal length meet;
-fewer candidates than k give fewer rows; ties go to the smaller id; scores
-beyond 64 bits are clamped; other columns are ignored.
+take no part, nor do rows without an id; every row counts, also one repeated
+as a whole, as query and as candidate; rows having the query's id are its own;
+only vectors of equal length meet; fewer candidates than k give fewer rows;
+ties go to the smaller id; scores beyond 64 bits are clamped; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from lapse.llm.vectors import arrow_rows, best, matrix, query_blocks, row_blocks, usable
+from lapse.llm.vectors import BLOCK_ROWS, Best, Queries, arrow_rows, ranked, search, usable, vectors_of
 from lapse.operators.materialize import land
 
 SCALE = 256.0
@@ -36,19 +35,23 @@ def quantise(vectors: np.ndarray) -> np.ndarray:
     return np.floor(vectors * SCALE)
 
 
-def block_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query number, vec_id, score) of each query's k best in the block."""
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]  # query number in the block, vec_id, score
+
+
+def block_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray | None = None) -> Found:
+    """Each query's k best in the block, less what cannot reach its ``floor``."""
     dims = rows.shape[1]
     limit = float(np.abs(rows).max(initial=0.0)) * float(np.abs(queries).max(initial=0.0)) * max(1, dims)
     if not limit < 2.0**53:
         return _exact_top(ids, rows, query_ids, queries, k)
+    floor = np.full(len(queries), -np.inf) if floor is None else floor
     order = np.argsort(-(np.abs(rows).sum(axis=0) * np.abs(queries).sum(axis=0)), kind="stable")
     vertical, queries = np.ascontiguousarray(rows[:, order].T), queries[:, order]
     cuts = list(range(0, dims, DIM_BLOCK)) or [0]
     # Mass that remains from each cut on.
     rest = [np.sqrt((vertical[c:] ** 2).sum(axis=0)) for c in cuts[1:]] + [np.zeros(len(ids))]
     query_rest = [np.sqrt((queries[:, c:] ** 2).sum(axis=1)) for c in cuts[1:]] + [np.zeros(len(queries))]
-    out: list[tuple[int, int, int]] = []
+    out: list[Found] = []
     for at in range(0, len(queries), CHUNK):
         chunk = queries[at : at + CHUNK]
         first = chunk[:, : DIM_BLOCK] @ vertical[:DIM_BLOCK]
@@ -58,17 +61,18 @@ def block_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries:
             for b, cut in enumerate(cuts):
                 if b:
                     score = score + chunk[i, cut : cut + DIM_BLOCK] @ vertical[cut : cut + DIM_BLOCK, alive]
+                slack = rest[b][alive] * query_rest[b][at + i] * (1 + 1e-9) + 1e-3 * (b + 1 < len(cuts))
+                least = floor[at + i]
                 if len(alive) > k:
-                    slack = rest[b][alive] * query_rest[b][at + i] * (1 + 1e-9) + 1e-3 * (b + 1 < len(cuts))
-                    floor = np.partition(score - slack, len(alive) - k)[len(alive) - k]
-                    keep = score + slack >= floor
-                    alive, score = alive[keep], score[keep]
+                    least = max(least, np.partition(score - slack, len(alive) - k)[len(alive) - k])
+                keep = score + slack >= least
+                alive, score = alive[keep], score[keep]
             top = np.lexsort((ids[alive], -score))[:k]
-            out += [(at + i, int(ids[alive[j]]), int(score[j])) for j in top.tolist()]
-    return out
+            out.append((np.full(len(top), at + i), ids[alive[top]], score[top].astype(np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 3
 
 
-def _exact_top(ids, rows, query_ids, queries, k) -> list[tuple[int, int, int]]:
+def _exact_top(ids, rows, query_ids, queries, k) -> Found:
     """The same with unbounded integers, for very large components."""
     whole = [[int(x) for x in r] for r in rows]
     out = []
@@ -76,30 +80,21 @@ def _exact_top(ids, rows, query_ids, queries, k) -> list[tuple[int, int, int]]:
         q = [int(x) for x in q]
         scored = [(-sum(a * b for a, b in zip(q, r)), int(v)) for v, r in zip(ids, whole) if v != query_ids[i]]
         out += [(i, v, max(-(1 << 63), min((1 << 63) - 1, -s))) for s, v in sorted(scored)[:k]]
-    return out
+    return tuple(np.array([r[j] for r in out], dtype=np.int64) for j in range(3))
+
+
+def scan(batch: pa.RecordBatch, queries: Queries, best: dict[int, Best]) -> None:
+    """Offer the rows of a batch to the queries of their length."""
+    for dims, ids, vectors in vectors_of(batch):
+        if dims in queries:
+            _, query_ids, query_vectors = queries[dims]
+            best[dims].offer(*block_top(ids, quantise(vectors), query_ids, quantise(query_vectors), best[dims].k, best[dims].floor()))
 
 
 def top_k(embeddings: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of every row
     that ``queries`` (a condition on vec_id) admits."""
     rows = land(usable(embeddings), "topk-rows")
-    blocks, n = row_blocks(rows)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dims = batch.column("dims")[i].as_py()
-                ids, vectors = matrix(batch, i, "ids", "values", dims)
-                query_ids, query_vectors = matrix(batch, i, "query_ids", "query_values", dims)
-                found = block_top(ids, quantise(vectors), query_ids, quantise(query_vectors), k)
-                number = batch.column("query_block")[i].as_py() << 32
-                columns = [
-                    [int(query_ids[q]) for q, _, _ in found], [number + q for q, _, _ in found],
-                    [v for _, v, _ in found], [s for _, _, s in found],
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "query_row", "vec_id", "score"])
-
-    pairs = blocks.join(query_blocks(rows.where(queries), n), ["dims", "block"])
-    with arrow_rows(embeddings.sparkSession, 4):
-        found = land(pairs.mapInArrow(run, "query_id long, query_row long, vec_id long, score long"), "topk-found")
-    return best(found, k, largest=True)
+    with arrow_rows(embeddings.sparkSession, BLOCK_ROWS):
+        found = search(rows, rows.where(queries), k, int, rows.limit(BLOCK_ROWS), scan)
+    return ranked(found, k)

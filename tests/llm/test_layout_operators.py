@@ -7,6 +7,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lapse.llm import ann, mixing, packing, sharding, topk
+from lapse.llm import ann, mixing, packing, queries, sharding, topk, vectors
 from lapse.operators.materialize import land
 
 
@@ -325,7 +326,7 @@ def test_sharding_awkward_cases(spark):
 # --- vector searches -------------------------------------------------------------------
 
 
-def vectors(spark, rows):
+def vector_table(spark, rows):
     return spark.createDataFrame([(*r, "x", "y") for r in rows], "vec_id long, embedding array<float>, score string, block string")
 
 
@@ -341,8 +342,8 @@ BAD = [(1000, None), (1050, [1.0, None] * 8), (1100, [float("nan")] * 16), (1150
 
 
 def brute_topk(rows, k, every):
-    ok = {r for r in ((i, tuple(v)) for i, v in rows if i is not None and v is not None and None not in v) if np.isfinite(r[1]).all()}
-    q = [(i, [math.floor(256 * x) for x in v]) for i, v in sorted(ok)]
+    ok = [(i, v) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()]
+    q = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in ok]
     out = []
     for i, a in q:
         if i % every == 0:
@@ -351,60 +352,96 @@ def brute_topk(rows, k, every):
     return sorted(out)
 
 
-def test_topk_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr("lapse.llm.vectors.BLOCK_ROWS", 64)
-    extra = [(1200, [0.0] * 16), (1201, [1.5, 2.5]), (1250, [-1.0, 0.01]), (1300, []), (7, random_vectors(8)[7][1])]
-    rows = random_vectors(300) + BAD + extra
-    rows += [rows[3]]
-    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0).collect())
-    expected = brute_topk([(i, v) for i, v in rows if i != 7] + [(7, random_vectors(300)[7][1]), (7, random_vectors(8)[7][1])], 5, 50)
-    assert got == expected
+def repeated_vectors():
+    """Rows with an exact copy, an id with two vectors, a copied query."""
+    rows = random_vectors(300) + BAD + [(1200, [0.0] * 16), (1201, [1.5, 2.5]), (1250, [-1.0, 0.01]), (1300, []), (7, random_vectors(8)[7][1])]
+    return rows + [rows[3], rows[50], rows[50], (100, random_vectors(8)[2][1])]
+
+
+@pytest.mark.parametrize("chunk", [vectors.CHUNK_BYTES, 1000])
+def test_topk_against_brute_force(spark, monkeypatch, chunk):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(vectors, "CHUNK_BYTES", chunk)
+    rows = repeated_vectors()
+    df = vector_table(spark, rows).repartition(3)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == brute_topk(rows, 5, 50)
+
+
+def test_topk_sql_has_the_same_reading_of_repeated_rows(spark, tmp_path):
+    rows = [(i, v) for i, v in repeated_vectors() if v]
+    vector_table(spark, rows).select("vec_id", "embedding").write.parquet(str(tmp_path / "embeddings"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings/*.parquet')")
+    sql = con.sql(queries.ORACLE_SQL["op2_topk"]).fetchall()
+    assert sorted(sql) == brute_topk(rows, 5, 50)
 
 
 def test_block_search_prunes_without_loss():
     draw = np.random.default_rng(5)
     rows = topk.quantise(draw.normal(size=(500, 48)) * np.linspace(2, 0.01, 48))
-    queries = topk.quantise(draw.normal(size=(20, 48)) * np.linspace(2, 0.01, 48))
+    asked = topk.quantise(draw.normal(size=(20, 48)) * np.linspace(2, 0.01, 48))
     ids, query_ids = np.arange(500), np.arange(20)
-    got = topk.block_top(ids, rows, query_ids, queries, 5)
-    assert got == topk._exact_top(ids, rows, query_ids, queries, 5)
-    huge = topk.block_top(ids, rows * 1e12, query_ids, queries * 1e12, 5)
-    assert len(huge) == 100
+    got = topk.block_top(ids, rows, query_ids, asked, 5)
+    exact = topk._exact_top(ids, rows, query_ids, asked, 5)
+    assert all((a == b).all() for a, b in zip(got, exact))
+    # From a bound that the k-th best reaches, nothing better is lost.
+    floor = exact[2].reshape(20, 5)[:, -1].astype(float)
+    bounded = topk.block_top(ids, rows, query_ids, asked, 5, floor)
+    assert all((a == b).all() for a, b in zip(bounded, exact))
+    assert len(topk.block_top(ids, rows, query_ids, asked, 5, floor + 1)[0]) < 100
+    assert len(topk.block_top(ids, rows * 1e12, query_ids, asked * 1e12, 5)[0]) == 100
+
+
+def test_best_rows_merge_in_any_order():
+    draw = np.random.default_rng(2)
+    query, ids, score = draw.integers(0, 9, 3000), draw.integers(0, 40, 3000), draw.integers(-20, 20, 3000)
+    score[:5] = np.iinfo(np.int64).min
+    best = vectors.Best(10, 4, int)
+    for part in np.array_split(draw.permutation(3000), 23):
+        best.offer(query[part], ids[part], score[part])
+    numbers = np.arange(10) + 100
+    got = sorted(zip(*(c.tolist() for c in best.rows(numbers, np.arange(10)))))
+    expected = [(q, q + 100, int(i), int(s)) for q in range(10) for s, i in sorted((-int(s), int(i)) for s, i in zip(score[query == q], ids[query == q]))[:4] for s in [-s]]
+    assert got == sorted(expected)
 
 
 def test_topk_fewer_candidates_and_empty(spark):
-    assert topk.top_k(vectors(spark, []), F.col("vec_id") % 50 == 0).collect() == []
-    got = topk.top_k(vectors(spark, [(0, [1.0, 1.0]), (1, [2.0, 1.0])]), F.col("vec_id") % 50 == 0).collect()
+    assert topk.top_k(vector_table(spark, []), F.col("vec_id") % 50 == 0).collect() == []
+    got = topk.top_k(vector_table(spark, [(0, [1.0, 1.0]), (1, [2.0, 1.0])]), F.col("vec_id") % 50 == 0).collect()
     assert [tuple(r) for r in got] == [(0, 1, 1, 3 * 65536)]
 
 
 def brute_nearest(rows, k, every):
     ok = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows if i is not None and v is not None and None not in v]
     ok = [(i, v) for i, v in ok if np.isfinite(v).all() and v.any()]
-    out = {}
+    out = defaultdict(list)
     for i, a in ok:
         if i % every == 0:
-            out[i] = sorted((float(np.sqrt(((a - b) ** 2).sum())), j) for j, b in ok if j != i and len(a) == len(b))[:k]
+            out[i].append(sorted((float(np.sqrt(((a - b) ** 2).sum())), j) for j, b in ok if j != i and len(a) == len(b))[:k])
     return out
 
 
 @pytest.mark.parametrize("factor", [1.0, ann.FACTOR])
-def test_nearest_against_brute_force(spark, factor):
+def test_nearest_against_brute_force(spark, monkeypatch, factor):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 400)
     rows = random_vectors(1500, seed=2) + [(i + 10_000, v) for i, v in BAD if i is not None] + [(9_000, [0.0] * 16), (9_100, [3.0, 4.0])]
+    rows += [rows[100], rows[3], (300, rows[7][1])]  # a copied query, a copied row, an id with two vectors
     expected = brute_nearest(rows, 10, 100)
     got = defaultdict(list)
-    for r in ann.nearest(vectors(spark, rows), F.col("vec_id") % 100 == 0, factor=factor).collect():
+    for r in ann.nearest(vector_table(spark, rows).repartition(3), F.col("vec_id") % 100 == 0, factor=factor).collect():
         got[r.query_id].append((r["rank"], r.vec_id, r.score))
     hits = total = 0
-    for q, best in expected.items():
+    for q, lists in expected.items():
         mine = sorted(got.get(q, []))
-        assert [m[0] for m in mine] == list(range(1, len(best) + 1))
-        assert [(m[2], m[1]) for m in mine] == sorted((m[2], m[1]) for m in mine)
+        assert [m[0] for m in mine] == sorted(n + 1 for best in lists for n in range(len(best)))
         if factor == 1.0:
-            assert [m[1] for m in mine] == [j for _, j in best]
-        reach = best[-1][0] + 1e-9 if best else 0.0
-        hits += sum(m[2] <= reach for m in mine)
-        total += len(best)
+            assert sorted((m[2], m[1]) for m in mine) == sorted(x for best in lists for x in best)
+        if len(lists) == 1:
+            assert [(m[2], m[1]) for m in mine] == sorted((m[2], m[1]) for m in mine)
+            reach = lists[0][-1][0] + 1e-9 if lists[0] else 0.0
+            hits += sum(m[2] <= reach for m in mine)
+            total += len(lists[0])
     assert set(got) <= set(expected) and hits >= 0.9 * total
 
 
@@ -418,5 +455,5 @@ def test_tree_holds_every_row_once():
 
 
 def test_nearest_empty(spark):
-    assert ann.nearest(vectors(spark, []), F.col("vec_id") % 100 == 0).collect() == []
+    assert ann.nearest(vector_table(spark, []), F.col("vec_id") % 100 == 0).collect() == []
     assert len(AWKWARD) == docs(spark).count()
