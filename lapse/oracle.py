@@ -26,6 +26,7 @@ def extract_num(col: str, pattern: str, group: int) -> str:
     return f"TRY_CAST(regexp_extract({col}, '{pattern}', {group}) AS DOUBLE)"
 
 
+# The patterns that cut a timestamp string into parts.
 DAY_PAT = r"(\d+)-(\d+)-(\d+)\s+(\d+):(\d+)"
 DT_PAT = r"(\d+)-(\d+)-(\d+)\s+(\d+):(\d+):(\d+)"
 HOUR_PAT = r"\d+-\d+-\d+\s+(\d+):"
@@ -207,6 +208,7 @@ FROM quiz_feat"""
 
 # ---------------------------------------------------------------- payments
 
+# The failure codes that have columns.
 FAILURE_CODES = ("card_declined", "expired_card", "incorrect_cvc", "incorrect_number", "processing_error")
 
 PAY_CTES = (
@@ -357,6 +359,7 @@ def payments_features() -> str:
 
 # ---------------------------------------------------------------- activity
 
+# The statuses counted.
 STATUSES = ("completed", "failed", "nsfw", "canceled")
 DAY_BITS = [f"active_day_{d}" for d in range(14)]
 
