@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from lapse.llm.runs import column, run_edges
 from lapse.llm.words import BYTE_BASE, mix, powers
-from lapse.operators.materialize import join_small, land
+from lapse.operators.materialize import join_small, land, release
 
 WIDTH, ANCHOR = 50, 24
 SHALLOW = 32  # bytes that the multikey quicksort orders
@@ -49,6 +49,7 @@ CHUNK_ROWS = 1 << 14
 HELD_ROWS = 4096
 HOT_CONTEXTS = 4096
 LAST_ID = (1 << 63) - 1
+CODEC = "zstd"  # of landed texts and contexts, which are long
 REPEATED, DEALT = 1, 2  # flags of an anchor: seen twice already; a witness
 
 
@@ -264,7 +265,7 @@ def _anchor_rows(texts: DataFrame, width: int) -> DataFrame:
             if n:
                 yield emitted(parts)
 
-    return texts.select(F.col("key").alias("row"), "raw").mapInArrow(run, "name long, salt int, row long, place long")
+    return texts.select("row", "raw").mapInArrow(run, "name long, salt int, row long, place long")
 
 
 def _repeated(anchors: DataFrame) -> DataFrame:
@@ -308,7 +309,7 @@ def _repeated(anchors: DataFrame) -> DataFrame:
 
 
 def _contexts(touched: DataFrame, width: int) -> DataFrame:
-    """(name, content, key, key2, id, place, context): the repeated contexts of
+    """(name, content, row, id, place, context): the repeated contexts of
     texts; of equal contexts in a batch, the bytes come with one only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +318,7 @@ def _contexts(touched: DataFrame, width: int) -> DataFrame:
             rows: list[tuple] = []
             for i, marks in enumerate(batch.column("marks")):
                 raw = batch.column("raw")[i].as_py()
-                key, key2, first = (batch.column(c)[i].as_py() for c in ("key", "key2", "id"))
+                row, first = (batch.column(c)[i].as_py() for c in ("row", "id"))
                 cells = marks.values
                 for name, place in zip(cells.field("name").to_pylist(), cells.field("place").to_pylist()):
                     at, more = divmod(place, CONTEXT)
@@ -325,19 +326,19 @@ def _contexts(touched: DataFrame, width: int) -> DataFrame:
                     content = xxhash.xxh64_intdigest(context) - (1 << 63)
                     known = (name, content) in seen
                     seen.add((name, content))
-                    rows.append((name, content, key, key2, first, at, None if known else context))
+                    rows.append((name, content, row, first, at, None if known else context))
                 if len(rows) >= CHUNK_ROWS:
                     yield emitted(rows)
             yield emitted(rows)
 
     def emitted(rows):
-        kinds = [pa.int64()] * 6 + [pa.binary()]
+        kinds = [pa.int64()] * 5 + [pa.binary()]
         columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
         rows.clear()
-        return pa.RecordBatch.from_arrays(columns, ["name", "content", "key", "key2", "id", "place", "context"])
+        return pa.RecordBatch.from_arrays(columns, ["name", "content", "row", "id", "place", "context"])
 
-    schema = "name long, content long, key long, key2 long, id long, place long, context binary"
-    return touched.select("key", "key2", "id", "raw", "marks").mapInArrow(run, schema)
+    schema = "name long, content long, row long, id long, place long, context binary"
+    return touched.select("row", "id", "raw", "marks").mapInArrow(run, schema)
 
 
 # Sorting the suffixes of whole names
@@ -454,9 +455,10 @@ def _lost_windows_in_parts(groups: DataFrame, width: int) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """Landed (key, key2, id, raw): every text once, with the smallest id."""
+    """Landed (key, key2, id, raw, row): every text once, with the smallest id
+    and a number that is small and so packs well."""
     rows = _keyed(docs).groupBy("key", "key2").agg(F.min("id").alias("id"), F.any_value("raw").alias("raw"))
-    return land(rows, "suffix-texts")
+    return land(rows.withColumn("row", F.monotonically_increasing_id()), "suffix-texts", CODEC)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -466,18 +468,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(key, key2, spans): of texts as from ``distinct_texts``, the ranges of
+    """Landed (row, spans): of texts as from ``distinct_texts``, the ranges of
     bytes to remove (begin, end), unsorted and overlapping."""
     if width < ANCHOR + 1:
         raise ValueError(f"a window needs more than {ANCHOR} bytes")
     marks = F.collect_list(F.struct("name", "place")).alias("marks")
     anchors = land(_repeated(_anchor_rows(texts, width)).groupBy("row").agg(marks), "suffix-anchors")
-    touched = texts.join(anchors, texts["key"] == anchors["row"])
-    contexts = land(_contexts(touched, width), "suffix-contexts")
+    contexts = land(_contexts(texts.join(anchors, "row"), width), "suffix-contexts", CODEC)
+    release(anchors)
     groups = contexts.groupBy("name", "content").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.max("context").alias("context")
     )
-    groups = land(groups, "suffix-groups")
+    groups = land(groups, "suffix-groups", CODEC)
     sizes = groups.groupBy("name").agg(F.count("*").alias("contexts"), F.min("low").alias("least"), F.max("high").alias("most"))
     # Names within one text (or one id) take nothing away.
     sizes = land(sizes.where("least < most").select("name", "contexts"), "suffix-names")
@@ -487,13 +489,16 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     if not hot.isEmpty():
         lost = lost.unionByName(_lost_windows_in_parts(join_small(groups, hot, "name", "inner"), width))
     lost = land(lost, "suffix-lost")
-    own = contexts.select("name", "content", "key", "key2", "id", "place").join(lost, ["name", "content"])
+    release(groups, sizes, hot)
+    own = contexts.select("name", "content", "row", "id", "place").join(lost, ["name", "content"])
     ranges = F.transform(
         F.filter("spans", lambda s: s["low"] < F.col("id")),
         lambda s: F.struct((F.col("place") + s["begin"]).alias("begin"), (F.col("place") + s["end"] + width).alias("end")),
     )
-    own = own.select("key", "key2", ranges.alias("ranges")).where(F.size("ranges") > 0)
-    return own.groupBy("key", "key2").agg(F.flatten(F.collect_list("ranges")).alias("spans"))
+    own = own.select("row", ranges.alias("ranges")).where(F.size("ranges") > 0)
+    spans = land(own.groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("spans")), "suffix-spans")
+    release(contexts, lost)
+    return spans
 
 
 def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -535,8 +540,7 @@ def cut_documents(docs: DataFrame, width: int = WIDTH, texts: bool = True) -> Da
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), *columns], names)
 
     once = distinct_texts(docs)
-    spans = land(repeated_spans(once, width), "suffix-spans")
-    marked = once.join(spans, ["key", "key2"], "left").select("key", "key2", "id", "raw", "spans")
+    marked = once.join(repeated_spans(once, width), "row", "left").select("key", "key2", "id", "raw", "spans")
     schema = (
         "key long, key2 long, id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         "spans array<struct<begin:long,end:long>>, kept binary"
