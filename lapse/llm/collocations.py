@@ -13,9 +13,9 @@ counts l and r of the two parts.
 
 Scale: chunks, then phrases, are summed in the tasks before they are dealt
 out, so a passage or a word pair in a third of all documents sends a few rows
-per task. Counts go level by level: longer phrases are counted only where all
-their word pairs are frequent enough by a bit table of at most 16 MB, which is
-exact (bits that coincide only let more phrases through to the count). The
+per task. Counts go level by level: a phrase is counted only where the phrases
+one word shorter in it are frequent enough by a bit table of at most 16 MB, which
+is exact (bits that coincide only let more phrases through to the count). The
 best of a language are cut by a window whose limit works in the tasks first.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows
@@ -26,9 +26,9 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +36,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.llm.common import LOWER
-from lapse.llm.words import PIECE, grouped, spans, word_hashes
-from lapse.operators.materialize import land
+from lapse.llm.words import PIECE, grouped, spans, window_hashes, word_hashes
+from lapse.operators.materialize import land, release
 
 MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 COVERED_SHARE = 50  # percent of a phrase's places that lie in one longer phrase
 SCORE_UNIT = 1_000_000
 TRIGGER = 8
 UNKNOWN = "und"
-HELD_ROWS = 200_000
+HELD_ROWS = 400_000
 MAX_BITS = 1 << 27
 
 # The bytes that end a piece, and those between words.
@@ -105,18 +105,17 @@ def chunks(raw: bytes, own: int, max_words: int = MAX_WORDS, trigger: int = TRIG
     return slices, (stop - after).tolist(), n_own
 
 
-def _summed(held: dict[str, Counter], names: list[str]) -> pa.RecordBatch:
+def _summed(held: dict[str, Counter], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows (lang, *key, n) of the counters per language; empties them."""
-    langs = [lang for lang, c in held.items() for _ in range(len(c))]
-    keys = [k for c in held.values() for k in c]
-    n = [v for c in held.values() for v in c.values()]
+    for lang, count in held.items():
+        if len(names) == 2:
+            keys, tails = zip(*count) if count else ((), ())
+            parts = [pa.array(keys, pa.binary()), pa.array(tails, pa.int32())]
+        else:
+            parts = [pa.array(list(count), pa.binary())]
+        n = pa.array(list(count.values()), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(count)), *parts, n], ["lang", *names, "n"])
     held.clear()
-    parts = [pa.array(langs, pa.string())]
-    if len(names) == 2:
-        parts += [pa.array([k for k, _ in keys], pa.binary()), pa.array([t for _, t in keys], pa.int32())]
-    else:
-        parts += [pa.array(keys, pa.binary())]
-    return pa.RecordBatch.from_arrays([*parts, pa.array(n, pa.int64())], ["lang", *names, "n"])
 
 
 def parse(docs: DataFrame, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -> DataFrame:
@@ -134,57 +133,103 @@ def parse(docs: DataFrame, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -
                         slices, tails, _ = chunks(raw, own, max_words, trigger)
                         held[lang].update(zip(slices, tails))
                         if sum(map(len, held.values())) > HELD_ROWS:
-                            yield _summed(held, ["chunk", "tail"])
-        yield _summed(held, ["chunk", "tail"])
+                            yield from _summed(held, ["chunk", "tail"])
+        yield from _summed(held, ["chunk", "tail"])
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary"))
     found = rows.mapInArrow(run, "lang string, chunk binary, tail int, n long")
     return found.groupBy("lang", "chunk", "tail").agg(F.sum("n").alias("n"))
 
 
-def _phrases(dictionary: DataFrame, sizes: tuple[int, ...], table=None) -> DataFrame:
-    """(lang, phrase, n) of all n-grams of the sizes; the empty phrase holds
-    the number of words. With ``table`` (a broadcast bit table) only those
-    whose word pairs all have their bit."""
+class Words:
+    """The words of many chunks in a row: places, hashes, chunk of each."""
+
+    def __init__(self, chunks: list[bytes], tails: np.ndarray):
+        self.raw = b"\n".join(chunks)
+        array = np.frombuffer(self.raw, dtype=np.uint8)
+        self.start, self.end = spans(array, SEPARATORS)
+        self.chunk = np.searchsorted(np.cumsum([len(c) + 1 for c in chunks]), self.start, "right")
+        last = np.searchsorted(self.chunk, np.arange(len(chunks)), "right")
+        self.own = np.arange(len(self.start)) < (last - tails)[self.chunk]
+
+    def joined(self, size: int) -> np.ndarray:
+        """Whether ``size`` words from each one lie in one chunk."""
+        out = np.zeros(len(self.chunk), dtype=bool)
+        out[: len(out) - size + 1] = self.chunk[: len(out) - size + 1] == self.chunk[size - 1 :]
+        return out
+
+    def hashes(self, size: int) -> np.ndarray:
+        """A hash of the ``size`` words from each one that has as many after it."""
+        words = word_hashes(self.raw, SEPARATORS)
+        return window_hashes(words, np.arange(max(0, len(words) - size + 1)), size)
+
+    def phrases(self, size: int, which: np.ndarray) -> list[bytes]:
+        """The ``size`` words from each of those marked."""
+        at = np.flatnonzero(which)
+        return [self.raw[a:b] for a, b in zip(self.start[at].tolist(), self.end[at + size - 1].tolist())]
+
+
+def _phrases(dictionary: DataFrame, size: int, table=None) -> DataFrame:
+    """(lang, phrase, n) of all phrases of ``size`` words; beside single words
+    the empty phrase holds their number. With ``table`` (a broadcast bit table)
+    only those in which both phrases of one word less have their bit."""
+
+    def count_in(count: Counter, chunks: list[bytes], tails: np.ndarray, n: np.ndarray) -> None:
+        words = Words(chunks, tails)
+        weight = n[words.chunk]
+        which = words.own & words.joined(size)
+        if size == 1:
+            count[b""] += int(weight[words.own].sum())
+        if table is not None:
+            bits = np.frombuffer(table.value, dtype=np.uint8)
+            slot = words.hashes(size - 1) & np.uint64(8 * len(bits) - 1)
+            frequent = bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 == 1
+            both = np.zeros(len(which), dtype=bool)
+            both[: max(0, len(frequent) - 1)] = frequent[:-1] & frequent[1:]
+            which &= both
+        count.update(words.phrases(size, which & (weight == 1)))
+        often = which & (weight > 1)
+        for phrase, k in zip(words.phrases(size, often), weight[often].tolist()):
+            count[phrase] += k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if table is None else table.value
         held: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
-            for lang, chunk, tail, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                words, count = chunk.split(b" "), held[lang]
-                own = len(words) - tail
-                if bits is None:
-                    if 1 in sizes:
-                        count[b""] += n * own
-                        for w in words[:own]:
-                            count[w] += n
-                    if 2 in sizes:
-                        for w in map(b" ".join, zip(words[:own], words[1:])):
-                            count[w] += n
-                else:
-                    pairs = [zlib.crc32(p) for p in map(b" ".join, zip(words, words[1:]))]
-                    frequent = [bits[(h >> 3) & (len(bits) - 1)] >> (h & 7) & 1 for h in pairs]
-                    for size in sizes:
-                        for i in range(min(own, len(words) - size + 1)):
-                            if all(frequent[i : i + size - 1]):
-                                count[b" ".join(words[i : i + size])] += n
-                if len(count) > HELD_ROWS:
-                    yield _summed(held, ["phrase"])
-        yield _summed(held, ["phrase"])
+            langs, chunks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            tails, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            rows_of: dict[str, list[int]] = defaultdict(list)
+            for i, lang in enumerate(langs):
+                rows_of[lang].append(i)
+            for lang, of in rows_of.items():
+                at = 0
+                for some in grouped(chunks[i] for i in of):
+                    rows = of[at : at + len(some)]
+                    at += len(some)
+                    count_in(held[lang], some, tails[rows], n[rows])
+            if sum(map(len, held.values())) > HELD_ROWS:
+                yield from _summed(held, ["phrase"])
+        yield from _summed(held, ["phrase"])
 
     found = dictionary.select("lang", "chunk", "tail", "n").mapInArrow(run, "lang string, phrase binary, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def bit_table(pairs: DataFrame, max_bits: int = MAX_BITS) -> bytes:
-    """Bits at the hashes of the frequent word pairs: 16 a pair, at most
-    ``max_bits`` in all."""
-    size = max(1 << 10, min(max_bits, 1 << (16 * pairs.count()).bit_length()))
-    at = F.crc32("phrase").bitwiseAND(F.lit(size - 1))
-    words = pairs.select((at / 64).cast("long").alias("word"), F.pmod(at, F.lit(64)).cast("int").alias("bit"))
-    words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
-    table = np.zeros(size // 64, dtype="<i8")
+def bit_table(frequent: DataFrame, size: int, max_bits: int | None = None) -> bytes:
+    """Bits at the hashes of frequent phrases of ``size`` words: 16 a phrase,
+    at most ``max_bits`` (``MAX_BITS``) in all."""
+    n_bits = max(1 << 10, min(max_bits or MAX_BITS, 1 << (16 * frequent.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in grouped(batch.column(0).to_pylist()):
+                words = Words(some, np.zeros(len(some), dtype=np.int64))
+                hashes = words.hashes(size)
+                slot = (hashes[words.joined(size)[: len(hashes)]] & np.uint64(n_bits - 1)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(slot // 64), pa.array(slot % 64)], ["word", "bit"])
+
+    words = frequent.select("phrase").mapInArrow(run, "word long, bit long")
+    words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, cast(bit as int)))").alias("bits")).toArrow()
+    table = np.zeros(n_bits // 64, dtype="<i8")
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return table.tobytes()
 
@@ -193,15 +238,13 @@ def counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COU
     """(lang, phrase, n) of all phrases of 1 to ``max_words`` words that occur
     ``min_count`` times, landed; the empty phrase holds the number of words."""
     dictionary = land(parse(docs, max_words), "phrase-dictionary")
-    short = _phrases(dictionary, (1, 2)).where((F.col("n") >= min_count) | (F.length("phrase") == 0))
-    short = land(short, "phrase-short")
-    sizes = tuple(range(3, max_words + 1))
-    if not sizes:
-        return short
-    pairs = short.where(F.instr(F.col("phrase").cast("string"), " ") > 0)
-    table = docs.sparkSession.sparkContext.broadcast(bit_table(pairs))
-    long = land(_phrases(dictionary, sizes, table).where(F.col("n") >= min_count), "phrase-long")
-    return short.unionByName(long)
+    enough, table, levels = (F.col("n") >= min_count) | (F.length("phrase") == 0), None, []
+    for size in range(1, max_words + 1):
+        levels.append(land(_phrases(dictionary, size, table).where(enough), "phrase-counts"))
+        if size < max_words:
+            table = docs.sparkSession.sparkContext.broadcast(bit_table(levels[-1].where(F.length("phrase") > 0), size))
+    release(dictionary)
+    return reduce(DataFrame.unionByName, levels)
 
 
 def collocations(
