@@ -95,3 +95,16 @@ def test_fold_forest_keeps_no_tree_in_the_driver(rows):
     fitted = model.fit_forest(rows, 1, 12, 2, 30, 64, 1_000_000, 42)
     assert fitted.getProbabilityCol() == "_p1" and not hasattr(fitted, "trees")
     assert fitted.table.count() == 2
+
+
+def test_leaves_of_one_class_are_merged():
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 20, (400, 3)).astype(np.uint8), rng.integers(0, 2, 400)
+    feature, cell, left, shares = trees.grow(x, y, np.ones(400), 2, np.full(3, 20), np.ones(2), 2, 2, 30, rng)
+    best, reached = shares.argmax(axis=1), [0]
+    for node in reached:
+        if feature[node] >= 0:
+            a, b = left[node], left[node] + 1
+            assert feature[a] >= 0 or feature[b] >= 0 or best[a] != best[b]
+            reached += [a, b]
+    assert len(reached) > 50
