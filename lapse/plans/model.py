@@ -17,7 +17,6 @@ from functools import reduce
 from pyspark.ml.clustering import KMeans
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,21 +88,20 @@ def fit_clusters(
     scaler = scaler_for(raw)
     scaled = scaler.transform(raw.where(F.col("split") == "train")).select(*USER_KEY, "_x")
     train_x = land(scaled, "kmeans-train").select("_x")
-    # Kept once for all restarts; an unpersisted frame would be cached by each.
-    train_x = train_x.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        k = max(1, min(max_k, train_x.count()))
-
-        def fit(r: int):
-            model = KMeans(k=k, seed=seed + r, featuresCol="_x", predictionCol="cluster_id", maxIter=300).fit(train_x)
-            return model.summary.trainingCost, r, model
-
-        # The restarts are independent jobs: some at once share the executors
-        # instead of queueing one small job after another.
-        with ThreadPoolExecutor(max_workers=RESTARTS_AT_ONCE) as pool:
-            fits = list(pool.map(fit, range(restarts)))
-    finally:
-        train_x.unpersist()
+    k = max(1, min(max_k, train_x.count()))
+
+    def fit(r: int):
+        # In blocks: each fit keeps the users as dense matrices (8 bytes a
+        # number) while it runs. Over a persisted frame every iteration would
+        # decode the rows into vectors again.
+        kmeans = KMeans(k=k, seed=seed + r, featuresCol="_x", predictionCol="cluster_id", maxIter=300, solver="block")
+        model = kmeans.fit(train_x)
+        return model.summary.trainingCost, r, model
+
+    # The restarts are independent jobs: some at once share the executors
+    # instead of queueing one small job after another.
+    with ThreadPoolExecutor(max_workers=RESTARTS_AT_ONCE) as pool:
+        fits = list(pool.map(fit, range(restarts)))
     best = min(fits, key=lambda t: (t[0], t[1]))[2]  # lowest cost, then first restart
     return PipelineModel(stages=[NumberVector(cols=list(CLUSTER_FEATURES)), scaler, best])
 

@@ -521,3 +521,25 @@ def test_incremental_runs_in_one_session_do_not_share_state(spark, tmp_path):
         got = {r.user_id: r.asDict() for r in activity_incremental(spark, path, users(spark), g.schema).collect()}
         want = {r.user_id: r.asDict() for r in activity_table(g, users(spark), materialize=False).collect()}
         assert got == want
+
+
+def test_clusters_are_fitted_over_blocks_of_rows(spark, monkeypatch):
+    """No iteration decodes cached rows again: every restart gets the landed
+    matrix, not persisted, and keeps it in blocks itself."""
+    from pyspark.ml.clustering import KMeans
+
+    from lapse.plans import model
+
+    kinds = []
+
+    class Watched(KMeans):
+        def fit(self, dataset):
+            kinds.append((self.getSolver(), dataset.is_cached, dataset.storageLevel.useMemory))
+            return super().fit(dataset)
+
+    monkeypatch.setattr(model, "KMeans", Watched)
+    rows = [("train" if i % 4 else "test", i, *[float((i * (j + 3)) % 11) for j in range(len(model.CLUSTER_FEATURES))]) for i in range(40)]
+    schema = "split string, user_id long, " + ", ".join(f"{c} double" for c in model.CLUSTER_FEATURES)
+    found = model.cluster_ids(spark.createDataFrame(rows, schema), restarts=2).collect()
+    assert kinds == [("block", False, False)] * 2
+    assert len(found) == 40 and all(0 <= r.cluster_id < model.MAX_CLUSTERS for r in found)
