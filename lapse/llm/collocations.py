@@ -32,6 +32,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,15 +142,31 @@ def parse(docs: DataFrame, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -
     return found.groupBy("lang", "chunk", "tail").agg(F.sum("n").alias("n"))
 
 
+def lines_of(column: pa.Array, size: int = PIECE) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """The values (bytes) of a column in parts of about ``size`` bytes: which
+    rows, their bytes with a line feed after each value, and each one's end.
+    Cut from the column's own memory; no row becomes a Python object."""
+    lines = pc.binary_join_element_wise(column.cast(pa.large_binary()), *(pa.scalar(x, pa.large_binary()) for x in (b"", b"\n")))
+    if not len(lines):
+        return
+    at = np.frombuffer(lines.buffers()[1], dtype=np.int64)[lines.offset : lines.offset + len(lines) + 1]
+    raw = np.frombuffer(lines.buffers()[2], dtype=np.uint8)
+    first = 0
+    while first < len(lines):
+        last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
+        yield slice(first, last), raw[at[first] : at[last]], at[first + 1 : last + 1] - at[first]
+        first = last
+
+
 class Words:
-    """The words of many chunks in a row: places, hashes, chunk of each."""
-
-    def __init__(self, chunks: list[bytes], tails: np.ndarray):
-        self.raw = b"\n".join(chunks)
-        array = np.frombuffer(self.raw, dtype=np.uint8)
-        self.start, self.end = spans(array, SEPARATORS)
-        self.chunk = np.searchsorted(np.cumsum([len(c) + 1 for c in chunks]), self.start, "right")
-        last = np.searchsorted(self.chunk, np.arange(len(chunks)), "right")
+    """The words of many chunks, each with a line feed after it: places,
+    hashes, chunk of each. ``ends``: where the chunks end."""
+
+    def __init__(self, raw: np.ndarray, ends: np.ndarray, tails: np.ndarray | int):
+        self.raw = raw.tobytes()
+        self.start, self.end = spans(raw, SEPARATORS)
+        self.chunk = np.searchsorted(ends, self.start, "right")
+        last = np.searchsorted(self.chunk, np.arange(len(ends)), "right")
         self.own = np.arange(len(self.start)) < (last - tails)[self.chunk]
 
     def joined(self, size: int) -> np.ndarray:
@@ -174,8 +191,7 @@ def _phrases(dictionary: DataFrame, size: int, table=None) -> DataFrame:
     the empty phrase holds their number. With ``table`` (a broadcast bit table)
     only those in which both phrases of one word less have their bit."""
 
-    def count_in(count: Counter, chunks: list[bytes], tails: np.ndarray, n: np.ndarray) -> None:
-        words = Words(chunks, tails)
+    def count_in(count: Counter, words: Words, n: np.ndarray) -> None:
         weight = n[words.chunk]
         which = words.own & words.joined(size)
         if size == 1:
@@ -195,17 +211,13 @@ def _phrases(dictionary: DataFrame, size: int, table=None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
-            langs, chunks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            langs = batch.column(0).dictionary_encode()
+            codes = langs.indices.to_numpy()
             tails, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            rows_of: dict[str, list[int]] = defaultdict(list)
-            for i, lang in enumerate(langs):
-                rows_of[lang].append(i)
-            for lang, of in rows_of.items():
-                at = 0
-                for some in grouped(chunks[i] for i in of):
-                    rows = of[at : at + len(some)]
-                    at += len(some)
-                    count_in(held[lang], some, tails[rows], n[rows])
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                of = np.flatnonzero(codes == code)
+                for rows, raw, ends in lines_of(batch.column(1).take(pa.array(of))):
+                    count_in(held[lang], Words(raw, ends, tails[of[rows]]), n[of[rows]])
             if sum(map(len, held.values())) > HELD_ROWS:
                 yield from _summed(held, ["phrase"])
         yield from _summed(held, ["phrase"])
@@ -221,8 +233,8 @@ def bit_table(frequent: DataFrame, size: int, max_bits: int | None = None) -> by
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in grouped(batch.column(0).to_pylist()):
-                words = Words(some, np.zeros(len(some), dtype=np.int64))
+            for _, raw, ends in lines_of(batch.column(0)):
+                words = Words(raw, ends, 0)
                 hashes = words.hashes(size)
                 slot = (hashes[words.joined(size)[: len(hashes)]] & np.uint64(n_bits - 1)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(slot // 64), pa.array(slot % 64)], ["word", "bit"])

@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 from helpers import ASCII_LOWER, AWKWARD, SMALL, docs, passage
 
+import pyarrow as pa
+
 from lapse.llm import collocations, spelling
 from lapse.operators.materialize import land
 from lapse.sources.tables import read_table
@@ -187,3 +189,24 @@ def test_collocations_of_awkward_rows(spark, monkeypatch):
     monkeypatch.setattr(collocations, "MAX_BITS", 8 * 8)  # bits coincide
     assert rows(collocations.collocations(docs(spark, table[:-2])), *PHRASE) == collocations_brute([(r[2], r[1]) for r in table[:-2]])
     assert collocations.collocations(docs(spark, [])).count() == 0
+
+
+def test_chunks_are_split_from_the_column_itself():
+    """Parts of a column (also a slice of one) hold each value with a line feed
+    and its end, however long the values are."""
+    values = [b"one two", b"", b"x" * 50, b"last one", b"y"]
+    for column, expected in ((pa.array(values, pa.binary()), values), (pa.array(values, pa.binary())[1:4], values[1:4]), (pa.array([], pa.binary()), [])):
+        for size in (1, 12, 1000):
+            got, rows = [], []
+            for which, raw, ends in collocations.lines_of(column, size):
+                assert len(raw) <= size or which.stop - which.start == 1
+                starts = [0, *ends[:-1].tolist()]
+                got += [raw[a:b].tobytes() for a, b in zip(starts, ends.tolist())]
+                rows += range(which.start, which.stop)
+            assert got == [v + b"\n" for v in expected] and rows == list(range(len(expected)))
+
+
+def test_phrases_of_several_languages_in_one_batch(spark):
+    """Languages mixed row by row, copies of a chunk weighted."""
+    table = [(i, f"red sun{i % 3} up. red sun{i % 3} up", ("en", "de", None)[i % 3], "a") for i in range(60)]
+    assert rows(collocations.collocations(docs(spark, table)), *PHRASE) == collocations_brute([(r[2], r[1]) for r in table])
