@@ -94,3 +94,14 @@ def test_joins_of_bucketed_tables_need_no_exchange(spark, no_broadcast):
     left = [p.split("]")[0] for p in plan.split("Exchange hashpartitioning(")[1:]]
     by_user = [x for x in left if x.startswith("split") and "user_id" in x.split(",")[1]]
     assert len(by_user) <= 4
+
+
+def test_attempts_are_not_sorted_to_find_their_purchase(spark, no_broadcast):
+    from lapse.plans.payments import classify_attempts
+    from lapse.sources.fixtures import load_inputs
+
+    i = load_inputs(spark, SF_SMALL)
+    plan = plan_of(classify_attempts(i.tx, i.purchases))
+    # The join on the transaction, the outermost one, builds on the purchases.
+    joins = [line for line in plan.splitlines() if "Join" in line and "transaction_id" in line]
+    assert joins and all("ShuffledHashJoin" in line and "BuildRight" in line for line in joins)
