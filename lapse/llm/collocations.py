@@ -26,7 +26,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -46,6 +46,7 @@ SCORE_UNIT = 1_000_000
 TRIGGER = 8
 UNKNOWN = "und"
 HELD_ROWS = 400_000
+HELD_BYTES = 64 << 20
 MAX_BITS = 1 << 27
 
 # The bytes that end a piece, and those between words.
@@ -87,14 +88,15 @@ def _word_end(raw: bytes, at: int) -> int:
     return min(found, default=len(raw))
 
 
-def chunks(raw: bytes, own: int, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -> tuple[list[bytes], list[int], int]:
-    """Chunks, the number of overlapping words at each one's end, and the
-    number of own words."""
+def chunk_places(raw: bytes, own: int, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Where chunks start and end, the number of overlapping words at each
+    one's end, and the number of own words."""
     array = np.frombuffer(raw, dtype=np.uint8)
     start, end = spans(array, SEPARATORS)
     n_own = int(np.searchsorted(start, own))
     if not n_own:
-        return [], [], 0
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none, 0
     piece = np.searchsorted(np.flatnonzero(array == 10), start)
     begins = word_hashes(raw, SEPARATORS)[:n_own] % np.uint64(trigger) == 0
     begins[0] = True
@@ -102,28 +104,81 @@ def chunks(raw: bytes, own: int, max_words: int = MAX_WORDS, trigger: int = TRIG
     first = np.flatnonzero(begins)
     after = np.append(first[1:], n_own)
     stop = np.minimum(after + max_words - 1, np.searchsorted(piece, piece[first], "right"))
-    slices = [raw[a:b] for a, b in zip(start[first].tolist(), end[stop - 1].tolist())]
-    return slices, (stop - after).tolist(), n_own
+    return start[first], end[stop - 1], stop - after, n_own
 
 
-def _summed(held: dict[str, Counter], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, *key, n) of the counters per language; empties them."""
-    for lang, count in held.items():
-        if len(names) == 2:
-            keys, tails = zip(*count) if count else ((), ())
-            parts = [pa.array(keys, pa.binary()), pa.array(tails, pa.int32())]
-        else:
-            parts = [pa.array(list(count), pa.binary())]
-        n = pa.array(list(count.values()), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(count)), *parts, n], ["lang", *names, "n"])
-    held.clear()
+def chunks(raw: bytes, own: int, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -> tuple[list[bytes], list[int], int]:
+    """Chunks, the number of overlapping words at each one's end, and the
+    number of own words."""
+    start, end, tails, n_own = chunk_places(raw, own, max_words, trigger)
+    order, slices = cut(raw, start, end, max_words)
+    back = np.argsort(order)
+    return slices.take(pa.array(back)).to_pylist(), tails.tolist(), n_own
+
+
+def cut(raw: bytes, start: np.ndarray, end: np.ndarray, apart: int) -> tuple[np.ndarray, pa.Array]:
+    """The slices of ``raw`` from each start to its end as a column, and the
+    slice in each of its rows. A slice may run into the next ones, but ends
+    before the one ``apart`` places on: every ``apart``-th ones are the values
+    of a column whose memory is ``raw``, with the gaps between them."""
+    data, rows, parts = pa.py_buffer(raw), [], []
+    for p in range(min(apart, len(start))):
+        s = start[p::apart]
+        at = np.empty(2 * len(s), dtype=np.int32)
+        at[::2], at[1::2] = s, end[p::apart]
+        column = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), data])
+        parts.append(column.take(pa.array(np.arange(0, len(at), 2))))
+        rows.append(np.arange(p, len(start), apart))
+    return np.concatenate(rows or [np.zeros(0, dtype=np.int64)]), pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+
+class Sums:
+    """Counts of keys (``names``; the first column is the language's code)
+    summed in a task. They are columns all along: no row becomes a Python
+    object."""
+
+    def __init__(self, names: list[str]):
+        self.names, self.codes, self.parts = names, {}, []
+        self.rows = self.bytes = 0  # since the last sum
+
+    def code(self, lang: str) -> int:
+        return self.codes.setdefault(lang, len(self.codes))
+
+    def add(self, codes: np.ndarray, *columns) -> None:
+        part = pa.table([pa.array(codes, pa.int32()), *columns], names=["lang", *self.names, "n"])
+        self.parts.append(part)
+        self.rows += part.num_rows
+        self.bytes += part.nbytes
+
+    def _summed(self) -> pa.Table:
+        table = pa.concat_tables(self.parts).group_by(["lang", *self.names], use_threads=False).aggregate([("n", "sum")])
+        self.rows = self.bytes = 0
+        return table.rename_columns({"n_sum": "n"}).select(["lang", *self.names, "n"])
+
+    def _batches(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        langs = pa.array(list(self.codes), pa.string())
+        for batch in table.to_batches():
+            yield pa.RecordBatch.from_arrays([langs.take(batch.column(0)), *batch.columns[1:]], names=batch.schema.names)
+
+    def full(self) -> Iterator[pa.RecordBatch]:
+        """The sums, if they have become many; else they are held on."""
+        if self.rows > HELD_ROWS or self.bytes > HELD_BYTES:
+            table = self._summed()
+            many = table.num_rows > HELD_ROWS or table.nbytes > HELD_BYTES
+            self.parts = [] if many else [table]
+            yield from self._batches(table) if many else ()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        """All rows (lang, *names, n); a key may have several in a task."""
+        yield from self._batches(self._summed()) if self.parts else ()
+        self.parts = []
 
 
 def parse(docs: DataFrame, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -> DataFrame:
     """The dictionary: lang, chunk, tail (overlapping words at its end), n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = defaultdict(Counter)
+        held = Sums(["chunk", "tail"])
         for batch in batches:
             texts: dict[str, list] = defaultdict(list)
             for i, lang in enumerate(batch.column(0).to_pylist()):
@@ -131,11 +186,12 @@ def parse(docs: DataFrame, max_words: int = MAX_WORDS, trigger: int = TRIGGER) -
             for lang, cells in texts.items():
                 for some in grouped(c.as_py() or b"" for c in cells):
                     for raw, own in blocks(normalised(b"\n".join(some)), ahead=max_words - 1):
-                        slices, tails, _ = chunks(raw, own, max_words, trigger)
-                        held[lang].update(zip(slices, tails))
-                        if sum(map(len, held.values())) > HELD_ROWS:
-                            yield from _summed(held, ["chunk", "tail"])
-        yield from _summed(held, ["chunk", "tail"])
+                        start, end, tails, _ = chunk_places(raw, own, max_words, trigger)
+                        order, slices = cut(raw, start, end, max_words)
+                        one = np.ones(len(order), dtype=np.int64)
+                        held.add(one * held.code(lang), slices, pa.array(tails[order], pa.int32()), pa.array(one))
+                        yield from held.full()
+        yield from held.rest()
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary"))
     found = rows.mapInArrow(run, "lang string, chunk binary, tail int, n long")
@@ -180,10 +236,12 @@ class Words:
         words = word_hashes(self.raw, SEPARATORS)
         return window_hashes(words, np.arange(max(0, len(words) - size + 1)), size)
 
-    def phrases(self, size: int, which: np.ndarray) -> list[bytes]:
-        """The ``size`` words from each of those marked."""
+    def phrases(self, size: int, which: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """The ``size`` words from each of those marked, as a column, and the
+        word each of its rows starts at."""
         at = np.flatnonzero(which)
-        return [self.raw[a:b] for a, b in zip(self.start[at].tolist(), self.end[at + size - 1].tolist())]
+        order, found = cut(self.raw, self.start[at], self.end[at + size - 1], size)
+        return at[order], found
 
 
 def _phrases(dictionary: DataFrame, size: int, table=None) -> DataFrame:
@@ -191,11 +249,12 @@ def _phrases(dictionary: DataFrame, size: int, table=None) -> DataFrame:
     the empty phrase holds their number. With ``table`` (a broadcast bit table)
     only those in which both phrases of one word less have their bit."""
 
-    def count_in(count: Counter, words: Words, n: np.ndarray) -> None:
-        weight = n[words.chunk]
+    def count_in(held: Sums, words: Words, codes: np.ndarray, n: np.ndarray) -> None:
         which = words.own & words.joined(size)
         if size == 1:
-            count[b""] += int(weight[words.own].sum())
+            total = np.zeros(codes.max() + 1, dtype=np.int64)
+            np.add.at(total, codes, n * np.bincount(words.chunk[words.own], minlength=len(n)))
+            held.add(np.arange(len(total)), pa.array([b""] * len(total), pa.binary()), pa.array(total))
         if table is not None:
             bits = np.frombuffer(table.value, dtype=np.uint8)
             slot = words.hashes(size - 1) & np.uint64(8 * len(bits) - 1)
@@ -203,24 +262,20 @@ def _phrases(dictionary: DataFrame, size: int, table=None) -> DataFrame:
             both = np.zeros(len(which), dtype=bool)
             both[: max(0, len(frequent) - 1)] = frequent[:-1] & frequent[1:]
             which &= both
-        count.update(words.phrases(size, which & (weight == 1)))
-        often = which & (weight > 1)
-        for phrase, k in zip(words.phrases(size, often), weight[often].tolist()):
-            count[phrase] += k
+        at, found = words.phrases(size, which)
+        chunk = words.chunk[at]
+        held.add(codes[chunk], found, pa.array(n[chunk]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = defaultdict(Counter)
+        held = Sums(["phrase"])
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
-            codes = langs.indices.to_numpy()
+            codes = np.array([held.code(x) for x in langs.dictionary.to_pylist()])[langs.indices.to_numpy()]
             tails, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            for code, lang in enumerate(langs.dictionary.to_pylist()):
-                of = np.flatnonzero(codes == code)
-                for rows, raw, ends in lines_of(batch.column(1).take(pa.array(of))):
-                    count_in(held[lang], Words(raw, ends, tails[of[rows]]), n[of[rows]])
-            if sum(map(len, held.values())) > HELD_ROWS:
-                yield from _summed(held, ["phrase"])
-        yield from _summed(held, ["phrase"])
+            for rows, raw, ends in lines_of(batch.column(1)):
+                count_in(held, Words(raw, ends, tails[rows]), codes[rows], n[rows])
+                yield from held.full()
+        yield from held.rest()
 
     found = dictionary.select("lang", "chunk", "tail", "n").mapInArrow(run, "lang string, phrase binary, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))

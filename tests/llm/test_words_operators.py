@@ -210,3 +210,36 @@ def test_phrases_of_several_languages_in_one_batch(spark):
     """Languages mixed row by row, copies of a chunk weighted."""
     table = [(i, f"red sun{i % 3} up. red sun{i % 3} up", ("en", "de", None)[i % 3], "a") for i in range(60)]
     assert rows(collocations.collocations(docs(spark, table)), *PHRASE) == collocations_brute([(r[2], r[1]) for r in table])
+
+
+def test_phrases_are_counted_as_columns():
+    """Slices that overlap are cut from the bytes themselves and summed in a
+    task without a Python object each."""
+    raw = b"a bb c\ndd e\n"
+    words = collocations.Words(np.frombuffer(raw, dtype=np.uint8), np.array([6, 11]), np.array([0, 0]))
+    for size in (1, 2, 3):
+        at, found = words.phrases(size, words.joined(size))
+        expected = [b" ".join(c[i : i + size]) for c in ([b"a", b"bb", b"c"], [b"dd", b"e"]) for i in range(len(c) - size + 1)]
+        assert isinstance(found, pa.Array)
+        assert [x for _, x in sorted(zip(at.tolist(), found.to_pylist()))] == expected
+    held = collocations.Sums(["phrase"])
+    for lang in ("xx", "yy", "xx"):
+        held.add(np.array([held.code(lang)] * 3), pa.array([b"a", b"b", b"a"], pa.binary()), pa.array([1, 2, 3]))
+    assert list(held.full()) == []
+    got = {(r["lang"], r["phrase"]): r["n"] for batch in held.rest() for r in batch.to_pylist()}
+    assert got == {("xx", b"a"): 8, ("xx", b"b"): 4, ("yy", b"a"): 4, ("yy", b"b"): 2}
+    assert list(held.rest()) == []
+
+
+def test_sums_are_sent_on_when_many(monkeypatch):
+    monkeypatch.setattr(collocations, "HELD_ROWS", 5)
+    held, got = collocations.Sums(["phrase"]), Counter()
+    for i in range(20):
+        held.add(np.array([held.code("xx")] * 2), pa.array([str(i % 9).encode(), b"z"], pa.binary()), pa.array([1, 1]))
+        for batch in held.full():
+            assert batch.num_rows > 5
+            got.update({r["phrase"]: r["n"] for r in batch.to_pylist()})
+        assert held.rows <= 5
+    for batch in held.rest():
+        got.update({r["phrase"]: r["n"] for r in batch.to_pylist()})
+    assert got == Counter({b"z": 20, **{str(i).encode(): 3 if i < 2 else 2 for i in range(9)}})
