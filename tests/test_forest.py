@@ -37,6 +37,31 @@ def test_best_splits_are_those_of_a_plain_search():
         assert any(f == feature[node] and c == cell[node] and g == pytest.approx(gain[node]) for g, f, c in found)
 
 
+def test_histograms_are_counted_some_rows_at_a_time(monkeypatch):
+    """As at once; the arrays of a task no longer grow with a node's rows."""
+    rng = np.random.default_rng(4)
+    x, y, n = rng.integers(0, 5, (300, 4)).astype(np.uint8), rng.integers(0, 3, 300), rng.integers(1, 4, 300)
+    rows, subset, sizes = rng.permutation(300)[:200], np.array([[0, 2], [3, 1], [2, 1]]), np.array([5, 5, 5, 5])
+    at = np.sort(rng.integers(0, 3, 200))
+    whole = trees.histogram(x[rows[:, None], subset[at]], y[rows], n[rows], at, subset, sizes, 3)
+    for some in (1, 7, 1000):
+        monkeypatch.setattr(trees, "ROWS_AT_ONCE", some)
+        assert (trees.histogram_of(x, y, n, rows, at, subset, sizes, 3) == whole).all()
+
+
+def test_a_subtree_is_the_same_however_many_nodes_are_counted_at_once(monkeypatch):
+    rng = np.random.default_rng(6)
+    x, y, n = rng.integers(0, 20, (500, 6)).astype(np.uint8), rng.integers(0, 3, 500), rng.integers(1, 4, 500)
+    grown = []
+    for nodes, some in ((1 << 20, 1 << 20), (2, 16), (1, 1)):
+        monkeypatch.setattr(trees, "NODES_AT_ONCE", nodes)
+        monkeypatch.setattr(trees, "ROWS_AT_ONCE", some)
+        grown.append(trees.grow(x, y, n, 3, np.full(6, 20), np.ones(3), 3, 2, 30, np.random.default_rng(1)))
+    assert len(grown[0][0]) > 50
+    for piece in grown[1:]:
+        assert all((a == b).all() for a, b in zip(piece, grown[0]))
+
+
 def test_thresholds_and_cells():
     assert trees.thresholds_of(np.array([3.0, 1.0, np.nan, 1.0]), 64).tolist() == [2.0]
     assert trees.thresholds_of(np.array([1.0, 1.0]), 64).tolist() == []
