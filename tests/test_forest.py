@@ -37,6 +37,25 @@ def test_best_splits_are_those_of_a_plain_search():
         assert any(f == feature[node] and c == cell[node] and g == pytest.approx(gain[node]) for g, f, c in found)
 
 
+def test_splits_among_cells_without_rows(monkeypatch):
+    """Cells are numbered with the empty ones, but sums run over the others
+    only."""
+    rng = np.random.default_rng(8)
+    x, y, n = (7 * rng.integers(0, 9, (12, 3)) + 2).astype(np.uint8), rng.integers(0, 2, 12), np.ones(12, dtype=np.int64)
+    at, subset, sizes = np.repeat([0, 1], 6), np.array([[0, 2], [1, 0]]), np.array([64, 64, 64])
+    counts = trees.histogram(x[np.arange(12)[:, None], subset[at]], y, n, at, subset, sizes, 2)
+    widest, plain = [], np.cumsum
+    monkeypatch.setattr(trees.np, "cumsum", lambda v, *a, **k: widest.append(np.shape(v)[-1]) or plain(v, *a, **k))
+    gain, feature, cell, left, total = trees.best_splits(counts, subset, sizes, np.ones(2), 1)
+    assert max(widest) <= 12 * 2 + 4 < counts.shape[1]
+    for node in range(2):
+        rows = at == node
+        low = rows & (x[:, feature[node]] <= cell[node])
+        assert gain[node] > 0 and (rows & (x[:, feature[node]] == cell[node])).any()
+        assert left[node].tolist() == np.bincount(y[low], minlength=2).tolist()
+        assert total[node].tolist() == np.bincount(y[rows], minlength=2).tolist()
+
+
 def test_histograms_are_counted_some_rows_at_a_time(monkeypatch):
     """As at once; the arrays of a task no longer grow with a node's rows."""
     rng = np.random.default_rng(4)
