@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
-from lapse.operators import trees
+from lapse.operators import materialize, trees
 from lapse.plans import forest, model
 
 
@@ -90,6 +90,22 @@ def test_thresholds_and_cells():
     assert cells.ravel().tolist() == [0, 0, 1, 1]
 
 
+@pytest.mark.parametrize("range_rows", [1_000_000, 5000, 1000])
+def test_thresholds_come_from_all_rows(spark, range_rows, monkeypatch):
+    """They were those of a sample of 10,000 rows. Ranges only deal the values
+    out; a range may hold no value and a feature no number."""
+    monkeypatch.setattr(forest, "COUNTED_ROWS", 1500)
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.normal(size=12_000), rng.integers(0, 3, 12_000), rng.geometric(0.02, 12_000), np.full(12_000, np.nan), np.zeros(12_000)])
+    x[rng.random(12_000) < 0.2, 0] = np.nan
+    x[7, 1] = 99.0
+    df = spark.createDataFrame([("train", i, v) for i, v in enumerate(x.tolist())], "split string, user_id long, v array<double>")
+    df = df.withColumn("features", array_to_vector("v"))
+    got = forest._thresholds(df, "features", 64, 12_000, 7, range_rows)
+    assert got == [trees.thresholds_of(x[:, j], 64).tolist() for j in range(5)]
+    assert len(got[0]) == 63 and got[1] == [0.5, 1.5, 50.5] and got[3:] == [[], []]
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     """Class by two numbers, one in ten at random, and a gap."""
@@ -141,6 +157,21 @@ def test_fold_forest_keeps_no_tree_in_the_driver(rows):
     assert fitted.table.count() == 2
 
 
+def test_fold_forest_is_fitted_on_all_rows(rows, monkeypatch):
+    """A fit of more rows than a bound, the seventh argument, read a sample."""
+    read = []
+
+    def observe(name, df):
+        if name == "forest-blocks":
+            read.append(sum(len(r.y) for r in df.collect()))
+
+    monkeypatch.setattr(materialize, "observers", [observe])
+    fitted = model.fit_forest(rows, 1, 4, 2, 30, 64, 100, 42)
+    assert read == [900]
+    again = model.fit_forest(rows, 1, 4, 2, 30, 64, 1_000_000, 42)
+    assert again.getOrDefault(again.thresholds) == fitted.getOrDefault(fitted.thresholds)
+
+
 def test_leaves_of_one_class_are_merged():
     rng = np.random.default_rng(2)
     x, y = rng.integers(0, 20, (400, 3)).astype(np.uint8), rng.integers(0, 2, 400)
