@@ -81,6 +81,40 @@ def test_a_subtree_is_the_same_however_many_nodes_are_counted_at_once(monkeypatc
         assert all((a == b).all() for a, b in zip(piece, grown[0]))
 
 
+def test_rows_follow_only_the_paths_to_wanted_nodes():
+    """Rows that end elsewhere were routed to their leaves at every level."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 9, (400, 4)).astype(np.uint8)
+    # 0 -> (1 -> (3, 4), 2 -> (5 -> (7, 8), 6))
+    feature, cell, left = np.array([0, 1, 2, -1, -1, 3, -1, -1, -1]), np.array([4, 3, 5, 0, 0, 2, 0, 0, 0]), np.array([1, 3, 5, 0, 0, 7, 0, 0, 0])
+    rows = np.flatnonzero(rng.random(400) < 0.6)
+    at = trees.route(feature, cell, left, x, rows, np.zeros(len(rows), dtype=np.int64))
+    for wanted in ({4}, {3, 8}, {3, 4, 6, 7, 8}):
+        on_path = trees.paths(feature, left, wanted)
+        assert on_path[0] and on_path[2] == bool(wanted & {6, 7, 8})
+        got = dict(trees.arrivals(feature, cell, left, on_path, wanted, np.ascontiguousarray(x.T), rows))
+        assert set(got) == wanted
+        assert all((got[node] == rows[at == node]).all() for node in wanted)
+
+
+def test_histogram_of_one_node():
+    rng = np.random.default_rng(12)
+    x, y, n = rng.integers(0, 5, (200, 4)).astype(np.uint8), rng.integers(0, 3, 200).astype(np.uint8), rng.integers(1, 4, 200)
+    rows, subset, sizes = rng.permutation(200)[:90], np.array([3, 0]), np.array([5, 6, 7, 8])
+    whole = trees.histogram(x[rows[:, None], subset], y[rows], n[rows], np.zeros(90, dtype=np.int64), subset[None, :], sizes, 3)
+    assert (trees.histogram_at(np.ascontiguousarray(x.T), y, n, rows, subset, sizes, 3) == whole).all()
+
+
+def test_draws_and_subsets_are_those_of_their_definition():
+    ids = np.random.default_rng(13).integers(0, 2**64, 50_000, dtype=np.uint64)
+    key = trees._mixed(np.array([7 * 1_000_003 + 3], dtype=np.uint64))
+    unit = (trees._mixed(ids ^ key) >> np.uint64(11)) * 2.0**-53
+    assert (trees.draws(ids, 3, 7) == np.searchsorted(trees.POISSON, unit, side="right")).all()
+    for k in (1, 5, 9):
+        whole = np.argsort(np.random.default_rng(1).random((30, 9)), axis=1)[:, :k]
+        assert (trees.feature_subsets(np.random.default_rng(1), 30, 9, k) == whole).all()
+
+
 def test_thresholds_and_cells():
     assert trees.thresholds_of(np.array([3.0, 1.0, np.nan, 1.0]), 64).tolist() == [2.0]
     assert trees.thresholds_of(np.array([1.0, 1.0]), 64).tolist() == []
@@ -137,6 +171,20 @@ def test_forest_learns_and_scores_every_row(rows, limit):
     assert _scores(again, rows) == got
 
 
+def test_large_nodes_are_numbered_alike_however_counts_arrive(spark, rows):
+    """Nodes were numbered in the order that shuffle partitions came in."""
+    got = []
+    for n in ("3", "40"):
+        before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+        for c, v in zip(before, (n, "false")):
+            spark.conf.set(c, v)
+        fitted = forest.fit(rows, 900, [1.0, 1.0, 1.0], 6, 2, 30, 64, 7, limit=60)
+        for c, v in before.items():
+            spark.conf.set(c, v)
+        got.append(_scores(fitted, rows))
+    assert got[0] == got[1]
+
+
 def test_rows_are_dealt_in_waves(rows, monkeypatch):
     whole = _scores(forest.fit(rows, 900, [1.0, 1.0, 1.0], 25, 2, 30, 64, 7), rows)
     monkeypatch.setattr(forest, "DEALT_AT_ONCE", 900 * 10)
