@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lapse.operators.materialize import join_small
 from lapse.plans import encode
+from lapse.plans.forest import ForestModel
 
 
 class _Columns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -202,5 +203,8 @@ def score(model: PipelineModel, features: DataFrame, key: tuple[str, ...]) -> Da
     confidence."""
     labels = model.stages[-1].getLabels()
     p = vector_to_array("probability")
-    scored = model.transform(features)
+    # The forests land what they score: only the key and the feature vector.
+    first = next(i for i, stage in enumerate(model.stages) if isinstance(stage, ForestModel))
+    vectors = PipelineModel(stages=model.stages[:first]).transform(features).select(*key, "features")
+    scored = PipelineModel(stages=model.stages[first:]).transform(vectors)
     return scored.select(*key, "predicted_class", *[p[i].alias(f"prob_{c}") for i, c in enumerate(labels)], "confidence")

@@ -142,7 +142,7 @@ def class_weights(train: DataFrame) -> DataFrame:
 
 @dataclass
 class Forests:
-    """The fold forests and the landed matrices they were fitted on and score."""
+    """The fold forests and the matrices (of landed tables) they were fitted on and score."""
 
     models: list
     train: DataFrame  # split, user_id, target, features, fold
@@ -176,9 +176,10 @@ def fit_forests(
     ``folds``: (split, user_id, fold); ``classes`` in code order.
     """
     key = list(USER_KEY)
-    data = _assembled(frame).select(*key, "target", "features")
+    # The plan of the encoded table is wide: planned and compiled once, for both splits.
+    data = land(_assembled(frame).select(*key, "target", "features"), "forest-matrix")
     train = land(data.where(F.col("split") == "train").join(folds.select(*key, "fold"), key), "forest-train")
-    test = land(data.where(F.col("split") != "train").select(*key, "features"), "forest-test")
+    test = data.where(F.col("split") != "train").select(*key, "features")
     n_folds = folds.agg(F.max("fold")).first()[0] + 1
 
     settings = {"num_trees": num_trees, "min_leaf": min_leaf, "max_depth": max_depth, "max_bins": max_bins, "range_rows": forest.RANGE_ROWS, "seed": seed}

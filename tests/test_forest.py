@@ -3,10 +3,13 @@ split by summed histograms, scores of every row, saved and loaded."""
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IndexToString, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
 
 from lapse.operators import materialize, trees
-from lapse.plans import forest, model
+from lapse.plans import bundle, forest, model
 
 
 def _gini(w):
@@ -198,6 +201,23 @@ def test_saved_forest_scores_alike(spark, rows, tmp_path):
     assert _scores(loaded, rows) == _scores(fitted, rows)
 
 
+def test_scoring_lands_the_key_and_the_vector_only(rows, monkeypatch):
+    """Every forest of a saved pipeline landed and joined all columns of the
+    user features; planning and compiling that filled the driver."""
+    fitted = forest.fit(rows, 900, [1.0, 1.0, 1.0], 5, 2, 30, 64, 7, output="_p0")
+    x = vector_to_array("features")
+    wide = rows.select("split", "user_id", "target", *[x[j].alias(f"x{j}") for j in range(4)], *[F.lit(j).alias(f"other{j}") for j in range(30)])
+    stages = [
+        VectorAssembler(inputCols=[f"x{j}" for j in range(4)], outputCol="features", handleInvalid="keep"), fitted,
+        bundle.MeanProbability(cols=["_p0"]), IndexToString(inputCol="prediction", outputCol="predicted_class", labels=["a", "b", "c"]),
+    ]
+    landed = []
+    monkeypatch.setattr(materialize, "observers", [lambda name, df: landed.append((name, set(df.columns)))])
+    got = {r.user_id: [r.prob_a, r.prob_b, r.prob_c] for r in bundle.score(PipelineModel(stages=stages), wide, ("user_id",)).collect()}
+    assert landed == [("forest-scored", {"user_id", "features", "_row"})]
+    assert got == {u: p for u, (_, p) in _scores(fitted, rows).items()}
+
+
 def test_fold_forest_keeps_no_tree_in_the_driver(rows):
     """MLlib's model held every node of every tree as driver objects."""
     fitted = model.fit_forest(rows, 1, 12, 2, 30, 64, 1_000_000, 42)
